@@ -200,3 +200,49 @@ def sheets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flat.withColumn("columns", headers).join(files.select("file_key", "size_bytes", "readable"), "file_key").select(
         "scraper", "file_key", "size_bytes", "readable", "sheet", "sheet_pos", "columns", "row_count", "day"
     )
+
+
+# --- inspection configuration, one row per scraper found in the data -----------------------------------
+
+INPUTS["event_types"] = "SELECT DISTINCT event_type AS scraper FROM @events"
+
+INPUTS["expected_flat"] = """
+SELECT scraper, '{child_category or Main}' AS name,
+  CASE scraper WHEN 'click' THEN 'ID|Title|Price|Phone|Link|Views No' WHEN 'error' THEN 'id|link|price|whatsapp phone|Membership'
+    WHEN 'signup' THEN 'Title|Listing ID|Description (EN)' ELSE 'Ad Kind|Title|Date Published' END AS required,
+  'Ad Kind' AS optional, CAST(3 AS BIGINT) AS row_min, CAST(14 AS BIGINT) AS row_max, CAST(3.5 AS DOUBLE) AS min_file_size_kb
+FROM @event_types WHERE scraper <> 'purchase'
+UNION ALL
+SELECT scraper, 'Info', 'Title|Total Listings', 'Total Listings', CAST(NULL AS BIGINT), CAST(NULL AS BIGINT), CAST(3.5 AS DOUBLE) FROM @event_types
+UNION ALL
+SELECT scraper, 'Listings', 'ID|Title|Price|Grade', 'Grade', CAST(0 AS BIGINT), CAST(12 AS BIGINT), CAST(3.5 AS DOUBLE)
+FROM @event_types WHERE scraper IN ('purchase', 'view')
+"""
+
+INPUTS["profiles_flat"] = """
+SELECT scraper, scraper = 'view' AS skip_info_sheet, CASE scraper WHEN 'purchase' THEN 'Data|Sheet1|Main' END AS data_sheet_aliases,
+  CASE scraper WHEN 'purchase' THEN 'ID|Title|Price' WHEN 'signup' THEN 'Title|Phone|User ID' END AS core_columns,
+  CASE scraper WHEN 'click' THEN 'Link' WHEN 'signup' THEN 'User ID' END AS optional_columns,
+  CAST(CASE scraper WHEN 'click' THEN 7.5 END AS DOUBLE) AS min_file_size_kb, scraper = 'signup' AS skip_sheet_trend_checks
+FROM @event_types WHERE scraper <> 'error'
+"""
+
+INPUTS["floors_flat"] = """
+SELECT scraper, CAST(CASE scraper WHEN 'click' THEN 8.0 ELSE 5.25 END AS DOUBLE) AS floor_kb FROM @event_types WHERE scraper <> 'view'
+"""
+
+
+def _lists(df: DataFrame, *columns: str) -> DataFrame:
+    for name in columns:
+        df = df.withColumn(name, F.split(name, r"\|"))
+    return df
+
+
+def expected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    flat = source(spark, sf_dir, "expected_flat")
+    flat = flat.withColumnRenamed("required", "required_columns").withColumnRenamed("optional", "optional_columns")
+    return _lists(flat, "required_columns", "optional_columns")
+
+
+def profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _lists(source(spark, sf_dir, "profiles_flat"), "data_sheet_aliases", "core_columns", "optional_columns")
