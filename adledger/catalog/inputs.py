@@ -140,6 +140,55 @@ FROM @nation
 """
 
 
+# --- summary documents, one per order, in eight shapes ---------------------------------------------------
+
+_MANY = ", ".join(f'{{"name": "t{i}", "errors": {i % 3 + 1}, "reason": "slow answer of page {i}"}}' for i in range(14))
+_K = "CAST(o_orderkey AS STRING)"
+_C = "CAST(o_custkey % 40 AS STRING)"
+
+INPUTS["summary_docs"] = f"""
+SELECT concat(o_orderpriority, '/', CAST(o_custkey % 30 AS STRING)) AS scraper,
+  concat('data/json-files/summary_', {_K}, '.json') AS key, CAST(o_custkey % 2 AS INT) AS prefix_form,
+  CASE o_orderkey % 9
+  WHEN 0 THEN concat('{{"total_listings": ', {_C}, ', "subcategories": [{{"name_en": "Sedan", "listings_count": ', {_C},
+    ', "errors": ["x"]}}, {{"name_en": "", "name": " Van ", "count": 2.9, "error_count": 2}}, 5], "request_metrics": {{"requests_total": ', {_K},
+    ', "requests_failed": ', {_C}, ', "duration_sec": 90.5, "requests_per_min": ', {_C}, '}}}}')
+  WHEN 1 THEN concat('{{"categories": [{{"name_en": "Cars", "subcategories": [{{"name_en": "SUV", "count": ', {_C},
+    '}}, {{"slug": "van", "listings": 4}}, {{"name": " "}}, "text"]}}, {{"slug": "flat", "ads_count": 5, "listings": ', {_C},
+    '}}, {{"name_en": "Cars", "brands": [{{"model": "SUV", "total_ads": 1}}]}}]}}')
+  WHEN 2 THEN concat('{{"stats": {{"scrape_do_requests": ', {_C}, ', "elapsed_seconds": 12.5, "cache_hits_free": 3}}, "errors": ["timeout", {{"name": "x", "count": ',
+    {_C}, ', "message": "bad"}}, {{"scraper": "y"}}, "timeout", 7]}}')
+  WHEN 3 THEN concat('{{"total_listings": ', {_K})
+  WHEN 4 THEN concat('{{"items": [{{"total_ads": ', {_C}, '}}, {{"listings": 7}}, "text", {{"total_listings": -1, "listings_count": 2}}], "main_categories": [{{"name": " ", "subcategories": ["a", "b"], "listings_count": 9}}, {{"name": "Zed", "subcategories": ["a"], "listings_count": ',
+    {_C}, '}}, {{"brands": [{{"brand": "B1"}}]}}], "failed_requests": ', {_C}, '}}')
+  WHEN 5 THEN concat('{{"total_ads": ', {_C}, '.7, "failed_items": [{{"name": "n1", "errors": "3", "reason": "r', {_C},
+    '"}}, {{"slug": "n2", "error_count": 0}}, {{"errors": "many"}}, {{"category": "c", "errors": [], "detail": ""}}, "skip", {{"name": "neg", "errors": -2}}, {_MANY}], "http_requests": 0}}')
+  WHEN 6 THEN concat('[', {_K}, ', 2]')
+  WHEN 7 THEN concat('{{"total_listings": "12", "listings_count": null, "requests_total": "5", "request_count": ', {_K},
+    ', "http_errors": ', {_C}, ', "runtime_sec": ', {_C}, ', "failed_scrapers": [{{"scraper": "fs", "errors": 0, "message": "m"}}], "errors": []}}')
+  ELSE concat('{{"note": "nothing", "listings_count": ', {_C}, ', "request_metrics": {{"requests_failed": ', {_C}, '}}, "requests_total": 100}}') END AS body
+FROM @orders
+"""
+
+# --- scraper results, one per customer, with hour counts in several shapes -------------------------------
+
+_N = "CAST(c_custkey % 50 AS STRING)"
+
+INPUTS["scraper_result_docs"] = f"""
+SELECT c_custkey, CASE c_custkey % 9
+  WHEN 0 THEN concat('{{"ads_by_hour": [{{"hour": 3, "ads_count": ', {_N}, '}}, {{"hour": "3", "count": 2}}, {{"hour": 24, "ads_count": 5}}, {{"hour": 7, "ads_count": -4}}], "hourly_ads": [{{"hour": 1, "ads_count": 9}}]}}')
+  WHEN 1 THEN concat('{{"ads_by_hour": [], "hourly_ads": [{{"hour": 5, "count": ', {_N}, '}}, {{"hour": "x", "count": 1}}]}}')
+  WHEN 2 THEN concat('{{"stats": {{"hourly_ads": [{{"hour": 9, "ads_count": ', {_N}, '}}]}}, "hourly_counts": {{"1": 5}}}}')
+  WHEN 3 THEN concat('{{"date_published_hour_counts": {{"0": ', {_N}, ', "23": 4, "24": 6, "x": 1, "5": -3}}}}')
+  WHEN 4 THEN concat('{{"date_published_hour_counts": {{}}, "hour_counts": {{"8": "', {_N}, '"}}}}')
+  WHEN 5 THEN concat('{{"summary": {{"date_published_hours": {{"11": ', {_N}, '.9}}}}}}')
+  WHEN 6 THEN concat('{{"ads_by_hour": [{{"hour": 99, "ads_count": 1}}], "ads_stats": {{"hourly_counts": {{"12": ', {_N}, '}}}}}}')
+  WHEN 7 THEN '{{"unique_ads": 4}}'
+  ELSE concat('{{"ads_by_hour": "none", "hourly_counts": {{"6": ', {_N}, '}}}}') END AS body
+FROM @customer
+"""
+
+
 def _needed(sql: str) -> list[str]:
     """Inputs a statement reads, directly or not, in the order they must be defined."""
     order: list[str] = []
