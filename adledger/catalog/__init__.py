@@ -1,6 +1,6 @@
 """Every query with its check, by name."""
 
-from adledger.catalog import documents, inspection, layout, validation  # noqa: F401
+from adledger.catalog import documents, inspection, layout, sites, validation  # noqa: F401
 from adledger.catalog.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

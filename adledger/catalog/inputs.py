@@ -189,6 +189,93 @@ FROM @customer
 """
 
 
+# --- sites, registry, reports and workflow runs -----------------------------------------------------------
+
+INPUTS["registry_rows"] = """
+SELECT n_nationkey AS n, n_nationkey AS seq, 0 AS copy FROM @nation
+UNION ALL SELECT n_nationkey, n_nationkey + 1000, 1 FROM @nation WHERE n_nationkey % 5 = 0
+UNION ALL SELECT n_nationkey, n_nationkey + 2000, 2 FROM @nation WHERE n_nationkey % 7 = 3
+"""
+
+_W = "CAST(n AS STRING)"
+
+INPUTS["registry_flat"] = f"""
+SELECT seq, CASE WHEN copy = 2 THEN '' ELSE concat('site-', {_W}) END AS site_id,
+  CASE WHEN n % 6 = 5 THEN NULL WHEN copy = 1 THEN concat('other-', {_W}) ELSE concat('folder-', {_W}) END AS folder,
+  concat('data/', {_W}) AS r2_prefix, concat('Site ', {_W}) AS display_name, concat('www.site', {_W}, '.example') AS website,
+  CASE WHEN n % 3 = 0 THEN 'KW' END AS country, CASE WHEN n % 8 = 7 THEN '' ELSE concat('repo', CAST(copy AS STRING)) END AS repo,
+  CASE WHEN n % 9 = 8 THEN NULL ELSE concat('owner', CAST(n % 3 AS STRING)) END AS github_username,
+  CASE WHEN n % 4 = 0 THEN 'local' END AS run_place,
+  CASE n % 8 WHEN 0 THEN 'Monthly' WHEN 1 THEN 'every 2-days' WHEN 2 THEN 'weekly' WHEN 3 THEN NULL WHEN 4 THEN 'quarterly' WHEN 5 THEN 'daily' WHEN 6 THEN '' ELSE 'hourly' END AS schedule,
+  CASE n % 5 WHEN 0 THEN 'Batch A|Batch B -> Batch C' WHEN 1 THEN 'Schema Monitor|Batch B' WHEN 2 THEN 'Monitor Hub daily' END AS workflows,
+  CASE n % 4 WHEN 0 THEN 'Old Job' WHEN 1 THEN 'x r2 monitor' WHEN 2 THEN 'Batch A → Batch C, "Batch D"' END AS workflow_name,
+  CAST(n % 4 AS INT) AS scrapers, CASE n % 3 WHEN 0 THEN true WHEN 1 THEN false END AS uses_proxy,
+  CASE n % 7 WHEN 0 THEN 'latest' WHEN 1 THEN 'false' WHEN 2 THEN 'true' END AS report_fallback,
+  CAST(CASE WHEN n % 6 = 0 THEN 3 END AS INT) AS report_lookback_days
+FROM @registry_rows
+"""
+
+INPUTS["sites_flat"] = """
+SELECT CAST(n_nationkey AS INT) AS seq, concat('site-', CAST(n_nationkey AS STRING)) AS site_id, CASE WHEN n_nationkey % 10 <> 9 THEN concat('folder-', CAST(n_nationkey AS STRING)) END AS folder,
+  CASE n_nationkey % 3 WHEN 0 THEN '' WHEN 1 THEN 'own-user' END AS github_username, CASE n_nationkey % 4 WHEN 0 THEN 'own-repo' WHEN 1 THEN '' END AS repo,
+  CASE WHEN n_nationkey % 5 = 0 THEN 'cluster' END AS run_place, CASE n_nationkey % 3 WHEN 0 THEN 'weekly' WHEN 1 THEN '' END AS schedule,
+  CASE WHEN n_nationkey % 6 = 0 THEN 'Own Job' END AS workflows, CASE WHEN n_nationkey % 6 = 1 THEN 'Own Name' ELSE '' END AS workflow_name,
+  CASE WHEN n_nationkey % 4 = 3 THEN false END AS uses_proxy
+FROM @nation
+"""
+
+_COUNTS = ["unique_ads", "unique_phones", "valid_phones", "invalid_phones", "outside_country_phones"]
+_STORE = ["file_count", "size_bytes"] + [f"{c}_bytes" for c in ("images", "json", "excel", "csv", "parquet", "other")]
+_DAILY = ["daily_size"] + [f"daily_{c}_bytes" for c in ("images", "json", "excel", "csv", "parquet", "other")]
+SCRAPER_FIELDS = _COUNTS + [f"r2_{c}" for c in _STORE + _DAILY]
+_SUMS = ", ".join(f"CAST(sum(o_orderkey % {i + 5}) AS BIGINT) AS {c}" for i, c in enumerate(SCRAPER_FIELDS))
+
+INPUTS["scraper_totals"] = f"""
+SELECT concat('site-', CAST(c_nationkey AS STRING)) AS site_id, o_orderpriority AS scraper, count(*) % 3 > 0 AS all_passed, {_SUMS}
+FROM @orders JOIN @customer ON o_custkey = c_custkey GROUP BY c_nationkey, o_orderpriority
+"""
+
+INPUTS["site_storage"] = """
+SELECT concat('site-', CAST(n_nationkey AS STRING)) AS site_id, CAST(n_nationkey * 11 AS BIGINT) AS r2_file_count, CAST(n_nationkey * 1000 AS BIGINT) AS r2_size_bytes,
+  CAST(1 AS BIGINT) AS r2_images_bytes, CAST(2 AS BIGINT) AS r2_json_bytes, CAST(3 AS BIGINT) AS r2_excel_bytes, CAST(4 AS BIGINT) AS r2_csv_bytes,
+  CAST(5 AS BIGINT) AS r2_parquet_bytes, CAST(6 AS BIGINT) AS r2_other_bytes
+FROM @nation WHERE n_nationkey % 2 = 0
+"""
+
+INPUTS["report_days"] = """
+SELECT c_nationkey AS n, substr(CAST(o_orderdate AS STRING), 1, 10) AS day, count(*) AS orders, sum(o_custkey % 40) AS ads, sum(o_orderkey % 9) AS bytes,
+  CAST(min(o_orderkey) % 8 AS INT) AS shape
+FROM @orders JOIN @customer ON o_custkey = c_custkey GROUP BY c_nationkey, substr(CAST(o_orderdate AS STRING), 1, 10)
+"""
+
+_A, _B, _O = "CAST(ads AS STRING)", "CAST(bytes AS STRING)", "CAST(orders AS STRING)"
+
+INPUTS["reports"] = f"""
+SELECT concat('site-', CAST(n AS STRING)) AS site_id, CAST(day AS DATE) AS report_date, CASE shape
+  WHEN 0 THEN concat('{{"run_date": "', day, '", "display_name": " Cars ', CAST(n AS STRING), ' ", "website": "w.example", "total_unique_ads": ', {_A}, ', "total_unique_phones": ', {_B},
+    ', "total_valid_phones": 3, "total_r2_files": ', {_O}, ', "total_r2_size_bytes": 4096, "total_r2_images_bytes": 17, "total_r2_daily_json_bytes": 5, "r2_daily_size": 0, "alert_count": 2, "inspect_date": "2000-01-01", "requests_total": ',
+    {_A}, ', "requests_failed": ', {_O}, ', "scrapers": {{"one": {{"all_passed": true, "unique_ads": 3}}, "two": {{"all_passed": ', CASE WHEN orders % 2 = 0 THEN 'true' ELSE 'false' END, ', "files_found": 1}}}}}}')
+  WHEN 1 THEN '{{"total_unique_ads": 0, "scrapers": {{}}, "alerts": []}}'
+  WHEN 2 THEN concat('{{"scrapers": [{{"scraper": "a", "all_passed": true, "unique_ads": ', {_A}, ', "unique_phones": 2, "valid_phones": 1, "r2_file_count": 8, "r2_csv_bytes": 9, "requests_total": 50, "requests_failed": ',
+    {_O}, ', "requests_per_min": 12.25}}, {{"unique_ads": "7", "all_passed": true, "requests_total": "20", "requests_per_min": 10}}, {{"unique_ads": null, "all_passed": ', CASE WHEN ads % 3 = 0 THEN 'true' ELSE 'null' END, '}}], "alerts": [{{"x": 1}}, {{}}, {{}}]}}')
+  WHEN 3 THEN concat('{{"total_unique_ads": ', {_A})
+  WHEN 4 THEN concat('{{"total_ads": "', {_A}, '", "request_metrics": {{"requests_total": ', {_A}, '.6, "error_rate_pct": "1.5"}}, "overall_pass": true}}')
+  WHEN 5 THEN concat('{{"categories": [{{"total_ads": ', {_A}, '}}, {{"total_ads": null}}, 4, {{"total_ads": "6"}}], "error_summary": {{"http": {{"requests_total": ', {_O}, ', "requests_per_min": 3.5}}}}, "overall_pass": false}}')
+  WHEN 6 THEN concat('{{"total_unique_ads": 0, "r2_daily_size": ', {_B}, ', "scrapers": [], "requests_failed": 3}}')
+  ELSE '{{"total_unique_ads": null, "total_ads": null, "scrapers": [{{"all_passed": true, "files_found": 0, "unique_ads": 0}}], "alerts": null}}' END AS body
+FROM @report_days
+"""
+
+INPUTS["runs"] = """
+SELECT concat('owner', CAST(o_custkey % 3 AS STRING)) AS owner, 'repo0' AS repo,
+  CASE o_orderkey % 5 WHEN 0 THEN 'Batch A' WHEN 1 THEN 'Batch B' WHEN 2 THEN 'Batch C' WHEN 3 THEN 'Batch D' ELSE 'Schema Monitor' END AS name,
+  o_orderkey AS run_id, CAST(o_orderkey % 1000 AS INT) AS run_number, CASE WHEN o_orderstatus = 'P' THEN 'in_progress' ELSE 'completed' END AS status,
+  CASE o_orderkey % 7 WHEN 0 THEN 'failure' WHEN 1 THEN 'skipped' WHEN 2 THEN 'cancelled' WHEN 3 THEN NULL ELSE 'success' END AS conclusion,
+  CAST(o_orderkey % 600 AS INT) AS duration_sec, o_orderdate AS run_started_at
+FROM @orders
+"""
+
+
 def _needed(sql: str) -> list[str]:
     """Inputs a statement reads, directly or not, in the order they must be defined."""
     order: list[str] = []
@@ -295,3 +382,11 @@ def expected(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _lists(source(spark, sf_dir, "profiles_flat"), "data_sheet_aliases", "core_columns", "optional_columns")
+
+
+def registry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _lists(source(spark, sf_dir, "registry_flat"), "workflows")
+
+
+def sites(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _lists(source(spark, sf_dir, "sites_flat"), "workflows")

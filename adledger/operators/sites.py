@@ -90,8 +90,8 @@ def report_is_empty(doc: Column) -> Column:
 
 
 def report_facts(reports: DataFrame) -> DataFrame:
-    """Reports parsed once: ``site_id, report_date, doc, is_empty``."""
-    parsed = reports.select("site_id", "report_date", V.parse("body").alias("doc"))
+    """Reports parsed once: ``site_id, report_date, doc, is_empty``. Unreadable ones count as not there."""
+    parsed = reports.select("site_id", "report_date", V.parse("body").alias("doc")).filter(F.col("doc").isNotNull())
     return parsed.withColumn("is_empty", report_is_empty(F.col("doc")))
 
 
