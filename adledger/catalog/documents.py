@@ -85,6 +85,13 @@ def a5(spark, sf):
     return ads.subcategory_breakdown(source(spark, sf, "summary_docs"))
 
 
+def best_summary_docs(spark, sf):
+    """The document chosen for each scraper, with its text."""
+    docs = source(spark, sf, "summary_docs")
+    best = ads.best_summary(docs).select(F.col("json_key").alias("key"), "scraper")
+    return docs.join(best, ["scraper", "key"])
+
+
 def by_event_type(spark, sf):
     """Summaries given to the scrapers of the sheet rows, so both counts meet."""
     names = F.array(*[F.lit(n) for n in ("click", "error", "signup", "absent-ok-africa", "absent-bad-america")])

@@ -276,6 +276,38 @@ FROM @orders
 """
 
 
+# --- merged hub documents, one per order day -----------------------------------------------------------------
+
+INPUTS["hub_days"] = """
+SELECT substr(CAST(o_orderdate AS STRING), 1, 10) AS day, count(*) AS orders, sum(o_custkey % 40) AS ads, sum(o_orderkey % 9) AS bytes, CAST(min(o_custkey) % 6 AS INT) AS shape
+FROM @orders GROUP BY substr(CAST(o_orderdate AS STRING), 1, 10)
+"""
+
+_S = "CAST(shape AS STRING)"
+_REPORT_A = f"""concat('{{"run_place": "', CASE WHEN shape = 1 THEN 'edge' ELSE 'github' END, '", "uses_proxy": ', CASE WHEN shape = 2 THEN 'true' ELSE 'null' END,
+  ', "requests_total": ', {_A}, ', "requests_failed": ', {_O}, ', "requests_per_min": 4.5, "github_run": {{"workflow_name": "',
+  CASE shape WHEN 0 THEN 'Batch Z' WHEN 1 THEN 'Schema Monitor' WHEN 2 THEN ' ' WHEN 3 THEN 'N/A' ELSE 'R2 CSV Monitor' END, '", "workflow_run_id": ', {_B}, ', "workflow_run_number": ', {_O},
+  CASE WHEN shape = 0 THEN ', "workflow_status": "success"' ELSE '' END, ', "duration_sec": 77, "workflows": [',
+  CASE WHEN shape IN (0, 2, 3) THEN concat('{{"name": "Batch A", "conclusion": "success", "duration_sec": ', {_O}, '}}, {{"name": "Schema Monitor", "conclusion": null, "duration_sec": 900}}, {{"name": "Batch B", "conclusion": "',
+    CASE WHEN shape = 2 THEN 'failure' ELSE 'cancelled' END, '", "run_started_at": "2001-01-01T10:00:00Z", "updated_at": "2001-01-01T10:02:30Z"}}') ELSE '' END,
+  ']}}, "scrapers": {{"alpha": {{"scraper": "', CASE WHEN shape = 3 THEN 'alpha-own' ELSE '' END, '", "all_passed": true, "files_found": 2, "checks_passed": ', {_O}, ', "checks_total": 9, "unique_ads": ', {_A},
+  ', "unique_phones": "5", "total_rows": 3.9, "ads_source": "excel_ids", "r2_size_bytes": ', {_B}, ', "r2_daily_images_bytes": 3, "error_rate_pct": 1.25, "duration_sec": "60.5", "metrics_source": "none", "date_published_hour_counts": {{"4": ', {_O},
+  ', "25": 1, "17": ', {_B}, '}}, "subcategory_breakdown": [{{"subcategory": " Cars ", "level_3": "SUV", "ads_count": ', {_A}, ', "sheets_count": 2}}, {{"subcategory": "", "ads_count": 4}}, {{"subcategory": "Bikes", "listings_count": "7", "sheet_rows": 3, "source": "own"}}, {{"subcategory": "None"}}, 5]}}, "beta": {{"files_optional": true, "ads_by_hour": [{{"hour": "9", "count": ',
+  {_O}, '}}], "file_results": [{{"file_key": "a/b/toyota_land-cruiser.xlsx", "sheets": [{{"name": "Main", "row_count": ', {_O}, '}}, {{"name": " Info ", "row_count": 3}}, {{"name": "Hilux 2020", "row_count": "4"}}, {{"name": "hilux", "row_count": -2}}, {{"name": ""}}]}}, {{"file": "x/o''neil_cars.v2.xlsx", "sheets": [{{"name": "Data", "row_count": 2}}, {{"name": "Data", "row_count": 5}}]}}, {{"sheets": [{{"name": "a > b", "row_count": 1}}, {{"name": "a::b", "row_count": 2}}, {{"name": "a - b - c"}}, {{"name": "solo", "row_count": 8}}]}}]}}}}, "alerts": [{{"scraper": "alpha", "severity": "high", "type": "validation", "check": "rows", "detail": "few", "file": "f.xlsx", "solved": true}}, {{"severity": "critical", "type": "no_files", "check": "files_found", "detail": "none ', {_O}, '"}}]}}')"""
+_REPORT_B = f"""concat('{{"request_metrics": {{"requests_total": ', {_A}, '}}, "workflow_name": "Report Job", "scrapers": [{{"scraper": "listed", "all_passed": false, "unique_ads": 3, "requests_total": 7}}, {{"all_passed": true, "stats": {{"hour_counts": {{"8": 2}}}}}}, {{"scraper": "third"}}], "github_run": {{"workflows": [{{"name": "Run X", "conclusion": "timed_out"}}, {{"name": "x r2 monitor"}}]}}}}')"""
+_SITE_NUMBERS = f"""', "scrapers_total": 2, "scrapers_passed": 1, "alert_count": ', {_O}, ', "unique_ads": ', {_A}, ', "r2_size_bytes": ', {_B}, ', "r2_json_bytes": 12, "run_date": "', day, '", "inspect_date": null, "status": "',
+    CASE shape WHEN 0 THEN 'ok' WHEN 1 THEN 'failed' ELSE 'missing' END, '"'"""
+
+INPUTS["hub_docs"] = f"""
+SELECT day, concat('{{"run_date": "', day, '", "inspect_date": "', day, '", "generated_at": "', day, 'T05:06:07Z", "sites_total": 4, "sites_ok": ', {_S}, ', "total_alerts": "', {_O}, '", "total_unique_ads": ', {_A},
+  ', "total_r2_size_bytes": ', {_B}, ', "total_r2_daily_csv_bytes": 99, "hub_prefix": "hub", "sites": [',
+  '{{"site_id": "site-', {_S}, '", "folder": "folder-', {_S}, '", "display_name": "S", "website": "w", "repo": "", "report_fallback": ', CASE WHEN shape = 1 THEN 'true' ELSE 'null' END, {_SITE_NUMBERS}, ', "report": ', {_REPORT_A}, '}}, ',
+  '{{"site_id": "", "folder": "folder-11", "country": "KW", "uses_proxy": false', {_SITE_NUMBERS}, ', "report": ', {_REPORT_B}, '}}, ',
+  '{{"site_id": "unknown", "folder": null', {_SITE_NUMBERS}, '}}, {{"site_id": null, "folder": "", "status": "ok"}}]}}') AS body
+FROM @hub_days
+"""
+
+
 def _needed(sql: str) -> list[str]:
     """Inputs a statement reads, directly or not, in the order they must be defined."""
     order: list[str] = []

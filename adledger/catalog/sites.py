@@ -14,7 +14,7 @@ from adledger.operators import workflows as k
 from adledger.operators.metrics import with_report_requests
 
 START, END = "1995-01-01", "2001-12-31"
-RUN_DAY = "2001-12-01"
+RUN_DAY = "2001-06-01"
 FOLDER_DEFAULTS = {"folder-3": "monthly", "folder-11": "quarterly", "folder-19": "every_2_days"}
 VEHICLES = ["folder-2", "folder-5", "folder-8", "folder-24"]
 

@@ -35,14 +35,19 @@ def whole_documents(spark: SparkSession, path: str, glob: str = "*.json") -> Dat
     return reader.text(path).select(source_path().alias("key"), F.col("value").alias("body"))
 
 
-def read_listing_json(spark: SparkSession, root: str, dates: list[str] | None = None) -> DataFrame:
-    """Listings of the per-category JSON arrays of the given days, all days when none is given."""
-    reader = spark.read.schema(schemas.INPUTS["listings"]).option("multiLine", True).option("recursiveFileLookup", True)
+def read_listing_json(
+    spark: SparkSession, root: str, dates: list[str] | None = None, lines: bool = False
+) -> DataFrame:
+    """Listings of the per-category JSON of the given days, all days when none is given.
+
+    A file is one JSON array named by its category. With ``lines`` it holds one listing per line, which Spark
+    can split, and the category comes from a ``category=`` folder.
+    """
+    reader = spark.read.schema(schemas.INPUTS["listings"]).option("multiLine", not lines).option("recursiveFileLookup", True)
     rows = reader.option("pathGlobFilter", "*.json").json(root)
     path = source_path()
-    rows = rows.select(
-        F.regexp_extract(path, r"([^/]+)\.json$", 1).alias("category"), date_folder(path).alias("save_date"), "*"
-    )
+    category = F.regexp_extract(path, r"category=([^/]+)/" if lines else r"([^/]+)\.json$", 1)
+    rows = rows.select(category.alias("category"), date_folder(path).alias("save_date"), "*")
     return rows.filter(F.col("save_date").isin([F.lit(d).cast("date") for d in dates])) if dates else rows
 
 
@@ -63,7 +68,7 @@ def read_summary_json(spark: SparkSession, root: str, for_metrics: bool = False)
     """
     docs = whole_documents(spark, root)
     name = F.lower(F.regexp_extract("key", r"([^/]*)$", 1))
-    in_folder = F.col("key").rlike(r"/json-files/[^/]*$")
+    in_folder = F.col("key").contains("/json-files/")
     at_root = F.col("key").rlike(r"/day=\d{1,2}/[^/]*$") & name.contains("summary")
     kept = docs.filter(in_folder | at_root) if for_metrics else docs.filter(in_folder)
     return kept.filter(V.parse("body").isNotNull()).select(

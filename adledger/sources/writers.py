@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Iterator
+
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from adledger import schemas
@@ -132,9 +134,32 @@ def hub_documents(site_rows: DataFrame, totals: DataFrame) -> DataFrame:
     return head.join(sites, "hub_date", "left").select("hub_date", whole.alias("body"))
 
 
-def write_documents(docs: DataFrame, root: str, folder: list[str]) -> None:
-    """One text file per document, in folders named by ``folder`` columns."""
-    docs.select(*folder, "body").write.mode("overwrite").partitionBy(*folder).text(root)
+def write_documents(docs: DataFrame, root: str) -> None:
+    """Each ``(key, body)`` row as one file under ``root``.
+
+    Tasks write the files they hold, so nothing passes through the driver. A retried task writes the same
+    content to the same key again.
+    """
+
+    def write_part(rows: Iterator[Row]) -> None:
+        from pyarrow import fs
+
+        target, base = fs.FileSystem.from_uri(root)
+        for row in rows:
+            path = f"{base}/{row['key']}"
+            target.create_dir(path.rsplit("/", 1)[0], recursive=True)
+            with target.open_output_stream(path) as out:
+                out.write(row["body"].encode("utf-8"))
+
+    docs.select("key", "body").foreachPartition(write_part)
+
+
+def report_key(prefix: Column, date: Column) -> Column:
+    return F.concat(prefix, F.lit("/monitor/"), date.cast("string"), F.lit("/report.json"))
+
+
+def hub_document_key(date: Column) -> Column:
+    return F.concat(F.lit("hub/"), date.cast("string"), F.lit("/all-sites.json"))
 
 
 def write_baseline(df: DataFrame, path: str) -> None:
