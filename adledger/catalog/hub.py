@@ -54,8 +54,9 @@ REQ = ["total_requests", "total_requests_failed", "avg_error_rate_pct", "avg_req
 HUB_PLAIN = ", ".join(typed("body", c, t) for c, t in table_types("hub_daily").items() if c not in ("hub_partition_date", *REQ))
 RUNS = "(list_filter(json_extract(doc, '$.github_run.workflows[*]'), lambda w: json_type(w) = 'OBJECT'))"
 STORED = txt("doc", "$.github_run.workflow_name")
+SPENT = "date_diff('second', TRY_CAST(w ->> '$.run_started_at' AS TIMESTAMPTZ), TRY_CAST(w ->> '$.updated_at' AS TIMESTAMPTZ))"
 SECONDS = f"""list_filter(list_transform(list_filter({RUNS}, lambda w: NOT {monitor("(w ->> '$.name')")}),
-  lambda w: coalesce({whole('w', '$.duration_sec')}, greatest(0, date_diff('second', TRY_CAST(w ->> '$.run_started_at' AS TIMESTAMPTZ), TRY_CAST(w ->> '$.updated_at' AS TIMESTAMPTZ))))), lambda s: s IS NOT NULL)"""
+  lambda w: coalesce({whole('w', '$.duration_sec')}, CASE WHEN {SPENT} IS NOT NULL THEN greatest(0, {SPENT}) END)), lambda s: s IS NOT NULL)"""
 DURATION = f"CASE WHEN NOT {monitor(f'({STORED})')} THEN coalesce(CASE WHEN len({SECONDS}) > 0 THEN CAST(list_sum({SECONDS}) AS BIGINT) END, {whole('doc', '$.github_run.duration_sec')}) END"
 SITE_STATUS = f"CASE {txt('site', '$.status')} WHEN 'ok' THEN 'success' WHEN 'failed' THEN 'failure' END"
 STATUS = f"""coalesce(CASE WHEN NOT {monitor(f'({STORED})')} THEN {txt('doc', '$.github_run.workflow_status')} END,

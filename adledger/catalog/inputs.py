@@ -308,6 +308,71 @@ FROM @hub_days
 """
 
 
+# --- pages with an embedded document ---------------------------------------------------------------------------
+
+_P = "CAST(p_partkey AS STRING)"
+_SZ = "CAST(p_size AS STRING)"
+
+
+def page_html(key: str, document: str, rest: str = "''") -> str:
+    """SQL for a page around a document: one in ten has no script, one in ten a cut-off document."""
+    return f"""concat('<!DOCTYPE html><html><head><script>var a=1;</script>', CASE {key} % 10 WHEN 9 THEN '' ELSE concat('<script id="__NEXT_DATA__" type="application/json">',
+      CASE {key} % 10 WHEN 8 THEN substr({document}, 1, length({document}) - 3) ELSE {document} END, '</script>') END, '</head><body>', {rest}, '</body></html>')"""
+
+
+def _node(n: str, name: str, kind: str, extra: str = "") -> str:
+    """SQL text of one category node."""
+    return f"""'{{"id": {n}', {_P}, ', "slug": "{name}-', {_P}, '", "name_ar": "{name} ar", "name_en": "{name} ', {_SZ}, '", "listings_count": ', {_SZ}, ', "slug_url": "{name}/', {_P}, '", "category_type": "{kind}"{extra}}}'"""
+
+
+_CATEGORY_DOC = f"""concat('{{"props": {{"pageProps": {{', CASE p_partkey % 4 WHEN 0 THEN concat('"totalPages": ', {_SZ}, ', ') WHEN 1 THEN '"totalPages": 0, ' WHEN 2 THEN '"totalPages": null, ' ELSE '' END,
+  '"verticalSubcats": [', {_node('1', 'cars', 'listings_district_filteration')}, ', ', {_node('2', 'vans', 'listings')}, '], "catChilds": [', CASE WHEN p_partkey % 3 = 0 THEN concat({_node('3', 'suv', 'x', ', "category_parent_slug": "cars"')}) ELSE '' END,
+  '], "subcategories": [', CASE WHEN p_partkey % 2 = 0 THEN concat({_node('4', 'parts', 'y')}) ELSE '' END, '], "categories": [{{"id": 1, "name": "All", "slug": "all"}}, {{"id": 2, "name": "Kind", "slug": "', lower(p_type), '"',
+  CASE WHEN p_partkey % 3 = 1 THEN concat(', "total_pages": ', {_SZ}) ELSE '' END, '}}], "brands": [{{"name_en": "', p_brand, '", "name_ar": "b", "slug_url": "brand/', {_P}, '", "listings_count": ', {_SZ}, ', "types": [{{"name_en": "T1", "name_ar": "t", "slug_url": "t1", "listings_count": ', {_SZ},
+  '}}, {{"name_en": "T2"}}]}}, {{"name_en": "Solo', {_SZ}, '"}}], "districts": [{{"id": ', {_P}, ', "name_ar": "d", "name_en": "East", "full_path_ar": "p", "full_path_en": "City East Block ', {_SZ}, '"}}], "category": {{"category_type": "',
+  CASE p_partkey % 5 WHEN 0 THEN 'listings_full_filtration' WHEN 1 THEN 'listings_district_filteration' ELSE 'listings' END, '"}}, "businessesData": {{"data": [', CASE WHEN p_partkey % 5 < 2 THEN concat('{{"id": ', {_P}, ', "slug": "biz-', {_P}, '", "name": "Biz", "logo": "l.png"}}') ELSE '' END,
+  ']}}, "listings": [{{"id": ', {_P}, ', "title": "', p_name, '", "slug": "s-', {_P}, '", "price": ', {_SZ}, ', "image": "i.jpg", "date_published": "2024-01-05 10:00:00", "cat_id": 5, "user": {{"user_id": ', {_SZ}, ', "name": "U"}}, "phone": "96551234567", "status": "normal", "images_count": 3}}, {{"adBoxId": 7, "id": 1}}, {{"adBoxId": 0, "id": "z', {_P}, '", "district_name": "D"}}]}}}}}}')"""
+
+_LINKS = """concat('<a class="link pageLink_x" href="/c?page=', CAST(p_size % 17 AS STRING), '&s=1">x</a><a class="other" href="/c?page=99">y</a>', CASE WHEN p_partkey % 2 = 0 THEN '<a class="pageLink" data-a="1" href="/c?q=2&page=12">z</a>' ELSE '' END)"""
+
+INPUTS["category_pages"] = f"""
+SELECT p_partkey AS page_id, concat('https://site.example/', lower(p_type), '/', {_P}) AS url, lower(p_type) AS slug, {page_html('p_partkey', _CATEGORY_DOC, f"CASE WHEN p_partkey % 6 = 0 THEN '' ELSE {_LINKS} END")} AS html
+FROM @part
+"""
+
+_E = "CAST(event_id AS STRING)"
+_U = "CAST(user_id AS STRING)"
+_DETAIL_DOC = f"""concat('{{"props": {{"pageProps": {{"listing": ', CASE WHEN event_id % 11 = 0 THEN '{{}}' ELSE concat('{{"user_adv_id": ', {_E}, ', "slug": "ad-', {_E}, '", "title": "Ad ', {_U}, '", "price": "', {_U}, '", "phone": "965', {_E}, '", "date_published": "', substr(CAST(ts AS STRING), 1, 19),
+  '", "date_created": null, "images": [', CASE WHEN event_id % 3 = 0 THEN '' ELSE concat('"https://img.example/', {_E}, '.png", "https://img.example/b.jpg"') END, '], "district": {{"name": "N', {_U}, '", "full_path": "FP", "full_path_en": "FPE"}}, "user_view_count": ', {_U}, ', "lon": 47.5, "lat": "29.25", "user": {{"first_name": "F', {_U},
+  '"', CASE WHEN event_id % 2 = 0 THEN concat(', "listings_count": ', {_U}, ', "member_since": "2019-03-04T05:06:07", "is_verified": true') ELSE '' END, '}}, "is_private_message_enabled": ', CASE WHEN event_id % 2 = 0 THEN 'true' ELSE 'null' END, ', "is_hide_my_number": false, "attrsAndVals": [{{"attrData": {{"name_en": "Color", "name_ar": "c", "type": "list"}}, "valData": {{"name_en": "Red', {_U},
+  '", "name_ar": "r"}}}}, {{"attrData": {{"name_en": "Year", "name_ar": "y", "type": "number"}}, "valData": "20', {_U}, '"}}, {{"attrData": {{"name_en": "Used", "type": "flag"}}, "valData": "', CASE WHEN event_id % 2 = 0 THEN '1' ELSE '0' END, '"}}, {{"attrData": {{"name_en": "Skip"}}, "valData": 5}}]}}') END,
+  ', "service": {{', CASE WHEN event_id % 2 = 0 THEN concat('"id": ', {_E}, ', "phone": "1', {_U}, '", "user": {{"name": "", "first_name": "First', {_U}, '", "id": ', {_U}, ', "email": "e"}}, "district": {{"name": "Dn"}}') ELSE concat('"user_adv_id": ', {_E}, ', "phone": "", "contact": "2', {_U}, '", "user": {{"name": "Nm", "user_id": ', {_U}, '}}, "district_name_localize": {{"en": "Loc', {_U}, '"}}') END,
+  ', "title": "T", "desc_en": "De', {_U}, '", "price": ', {_U}, ', "images": [', CASE WHEN event_id % 3 = 0 THEN '"a.jpg", "b.jpg"' ELSE '' END, '], "category": {{"name": "Cat"}}, "contacts": ["c1", "', {_U}, '"], "lat": 1.5, "is_private_message_enabled": true, "status": "s"}}, "businessListings": {{"data": {{"listings": {{"normal_items": [{{"id": ', {_E}, ', "title": "Bt", "cat_en_name": "Ce", "cat_ar_name": "Ca", "price": ', {_U}, ', "images_count": 4, "user_type": "u"}}, {{"id": 2, "images_count": null}}]}}}}}}, "commercialAds": [{{"id": ', {_E}, ', "title": "Cm', {_U}, '", "category": {{"id": 3, "slug": "cs"}}, "is_landing": true, "views_count": ', {_U}, '}}, {{"id": 5, "phone": "p"}}], "adDetails": ',
+  CASE WHEN event_id % 4 = 0 THEN 'null' ELSE concat('{{"id": ', {_E}, ', "title": "Dt", "whatsapp_phone": "w', {_U}, '", "is_landing": false}}') END, '}}}}}}')"""
+
+INPUTS["detail_pages"] = f"""
+SELECT event_id AS page_id, concat('https://site.example/listing/', {_E}) AS url, {page_html('event_id', _DETAIL_DOC)} AS html
+FROM @events
+"""
+
+_CK = "CAST(c_custkey AS STRING)"
+_DIRECTORY_DOC = f"""concat('{{"props": {{"pageProps": {{', CASE c_custkey % 4 WHEN 0 THEN concat('"businesses": [{{"name": "Bn', {_CK}, '", "slug": "bs-', {_CK}, '", "priceRange": "$", "logo": "l.png"}}, {{"slug": "two", "price_range": "$$", "image": "i.png"}}], ') WHEN 1 THEN concat('"businesses": [], "items": [{{"name": "It', {_CK}, '"}}], ') ELSE '' END,
+  '"business": ', CASE WHEN c_custkey % 7 = 0 THEN '{{}}' ELSE concat('{{"id": ', {_CK}, ', "name": "', c_name, '", "slug": "b-', {_CK}, '", "category": {{"name": "Food"}}, "logo": "https://x.example/l.png", "cover_image": "', CASE WHEN c_custkey % 2 = 0 THEN 'media' ELSE 'https://LH3.googleusercontent.com/c' END, '", "rating": {{"average": 4.25, "count": ', {_CK},
+  '}}, "contact_info": {{"contact_numbers": ["1", "', {_CK}, '"], "website": "w"}}, "social_media": [{{"url": "https://s.example/', {_CK}, '"}}, {{"url": ""}}, {{"x": 1}}, {{"url": "u2"}}], "working_hours": [{{"day_name": "Sun", "open_time": "09:00", "close_time": "17:00"}}, {{"day_name": "Mon", "open_time": "", "close_time": "1"}}, {{"day_name": "Tue", "open_time": "10:00", "close_time": "',
+  CASE WHEN c_custkey % 3 = 0 THEN '' ELSE '20:00' END, '"}}], "attributes": {{"delivery": true, "wi_fi": ', CASE WHEN c_custkey % 2 = 0 THEN 'true' ELSE 'null' END, '}}, "tabs": [{{"slug": "about", "enabled": true}}, {{"slug": "media", "enabled": ', CASE WHEN c_custkey % 3 = 1 THEN 'false' ELSE 'true' END, '}}]}}') END,
+  ', "tabs": {{"about": {{"data": {{"branches": [', CASE WHEN c_custkey % 4 = 0 THEN '' ELSE concat('{{"name": "B1", "address": "A1", "phone": "p1", "latitude": 29.5, "is_main": false}}, {{"name": "B2", "address": "A', {_CK}, '", "longitude": 48.0, "is_main": ', CASE WHEN c_custkey % 4 = 1 THEN 'true' ELSE 'false' END, '}}') END,
+  ']}}}}, "reviews": {{"summary": {{"total_reviews": ', CAST(c_custkey % 9 AS STRING), ', "average_rating": 3.5}}, "data": {{"reviews": [', CASE WHEN c_custkey % 5 = 0 THEN '' ELSE concat('{{"rating": 5, "comment": "c', {_CK}, '"}}, {{"rating": 4}}, {{"rating": 3}}, {{"rating": 2}}, {{"rating": 1}}, {{"rating": 0}}') END,
+  ']}}}}, "media": {{"data": {{"media": [{{"url": "https://m.example/', {_CK}, '.PNG", "media_category": "gallery"}}, {{"url": "http://m.example/menu.jpeg?x=1", "media_category": "menu"}}, {{"url": "ftp://no", "media_category": "menu"}}, {{"url": "https://a.example/gps-proxy/1", "media_category": "gallery"}}, {{"url": "https://m.example/plain"}}]}}}}}}}}}}}}')"""
+_JSONLD = f"""concat('<script type="application/ld+json">{{"@type": "WebSite", "name": "W"}}</script><script type="application/ld+json">', CASE c_custkey % 5 WHEN 0 THEN '{{"@type": "CollectionPage", broken' ELSE concat('{{"@type": "CollectionPage", "name": "Coll', {_CK},
+  '", "mainEntity": {{"@type": "ItemList", "itemListElement": [{{"position": 1, "item": {{"name": "J', {_CK}, '", "url": "https://d.example/food/j-', {_CK}, '/", "priceRange": "$", "image": "s.png"}}}}, {{"position": 2, "item": {{}}}}, {{"position": 3, "item": {{"name": "K", "image": {{"url": "o.png"}}}}}}]}}}}') END, '</script>')"""
+
+INPUTS["directory_pages"] = f"""
+SELECT c_custkey AS page_id, concat('https://d.example/', lower(c_mktsegment), '/', {_CK}) AS url, lower(c_mktsegment) AS category_slug,
+  {page_html('c_custkey', _DIRECTORY_DOC, f"CASE WHEN c_custkey % 6 = 5 THEN '' ELSE {_JSONLD} END")} AS html
+FROM @customer
+"""
+
+
 def _needed(sql: str) -> list[str]:
     """Inputs a statement reads, directly or not, in the order they must be defined."""
     order: list[str] = []
@@ -324,7 +389,13 @@ def _needed(sql: str) -> list[str]:
 
 
 def _resolve(sql: str, table) -> str:
-    return re.sub(r"@(\w+)", lambda m: m.group(1) if m.group(1) in INPUTS else table(m.group(1)), sql)
+    def name_of(match: re.Match) -> str:
+        name = match.group(1)
+        if name in INPUTS:
+            return name
+        return table(name) if name in TABLES else match.group(0)
+
+    return re.sub(r"@(\w+)", name_of, sql)
 
 
 def _with_inputs(sql: str, table) -> str:

@@ -18,6 +18,7 @@ from adledger.operators import hub as f
 from adledger.operators import trends as b
 from adledger.operators.layout import backfill_window
 from adledger.operators.ordering import first_rows
+from adledger.plans import hub_chain
 from adledger.session import scratch_dir
 from adledger.sources import readers, writers
 
@@ -79,10 +80,7 @@ def s4(spark, sf):
 
 def recent_tables(spark, sf, days: int = 30):
     """The six tables of the last days there are."""
-    tables = f.flatten_hub(hub_docs(spark, sf), registry(spark, sf), hub_catalog.FOLDER_DEFAULTS)
-    dates = source(spark, sf, "hub_docs").select(F.col("day").cast("date").alias("date"))
-    wanted = backfill_window(dates, days).select(F.col("date").alias("hub_partition_date"))
-    return {name: df.join(wanted, "hub_partition_date", "left_semi") for name, df in tables.items()}
+    return hub_chain.tables_of_window(hub_docs(spark, sf), registry(spark, sf), days, hub_catalog.FOLDER_DEFAULTS)
 
 
 @query("s5_read_hub_table_absent")
@@ -263,6 +261,6 @@ def w5(spark, sf):
 @query("w6_backfill", PUSHED + f"SELECT hub_partition_date, tbl, count(*) AS n FROM counts WHERE hub_partition_date > {WINDOW} GROUP BY 1, 2")
 def w6(spark, sf):
     root = scratch_dir(spark, "backfilled")
-    writers.backfill(f.flatten_hub(hub_docs(spark, sf), registry(spark, sf), hub_catalog.FOLDER_DEFAULTS), root, 30)
+    hub_chain.backfill_documents(hub_docs(spark, sf), registry(spark, sf), root, 30, hub_catalog.FOLDER_DEFAULTS)
     return stored_counts(spark, root)
 

@@ -86,21 +86,20 @@ def backfill(tables: dict[str, DataFrame], root: str, days: int = 0) -> None:
 
     Days without a hub row are left as stored. A day that lost its rows in one table is emptied there.
     """
-    hub = tables["hub_daily"]
-    wanted = backfill_window(hub.select(F.col(PARTITION_COLUMN).alias("date")), days).select(
+    spark = tables["hub_daily"].sparkSession
+    wanted = backfill_window(tables["hub_daily"].select(F.col(PARTITION_COLUMN).alias("date")), days).select(
         F.col("date").alias(PARTITION_COLUMN)
     )
     for table in WRITE_ORDER:
         rows = tables[table].join(wanted, PARTITION_COLUMN, "left_semi")
         if "seq" in rows.columns:
             rows = dedupe_by_key(rows, schemas.PRIMARY_KEYS[table])
-        stored = read_hub_table(hub.sparkSession, root, table).select(PARTITION_COLUMN).distinct()
-        gone = stored.join(wanted, PARTITION_COLUMN, "left_semi").join(
-            tables[table].select(PARTITION_COLUMN).distinct(), PARTITION_COLUMN, "left_anti"
-        )
-        # a handful of calendar days, not data rows
-        for row in gone.toLocalIterator():
-            drop_partition(hub.sparkSession, root, table, str(row[0]))
+        if path_exists(spark, f"{root.rstrip('/')}/{table}"):
+            stored = read_hub_table(spark, root, table).select(PARTITION_COLUMN).distinct()
+            gone = stored.join(wanted, PARTITION_COLUMN, "left_semi").join(rows, PARTITION_COLUMN, "left_anti")
+            # calendar days, not data rows
+            for row in gone.toLocalIterator():
+                drop_partition(spark, root, table, str(row[0]))
         write_hub_table(rows, root, table)
 
 
