@@ -1,6 +1,6 @@
 """Every query with its check, by name."""
 
-from adledger.catalog import documents, hub, inspection, layout, pages, sites, storage, validation  # noqa: F401
+from adledger.catalog import documents, hub, inspection, layout, listings, pages, sites, storage, validation  # noqa: F401
 from adledger.catalog.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

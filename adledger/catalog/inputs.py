@@ -373,6 +373,51 @@ FROM @customer
 """
 
 
+# --- listing cards, attributes and images ------------------------------------------------------------------------
+
+INPUTS["cards"] = """
+SELECT concat(o_orderpriority, '/', CAST(o_custkey % 300 AS STRING)) AS category, CAST(1 + o_orderkey % 6 AS INT) AS page, o_orderkey AS id,
+  CASE WHEN o_orderkey % 13 = 0 THEN '' WHEN o_orderkey % 17 = 0 THEN NULL ELSE concat('ad-', CAST(o_orderkey AS STRING)) END AS slug,
+  CASE o_orderkey % 7 WHEN 0 THEN NULL WHEN 4 THEN '2024-01-14 23:59:00' WHEN 5 THEN '2024-01-16 00:00:01' ELSE concat('2024-01-15 0', CAST(o_orderkey % 7 AS STRING), ':30:00') END AS date_published,
+  CASE o_orderstatus WHEN 'F' THEN 'pinned' ELSE 'normal' END AS status, CASE o_orderstatus WHEN 'O' THEN 'Pinned' WHEN 'P' THEN '' END AS pin
+FROM @orders
+"""
+
+INPUTS["card_details"] = """
+SELECT concat('ad-', CAST(o_orderkey AS STRING)) AS slug, concat('title ', CAST(o_custkey AS STRING)) AS title, 'detail' AS status FROM @orders WHERE o_orderstatus <> 'P'
+"""
+
+_ATTRIBUTES = [
+    ("'Brand'", "'علامة'", "'list'", "'object'", "CAST(NULL AS STRING)", "p_brand", "CASE WHEN p_size % 2 = 0 THEN concat('ar ', p_brand) ELSE '' END"),
+    ("'Size'", "'حجم'", "'number'", "'string'", "CAST(p_size AS STRING)", "CAST(NULL AS STRING)", "CAST(NULL AS STRING)"),
+    ("'New'", "CAST(NULL AS STRING)", "'flag'", "'string'", "CAST(p_size % 2 AS STRING)", "CAST(NULL AS STRING)", "CAST(NULL AS STRING)"),
+    ("'Skipped'", "'x'", "'flag'", "'other'", "CAST(NULL AS STRING)", "CAST(NULL AS STRING)", "CAST(NULL AS STRING)"),
+    ("CASE WHEN p_size % 3 = 0 THEN 'Size' ELSE '' END", "'نوع'", "CAST(NULL AS STRING)", "'object'", "CAST(NULL AS STRING)", "p_type", "p_name"),
+    ("'Empty'", "'فارغ'", "'list'", "'object'", "CAST(NULL AS STRING)", "CAST(NULL AS STRING)", "''"),
+]
+ATTRIBUTE_FIELDS = ["name_en", "name_ar", "type", "val_kind", "val", "val_en", "val_ar"]
+_ATTR_SQL = ", ".join(f"{v} AS a{i}_{f}" for i, row in enumerate(_ATTRIBUTES) for f, v in zip(ATTRIBUTE_FIELDS, row))
+ATTRIBUTE_COUNT = len(_ATTRIBUTES)
+
+INPUTS["attribute_cells"] = f"SELECT p_partkey AS id, p_size, {_ATTR_SQL} FROM @part"
+
+INPUTS["image_rows"] = """
+SELECT l_orderkey AS id, CAST(l_linenumber AS INT) AS image_index, concat('https://img.example/', CAST(l_partkey AS STRING), CASE WHEN l_suppkey % 2 = 0 THEN '.jpg' ELSE '.png' END) AS url,
+  l_returnflag AS category, CAST(l_shipdate AS DATE) AS save_date
+FROM @lineitem
+"""
+
+INPUTS["listing_rows"] = """
+SELECT event_type AS category, CASE WHEN event_type = 'view' THEN 'Main' ELSE concat('child ', CAST(user_id % 9 AS STRING)) END AS child, event_id AS id,
+  CAST(1 + event_id % 12 AS INT) AS page, CAST(ts AS DATE) AS save_date, event_type <> 'error' AND event_id % 3 > 0 AS has_detail, event_type = 'error' AS is_error
+FROM @events
+"""
+
+INPUTS["request_log"] = """
+SELECT event_id AS request_id, concat('run-', substr(CAST(ts AS STRING), 1, 10)) AS run_id, concat('/page/', props) AS url, ts, event_type = 'error' AS failed, user_id * 4 AS session_count FROM @events
+"""
+
+
 def _needed(sql: str) -> list[str]:
     """Inputs a statement reads, directly or not, in the order they must be defined."""
     order: list[str] = []
@@ -493,3 +538,9 @@ def registry(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def sites(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _lists(source(spark, sf_dir, "sites_flat"), "workflows")
+
+
+def attribute_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    flat = source(spark, sf_dir, "attribute_cells")
+    entry = lambda i: F.struct(*[F.col(f"a{i}_{f}").alias(f) for f in ATTRIBUTE_FIELDS])
+    return flat.select("id", F.array(*[entry(i) for i in range(ATTRIBUTE_COUNT)]).alias("attrs"))

@@ -133,43 +133,70 @@ def _checks(df: DataFrame, name: Column, passed: Column, detail: Column, sheet:
     )
 
 
-def check_sheet_columns(matches: DataFrame) -> DataFrame:
-    """Q7: a sheet with rows passes when no core column is missing; a sheet without rows passes as skipped."""
-    found = missing_columns(matches.filter(F.col("sheet").isNotNull()))
-    filled = F.col("row_count") > 0
-    core, extra = F.array_join("missing_core", ", "), F.array_join("missing_optional", ", ")
-    detail = F.concat_ws(
+def match_checks(matches: DataFrame, kinds: tuple[str, ...] = ("columns", "range", "exists")) -> DataFrame:
+    """Q7-Q9 in one pass over the matches, as many check rows per match as apply.
+
+    ``columns`` (Q7): a sheet with rows passes when no core column is missing; a sheet without rows passes as
+    skipped. ``range`` (Q8): rows within the expected range; empty sheets of a template are not checked, exact
+    ones are. ``exists`` (Q9): an expected sheet, or every data sheet of a template, is absent.
+    """
+    rows, name, template = F.col("row_count"), F.col("sheet"), F.col("is_template")
+    found, filled = name.isNotNull(), F.col("row_count") > 0
+
+    def entry(label: Column, passed: Column, detail: Column) -> Column:
+        return F.struct(name.alias("sheet"), label.alias("check_name"), passed.alias("passed"), detail.alias("detail"))
+
+    missing = F.concat_ws(
         "; ",
-        F.when(F.size("missing_core") > 0, F.concat(F.lit("Missing core: "), core)),
-        F.when(F.size("missing_optional") > 0, F.concat(F.lit("optional absent: "), extra)),
+        F.when(F.size("missing_core") > 0, F.concat(F.lit("Missing core: "), F.array_join("missing_core", ", "))),
+        F.when(F.size("missing_optional") > 0, F.concat(F.lit("optional absent: "), F.array_join("missing_optional", ", "))),
     )
-    return _checks(
-        found,
-        F.when(filled, _label("columns_in_", F.col("sheet"))).otherwise(_label("rows_in_", F.col("sheet"))),
-        F.when(filled, F.size("missing_core") == 0).otherwise(F.lit(True)),
-        F.when(filled, detail).otherwise(F.lit("0 rows, skipped")),
+    bounds = F.concat(
+        rows.cast("string"), F.lit(" rows (expected "), F.col("row_min").cast("string"), F.lit("-"),
+        F.col("row_max").cast("string"), F.lit(")"),
     )
+    entries = {
+        "columns": F.when(
+            found,
+            entry(
+                F.when(filled, _label("columns_in_", name)).otherwise(_label("rows_in_", name)),
+                F.when(filled, F.size("missing_core") == 0).otherwise(F.lit(True)),
+                F.when(filled, missing).otherwise(F.lit("0 rows, skipped")),
+            ),
+        ),
+        "range": F.when(
+            found & (~template | filled),
+            entry(_label("rows_in_", name), rows.between(F.col("row_min"), F.col("row_max")), bounds),
+        ),
+        "exists": F.when(
+            ~found,
+            entry(
+                F.when(template, "data_sheets_exist").otherwise(F.concat(F.lit("sheet_exists_"), F.col("expected_name"))),
+                F.lit(False),
+                F.when(template, "No data sheets found").otherwise(
+                    F.concat(F.lit("Sheet '"), F.col("expected_name"), F.lit("' not found"))
+                ),
+            ),
+        ),
+    }
+    told = missing_columns(matches) if "columns" in kinds else matches
+    asked = F.filter(F.array(*[entries[k] for k in kinds]), lambda e: e.isNotNull())
+    return told.select("scraper", "file_key", F.inline(asked))
+
+
+def check_sheet_columns(matches: DataFrame) -> DataFrame:
+    """Q7."""
+    return match_checks(matches, ("columns",))
 
 
 def check_row_range(matches: DataFrame) -> DataFrame:
-    """Q8: rows within the expected range. Empty sheets of a template are not checked, exact ones are."""
-    found = matches.filter(F.col("sheet").isNotNull() & (~F.col("is_template") | (F.col("row_count") > 0)))
-    rows = F.col("row_count")
-    detail = F.concat(
-        rows.cast("string"), F.lit(" rows (expected "), F.col("row_min").cast("string"), F.lit("-"),
-        F.col("row_max").cast("string"), F.lit(")"),
-    )
-    return _checks(found, _label("rows_in_", F.col("sheet")), rows.between(F.col("row_min"), F.col("row_max")), detail)
+    """Q8."""
+    return match_checks(matches, ("range",))
 
 
 def check_sheet_exists(matches: DataFrame) -> DataFrame:
-    """Q9: an expected sheet, or every data sheet of a template, is absent."""
-    absent = matches.filter(F.col("sheet").isNull())
-    name = F.when(F.col("is_template"), "data_sheets_exist").otherwise(F.concat(F.lit("sheet_exists_"), F.col("expected_name")))
-    detail = F.when(F.col("is_template"), "No data sheets found").otherwise(
-        F.concat(F.lit("Sheet '"), F.col("expected_name"), F.lit("' not found"))
-    )
-    return _checks(absent, name, F.lit(False), detail, sheet=None)
+    """Q9."""
+    return match_checks(matches, ("exists",))
 
 
 def check_file_readable(files: DataFrame) -> DataFrame:
@@ -206,9 +233,7 @@ def schema_checks(sheets: DataFrame, expected: DataFrame, profiles: DataFrame) -
     matches = match_expected_sheets(sheets, expected, profiles)
     return (
         check_file_readable(files)
-        .unionByName(check_sheet_columns(matches))
-        .unionByName(check_row_range(matches))
-        .unionByName(check_sheet_exists(matches))
+        .unionByName(match_checks(matches))
         .unionByName(check_file_size(files, expected, profiles))
     )
 

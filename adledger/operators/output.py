@@ -60,15 +60,21 @@ def summary_document(summary: DataFrame, scraped: Column) -> DataFrame:
 
 
 def write_grouped(listings: DataFrame, path: str) -> None:
-    """Listings by day, category and group, one folder each."""
+    """Listings by day, category and group, one folder each.
+
+    Rows are rebalanced by folder before the write: small folders share a task, a large one is split over
+    several, and no task holds files open for folders it barely feeds.
+    """
+    folders = ["year", "month", "day", "category", "child"]
     day = F.col("save_date").cast("date")
     (
         listings.withColumn("year", F.year(day))
         .withColumn("month", F.month(day))
         .withColumn("day", F.dayofmonth(day))
         .drop("save_date")
+        .hint("rebalance", *folders)
         .write.mode("overwrite")
-        .partitionBy("year", "month", "day", "category", "child")
+        .partitionBy(*folders)
         .parquet(path)
     )
 

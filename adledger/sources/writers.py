@@ -33,11 +33,11 @@ def dedupe_by_key(df: DataFrame, keys: list[str], sequence: str = "seq") -> Data
 def write_hub_table(df: DataFrame, root: str, table: str) -> None:
     """One folder per table and day; only the days in the batch are replaced.
 
-    Rows are gathered by day first, so a day is a few files however many tasks made it.
+    Rows are rebalanced by day first: a day is a few files, and a large day is split over several tasks.
     """
     (
         align(df, table)
-        .repartition(F.col(PARTITION_COLUMN))
+        .hint("rebalance", PARTITION_COLUMN)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(PARTITION_COLUMN)
