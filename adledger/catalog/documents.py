@@ -11,6 +11,7 @@ from adledger.catalog.validation import A2
 from adledger.functions import variants as V
 from adledger.operators import ads
 from adledger.operators import metrics as m
+from adledger.operators.ordering import keep_rows
 
 
 def num(doc: str, path: str) -> str:
@@ -72,7 +73,8 @@ best AS (SELECT t.scraper, max(total) AS json_total, arg_min(t.key, (-total, pre
 
 @query("a3_summary_total", SUMMARY + "SELECT key, total FROM totals")
 def a3(spark, sf):
-    return source(spark, sf, "summary_docs").select("key", ads.summary_total(V.parse("body")).alias("total"))
+    docs = source(spark, sf, "summary_docs").select("key", V.parse("body").alias("doc"))
+    return docs.select("key", ads.summary_total(F.col("doc")).alias("total"))
 
 
 @query("a4_best_summary", SUMMARY + "SELECT scraper, json_total, json_key, coalesce(json_key, rows_key) AS breakdown_key FROM best")
@@ -225,14 +227,14 @@ def m1(spark, sf):
 
 @query("m2_failed_items", METRICS + "SELECT key, name, errors, detail FROM items")
 def m2(spark, sf):
-    docs = source(spark, sf, "summary_docs").select("key", V.parse("body").alias("doc")).filter(V.is_object("doc"))
-    return docs.select("key", F.inline(m.failed_items(F.col("doc"))))
+    docs = source(spark, sf, "summary_docs").select("key", V.parse("body").alias("doc"))
+    return keep_rows(docs, V.is_object("doc")).select("key", F.inline(m.failed_items(F.col("doc"))))
 
 
 @query("m3_failed_items_text", METRICS + "SELECT d.key, summary FROM docs d LEFT JOIN texts t ON t.key = d.key WHERE doc IS NOT NULL")
 def m3(spark, sf):
-    docs = source(spark, sf, "summary_docs").select("key", V.parse("body").alias("doc")).filter(V.is_object("doc"))
-    return docs.withColumn("items", m.failed_items(F.col("doc"))).select("key", m.failed_items_text(F.col("items")).alias("summary"))
+    docs = source(spark, sf, "summary_docs").select("key", V.parse("body").alias("doc"))
+    return keep_rows(docs, V.is_object("doc")).withColumn("items", m.failed_items(F.col("doc"))).select("key", m.failed_items_text(F.col("items")).alias("summary"))
 
 
 @query("m4_best_metrics", METRICS + f"SELECT scraper, key AS json_summary_key, {', '.join(METRIC_COLS)} FROM best")

@@ -10,6 +10,7 @@ from adledger.catalog.registry import query
 from adledger.functions import variants as V
 from adledger.operators import listings as p
 from adledger.operators import pages as x
+from adledger.operators.ordering import keep_rows
 
 SCRIPT = '(?s)<script[^>]*id="__NEXT_DATA__"[^>]*>(.*?)</script>'
 LD = '(?s)<script[^>]*type="application/ld\\+json"[^>]*>(.*?)</script>'
@@ -295,7 +296,7 @@ def s(path: str) -> str:
     FROM d WHERE doc IS NOT NULL""",
 )
 def p9(spark, sf):
-    services = payloads(spark, sf, "detail_pages").filter(F.col("payload").isNotNull())
+    services = keep_rows(payloads(spark, sf, "detail_pages"), F.col("payload").isNotNull())
     return p.normalize_service_listing(services.select(V.get("payload", S, "variant").alias("listing")))
 
 

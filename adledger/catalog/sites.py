@@ -11,7 +11,7 @@ from adledger.catalog.registry import query
 from adledger.functions import variants as V
 from adledger.operators import sites as h
 from adledger.operators import workflows as k
-from adledger.operators.metrics import with_report_requests
+from adledger.operators.metrics import result_list, with_report_requests
 
 START, END = "1995-01-01", "2001-12-31"
 RUN_DAY = "2001-06-01"
@@ -175,7 +175,7 @@ def h4(spark, sf):
 
 @query("h5_unique_ads_of_report", FACTS + "SELECT site_id, report_date, ads FROM facts")
 def h5(spark, sf):
-    return facts(spark, sf).select("site_id", "report_date", h.unique_ads_of_report(F.col("doc")).alias("ads"))
+    return facts(spark, sf).select("site_id", "report_date", h.unique_ads_of_report(F.col("doc"), result_list(F.col("doc"))).alias("ads"))
 
 
 @query("h6_latest_usable_report", CHOSEN + "SELECT site_id, hub_date, report_date, report_fallback_used AS report_fallback, length(doc) > 0 AS found FROM chosen")

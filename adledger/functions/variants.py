@@ -36,7 +36,7 @@ def kind(doc: Column | str, path: str = "$") -> Column:
 
 
 def is_number(doc: Column | str, path: str = "$") -> Column:
-    return F.coalesce(kind(doc, path).rlike("^(BIGINT|DECIMAL|DOUBLE|FLOAT)"), F.lit(False))
+    return F.coalesce(F.substring(kind(doc, path), 1, 3).isin("BIG", "DEC", "DOU", "FLO"), F.lit(False))
 
 
 def is_text(doc: Column | str, path: str = "$") -> Column:
@@ -49,13 +49,13 @@ def is_object(doc: Column | str, path: str = "$") -> Column:
 
 def number(doc: Column | str, path: str) -> Column:
     """A JSON number as double; text that looks like a number does not count."""
-    return F.when(is_number(doc, path), get(doc, path, "double"))
+    value = get(doc, path, "double")
+    return F.when(value.isNotNull(), F.when(is_number(doc, path), value))
 
 
 def count_value(doc: Column | str, path: str) -> Column:
     """A JSON number that is not negative, cut to a whole number."""
-    value = number(doc, path)
-    return F.when(value >= 0, value.cast("bigint"))
+    return F.when(get(doc, path, "double") >= 0, F.when(is_number(doc, path), get(doc, path, "bigint")))
 
 
 def first_count(docs: list[Column], keys: list[str]) -> Column:
@@ -66,8 +66,8 @@ def first_measure(docs: list[Column], keys: list[str]) -> Column:
     found = []
     for doc in docs:
         for key in keys:
-            value = number(doc, f"$.{key}")
-            found.append(F.when(value >= 0, value))
+            value = get(doc, f"$.{key}", "double")
+            found.append(F.when(value >= 0, F.when(is_number(doc, f"$.{key}"), value)))
     return F.coalesce(*found)
 
 
@@ -78,10 +78,8 @@ def first_text(doc: Column, keys: list[str]) -> Column:
 
 def whole(doc: Column | str, path: str) -> Column:
     """whole number or null; numbers are cut, text must be a whole number."""
-    value = get(doc, path, "variant")
-    return F.when(is_number(doc, path), get(doc, path, "double").cast("bigint")).otherwise(
-        safe_int(F.try_variant_get(value, "$", "string"))
-    )
+    told = F.when(is_number(doc, path), get(doc, path, "bigint")).otherwise(safe_int(text(doc, path)))
+    return F.when(get(doc, path, "variant").isNotNull(), told)
 
 
 def real(doc: Column | str, path: str) -> Column:

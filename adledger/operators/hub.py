@@ -10,7 +10,7 @@ from adledger.functions import variants as V
 from adledger.functions.text import file_name, title_words
 from adledger.operators import workflows as K
 from adledger.operators.ads import hour_counts_from_report
-from adledger.operators.metrics import scraper_results, with_report_requests
+from adledger.operators.metrics import result_list, scraper_results, with_report_requests
 from adledger.operators.sites import hub_request_totals, normalize_schedule, registry_lookup
 from adledger.schemas import table_columns, table_types
 
@@ -72,7 +72,7 @@ def site_daily(docs: DataFrame, registry: DataFrame, folder_defaults: dict[str,
     types = table_types("site_daily")
     found = with_report_requests(registry_lookup(docs, registry), "report")
     site, report = F.col("site"), F.col("report")
-    results = F.transform(scraper_results(report), lambda s: s["result"])
+    results = result_list(report)
     failed = F.filter(results, lambda r: ~F.coalesce(V.get(r, "$.all_passed", "boolean"), F.lit(False)))
     from_registry = normalize_schedule(F.col("reg.schedule"), F.coalesce(F.nullif("reg.folder", F.lit("")), F.col("reg.site_id")), folder_defaults)
     schedule = F.when(F.col("reg").isNotNull(), from_registry).when(

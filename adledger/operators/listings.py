@@ -11,6 +11,7 @@ from adledger import rules
 from adledger.functions import variants as V
 from adledger.functions.moments import relative_age
 from adledger.functions.text import as_col, file_name, no_texts
+from adledger.operators.ordering import keep_rows
 from adledger.operators.pages import PROPS
 
 
@@ -53,9 +54,8 @@ def project_listing_detail(payloads: DataFrame, now: Column) -> DataFrame:
 
     Attributes stay an array; :func:`attributes_to_maps` turns them into maps.
     """
-    doc = payloads.select("page_id", V.get("payload", f"{PROPS}.listing", "variant").alias("l")).filter(
-        F.size(V.members("l", "$")) > 0
-    )
+    found = payloads.select("page_id", V.get("payload", f"{PROPS}.listing", "variant").alias("l"))
+    doc = keep_rows(found, F.size(V.members("l", "$")) > 0)
     t = lambda path: V.text("l", f"$.{path}")
     flag = lambda path: V.get("l", f"$.{path}", "boolean")
     images = F.coalesce(V.get("l", "$.images", "array<string>"), no_texts())

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from adledger import rules
 from adledger.functions import variants as V
-from adledger.functions.text import pct_or_null
+from adledger.functions.text import let, pct_or_null
+from adledger.operators.ordering import keep_rows
 
 ITEM = "array<struct<name:string,errors:bigint,detail:string>>"
 LISTED = 12
@@ -54,8 +55,9 @@ def _item(name: Column, errors: Column, detail: Column) -> Column:
     return F.struct(name.alias("name"), errors.cast("bigint").alias("errors"), detail.cast("string").alias("detail"))
 
 
-def failed_items(doc: Column) -> Column:
+def failed_items(doc: Column, layers: list[Column] | None = None) -> Column:
     """M2: failed targets of four shapes, distinct, in document order."""
+    layers = layers or metric_layers(doc)
     none = F.array().cast(ITEM)
 
     def target(raw: Column) -> Column:
@@ -75,7 +77,7 @@ def failed_items(doc: Column) -> Column:
         return F.when(V.is_object(raw) & errors.isNotNull(), _item(named, errors, F.lit(None)))
 
     parts = []
-    for layer in metric_layers(doc):
+    for layer in layers:
         raw = F.coalesce(_filled(layer, "$.failed_items"), _filled(layer, "$.failed_scrapers"))
         parts.append(F.coalesce(F.transform(F.filter(raw, lambda r: V.is_object(r)), target), none))
         parts.append(F.coalesce(F.transform(V.items(layer, "$.errors"), error), none))
@@ -102,17 +104,20 @@ def failed_items_text(items: Column) -> Column:
 
 def request_metrics(docs: DataFrame) -> DataFrame:
     """M1: request counters of each document ``(scraper, key, prefix_form, body)``; documents without any drop out."""
-    parsed = docs.withColumn("_doc", V.parse("body")).filter(V.is_object("_doc"))
-    layers = metric_layers(F.col("_doc"))
-    raw = parsed.select(
+    parsed = keep_rows(docs.withColumn("_doc", V.parse("body")), V.is_object("_doc"))
+    nested, root, stats = metric_layers(F.col("_doc"))
+    layered = parsed.withColumn("_nested", nested).withColumn("_stats", stats)
+    layers = [F.col("_nested"), root, F.col("_stats")]
+    told = layered.select(
         *[c for c in docs.columns if c != "body"],
         V.first_count(layers, rules.REQUEST_TOTAL_KEYS).alias("_total"),
         V.first_count(layers, rules.REQUEST_FAILED_KEYS).alias("_failed"),
         V.first_measure(layers, rules.DURATION_KEYS).alias("duration_sec"),
         V.first_measure(layers, rules.RPM_KEYS).alias("_rpm"),
         V.first_count(layers, rules.CACHE_KEYS).alias("cache_hits"),
-        failed_items(F.col("_doc")).alias("failed_items"),
-    ).filter(F.col("_total").isNotNull() | F.col("_failed").isNotNull() | (F.size("failed_items") > 0))
+        failed_items(root, layers).alias("failed_items"),
+    )
+    raw = keep_rows(told, F.col("_total").isNotNull() | F.col("_failed").isNotNull() | (F.size("failed_items") > 0))
     counted = F.aggregate("failed_items", F.lit(0).cast("bigint"), lambda a, i: a + i["errors"])
     with_failed = raw.withColumn("requests_failed", F.coalesce("_failed", counted))
     with_total = with_failed.withColumn(
@@ -214,7 +219,11 @@ def scraper_results(doc: Column) -> Column:
     return F.coalesce(listed, named, F.array().cast("array<struct<name:string,result:variant>>"))
 
 
-def report_request_metrics(doc: Column) -> Column:
+def result_list(doc: Column) -> Column:
+    return F.transform(scraper_results(doc), lambda s: s["result"])
+
+
+def report_request_metrics(doc: Column, results: Column) -> Column:
     """M7: request figures of a report: root, then its metrics block, then its error summary, then its scrapers."""
 
     def block(path: str) -> Column:
@@ -228,19 +237,30 @@ def report_request_metrics(doc: Column) -> Column:
     def usable(path: str) -> Column:
         return F.when(V.whole(doc, f"{path}.requests_total").isNotNull(), block(path))
 
-    counted = F.filter(
-        F.transform(scraper_results(doc), lambda s: s["result"]), lambda r: V.whole(r, "$.requests_total").isNotNull()
-    )
     zero = F.lit(0).cast("bigint")
-    total = F.aggregate(counted, zero, lambda a, r: a + V.whole(r, "$.requests_total"))
-    failed = F.aggregate(counted, zero, lambda a, r: a + F.coalesce(V.whole(r, "$.requests_failed"), zero))
-    rates = F.filter(F.transform(counted, lambda r: V.real(r, "$.requests_per_min")), lambda x: x.isNotNull())
-    mean = F.aggregate(rates, F.lit(0.0), lambda a, x: a + x) / F.size(rates)
-    over_scrapers = F.when(
-        F.size(counted) > 0,
-        F.struct(
-            total.alias("total"), failed.alias("failed"), pct_or_null(failed, total).alias("err"),
-            F.when(F.size(rates) > 0, F.round(mean, 2)).alias("rpm"),
+    start = F.struct(
+        zero.alias("n"), zero.alias("total"), zero.alias("failed"), zero.alias("rated"), F.lit(0.0).alias("rpm")
+    )
+
+    def add(sums: Column, r: Column) -> Column:
+        rate = V.real(r, "$.requests_per_min")
+        return F.struct(
+            (sums["n"] + 1).alias("n"),
+            (sums["total"] + V.whole(r, "$.requests_total")).alias("total"),
+            (sums["failed"] + F.coalesce(V.whole(r, "$.requests_failed"), zero)).alias("failed"),
+            (sums["rated"] + F.when(rate.isNotNull(), 1).otherwise(0)).cast("bigint").alias("rated"),
+            (sums["rpm"] + F.coalesce(rate, F.lit(0.0))).alias("rpm"),
+        )
+
+    counted = F.aggregate(F.filter(results, lambda r: V.whole(r, "$.requests_total").isNotNull()), start, add)
+    over_scrapers = let(
+        counted,
+        lambda c: F.when(
+            c["n"] > 0,
+            F.struct(
+                c["total"].alias("total"), c["failed"].alias("failed"), pct_or_null(c["failed"], c["total"]).alias("err"),
+                F.when(c["rated"] > 0, F.round(c["rpm"] / c["rated"], 2)).alias("rpm"),
+            ),
         ),
     )
     # a lower block that only lacks its total still gives way to the next one; the last one read stays
@@ -254,7 +274,8 @@ def report_request_metrics(doc: Column) -> Column:
 
 def with_report_requests(reports: DataFrame, doc: str) -> DataFrame:
     """Add the four request columns of M7 to rows that hold a report document."""
-    found = reports.withColumn("_m", report_request_metrics(F.col(doc)))
+    with_results = reports.withColumn("_r", result_list(F.col(doc)))
+    found = with_results.withColumn("_m", report_request_metrics(F.col(doc), F.col("_r")))
     total = F.col("_m.total")
     failed = F.coalesce("_m.failed", F.when(total.isNotNull(), F.lit(0).cast("bigint")))
     return (
@@ -262,5 +283,5 @@ def with_report_requests(reports: DataFrame, doc: str) -> DataFrame:
         .withColumn("requests_failed", failed)
         .withColumn("error_rate_pct", F.coalesce("_m.err", pct_or_null(failed, total)))
         .withColumn("requests_per_min", F.col("_m.rpm"))
-        .drop("_m")
+        .drop("_m", "_r")
     )

@@ -1,12 +1,21 @@
-"""First-of-group work that stays spread out when one group holds a large share of all rows."""
+"""Row selection that stays cheap: parsed once, and spread out when one group holds a large share of all rows."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 
+def keep_rows(df: DataFrame, test: Column) -> DataFrame:
+    """Rows that pass a test on a costly column, such as a parsed document.
+
+    A plain filter would be pushed below the projection that makes the column, and the document parsed once
+    for the test and again for its fields. A generator of one row or none keeps the work in one place.
+    """
+    return df.select("*", F.explode(F.when(test, F.array(F.lit(True)))).alias("_keep")).drop("_keep")
+
+
 def mark_first(df: DataFrame, keys: list[str], order: list[str], flag: str, salts: int = 64) -> DataFrame:
     """Add ``flag``: true on the first row of each key in ``order``, false on all others.
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from adledger.functions import variants as V
 from adledger.functions.text import as_col
+from adledger.operators.ordering import keep_rows
 
 # fixed values: patterns and paths of the embedded documents
 DATA_SCRIPT = r'(?s)<script[^>]*id="__NEXT_DATA__"[^>]*>(.*?)</script>'
@@ -117,8 +118,8 @@ def extract_businesses(payloads: DataFrame, category_type: str) -> DataFrame:
 def extract_listing_cards(payloads: DataFrame, skip_ad_boxes: bool = True) -> DataFrame:
     """Listing cards of a page in order; rows that are ad boxes are left out."""
     cards = payloads.select("page_id", F.posexplode(V.items("payload", f"{PROPS}.listings")).alias("pos", "n"))
-    box = V.text("n", "$.adBoxId")
     if skip_ad_boxes:
+        box = V.text("n", "$.adBoxId")
         cards = cards.filter(box.isNull() | box.isin("", "0", "false"))
     return cards.select(
         "page_id", "pos",
@@ -164,7 +165,7 @@ def extract_commercial_ads(payloads: DataFrame) -> DataFrame:
 def extract_commercial_details(payloads: DataFrame) -> DataFrame:
     """The ad record of a detail page, with the page's address."""
     details = payloads.select("page_id", "url", V.get("payload", f"{PROPS}.adDetails", "variant").alias("n"))
-    return details.filter(V.is_object("n")).select("page_id", *_commercial("n"), "url")
+    return keep_rows(details, V.is_object("n")).select("page_id", *_commercial("n"), "url")
 
 
 def extract_brand_types(payloads: DataFrame) -> DataFrame:
@@ -233,10 +234,11 @@ def extract_business_profile(payloads: DataFrame, category_slug: Column) -> Data
 
     Nested hours, branches, reviews, tabs and media stay arrays for the listing operators.
     """
-    parsed = payloads.select(
+    found = payloads.select(
         "page_id", category_slug.alias("category_slug"),
         V.get("payload", f"{PROPS}.business", "variant").alias("b"), V.get("payload", f"{PROPS}.tabs", "variant").alias("t"),
-    ).filter(F.size(V.members("b", "$")) > 0)
+    )
+    parsed = keep_rows(found, F.size(V.members("b", "$")) > 0)
 
     def text(path: str) -> Column:
         return F.coalesce(V.text("b", path), F.lit(""))

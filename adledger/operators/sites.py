@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from adledger import rules
 from adledger.functions import variants as V
 from adledger.functions.text import pct_or_null
-from adledger.operators.metrics import scraper_results, with_report_requests
+from adledger.operators.metrics import result_list, with_report_requests
+from adledger.operators.ordering import keep_rows
 
 PHONE_COUNTS = ["unique_phones", "valid_phones", "invalid_phones", "outside_country_phones"]
 STORAGE_TOTALS = ["r2_file_count", "r2_size_bytes", *[f"r2_{c}_bytes" for c in rules.STORAGE_CATEGORIES]]
@@ -59,40 +60,36 @@ def fallback_policy(sites: DataFrame, folder_defaults: dict[str, str] | None = N
     )
 
 
-def _results(doc: Column) -> Column:
-    return F.transform(scraper_results(doc), lambda s: s["result"])
-
-
 def _sum_over(results: Column, field: str) -> Column:
     zero = F.lit(0).cast("bigint")
     return F.aggregate(results, zero, lambda a, r: a + F.coalesce(V.whole(r, f"$.{field}"), zero))
 
 
-def unique_ads_of_report(doc: Column) -> Column:
+def unique_ads_of_report(doc: Column, results: Column) -> Column:
     """H5: unique ads of a report from the first place that tells."""
     categories = V.items(doc, "$.categories")
     return F.coalesce(
         V.whole(doc, "$.total_unique_ads"),
         V.whole(doc, "$.total_ads"),
         F.when(categories.isNotNull(), _sum_over(categories, "total_ads")),
-        _sum_over(_results(doc), "unique_ads"),
+        _sum_over(results, "unique_ads"),
     )
 
 
-def report_is_empty(doc: Column) -> Column:
+def report_is_empty(doc: Column, results: Column) -> Column:
     """H4: true when a report tells of no ads, phones, files or bytes of the day."""
-    results = _results(doc)
     phones = F.coalesce(V.whole(doc, "$.total_unique_phones"), _sum_over(results, "unique_phones"))
     daily = F.coalesce(V.whole(doc, "$.r2_daily_size"), _sum_over(results, "r2_daily_size"))
     any_files = F.exists(results, lambda r: (V.whole(r, "$.files_found") > 0) | (V.whole(r, "$.unique_ads") > 0))
-    filled = (unique_ads_of_report(doc) != 0) | (phones != 0) | any_files | (daily != 0)
+    filled = (unique_ads_of_report(doc, results) != 0) | (phones != 0) | any_files | (daily != 0)
     return doc.isNull() | ~F.coalesce(filled, F.lit(False))
 
 
 def report_facts(reports: DataFrame) -> DataFrame:
     """Reports parsed once: ``site_id, report_date, doc, is_empty``. Unreadable ones count as not there."""
-    parsed = reports.select("site_id", "report_date", V.parse("body").alias("doc")).filter(F.col("doc").isNotNull())
-    return parsed.withColumn("is_empty", report_is_empty(F.col("doc")))
+    parsed = keep_rows(reports.select("site_id", "report_date", V.parse("body").alias("doc")), F.col("doc").isNotNull())
+    with_results = parsed.withColumn("_r", result_list(F.col("doc")))
+    return with_results.withColumn("is_empty", report_is_empty(F.col("doc"), F.col("_r"))).drop("_r")
 
 
 def asked_days(sites: DataFrame, start: str, end: str | None = None) -> DataFrame:
@@ -140,10 +137,9 @@ def display_label(name: Column, folder: Column, vehicle_folders: list[str]) -> C
 
 def summarize_site(chosen: DataFrame, vehicle_folders: list[str] | None = None) -> DataFrame:
     """H7: one row per site and hub date from the report chosen for it."""
-    doc = F.col("doc")
-    results = _results(doc)
+    doc, results = F.col("doc"), F.col("_results")
     passed_n = F.size(F.filter(results, lambda r: F.coalesce(V.get(r, "$.all_passed", "boolean"), F.lit(False))))
-    base = with_report_requests(chosen, "doc")
+    base = with_report_requests(chosen, "doc").withColumn("_results", result_list(doc))
     none = doc.isNull()
     reported = F.size(results)
     total = F.when(reported > 0, reported).otherwise(F.coalesce(F.nullif("scrapers", F.lit(0)), F.lit(0)))
@@ -174,7 +170,7 @@ def summarize_site(chosen: DataFrame, vehicle_folders: list[str] | None = None)
         F.when(none, 0).otherwise(total).cast("bigint").alias("scrapers_total"),
         F.when(none, 0).otherwise(passed).cast("bigint").alias("scrapers_passed"),
         F.when(none, 0).otherwise(alerts).cast("bigint").alias("alert_count"),
-        F.when(none, 0).otherwise(unique_ads_of_report(doc)).cast("bigint").alias("unique_ads"),
+        F.when(none, 0).otherwise(unique_ads_of_report(doc, results)).cast("bigint").alias("unique_ads"),
         *[told(c, f"total_{c}") for c in PHONE_COUNTS],
         told("r2_file_count", "total_r2_files"),
         told("r2_size_bytes", "total_r2_size_bytes"),

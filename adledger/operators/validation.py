@@ -111,41 +111,82 @@ def flag_duplicate_ids(checked: DataFrame) -> DataFrame:
     return marked.withColumn("ad_status", F.when(repeated, "duplicate").otherwise(F.col("ad_status"))).drop("_first")
 
 
-def _row_counts() -> list[Column]:
-    phone, ad = F.col("phone_status"), F.col("ad_status")
-    return [
-        F.count(F.lit(1)).alias("rows_scanned"),
-        F.count(phone).alias("phones_seen"),
-        F.count_if(phone == "valid").alias("phones_valid"),
-        F.count_if(~phone.isin(*OK_PHONE)).alias("phones_invalid"),
-        F.count_if(phone == "missing").alias("phones_missing"),
-        F.count_if(phone == "hidden").alias("phones_hidden"),
-        F.count(ad).alias("ads_seen"),
-        F.count_if(ad == "valid").alias("_ads_ok"),
-        F.count_if(ad.isin("missing", "malformed")).alias("_ads_bad"),
-        F.count_if(ad == "missing").alias("ads_missing"),
-    ]
+COUNTERS = [
+    "rows_scanned", "phones_seen", "phones_valid", "phones_invalid", "phones_missing", "phones_hidden", "ads_seen",
+    "ads_ok", "ads_bad", "ads_missing",
+]
 
 
-def file_validation(checked: DataFrame) -> DataFrame:
-    """Counts per file. Repeats are counted as valid ids minus distinct ids, so no row is sorted."""
-    per_file = checked.groupBy("scraper", "file_key").agg(
-        *_row_counts(),
-        F.size(F.collect_set("sheet")).cast("bigint").alias("sheets_scanned"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_set("phone_columns")))).alias("columns_found"),
-        F.min_by("id_column", F.when(F.col("id_column").isNotNull(), F.col("sheet_pos"))).alias("id_column"),
-        F.count_distinct(F.when(F.col("phone_status") == "valid", F.col("phone"))).alias("phones_unique_valid"),
-        F.count_distinct("ad_id").alias("ads_unique_valid"),
+def _file_values(checked: DataFrame) -> DataFrame:
+    """Per file one row of counters and one row per distinct valid phone and id.
+
+    Each checked row gives three entries that are pre-aggregated where they are read, so a hot file or a hot
+    value never meets in one task as rows, and every later count comes from this one scan.
+    """
+    phone, ad = F.col("phone_status"), F.col("ad_status")
+    one = lambda test: F.when(test, 1).otherwise(0).cast("bigint")
+    tests = {
+        "rows_scanned": F.lit(True),
+        "phones_seen": phone.isNotNull(),
+        "phones_valid": phone == "valid",
+        "phones_invalid": ~phone.isin(*OK_PHONE),
+        "phones_missing": phone == "missing",
+        "phones_hidden": phone == "hidden",
+        "ads_seen": ad.isNotNull(),
+        "ads_ok": ad == "valid",
+        "ads_bad": ad.isin("missing", "malformed"),
+        "ads_missing": ad == "missing",
+    }
+    nothing = [F.lit(None).cast("bigint").alias(c) for c in COUNTERS]
+
+    def entry(kind: str, value: Column, counters: list[Column]) -> Column:
+        return F.struct(F.lit(kind).alias("kind"), value.alias("value"), *counters)
+
+    entries = F.filter(
+        F.array(
+            entry("row", F.lit(None).cast("string"), [one(tests[c]).alias(c) for c in COUNTERS]),
+            F.when(phone == "valid", entry("phone", F.col("phone"), nothing)),
+            F.when(F.col("ad_id").isNotNull(), entry("ad_id", F.col("ad_id"), nothing)),
+        ),
+        lambda e: e.isNotNull(),
     )
-    repeats = F.col("_ads_ok") - F.col("ads_unique_valid")
+    first_id = F.when(F.col("id_column").isNotNull(), F.struct("sheet_pos", "id_column"))
+    rows = checked.select("scraper", "file_key", "sheet", "phone_columns", first_id.alias("first_id"), F.inline(entries))
+    is_row = F.col("kind") == "row"
+    return rows.groupBy("scraper", "file_key", "kind", "value").agg(
+        *[F.sum(c).alias(c) for c in COUNTERS],
+        F.size(F.collect_set(F.when(is_row, F.col("sheet")))).cast("bigint").alias("sheets_scanned"),
+        F.array_distinct(F.flatten(F.collect_set(F.when(is_row, F.col("phone_columns"))))).alias("columns_found"),
+        F.min(F.when(is_row, F.col("first_id"))).alias("first_id"),
+    )
+
+
+def _ad_totals(df: DataFrame) -> DataFrame:
+    """Repeats are valid ids minus distinct ids per file, so no row has to be ordered for the counts."""
+    repeats = F.col("ads_ok") - F.col("ads_valid")
     return (
-        per_file.withColumn("ads_valid", F.col("ads_unique_valid"))
-        .withColumn("ads_duplicates", repeats)
-        .withColumn("ads_invalid", F.col("_ads_bad") + repeats)
-        .drop("_ads_ok", "_ads_bad")
+        df.withColumn("ads_duplicates", repeats)
+        .withColumn("ads_invalid", F.col("ads_bad") + repeats)
+        .withColumn("columns_found", F.array_sort("columns_found"))
+        .drop("ads_ok", "ads_bad")
     )
 
 
+def file_validation(checked: DataFrame) -> DataFrame:
+    """Counts per file."""
+    kind = F.col("kind")
+    per_file = _file_values(checked).groupBy("scraper", "file_key").agg(
+        *[F.sum(c).alias(c) for c in COUNTERS],
+        F.sum("sheets_scanned").alias("sheets_scanned"),
+        F.array_distinct(F.flatten(F.collect_set("columns_found"))).alias("columns_found"),
+        F.min("first_id").getField("id_column").alias("id_column"),
+        F.count_if(kind == "phone").alias("phones_unique_valid"),
+        F.count_if(kind == "ad_id").alias("ads_unique_valid"),
+        F.count_if(kind == "ad_id").alias("ads_valid"),
+    )
+    return _ad_totals(per_file)
+
+
 def reason_histogram(checked: DataFrame) -> DataFrame:
     """Rows per status, for phones and for ids."""
     kinds = F.filter(
@@ -187,22 +228,30 @@ def invalid_samples(flagged: DataFrame, limit: int = rules.SAMPLE_LIMIT) -> Data
 
 
 def scraper_validation(checked: DataFrame) -> DataFrame:
-    """Files merged per scraper. Uniques are distinct over the scraper, repeats stay per file."""
-    files = file_validation(checked)
-    sums = [c for c in files.columns if c not in
-            ("scraper", "file_key", "columns_found", "id_column", "phones_unique_valid", "ads_unique_valid")]
-    merged = files.groupBy("scraper").agg(
-        F.count(F.lit(1)).alias("files_found"),
-        *[F.sum(c).alias(c) for c in sums],
-        F.array_sort(F.array_distinct(F.flatten(F.collect_set("columns_found")))).alias("columns_found"),
-        F.min_by("id_column", F.when(F.col("id_column").isNotNull(), F.col("file_key"))).alias("id_column"),
+    """Files merged per scraper. Uniques are distinct over the scraper, repeats stay per file.
+
+    One scan and a chain of aggregations: per file and value, then per scraper and value, then per scraper.
+    """
+    kind = F.col("kind")
+    per_value = _file_values(checked).groupBy("scraper", "kind", "value").agg(
+        F.count(F.lit(1)).alias("files"),
+        *[F.sum(c).alias(c) for c in COUNTERS],
+        F.sum("sheets_scanned").alias("sheets_scanned"),
+        F.array_distinct(F.flatten(F.collect_set("columns_found"))).alias("columns_found"),
+        F.min(F.when(F.col("first_id").isNotNull(), F.struct("file_key", "first_id"))).alias("first_id"),
     )
-    uniques = checked.groupBy("scraper").agg(
-        F.count_distinct(F.when(F.col("phone_status") == "valid", F.col("phone"))).alias("phones_unique_valid"),
-        F.count_distinct("ad_id").alias("ads_unique_valid"),
+    merged = per_value.groupBy("scraper").agg(
+        F.sum(F.when(kind == "row", F.col("files"))).alias("files_found"),
+        *[F.sum(c).alias(c) for c in COUNTERS],
+        F.sum("sheets_scanned").alias("sheets_scanned"),
+        F.array_distinct(F.flatten(F.collect_set("columns_found"))).alias("columns_found"),
+        F.min("first_id").getField("first_id").getField("id_column").alias("id_column"),
+        F.count_if(kind == "phone").alias("phones_unique_valid"),
+        F.count_if(kind == "ad_id").alias("ads_unique_valid"),
+        F.coalesce(F.sum(F.when(kind == "ad_id", F.col("files"))), F.lit(0)).alias("ads_valid"),
     )
     return (
-        merged.join(uniques, "scraper")
+        _ad_totals(merged)
         .withColumn("phones_valid_pct", pct(F.col("phones_valid"), F.col("phones_seen")))
         .withColumn("phones_invalid_pct", pct(F.col("phones_invalid"), F.col("phones_seen")))
         .withColumn("ads_valid_pct", pct(F.col("ads_valid"), F.col("ads_seen")))
