@@ -39,12 +39,14 @@ def is_number(doc: Column | str, path: str = "$") -> Column:
     return F.coalesce(F.substring(kind(doc, path), 1, 3).isin("BIG", "DEC", "DOU", "FLO"), F.lit(False))
 
 
-def is_text(doc: Column | str, path: str = "$") -> Column:
-    return F.coalesce(kind(doc, path) == "STRING", F.lit(False))
+def is_object(doc: Column | str, path: str = "$") -> Column:
+    """Whether the path holds an object. Asking for a struct looks at no field, while a schema would walk them all."""
+    return get(doc, path, "struct<_:variant>").isNotNull()
 
 
-def is_object(doc: Column | str, path: str = "$") -> Column:
-    return F.coalesce(kind(doc, path).startswith("OBJECT"), F.lit(False))
+def is_text(doc: Column | str, path: str = "$") -> Column:
+    nested = is_object(doc, path) | get(doc, path, "array<variant>").isNotNull()
+    return F.when(nested, F.lit(False)).otherwise(F.coalesce(kind(doc, path) == "STRING", F.lit(False)))
 
 
 def number(doc: Column | str, path: str) -> Column:

@@ -125,11 +125,10 @@ def best_summary(docs: DataFrame) -> DataFrame:
     Without any total, the first document that has a breakdown is named for it.
     """
     parsed = docs.select("scraper", "key", "prefix_form", V.parse("body").alias("doc"))
-    facts = parsed.select(
-        "scraper", "key", "prefix_form",
-        summary_total(F.col("doc")).alias("total"),
-        (F.size(subcategory_rows(F.col("doc"))) > 0).alias("has_rows"),
-    )
+    totalled = parsed.withColumn("total", summary_total(F.col("doc")))
+    # the breakdown is only looked at where there is no total
+    has_rows = F.when(F.col("total").isNull(), F.size(subcategory_rows(F.col("doc"))) > 0)
+    facts = totalled.select("scraper", "key", "prefix_form", "total", has_rows.alias("has_rows"))
     place = F.struct("prefix_form", "key")
     # larger total first, then the smaller place: the minimum of (-total, place)
     return facts.groupBy("scraper").agg(

@@ -39,7 +39,7 @@ def _error_count(doc: Column, keys: list[str]) -> Column:
             .when(V.is_text(doc, path) & (as_text != ""), F.coalesce(V.safe_int(as_text), F.lit(1).cast("bigint")))
             .when((F.size(V.items(doc, path)) > 0) | (F.size(V.members(doc, path)) > 0) | (as_text == "true"), F.lit(1).cast("bigint"))
         )
-        found.append(value)
+        found.append(F.when(V.get(doc, path, "variant").isNotNull(), value))
     return F.coalesce(*found)
 
 

@@ -10,7 +10,8 @@ from adledger.functions.text import as_col
 from adledger.operators.ordering import keep_rows
 
 # fixed values: patterns and paths of the embedded documents
-DATA_SCRIPT = r'(?s)<script[^>]*id="__NEXT_DATA__"[^>]*>(.*?)</script>'
+DATA_SCRIPT = r'(?s)<script[^>]*id="__NEXT_DATA__"[^>]*>(.*)'
+SCRIPT_END = "</script>"
 JSONLD_SCRIPT = r'(?s)<script[^>]*type="application/ld\+json"[^>]*>(.*?)</script>'
 PAGE_ANCHOR = r'<a\b[^>]*class="[^"]*pageLink[^"]*"[^>]*>'
 PAGE_NUMBER = r'href="[^"]*?page=(\d+)'
@@ -27,8 +28,13 @@ CARD_FIELDS = {
 
 
 def embedded_payload(html: Column | str) -> Column:
-    """X1 as an expression."""
-    return V.parse(F.nullif(F.regexp_extract(as_col(html), DATA_SCRIPT, 1), F.lit("")))
+    """X1 as an expression.
+
+    The pattern only finds where the script starts; its end is a plain text search, which a long document
+    takes far faster than a lazy match.
+    """
+    content = F.substring_index(F.regexp_extract(as_col(html), DATA_SCRIPT, 1), SCRIPT_END, 1)
+    return V.parse(F.nullif(content, F.lit("")))
 
 
 def page_payload(pages: DataFrame) -> DataFrame:

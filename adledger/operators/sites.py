@@ -105,20 +105,22 @@ def latest_usable_report(asked: DataFrame, facts: DataFrame) -> DataFrame:
     lookback; else the day's empty one; else none. The search runs over narrow (site, date) rows: one ordered
     pass per site carries the last usable date forward, so no report meets every asked day.
     """
-    probes = asked.select("site_id", F.col("hub_date").alias("day"), F.lit(0).alias("kind"), F.lit(None).cast("date").alias("usable"))
-    points = facts.select(
-        "site_id", F.col("report_date").alias("day"), F.lit(1).alias("kind"),
-        F.when(~F.col("is_empty"), F.col("report_date")).alias("usable"),
+    probes = asked.select(
+        "site_id", F.col("hub_date").alias("day"), F.lit(0).alias("kind"), F.lit(None).cast("boolean").alias("is_empty")
     )
-    before = W.partitionBy("site_id").orderBy("day", "kind").rowsBetween(W.unboundedPreceding, -1)
+    points = facts.select("site_id", F.col("report_date").alias("day"), F.lit(1).alias("kind"), "is_empty")
+    order = W.partitionBy("site_id").orderBy("day", "kind")
+    usable = F.when(~F.col("is_empty"), F.col("day"))
+    # an asked day sorts right before the report of that day, so the report is the next row if there is one
+    same_day = (F.lead("day").over(order) == F.col("day")) & (F.lead("kind").over(order) == 1)
     carried = (
         probes.unionByName(points)
-        .withColumn("_last", F.last("usable", ignorenulls=True).over(before))
+        .withColumn("_last", F.last(usable, ignorenulls=True).over(order.rowsBetween(W.unboundedPreceding, -1)))
+        .withColumn("_empty", F.when(same_day, F.lead("is_empty").over(order)))
         .filter(F.col("kind") == 0)
-        .select("site_id", F.col("day").alias("hub_date"), "_last")
+        .select("site_id", F.col("day").alias("hub_date"), "_last", "_empty")
     )
-    today = facts.select("site_id", F.col("report_date").alias("hub_date"), F.col("is_empty").alias("_empty"))
-    joined = asked.join(carried, ["site_id", "hub_date"], "left").join(today, ["site_id", "hub_date"], "left")
+    joined = asked.join(carried, ["site_id", "hub_date"], "left")
     in_reach = F.col("_last") >= F.date_sub("hub_date", F.col("lookback_days"))
     use_older = F.coalesce(F.col("_empty"), F.lit(True)) & F.col("allows_fallback") & F.coalesce(in_reach, F.lit(False))
     chosen = joined.withColumn(

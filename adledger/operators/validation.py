@@ -19,12 +19,30 @@ def data_sheets(rows: DataFrame) -> DataFrame:
     return rows.filter(~F.lower(F.trim("sheet")).isin(*rules.SKIP_SHEETS))
 
 
+def spelled_headers(headers: Column) -> Column:
+    """Each header with its raw and bare spelling, worked out once for all roles."""
+    return F.transform(
+        headers,
+        lambda h: F.struct(h.alias("name"), F.lower(F.trim(h)).alias("raw"), bare_header(h).alias("bare")),
+    )
+
+
+def role_of(spelled: Column, raw: list[str], canonical: list[str] | None = None) -> Column:
+    """Q4: headers that play a role, in sheet order, from their spellings."""
+
+    def plays(header: Column) -> Column:
+        by_raw = one_of(header["raw"], raw)
+        return by_raw | one_of(header["bare"], canonical) if canonical else by_raw
+
+    return F.transform(F.filter(spelled, plays), lambda h: h["name"])
+
+
 def role_headers(headers: Column, raw: list[str], canonical: list[str] | None = None) -> Column:
     """Q4: headers that play a role, in sheet order."""
 
     def plays(name: Column) -> Column:
-        spelled = one_of(F.lower(F.trim(name)), raw)
-        return spelled | one_of(bare_header(name), canonical) if canonical else spelled
+        by_raw = one_of(F.lower(F.trim(name)), raw)
+        return by_raw | one_of(bare_header(name), canonical) if canonical else by_raw
 
     return F.filter(headers, plays)
 
@@ -58,14 +76,18 @@ def cell(header: Column) -> Column:
 
 
 def row_contact(rows: DataFrame) -> DataFrame:
-    """V5: the contact of each row, from its first phone column that is not missing.
+    """V5: the contact of each row, from its first phone column that is not missing, and its id column.
 
     A hidden row with an empty first phone column is hidden at once; later columns are not looked at.
     Rows of sheets without phone columns get a null status.
     """
-    headers = F.map_keys("cells")
-    hide = first_header(role_headers(headers, rules.HIDE_COLUMNS))
-    found = rows.withColumn("_phones", phone_headers(headers)).withColumn("_hidden", truthy_flag(cell(hide)))
+    spelled = F.col("_spelled")
+    found = (
+        rows.withColumn("_spelled", spelled_headers(F.map_keys("cells")))
+        .withColumn("_phones", role_of(spelled, rules.PHONE_COLUMNS, rules.PHONE_CANONICAL))
+        .withColumn("_hide", first_header(role_of(spelled, rules.HIDE_COLUMNS)))
+        .withColumn("_hidden", truthy_flag(cell(F.col("_hide"))))
+    )
 
     def look(header: Column) -> Column:
         value = F.try_element_at(F.col("cells"), header)
@@ -87,14 +109,13 @@ def row_contact(rows: DataFrame) -> DataFrame:
         F.when(some, F.coalesce(F.col("_pick.column"), first_header(F.col("_phones")))).alias("phone_column"),
         F.col("_pick.value").alias("phone_value"),
         F.col("_phones").alias("phone_columns"),
+        first_header(role_of(spelled, rules.ID_COLUMNS, rules.ID_CANONICAL)).alias("id_column"),
     )
 
 
 def check_rows(rows: DataFrame) -> DataFrame:
     """Contact and ad id of every data row, before duplicates are known. No shuffle."""
-    headers = F.map_keys("cells")
-    id_header = first_header(role_headers(headers, rules.ID_COLUMNS, rules.ID_CANONICAL))
-    seen = row_contact(data_sheets(rows)).withColumn("id_column", id_header).withColumn("id_value", cell(F.col("id_column")))
+    seen = row_contact(data_sheets(rows)).withColumn("id_value", cell(F.col("id_column")))
     facts = ad_id_facts(F.col("id_value"))
     return (
         seen.withColumn("_ad", F.when(F.col("id_column").isNotNull(), facts))
@@ -118,49 +139,49 @@ COUNTERS = [
 
 
 def _file_values(checked: DataFrame) -> DataFrame:
-    """Per file one row of counters and one row per distinct valid phone and id.
+    """Per file one row of counters per sheet and one row per distinct valid phone and id.
 
-    Each checked row gives three entries that are pre-aggregated where they are read, so a hot file or a hot
-    value never meets in one task as rows, and every later count comes from this one scan.
+    Each checked row gives up to three entries that are added up where they are read, so a hot file or a hot
+    value never meets in one task as rows, and every later count comes from this one scan. What is the same for
+    a whole sheet is part of the key, which leaves plain sums to aggregate.
     """
-    phone, ad = F.col("phone_status"), F.col("ad_status")
-    one = lambda test: F.when(test, 1).otherwise(0).cast("bigint")
-    tests = {
-        "rows_scanned": F.lit(True),
-        "phones_seen": phone.isNotNull(),
-        "phones_valid": phone == "valid",
-        "phones_invalid": ~phone.isin(*OK_PHONE),
-        "phones_missing": phone == "missing",
-        "phones_hidden": phone == "hidden",
-        "ads_seen": ad.isNotNull(),
-        "ads_ok": ad == "valid",
-        "ads_bad": ad.isin("missing", "malformed"),
-        "ads_missing": ad == "missing",
-    }
-    nothing = [F.lit(None).cast("bigint").alias(c) for c in COUNTERS]
-
-    def entry(kind: str, value: Column, counters: list[Column]) -> Column:
-        return F.struct(F.lit(kind).alias("kind"), value.alias("value"), *counters)
-
+    entry = lambda kind, value: F.struct(F.lit(kind).alias("kind"), F.col(value).alias("value"))
     entries = F.filter(
         F.array(
-            entry("row", F.lit(None).cast("string"), [one(tests[c]).alias(c) for c in COUNTERS]),
-            F.when(phone == "valid", entry("phone", F.col("phone"), nothing)),
-            F.when(F.col("ad_id").isNotNull(), entry("ad_id", F.col("ad_id"), nothing)),
+            entry("sheet", "sheet"),
+            F.when(F.col("phone_status") == "valid", entry("phone", "phone")),
+            F.when(F.col("ad_id").isNotNull(), entry("ad_id", "ad_id")),
         ),
         lambda e: e.isNotNull(),
     )
-    first_id = F.when(F.col("id_column").isNotNull(), F.struct("sheet_pos", "id_column"))
-    rows = checked.select("scraper", "file_key", "sheet", "phone_columns", first_id.alias("first_id"), F.inline(entries))
-    is_row = F.col("kind") == "row"
-    return rows.groupBy("scraper", "file_key", "kind", "value").agg(
-        *[F.sum(c).alias(c) for c in COUNTERS],
-        F.size(F.collect_set(F.when(is_row, F.col("sheet")))).cast("bigint").alias("sheets_scanned"),
-        F.array_distinct(F.flatten(F.collect_set(F.when(is_row, F.col("phone_columns"))))).alias("columns_found"),
-        F.min(F.when(is_row, F.col("first_id"))).alias("first_id"),
+    head = F.struct(F.col("sheet_pos"), F.col("id_column"), F.col("phone_columns"))
+    rows = checked.select("scraper", "file_key", "phone_status", "ad_status", head.alias("_head"), F.inline(entries))
+    phone, ad, row = F.col("phone_status"), F.col("ad_status"), F.col("kind") == "sheet"
+    tests = {
+        "rows_scanned": row,
+        "phones_seen": row & phone.isNotNull(),
+        "phones_valid": row & (phone == "valid"),
+        "phones_invalid": row & ~phone.isin(*OK_PHONE),
+        "phones_missing": row & (phone == "missing"),
+        "phones_hidden": row & (phone == "hidden"),
+        "ads_seen": row & ad.isNotNull(),
+        "ads_ok": row & (ad == "valid"),
+        "ads_bad": row & ad.isin("missing", "malformed"),
+        "ads_missing": row & (ad == "missing"),
+    }
+    keyed = rows.withColumn("head", F.when(row, F.col("_head")))
+    return keyed.groupBy("scraper", "file_key", "kind", "value", "head").agg(
+        *[F.count_if(tests[c]).alias(c) for c in COUNTERS]
     )
 
 
+def _first_id(*place: str) -> Column:
+    """Id column of the first sheet that has one."""
+    known = F.col("head.id_column").isNotNull()
+    order = F.struct(*place, F.col("head.sheet_pos").alias("pos"), F.col("head.id_column").alias("id_column"))
+    return F.min(F.when(known, order))
+
+
 def _ad_totals(df: DataFrame) -> DataFrame:
     """Repeats are valid ids minus distinct ids per file, so no row has to be ordered for the counts."""
     repeats = F.col("ads_ok") - F.col("ads_valid")
@@ -177,9 +198,9 @@ def file_validation(checked: DataFrame) -> DataFrame:
     kind = F.col("kind")
     per_file = _file_values(checked).groupBy("scraper", "file_key").agg(
         *[F.sum(c).alias(c) for c in COUNTERS],
-        F.sum("sheets_scanned").alias("sheets_scanned"),
-        F.array_distinct(F.flatten(F.collect_set("columns_found"))).alias("columns_found"),
-        F.min("first_id").getField("id_column").alias("id_column"),
+        F.count_if(kind == "sheet").alias("sheets_scanned"),
+        F.array_distinct(F.flatten(F.collect_set("head.phone_columns"))).alias("columns_found"),
+        _first_id().getField("id_column").alias("id_column"),
         F.count_if(kind == "phone").alias("phones_unique_valid"),
         F.count_if(kind == "ad_id").alias("ads_unique_valid"),
         F.count_if(kind == "ad_id").alias("ads_valid"),
@@ -233,22 +254,22 @@ def scraper_validation(checked: DataFrame) -> DataFrame:
     One scan and a chain of aggregations: per file and value, then per scraper and value, then per scraper.
     """
     kind = F.col("kind")
-    per_value = _file_values(checked).groupBy("scraper", "kind", "value").agg(
-        F.count(F.lit(1)).alias("files"),
+    group = F.when(kind == "sheet", F.col("file_key")).otherwise(F.col("value"))
+    per_value = _file_values(checked).groupBy("scraper", "kind", group.alias("value")).agg(
+        F.count(F.lit(1)).alias("n"),
         *[F.sum(c).alias(c) for c in COUNTERS],
-        F.sum("sheets_scanned").alias("sheets_scanned"),
-        F.array_distinct(F.flatten(F.collect_set("columns_found"))).alias("columns_found"),
-        F.min(F.when(F.col("first_id").isNotNull(), F.struct("file_key", "first_id"))).alias("first_id"),
+        F.array_distinct(F.flatten(F.collect_set("head.phone_columns"))).alias("columns_found"),
+        _first_id("file_key").alias("first_id"),
     )
     merged = per_value.groupBy("scraper").agg(
-        F.sum(F.when(kind == "row", F.col("files"))).alias("files_found"),
+        F.count_if(kind == "sheet").alias("files_found"),
         *[F.sum(c).alias(c) for c in COUNTERS],
-        F.sum("sheets_scanned").alias("sheets_scanned"),
+        F.sum(F.when(kind == "sheet", F.col("n"))).alias("sheets_scanned"),
         F.array_distinct(F.flatten(F.collect_set("columns_found"))).alias("columns_found"),
-        F.min("first_id").getField("first_id").getField("id_column").alias("id_column"),
+        F.min("first_id").getField("id_column").alias("id_column"),
         F.count_if(kind == "phone").alias("phones_unique_valid"),
         F.count_if(kind == "ad_id").alias("ads_unique_valid"),
-        F.coalesce(F.sum(F.when(kind == "ad_id", F.col("files"))), F.lit(0)).alias("ads_valid"),
+        F.coalesce(F.sum(F.when(kind == "ad_id", F.col("n"))), F.lit(0)).alias("ads_valid"),
     )
     return (
         _ad_totals(merged)
