@@ -300,13 +300,6 @@ def p9(spark, sf):
     return p.normalize_service_listing(services.select(V.get("payload", S, "variant").alias("listing")))
 
 
-@query("p15_business_image_roster")
-def p15(spark, sf):
-    with_media = p.split_media(profiles(spark, sf)).select("id", F.split("media_urls", " [|] ").alias("media_urls"))
-    media = with_media.withColumn("media_urls", F.filter("media_urls", lambda u: u != ""))
-    return p.business_image_roster(profiles(spark, sf).select("id", "logo", "cover_image").join(media, "id"))
-
-
 MEDIA = elements("doc", f"{PP}.tabs.media.data.media")
 USABLE = f"list_filter({MEDIA}, lambda m: regexp_matches(m ->> '$.url', '^https?://') AND NOT regexp_matches(lower(m ->> '$.url'), 'lh[345]\\.googleusercontent\\.com|gps-cs-s|gps-proxy'))"
 ENABLED = f"len(list_filter({elements('doc', f'{PP}.business.tabs')}, lambda g: (g ->> '$.slug') = 'media' AND (g ->> '$.enabled') = 'true')) > 0"
@@ -335,6 +328,25 @@ def p17(spark, sf):
     return p.split_media(profiles(spark, sf))
 
 
+MEDIA_URLS = f"CASE WHEN {ENABLED} THEN list_transform({USABLE}, lambda m: m ->> '$.url') ELSE [] END"
+EXT = """lower(regexp_extract(regexp_replace(url, '^[a-zA-Z]+://[^/?#]*|[?#].*$', '', 'g'), '[^/](\\.[^./]+)$', 1))"""
+
+
+@query(
+    "p15_business_image_roster",
+    PROFILE + f""", m AS (SELECT {whole('doc', f'{PP}.business.id')} AS id, {b('logo')} AS logo, {b('cover_image')} AS cover, {MEDIA_URLS} AS media FROM b),
+    r AS (SELECT id, 'logo' AS kind, logo AS url FROM m WHERE logo <> '' UNION ALL SELECT id, 'cover', cover FROM m WHERE cover NOT IN ('', 'media')
+      UNION ALL SELECT id, 'media_' || (generate_subscripts(media, 1) - 1), unnest(media) FROM m)
+    SELECT id, kind, url, 'business_' || id || '_image_N' || CASE WHEN {EXT} = '' OR length({EXT}) > 5 THEN '.jpg' ELSE {EXT} END AS name_shape FROM r""",
+)
+def p15(spark, sf):
+    """The number in a file name is a hash only Spark makes; the check sees the name without it."""
+    with_media = p.split_media(profiles(spark, sf)).select("id", F.split("media_urls", " [|] ").alias("media_urls"))
+    media = with_media.withColumn("media_urls", F.filter("media_urls", lambda u: u != ""))
+    roster = p.business_image_roster(profiles(spark, sf).select("id", "logo", "cover_image").join(media, "id"))
+    return roster.select("id", "kind", "url", F.regexp_replace("file_name", r"_image_\d+", "_image_N").alias("name_shape"))
+
+
 BRANCHES = elements("doc", f"{PP}.tabs.about.data.branches")
 MAIN = f"coalesce(list_filter({BRANCHES}, lambda r: (r ->> '$.is_main') = 'true')[1], ({BRANCHES})[1])"
 

@@ -277,7 +277,7 @@ def business_image_roster(profiles: DataFrame) -> DataFrame:
         lambda e: e.isNotNull(),
     )
     rows = profiles.select("id", F.inline(F.concat(own, F.coalesce(media, F.array().cast("array<struct<kind:string,url:string>>")))))
-    path = F.regexp_replace("url", r"[?#].*$", "")
+    path = F.regexp_replace("url", r"^[a-zA-Z]+://[^/?#]*|[?#].*$", "")
     ext = F.lower(F.regexp_extract(path, r"[^/](\.[^./]+)$", 1))
     safe = F.when((ext == "") | (F.length(ext) > 5), ".jpg").otherwise(ext)
     number = F.pmod(F.xxhash64("url"), F.lit(10000)).cast("string")
