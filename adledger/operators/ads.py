@@ -9,6 +9,7 @@ from adledger import rules
 from adledger.functions import variants as V
 from adledger.functions.moments import parse_moment
 from adledger.functions.text import is_missing_cell
+from adledger.operators.ordering import keep_rows
 from adledger.operators.validation import cell, data_sheets, first_header, role_headers
 
 
@@ -162,12 +163,8 @@ def hour_histogram(rows: DataFrame) -> DataFrame:
     dated = data_sheets(rows).withColumn("_h", header)
     value = cell(F.col("_h"))
     moment = F.when(~is_missing_cell(value), parse_moment(value))
-    return (
-        dated.select("scraper", F.hour(moment).alias("hour"))
-        .filter(F.col("hour").isNotNull())
-        .groupBy("scraper", "hour")
-        .agg(F.count(F.lit(1)).alias("ads_count"))
-    )
+    hours = keep_rows(dated.select("scraper", F.hour(moment).alias("hour")), F.col("hour").isNotNull())
+    return hours.groupBy("scraper", "hour").agg(F.count(F.lit(1)).alias("ads_count"))
 
 
 def hour_pairs(result: Column) -> Column:

@@ -9,7 +9,7 @@ from adledger import rules
 from adledger.functions.ad_ids import ad_id_facts
 from adledger.functions.phones import longest_token, phone_facts, truthy_flag
 from adledger.functions.text import bare_header, one_of, pct, shorten
-from adledger.operators.ordering import first_rows, mark_first
+from adledger.operators.ordering import first_rows, keep_rows, mark_first
 
 OK_PHONE = ["valid", "hidden", "missing"]
 
@@ -339,11 +339,12 @@ def phone_sets(rows: DataFrame) -> DataFrame:
     cells = data_sheets(rows).select("scraper", F.explode(F.transform(headers, lambda h: F.try_element_at("cells", h))).alias("value"))
     facts = cells.withColumn("_f", phone_facts(F.col("value")))
     runs = F.regexp_extract_all("value", F.lit(r"\d+"), F.lit(0))
-    known = facts.select(
+    named = facts.select(
         "scraper",
         F.col("_f.status").alias("status"),
         F.coalesce("_f.phone", F.nullif(longest_token(runs), F.lit(""))).alias("identity"),
-    ).filter((F.col("status") != "missing") & F.col("identity").isNotNull())
+    )
+    known = keep_rows(named, (F.col("status") != "missing") & F.col("identity").isNotNull())
     valid, outside = F.col("status") == "valid", F.col("status") == "wrong_country_code"
     per_phone = known.groupBy("scraper", "identity").agg(
         F.max(valid).alias("valid"), F.max(outside).alias("outside"), F.max(~valid & ~outside).alias("invalid")
