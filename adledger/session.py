@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def get_session(app: str = "adledger", master: str | None = None, **conf: str) -> SparkSession:
@@ -32,12 +31,28 @@ def get_session(app: str = "adledger", master: str | None = None, **conf: str) -
 
 
 def scratch_dir(spark: SparkSession, label: str) -> str:
-    """A new folder every executor can reach.
+    """A new folder every executor can reach, below the folder that ``spark.checkpoint.dir`` names.
 
-    A cluster names its shared folder in ``spark.checkpoint.dir``; only where that is unset (a single
-    machine, as in tests) a local temporary folder is made.
+    Only on a single machine (a local master, as in tests) may that setting be missing: then one temporary
+    folder is made for the session and put into the setting. Anywhere else a missing setting is an error,
+    because each executor would write to its own disk.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        return f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}"
-    return os.path.join(tempfile.mkdtemp(prefix="adledger-"), label)
+    if not shared:
+        master = spark.conf.get("spark.master", "")
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        shared = tempfile.mkdtemp(prefix="adledger-")
+        spark.conf.set("spark.checkpoint.dir", shared)
+    return f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def saved(df: DataFrame, label: str) -> DataFrame:
+    """The rows of ``df`` written once as Parquet in the shared folder, and read from there.
+
+    What follows is planned from the written files: nothing above is computed again, a lost executor costs
+    only its own tasks, and Spark knows the true size when it chooses a join.
+    """
+    path = scratch_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
