@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adledger.llm import bpe, exact_dedup, quality_rules, simhash
+from adledger.llm import bpe, exact_dedup, mixing, quality_rules, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -52,6 +52,12 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+@query("op9_source_mixing")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    whole, _ = mixing.mix(documents(spark, sf_dir))
+    return whole.select("doc_id", "size", "source_size", "target", "taken")
+
+
 @query("op10_exact_dedup", """
     SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
            doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
