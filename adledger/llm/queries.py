@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adledger.llm import bpe, exact_dedup, mixing, quality_rules, simhash
+from adledger.llm import bpe, exact_dedup, mixing, quality_rules, simhash, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -46,6 +46,21 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judged(docs, rules).select("doc_id", *(F.col(f"_quality.{n}") for n in names))
 
 
+@query("op6_warc_archive", """
+    WITH p AS (SELECT page_id, coalesce(html, '') AS html, min(page_id) OVER (PARTITION BY coalesce(html, '')) AS least FROM pages),
+         h AS (SELECT *, sha1(html) AS x FROM p)
+    SELECT page_id, octet_length(encode(html)) AS payload_bytes,
+           array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+               1 + ((('0x' || substr(x, 1 + 10 * (i // 8), 10))::UBIGINT >> (35 - 5 * (i % 8))::UBIGINT) & 31)::INT, 1)), '') AS payload_digest,
+           CASE WHEN page_id IS NOT DISTINCT FROM least THEN 'response' ELSE 'revisit' END AS record_type,
+           CASE WHEN page_id IS DISTINCT FROM least THEN least END AS refers_to
+    FROM h
+""")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = warc.archived(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 @query("op8_simhash_near_dedup")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = simhash.near_classes(documents(spark, sf_dir))
