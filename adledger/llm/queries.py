@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adledger.llm import bpe, exact_dedup, mixing, quality_rules, simhash, warc
+from adledger.llm import bpe, exact_dedup, licenses, mixing, quality_rules, secrets, simhash, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -38,6 +38,14 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
+@query("op3_secret_scan")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, spans = secrets.scan(documents(spark, sf_dir)), F.col("spans")
+    of_kind = lambda k: F.size(F.filter(spans, lambda s: s["kind"] == k)).cast("long")
+    counts = [of_kind(k).alias(f"n_{n}") for k, n in enumerate(secrets.KINDS[:3])]
+    return rows.select("doc_id", *counts, F.sha2(secrets.joined(spans, (0, 1, 2)), 256).alias("base_sha256"), secrets.joined(spans, (0, 1, 2, 3)).alias("spans"))
+
+
 @query("op5_quality_rules")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text")
@@ -61,6 +69,13 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+@query("op7_license_scan")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = licenses.scan(documents(spark, sf_dir))
+    labels = F.array_sort(F.array_union("base", F.transform("matches", lambda m: m["label"])))
+    return rows.select("doc_id", "n_words", "n_base", "first_word", "last_word", F.array_join("base", ",").alias("base_labels"), F.array_join(labels, ",").alias("labels"), "score")
+
+
 @query("op8_simhash_near_dedup")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = simhash.near_classes(documents(spark, sf_dir))
