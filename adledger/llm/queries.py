@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adledger.llm import bpe, exact_dedup, licenses, mixing, quality_rules, secrets, simhash, warc
+from adledger.llm import bpe, exact_dedup, licenses, mixing, quality_model, quality_rules, secrets, simhash, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -38,6 +38,12 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
+@query("op2_quality_classifier")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = quality_model.classify(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return rows.withColumnsRenamed({"host": "source", "path": "lang"})
+
+
 @query("op3_secret_scan")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows, spans = secrets.scan(documents(spark, sf_dir)), F.col("spans")
