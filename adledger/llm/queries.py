@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adledger.llm import bpe, exact_dedup, licenses, mixing, quality_model, quality_rules, secrets, simhash, warc
+from adledger.llm import bpe, exact_dedup, licenses, mixing, quality_model, quality_rules, secrets, simhash, substring_dedup, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -52,6 +52,13 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", *counts, F.sha2(secrets.joined(spans, (0, 1, 2)), 256).alias("base_sha256"), secrets.joined(spans, (0, 1, 2, 3)).alias("spans"))
 
 
+@query("op4_suffix_array_dedup")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = substring_dedup.remove_repeats(documents(spark, sf_dir))
+    gone = F.aggregate("removed", F.lit(0).cast("long"), lambda a, s: a + s["end"] - s["start"])
+    return rows.select("doc_id", "n_bytes", gone.alias("n_removed"), F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query("op5_quality_rules")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text")
