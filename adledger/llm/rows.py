@@ -31,6 +31,14 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = ROWS_AT_ONCE) -> Itera
             yield batch.slice(at, rows)
 
 
+def dealt(df: DataFrame, rows: int, per_task: int = 50_000) -> DataFrame:
+    """``df`` in as many partitions as ``rows``, a count that was taken, asks for, or as many as it has if those are fewer.
+
+    Steps over few rows then run in few tasks and leave few files, and steps over many in many.
+    """
+    return df.coalesce(max(1, -(-rows // per_task)))
+
+
 def text_key(df: DataFrame, text_col: str) -> Column:
     return F.sha2(whole_text(df, text_col).cast("binary"), 256)
 

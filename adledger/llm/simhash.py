@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from adledger.llm.components import components
-from adledger.llm.rows import bodies, slices
+from adledger.llm.rows import bodies, dealt, slices
 from adledger.session import saved
 
 BITS = 64
@@ -83,8 +83,9 @@ def near_links(distinct: DataFrame, radius: int = 2, bucket: int = 64) -> DataFr
     masks = covering_masks(radius)
     keys = F.array(*(F.struct(F.lit(t).alias("t"), F.col("fp").bitwiseAND(F.lit(signed(m))).alias("key")) for t, m in enumerate(masks)))
     rows = distinct.select("fp", F.explode(keys).alias("k")).select("fp", "k.t", "k.key")
-    sizes = saved(rows.groupBy("t", "key").agg(F.count("*").alias("n")).filter("n > 1"), "buckets")
-    crowded = saved(rows.join(sizes, ["t", "key"]), "bucket-members")
+    total = len(masks) * distinct.count()
+    sizes = saved(dealt(rows.groupBy("t", "key").agg(F.count("*").alias("n")).filter("n > 1"), total), "buckets")
+    crowded = saved(dealt(rows.join(sizes, ["t", "key"]), total), "bucket-members")
     lists = crowded.filter(F.col("n") <= bucket).groupBy("t", "key").agg(F.collect_list("fp").alias("m"))
     pairs = F.flatten(F.transform("m", lambda x: F.transform(F.filter("m", lambda y: (y > x) & _within(x, y, radius)), lambda y: F.struct(x.alias("a"), y.alias("b")))))
     cold = lists.select(F.explode(pairs).alias("p")).select("p.a", "p.b")
@@ -95,17 +96,19 @@ def near_links(distinct: DataFrame, radius: int = 2, bucket: int = 64) -> DataFr
     balls = members.select("fp", F.explode(F.transform(flips, lambda f: f.bitwiseXOR(F.col("fp")))).alias("z"))
     meet = balls.groupBy("z").agg(F.collect_list("fp").alias("m")).filter(F.size("m") > 1)
     hot = meet.select(F.array_min("m").alias("a"), F.explode("m").alias("b")).filter("a <> b")
-    return cold.union(hot).distinct()
+    return cold.union(hot)
 
 
 def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, radius: int = 2, bucket: int = 64) -> DataFrame:
     """A row per row of ``docs``: doc_id, text_sha256, fp and component_id, the least id that links reach."""
     prints = saved(fingerprints(docs, id_col, text_col, shingle), "fingerprints")
-    distinct = saved(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct-fingerprints")
-    roots = components(near_links(distinct, radius, bucket))
-    rooted = saved(distinct.join(roots, distinct["fp"] == roots["node"], "left").select("fp", "least", F.coalesce("root", "fp").alias("root")), "roots")
-    ids = saved(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "component-ids")
-    names = saved(rooted.join(ids, "root").select("fp", "component_id"), "component-of")
+    total = prints.count()
+    distinct = saved(dealt(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), total), "distinct-fingerprints")
+    roots = components(near_links(distinct, radius, bucket), 7 * total)
+    rooted = distinct.join(roots, distinct["fp"] == roots["node"], "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
+    rooted = saved(dealt(rooted, total), "roots")
+    ids = saved(dealt(rooted.groupBy("root").agg(F.min("least").alias("component_id")), total), "component-ids")
+    names = saved(dealt(rooted.join(ids, "root").select("fp", "component_id"), total), "component-of")
     return prints.join(names, "fp").select("doc_id", "text_sha256", "fp", "component_id")
 
 
