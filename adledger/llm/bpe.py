@@ -20,7 +20,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterator
-from functools import partial
+from functools import cached_property, partial
 
 import numpy as np
 import pyarrow as pa
@@ -54,7 +54,7 @@ class Vocabulary:
         self.special = {x["content"]: x["id"] for x in spec["added_tokens"]}
         vocab = {bytes(alphabet[c] for c in t): i for t, i in spec["model"]["vocab"].items() if t not in self.special}
         self.engine = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=vocab, special_tokens=self.special)
-        self.splitter = Tokenizer.from_str(contents.decode()).pre_tokenizer
+        self.contents = contents
         self.sizes = np.zeros(max([*vocab.values(), *self.special.values()]) + 1, np.int64)
         for t, i in vocab.items():
             self.sizes[i] = len(t)
@@ -84,6 +84,10 @@ class Vocabulary:
         if got != wanted:
             raise ValueError("some tokens are not the encoding of their own bytes")
 
+    @cached_property
+    def splitter(self):
+        return Tokenizer.from_str(self.contents.decode()).pre_tokenizer
+
     def encode(self, text: str) -> list[int]:
         if any(s in text for s in self.special):
             return self.engine.encode(text, allowed_special="all")
@@ -198,12 +202,22 @@ def join_tree(parts: list[Part], v: Vocabulary) -> Part:
     return parts[0]
 
 
+#: The vocabulary of a task, which calls some functions many times.
+LOADED: dict[bytes, Vocabulary] = {}
+
+
+def _loaded(contents) -> Vocabulary:
+    if contents.value not in LOADED:
+        LOADED[contents.value] = Vocabulary(contents.value, checked=True)
+    return LOADED[contents.value]
+
+
 def _little(ids: np.ndarray | list[int]) -> bytes:
     return np.asarray(ids, "<u4").tobytes()
 
 
 def _encode_short(batches: Iterator[pa.RecordBatch], contents) -> Iterator[pa.RecordBatch]:
-    v = Vocabulary(contents.value, checked=True)
+    v = _loaded(contents)
     for batch in slices(batches):
         ids = [v.encode(t) for t in batch.column(1).to_pylist()]
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(x) for x in ids], pa.int64()), pa.array([_little(x) for x in ids], pa.binary())], names=["doc_id", "n_tokens", "ids"])
@@ -219,7 +233,7 @@ def _cut(batches: Iterator[pa.RecordBatch], leaf_chars: int) -> Iterator[pa.Reco
 
 
 def _encode_leaves(batches: Iterator[pa.RecordBatch], contents) -> Iterator[pa.RecordBatch]:
-    v = Vocabulary(contents.value, checked=True)
+    v = _loaded(contents)
     for batch in slices(batches, 16):
         parts = [Part.of(t, v) for t in batch.column("text").to_pylist()]
         yield pa.RecordBatch.from_arrays(
@@ -229,7 +243,7 @@ def _encode_leaves(batches: Iterator[pa.RecordBatch], contents) -> Iterator[pa.R
 
 
 def _join_leaves(table: pa.Table, contents) -> pa.Table:
-    v = Vocabulary(contents.value, checked=True)
+    v = _loaded(contents)
     rows = table.sort_by("leaf")
     parts = [Part(x["body"], np.frombuffer(x["cuts"], np.int64), np.frombuffer(x["ids"], "<u4")) for x in rows.select(["body", "cuts", "ids"]).to_pylist()]
     ids = join_tree(parts, v).ids
@@ -255,11 +269,11 @@ def encode(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: s
         .repartition("row_id", "leaf")
         .mapInArrow(partial(_encode_leaves, contents=sent), "row_id long, doc_id long, leaf long, body binary, cuts binary, ids binary")
     )
-    return short.unionByName(leaves.groupBy("row_id").applyInArrow(partial(_join_leaves, contents=sent), out))
+    return short.unionByName(leaves.groupBy("row_id").applyInArrow(lambda table: _join_leaves(table, sent), out))
 
 
 def _decode(batches: Iterator[pa.RecordBatch], contents) -> Iterator[pa.RecordBatch]:
-    v = Vocabulary(contents.value, checked=True)
+    v = _loaded(contents)
     for batch in slices(batches):
         texts = [v.decode(np.frombuffer(x, "<u4").tolist()) for x in batch.column("ids").to_pylist()]
         at = batch.schema.get_field_index("ids")
