@@ -87,22 +87,15 @@ def a5(spark, sf):
     return ads.subcategory_breakdown(source(spark, sf, "summary_docs"))
 
 
-def best_summary_docs(spark, sf):
-    """The document chosen for each scraper, with its text."""
-    docs = source(spark, sf, "summary_docs")
-    best = ads.best_summary(docs).select(F.col("json_key").alias("key"), "scraper")
-    return docs.join(best, ["scraper", "key"])
-
-
 def by_event_type(spark, sf):
     """Summaries given to the scrapers of the sheet rows, so both counts meet."""
     names = F.array(*[F.lit(n) for n in ("click", "error", "signup", "absent-ok-africa", "absent-bad-america")])
     pick = F.element_at(names, (F.pmod(F.length("scraper") + F.length("body"), F.lit(5)) + 1).cast("int"))
-    return source(spark, sf, "summary_docs").filter(~F.col("scraper").startswith("1")).withColumn("scraper", pick)
+    return source(spark, sf, "summary_docs").withColumn("scraper", pick)
 
 
 A6_DOCS = SUMMARY.replace(
-    "FROM @summary_docs", "FROM (SELECT * EXCLUDE (scraper), ['click', 'error', 'signup', 'absent-ok-africa', 'absent-bad-america'][CAST((length(scraper) + length(body)) % 5 + 1 AS INT)] AS scraper FROM @summary_docs WHERE scraper NOT LIKE '1%')"
+    "FROM @summary_docs", "FROM (SELECT * EXCLUDE (scraper), ['click', 'error', 'signup', 'absent-ok-africa', 'absent-bad-america'][CAST((length(scraper) + length(body)) % 5 + 1 AS INT)] AS scraper FROM @summary_docs)"
 )
 
 

@@ -58,11 +58,12 @@ parts AS (SELECT *, list_filter(missing, lambda c: NOT ({canon_sql('c')} IN ({OP
 """
 
 CHECKS = MATCHES + """,
-q7 AS (SELECT scraper, file_key, sheet, CASE WHEN row_count > 0 THEN 'columns_in_' ELSE 'rows_in_' END || substr(sheet, 1, 20) AS check_name,
+q7 AS (SELECT scraper, file_key, sheet, CASE WHEN row_count > 0 THEN 'columns_in_' ELSE 'rows_in_' END || substr(CASE WHEN is_template THEN sheet ELSE name END, 1, 20) AS check_name,
     row_count = 0 OR len(core) = 0 AS passed, CASE WHEN row_count = 0 THEN '0 rows, skipped' ELSE concat_ws('; ',
       CASE WHEN len(core) > 0 THEN 'Missing core: ' || array_to_string(core, ', ') END,
-      CASE WHEN len(extra) > 0 THEN 'optional absent: ' || array_to_string(extra, ', ') END) END AS detail FROM parts),
-q8 AS (SELECT scraper, file_key, sheet, 'rows_in_' || substr(sheet, 1, 20) AS check_name, row_count BETWEEN row_min AND row_max AS passed,
+      CASE WHEN len(extra) > 0 THEN 'optional absent: ' || array_to_string(extra, ', ') END,
+      CASE WHEN len(core) > 0 THEN 'actual headers: ' || array_to_string(cols[1:12], ', ') || CASE WHEN len(cols) > 12 THEN '…' ELSE '' END END) END AS detail FROM parts),
+q8 AS (SELECT scraper, file_key, sheet, 'rows_in_' || substr(CASE WHEN is_template THEN sheet ELSE name END, 1, 20) AS check_name, row_count BETWEEN row_min AND row_max AS passed,
     row_count || ' rows (expected ' || row_min || '-' || row_max || ')' AS detail FROM m WHERE sheet IS NOT NULL AND (NOT is_template OR row_count > 0)),
 q9 AS (SELECT scraper, file_key, NULL::VARCHAR AS sheet, CASE WHEN is_template THEN 'data_sheets_exist' ELSE 'sheet_exists_' || name END AS check_name,
     false AS passed, CASE WHEN is_template THEN 'No data sheets found' ELSE 'Sheet ''' || name || ''' not found' END AS detail FROM m WHERE sheet IS NULL),
@@ -213,6 +214,10 @@ sbase AS (SELECT scraper, sheet, min(row_count) AS rows_min, max(row_count) AS r
 """
 
 
+def all_days(spark, sf):
+    return sheets(spark, sf).withColumnRenamed("day", "date")
+
+
 def history(spark, sf):
     return sheets(spark, sf).filter(F.col("day") < SPLIT_DAY).withColumnRenamed("day", "date")
 
@@ -221,14 +226,17 @@ def today(spark, sf):
     return sheets(spark, sf).filter(F.col("day") >= SPLIT_DAY)
 
 
-@query("b1_build_baseline", HISTORY + "SELECT scraper, size_min, size_max, size_last, array_to_string(dates, ',') AS observed_dates FROM base")
+ALL_DAYS = HISTORY.replace(f"day < '{SPLIT_DAY}'", "true")
+
+
+@query("b1_build_baseline", ALL_DAYS + "SELECT scraper, size_min, size_max, size_last, array_to_string(dates, ',') AS observed_dates FROM base")
 def b1(spark, sf):
-    return b.build_baseline(history(spark, sf)).withColumn("observed_dates", F.array_join("observed_dates", ","))
+    return b.build_baseline(all_days(spark, sf)).withColumn("observed_dates", F.array_join("observed_dates", ","))
 
 
-@query("b2_build_sheet_baseline", HISTORY + "SELECT * FROM sbase")
+@query("b2_build_sheet_baseline", ALL_DAYS + "SELECT * FROM sbase")
 def b2(spark, sf):
-    return b.build_sheet_baseline(history(spark, sf)).withColumn("columns", F.array_join("columns", ","))
+    return b.build_sheet_baseline(all_days(spark, sf)).withColumn("columns", F.array_join("columns", ","))
 
 
 @query(
@@ -243,14 +251,11 @@ def b3(spark, sf):
 
 @query(
     "b4_merge_baseline",
-    HISTORY.replace(f"day < '{SPLIT_DAY}'", "day >= '2024-01-03' OR scraper IN ('click', 'view')") + "SELECT scraper, size_min, size_max, size_last, array_to_string(dates, ',') AS observed_dates FROM base",
+    ALL_DAYS + "SELECT scraper, size_min, size_max, size_last, array_to_string(dates, ',') AS observed_dates FROM base",
 )
 def b4(spark, sf):
-    everything = sheets(spark, sf).withColumnRenamed("day", "date")
-    late = F.col("date") >= "2024-01-03"
-    old = everything.filter((F.col("scraper").isin("click", "view") | late) & (F.col("date") < SPLIT_DAY))
-    new = everything.filter(F.col("date") >= SPLIT_DAY)
-    merged = b.merge_baseline(b.build_baseline(old), b.build_baseline(new))
+    new = b.build_baseline(today(spark, sf).withColumnRenamed("day", "date"))
+    merged = b.merge_baseline(b.build_baseline(history(spark, sf)), new)
     return merged.withColumn("observed_dates", F.array_join("observed_dates", ","))
 
 

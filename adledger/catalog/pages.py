@@ -328,13 +328,21 @@ def p17(spark, sf):
     return p.split_media(profiles(spark, sf))
 
 
+BLOCKED = ["lh3.googleusercontent.com", "lh4.googleusercontent.com", "lh5.googleusercontent.com", "gps-cs-s", "gps-proxy"]
+
+
+def image(url: str) -> str:
+    """SQL for an image address that may be fetched, else an empty text."""
+    return f"CASE WHEN regexp_matches({url}, '^https?://') AND NOT ({' OR '.join(f"contains(lower({url}), '{h}')" for h in BLOCKED)}) THEN {url} ELSE '' END"
+
+
 MEDIA_URLS = f"CASE WHEN {ENABLED} THEN list_transform({USABLE}, lambda m: m ->> '$.url') ELSE [] END"
 EXT = """lower(regexp_extract(regexp_replace(url, '^[a-zA-Z]+://[^/?#]*|[?#].*$', '', 'g'), '[^/](\\.[^./]+)$', 1))"""
 
 
 @query(
     "p15_business_image_roster",
-    PROFILE + f""", m AS (SELECT {whole('doc', f'{PP}.business.id')} AS id, {b('logo')} AS logo, {b('cover_image')} AS cover, {MEDIA_URLS} AS media FROM b),
+    PROFILE + f""", m AS (SELECT {whole('doc', f'{PP}.business.id')} AS id, {image(b('logo'))} AS logo, {image(b('cover_image'))} AS cover, {MEDIA_URLS} AS media FROM b),
     r AS (SELECT id, 'logo' AS kind, logo AS url FROM m WHERE logo <> '' UNION ALL SELECT id, 'cover', cover FROM m WHERE cover NOT IN ('', 'media')
       UNION ALL SELECT id, 'media_' || (generate_subscripts(media, 1) - 1), unnest(media) FROM m)
     SELECT id, kind, url, 'business_' || id || '_image_N' || CASE WHEN {EXT} = '' OR length({EXT}) > 5 THEN '.jpg' ELSE {EXT} END AS name_shape FROM r""",

@@ -13,7 +13,6 @@ from adledger.operators import sites as h
 from adledger.operators import workflows as k
 from adledger.operators.metrics import result_list, with_report_requests
 
-START, END = "1995-01-01", "2001-12-31"
 RUN_DAY = "2001-06-01"
 FOLDER_DEFAULTS = {"folder-3": "monthly", "folder-11": "quarterly", "folder-19": "every_2_days"}
 VEHICLES = ["folder-2", "folder-5", "folder-8", "folder-24"]
@@ -36,7 +35,7 @@ EMPTY = f"""(coalesce({ADS}, 0) = 0 AND coalesce({whole('doc', '$.total_unique_p
   AND coalesce({whole('doc', '$.r2_daily_size')}, {over(RESULTS, 'r2_daily_size')}) = 0)"""
 
 FACTS = f"""WITH facts0 AS (SELECT site_id, report_date, CASE WHEN json_valid(body) THEN body END AS doc FROM @reports),
-facts AS (SELECT *, {ADS} AS ads, {EMPTY} AS is_empty FROM facts0 WHERE doc IS NOT NULL)
+facts AS MATERIALIZED (SELECT *, {ADS} AS ads, {EMPTY} AS is_empty FROM facts0 WHERE doc IS NOT NULL)
 """
 
 BLOCKS = ["$", "$.request_metrics", "$.error_summary.http"]
@@ -73,68 +72,81 @@ BY_FOLDER = "CASE lower(coalesce(nullif(folder, ''), site_id)) " + " ".join(f"WH
 LOOKBACK = "CASE schedule_name " + " ".join(f"WHEN '{s}' THEN {d}" for s, d in rules.REPORT_LOOKBACK_DAYS.items()) + f" ELSE {rules.REPORT_LOOKBACK_DEFAULT} END"
 NON_DAILY = ", ".join(f"'{s}'" for s in rules.NON_DAILY_SCHEDULES)
 
-POLICY = f"""pol0 AS (SELECT *, coalesce({SCHEDULE}, {BY_FOLDER}, 'daily') AS schedule_name FROM @registry_flat WHERE seq < 1000),
+POLICY = f"""pol0 AS (SELECT *, coalesce({SCHEDULE}, {BY_FOLDER}, 'daily') AS schedule_name FROM @registry_flat),
 pol AS (SELECT *, CASE WHEN report_fallback IN ('true', 'latest') THEN true WHEN report_fallback = 'false' THEN false ELSE schedule_name IN ({NON_DAILY}) END AS allows_fallback,
     CAST(coalesce(report_lookback_days, {LOOKBACK}) AS INT) AS lookback_days FROM pol0)"""
 
-CHOSEN = FACTS + f""", {POLICY},
-asked AS (SELECT pol.*, CAST(d AS DATE) AS hub_date FROM pol, range(DATE '{START}', DATE '{END}' + 1, INTERVAL 1 DAY) t(d)),
-older AS (SELECT a.site_id, a.hub_date, max(f.report_date) AS last FROM asked a JOIN facts f ON f.site_id = a.site_id AND f.report_date < a.hub_date
-    AND f.report_date >= a.hub_date - a.lookback_days AND NOT f.is_empty WHERE a.allows_fallback GROUP BY 1, 2),
-pickd AS (SELECT a.*, t.site_id IS NOT NULL AS has_today, coalesce(t.is_empty, true) AND o.last IS NOT NULL AS report_fallback_used,
-    CASE WHEN coalesce(t.is_empty, true) AND o.last IS NOT NULL THEN o.last WHEN t.site_id IS NOT NULL THEN a.hub_date END AS report_date
-  FROM asked a LEFT JOIN facts t ON t.site_id = a.site_id AND t.report_date = a.hub_date LEFT JOIN older o ON o.site_id = a.site_id AND o.hub_date = a.hub_date),
-chosen AS (SELECT p.* EXCLUDE (report_date), p.report_date, f.doc FROM pickd p LEFT JOIN facts f ON f.site_id = p.site_id AND f.report_date = p.report_date)
+DAYS = "range((SELECT min(report_date) FROM facts), (SELECT max(report_date) FROM facts) + 1, INTERVAL 1 DAY)"
+CHOSEN = FACTS + f""", narrow AS MATERIALIZED (SELECT site_id, report_date, is_empty FROM facts), {POLICY},
+policy AS MATERIALIZED (SELECT * FROM pol),
+days AS MATERIALIZED (SELECT DISTINCT site_id, allows_fallback, lookback_days, CAST(d AS DATE) AS hub_date FROM policy, {DAYS} t(d)),
+older AS MATERIALIZED (SELECT a.site_id, a.lookback_days, a.hub_date, max(f.report_date) AS last FROM days a JOIN narrow f ON f.site_id = a.site_id AND f.report_date < a.hub_date
+    AND f.report_date >= a.hub_date - a.lookback_days AND NOT f.is_empty WHERE a.allows_fallback GROUP BY 1, 2, 3),
+asked AS (SELECT policy.*, CAST(d AS DATE) AS hub_date FROM policy, {DAYS} t(d)),
+chosen AS (SELECT a.*, t.site_id IS NOT NULL AS has_today, coalesce(t.is_empty, true) AND a.allows_fallback AND o.last IS NOT NULL AS report_fallback_used,
+    CASE WHEN coalesce(t.is_empty, true) AND a.allows_fallback AND o.last IS NOT NULL THEN o.last WHEN t.site_id IS NOT NULL THEN a.hub_date END AS report_date
+  FROM asked a LEFT JOIN narrow t ON t.site_id = a.site_id AND t.report_date = a.hub_date
+    LEFT JOIN older o ON o.site_id = a.site_id AND o.hub_date = a.hub_date AND o.lookback_days = a.lookback_days)
 """
 
 PASSED = f"len(list_filter({RESULTS}, lambda r: {txt('r', '$.all_passed')} = 'true'))"
 
 
 def told(field: str, report_field: str) -> str:
-    return f"CASE WHEN doc IS NULL THEN 0 ELSE coalesce({whole('doc', f'$.{report_field}')}, {over(RESULTS, field)}) END AS {field}"
+    return f"coalesce({whole('doc', f'$.{report_field}')}, {over(RESULTS, field)}) AS {field}"
 
 
 TOLD = [(c, f"total_{c}") for c in h.PHONE_COUNTS]
 TOLD += [("r2_file_count", "total_r2_files"), ("r2_size_bytes", "total_r2_size_bytes"), ("r2_daily_size", "r2_daily_size")]
 TOLD += [(f"r2_{c}_bytes", f"total_r2_{c}_bytes") for c in rules.STORAGE_CATEGORIES]
 TOLD += [(f"r2_daily_{c}_bytes", f"total_r2_daily_{c}_bytes") for c in rules.STORAGE_CATEGORIES]
-NAME = f"trim(coalesce(nullif({txt('doc', '$.display_name')}, ''), nullif(display_name, ''), nullif(folder, '')))"
+NAME = "trim(coalesce(d_display_name, nullif(c.display_name, ''), nullif(c.folder, '')))"
 VEHICLE_LIST = ", ".join(f"'{v}'" for v in VEHICLES)
 
-SUMMARY = CHOSEN + f""", {requests('chosen')},
-tot AS (SELECT *, len({RESULTS}) AS reported, CASE WHEN len({RESULTS}) > 0 THEN len({RESULTS}) ELSE coalesce(scrapers, 0) END AS total0 FROM req),
-sm AS (SELECT hub_date, site_id, folder, seq, CASE WHEN trim(folder) IN ({VEHICLE_LIST}) THEN CASE WHEN lower({NAME}) LIKE '%(automotive)' THEN {NAME} ELSE lower({NAME}) || ' (automotive)' END ELSE {NAME} END AS display_name,
-    coalesce(nullif({txt('doc', '$.website')}, ''), website) AS website, coalesce(nullif({txt('doc', '$.country')}, ''), country) AS country, coalesce(nullif({txt('doc', '$.repo')}, ''), repo) AS repo,
-    uses_proxy, report_fallback_used AS report_fallback, coalesce({txt('doc', '$.run_date')}, CAST(coalesce(report_date, hub_date) AS VARCHAR)) AS run_date, {txt('doc', '$.inspect_date')} AS inspect_date,
-    CASE WHEN doc IS NULL THEN 0 ELSE total0 END AS scrapers_total,
-    CASE WHEN doc IS NULL THEN 0 WHEN reported = 0 AND total0 > 0 AND {txt('doc', '$.overall_pass')} = 'false' THEN 0
-      WHEN reported = 0 AND total0 > 0 AND (requests_total IS NOT NULL OR json_exists(doc, '$.total_ads')) THEN total0 ELSE {PASSED} END AS scrapers_passed,
-    CASE WHEN doc IS NULL THEN 0 ELSE coalesce({whole('doc', '$.alert_count')}, CASE WHEN json_type(doc, '$.alerts') = 'ARRAY' THEN json_array_length(doc, '$.alerts') END, 0) END AS alert_count,
-    CASE WHEN doc IS NULL THEN 0 ELSE {ADS} END AS unique_ads, {', '.join(told(*p) for p in TOLD)}, requests_total, requests_failed, error_rate_pct, requests_per_min, doc FROM tot),
-summary AS (SELECT *, CASE WHEN doc IS NULL THEN 'missing' WHEN scrapers_passed = scrapers_total AND scrapers_total > 0 THEN 'ok' ELSE 'failed' END AS status,
-    CASE WHEN doc IS NOT NULL THEN greatest(scrapers_total - scrapers_passed, 0) END AS scrapers_failed FROM sm)
+SUMMARY = CHOSEN + f""", {requests('facts')},
+rf AS MATERIALIZED (SELECT site_id, report_date, {', '.join(f"nullif({txt('doc', f'$.{c}')}, '') AS d_{c}" for c in ('display_name', 'website', 'country', 'repo'))},
+    {txt('doc', '$.run_date')} AS d_run_date, {txt('doc', '$.inspect_date')} AS d_inspect_date, len({RESULTS}) AS reported, {PASSED} AS passed, {txt('doc', '$.overall_pass')} AS overall,
+    json_exists(doc, '$.total_ads') AS has_total, coalesce({whole('doc', '$.alert_count')}, CASE WHEN json_type(doc, '$.alerts') = 'ARRAY' THEN json_array_length(doc, '$.alerts') END, 0) AS alerts,
+    ads, {', '.join(told(*p) for p in TOLD)}, requests_total, requests_failed, error_rate_pct, requests_per_min FROM req),
+tot AS (SELECT c.hub_date, c.site_id, c.folder, c.seq, CASE WHEN trim(c.folder) IN ({VEHICLE_LIST}) THEN CASE WHEN lower({NAME}) LIKE '%(automotive)' THEN {NAME} ELSE lower({NAME}) || ' (automotive)' END ELSE {NAME} END AS display_name,
+    coalesce(d_website, c.website) AS website, coalesce(d_country, c.country) AS country, coalesce(d_repo, c.repo) AS repo, c.uses_proxy, report_fallback_used AS report_fallback,
+    coalesce(d_run_date, CAST(coalesce(c.report_date, c.hub_date) AS VARCHAR)) AS run_date, d_inspect_date AS inspect_date, f.site_id IS NULL AS none, reported, passed, overall, has_total,
+    CASE WHEN reported > 0 THEN reported ELSE coalesce(c.scrapers, 0) END AS total0, coalesce(alerts, 0) AS alert_count, coalesce(ads, 0) AS unique_ads,
+    {', '.join(f'coalesce(f.{c}, 0) AS {c}' for c, _ in TOLD)}, requests_total, requests_failed, error_rate_pct, requests_per_min
+  FROM chosen c LEFT JOIN rf f ON f.site_id = c.site_id AND f.report_date = c.report_date),
+sm AS (SELECT *, CASE WHEN none THEN 0 ELSE total0 END AS scrapers_total,
+    CASE WHEN none THEN 0 WHEN reported = 0 AND total0 > 0 AND overall = 'false' THEN 0
+      WHEN reported = 0 AND total0 > 0 AND (requests_total IS NOT NULL OR has_total) THEN total0 ELSE passed END AS scrapers_passed FROM tot),
+summary AS (SELECT *, CASE WHEN none THEN 'missing' WHEN scrapers_passed = scrapers_total AND scrapers_total > 0 THEN 'ok' ELSE 'failed' END AS status,
+    CASE WHEN NOT none THEN greatest(scrapers_total - scrapers_passed, 0) END AS scrapers_failed FROM sm)
 """
 SUMMARY_COLS = (
-    ["hub_date", "site_id", "folder", "display_name", "website", "country", "repo", "uses_proxy", "report_fallback", "run_date", "inspect_date", "scrapers_total",
+    ["seq", "hub_date", "site_id", "folder", "display_name", "website", "country", "repo", "uses_proxy", "report_fallback", "run_date", "inspect_date", "scrapers_total",
      "scrapers_passed", "alert_count", "unique_ads"] + [c for c, _ in TOLD]
     + ["requests_total", "requests_failed", "error_rate_pct", "requests_per_min", "status", "scrapers_failed"]
 )
 
 
 def policy(spark, sf):
-    return h.fallback_policy(registry(spark, sf).filter("seq < 1000"), FOLDER_DEFAULTS)
+    return h.fallback_policy(registry(spark, sf), FOLDER_DEFAULTS)
 
 
 def facts(spark, sf):
     return h.report_facts(source(spark, sf, "reports"))
 
 
-def chosen(spark, sf):
-    return h.latest_usable_report(h.asked_days(policy(spark, sf), START, END), facts(spark, sf))
+def summarized(spark, sf, documents: bool = False):
+    return h.summarized_reports(facts(spark, sf), documents)
 
 
-def summary(spark, sf):
-    return h.summarize_site(chosen(spark, sf), VEHICLES)
+def chosen(spark, sf, reports=None):
+    """Every registry row on every day from the first report to the last."""
+    start, end = source(spark, sf, "reports").agg(F.min("report_date").cast("string"), F.max("report_date").cast("string")).first()
+    return h.latest_usable_report(h.asked_days(policy(spark, sf), start, end), summarized(spark, sf) if reports is None else reports)
+
+
+def summary(spark, sf, documents: bool = False):
+    return h.summarize_site(chosen(spark, sf, summarized(spark, sf, documents)), VEHICLES)
 
 
 @query("m7_report_request_metrics", FACTS + f", {requests('facts')} SELECT site_id, report_date, requests_total, requests_failed, error_rate_pct, requests_per_min FROM req")
@@ -160,7 +172,7 @@ def h1(spark, sf):
 def h2(spark, sf):
     folder = F.coalesce(F.nullif("folder", F.lit("")), F.col("site_id"))
     named = h.normalize_schedule(F.col("schedule"), folder, FOLDER_DEFAULTS)
-    return source(spark, sf, "registry_flat").filter("seq < 1000").select("site_id", named.alias("schedule_name"))
+    return source(spark, sf, "registry_flat").select("site_id", named.alias("schedule_name"))
 
 
 @query("h3_fallback_policy", f"WITH {POLICY} SELECT site_id, allows_fallback, lookback_days FROM pol")
@@ -178,10 +190,10 @@ def h5(spark, sf):
     return facts(spark, sf).select("site_id", "report_date", h.unique_ads_of_report(F.col("doc"), result_list(F.col("doc"))).alias("ads"))
 
 
-@query("h6_latest_usable_report", CHOSEN + "SELECT site_id, hub_date, report_date, report_fallback_used AS report_fallback, length(doc) > 0 AS found FROM chosen")
+@query("h6_latest_usable_report", CHOSEN + "SELECT seq, site_id, hub_date, report_date, report_fallback_used AS report_fallback, CASE WHEN report_date IS NOT NULL THEN true END AS found FROM chosen")
 def h6(spark, sf):
-    found = F.when(F.col("doc").isNotNull(), True)
-    return chosen(spark, sf).select("site_id", "hub_date", "report_date", "report_fallback", found.alias("found"))
+    reports = facts(spark, sf).select("site_id", "report_date", "is_empty", F.lit(True).alias("found"))
+    return chosen(spark, sf, reports).select("seq", "site_id", "hub_date", "report_date", "report_fallback", "found")
 
 
 @query("h7_summarize_site", SUMMARY + f"SELECT {', '.join(SUMMARY_COLS)} FROM summary")
@@ -290,7 +302,7 @@ def h13_names(spark, sf):
 RUN_LOOKBACK = "CASE regexp_replace(lower(coalesce(schedule, 'daily')), '[ -]', '_', 'g') " + " ".join(
     f"WHEN '{s}' THEN {d}" for s, d in rules.RUN_LOOKBACK_DAYS.items()
 ) + f" ELSE {rules.RUN_LOOKBACK_DEFAULT} END"
-RUNS = f"""WITH conf AS (SELECT *, {CONFIGURED} AS names FROM @registry_flat WHERE seq < 1000),
+RUNS = f"""WITH conf AS (SELECT *, {CONFIGURED} AS names FROM @registry_flat),
 wanted AS (SELECT site_id, trim(github_username) AS owner, trim(repo) AS repo, DATE '{RUN_DAY}' - CAST({RUN_LOOKBACK} AS INT) AS not_before,
     unnest(names) AS name, generate_subscripts(names, 1) - 1 AS pos FROM conf),
 fit AS (SELECT w.site_id, w.pos, r.*, row_number() OVER (PARTITION BY w.site_id, w.pos ORDER BY run_started_at DESC, run_id DESC) AS rn
@@ -301,7 +313,7 @@ found AS (SELECT * FROM fit WHERE rn = 1)
 
 @query("h16_latest_run", RUNS + "SELECT site_id, CAST(pos AS INT) AS pos, owner, repo, name, run_id, run_number, conclusion, duration_sec, CAST(run_started_at AS VARCHAR) AS run_started_at FROM found")
 def h16(spark, sf):
-    wanted = k.wanted_runs(registry(spark, sf).filter("seq < 1000"), RUN_DAY)
+    wanted = k.wanted_runs(registry(spark, sf), RUN_DAY)
     found = k.latest_run(source(spark, sf, "runs"), wanted)
     return found.withColumn("run_started_at", F.col("run_started_at").cast("string"))
 
@@ -316,4 +328,4 @@ def h16(spark, sf):
       run_number AS workflow_run_number, CASE WHEN g.site_id IS NOT NULL THEN 'run_table' ELSE 'registry_fallback' END AS source FROM conf c LEFT JOIN g USING (site_id)""",
 )
 def h18(spark, sf):
-    return k.pipeline_run_meta(source(spark, sf, "runs"), registry(spark, sf).filter("seq < 1000"), RUN_DAY)
+    return k.pipeline_run_meta(source(spark, sf, "runs"), registry(spark, sf), RUN_DAY)

@@ -6,20 +6,18 @@ from pyspark.sql import functions as F
 
 from adledger import schemas
 from adledger.catalog import hub as hub_catalog
-from adledger.catalog.documents import SUMMARY, best_summary_docs
 from adledger.catalog.hub import DOCS, SITES, hub_docs
 from adledger.catalog.inputs import expected, registry, sheet_rows, source
 from adledger.catalog.inspection import HISTORY, history
 from adledger.catalog.registry import query
 from adledger.catalog.sites import SUMMARY as SITE_SUMMARY
-from adledger.catalog.sites import h9, summary
+from adledger.catalog.sites import summary
 from adledger.functions import variants as V
 from adledger.operators import hub as f
+from adledger.operators import sites as h
 from adledger.operators import trends as b
-from adledger.operators.layout import backfill_window
-from adledger.operators.ordering import first_rows
 from adledger.plans import hub_chain
-from adledger.session import scratch_dir
+from adledger.session import saved, scratch_dir
 from adledger.sources import readers, writers
 
 LISTED = """SELECT event_type AS category, CAST(event_id AS STRING) AS id, concat('item ', CAST(user_id AS STRING)) AS title, CAST(user_id * 10 AS STRING) AS price,
@@ -40,46 +38,45 @@ def s1(spark, sf):
     return back.select("category", "id", "title", "price", "date_published", "views_no", "is_verified", "save_date")
 
 
-@query("s2_read_summary_json", SUMMARY + "SELECT scraper, json_key AS summary_key, length(body) AS n_chars FROM best JOIN @summary_docs d USING (scraper) WHERE d.key = json_key")
+@query("s2_read_summary_json", "SELECT scraper, key AS summary_key, length(body) AS n_chars, md5(body) AS body_md5 FROM @summary_docs WHERE json_valid(body)")
 def s2(spark, sf):
     root = scratch_dir(spark, "summaries")
-    best = best_summary_docs(spark, sf)
     name = F.regexp_extract("key", r"([^/]*)$", 1)
-    writers.write_documents(best.select(F.concat("scraper", F.lit("/year=2024/month=1/day=2/json-files/"), name).alias("key"), "body"), root)
+    # every other file has its ending in capitals, as some scrapers write it
+    given = F.when(F.length("body") % 2 == 0, F.regexp_replace(name, "json$", "JSON")).otherwise(name)
+    docs = source(spark, sf, "summary_docs").select(F.concat("scraper", F.lit("/year=2024/month=1/day=2/json-files/"), given).alias("key"), "body")
+    writers.write_documents(docs, root)
     back = readers.read_summary_json(spark, root, for_metrics=True)
     scraper = F.regexp_extract("key", r"/summaries[^/]*/(.*)/year=", 1)
-    return back.select(
-        scraper.alias("scraper"), F.concat(F.lit("data/json-files/"), name).alias("summary_key"), F.length("body").alias("n_chars")
-    )
-
-
-NEWEST = """WITH ok AS (SELECT *, row_number() OVER (PARTITION BY site_id ORDER BY report_date DESC) AS rn FROM @reports)
-SELECT site_id AS prefix, report_date, length(body) > 0 AS found FROM ok WHERE rn = 1 AND json_valid(body)"""
+    key = F.concat(F.lit("data/json-files/"), F.regexp_replace(name, "JSON$", "json"))
+    return back.select(scraper.alias("scraper"), key.alias("summary_key"), F.length("body").alias("n_chars"), F.md5(F.col("body").cast("binary")).alias("body_md5"))
 
 
-@query("s3_read_reports", NEWEST)
+@query(
+    "s3_read_reports",
+    "SELECT site_id AS prefix, report_date, body ->> '$.total_unique_ads' AS ads, body ->> '$.run_date' AS run_date FROM @reports WHERE json_valid(body)",
+)
 def s3(spark, sf):
     root = scratch_dir(spark, "reports")
-    newest = first_rows(source(spark, sf, "reports"), ["site_id"], [F.desc("report_date")])
-    keyed = newest.select(writers.report_key(F.concat(F.lit("data/"), F.col("site_id")), F.col("report_date")).alias("key"), "body")
+    keyed = source(spark, sf, "reports").select(writers.report_key(F.concat(F.lit("data/"), F.col("site_id")), F.col("report_date")).alias("key"), "body")
     writers.write_documents(keyed, root)
-    return readers.read_reports(spark, root).select("prefix", "report_date", F.col("doc").isNotNull().alias("found"))
+    back = readers.read_reports(spark, root)
+    return back.select("prefix", "report_date", V.text("doc", "$.total_unique_ads").alias("ads"), V.text("doc", "$.run_date").alias("run_date"))
 
 
 WINDOW = "(SELECT max(hub_partition_date) FROM hd) - 30"
 
 
-@query("s4_read_hub_document", DOCS + f"SELECT hub_partition_date AS hub_date, body ->> '$.total_unique_ads' AS ads FROM hd WHERE hub_partition_date > {WINDOW}")
+@query("s4_read_hub_document", DOCS + f"SELECT hub_partition_date AS hub_date, body ->> '$.total_unique_ads' AS ads FROM hd")
 def s4(spark, sf):
     root = scratch_dir(spark, "hub")
     days = source(spark, sf, "hub_docs").withColumn("date", F.col("day").cast("date"))
-    recent = days.join(backfill_window(days, 30), "date", "left_semi")
-    writers.write_documents(recent.select(writers.hub_document_key(F.col("date")).alias("key"), "body"), root)
+    writers.write_documents(days.select(writers.hub_document_key(F.col("date")).alias("key"), "body"), root)
     return readers.read_hub_document(spark, root).select("hub_date", V.text("doc", "$.total_unique_ads").alias("ads"))
 
 
-def recent_tables(spark, sf, days: int = 30):
-    """The six tables of the last days there are."""
+def stored_tables(spark, sf, days: int = 0):
+    """The six tables of all days, or of the last ``days`` there are."""
     return hub_chain.tables_of_window(hub_docs(spark, sf), registry(spark, sf), days, hub_catalog.FOLDER_DEFAULTS)
 
 
@@ -91,13 +88,13 @@ def s5(spark, sf):
     return days.join(absent, "hub_partition_date", "left").groupBy("site_id").agg(F.count(F.lit(1)).alias("days"))
 
 
-F4 = hub_catalog.DOCS + f", t AS (SELECT {hub_catalog.SCRAPER_COLS} FROM sc WHERE hub_partition_date > {WINDOW})"
+F4 = hub_catalog.DOCS + f", t AS (SELECT {hub_catalog.SCRAPER_COLS} FROM sc)"
 
 
 @query("s6_write_hub_table", F4 + " SELECT * FROM t")
 def s6(spark, sf):
     root = scratch_dir(spark, "tables")
-    writers.write_hub_table(recent_tables(spark, sf)["scraper_daily"], root, "scraper_daily")
+    writers.write_hub_table(stored_tables(spark, sf)["scraper_daily"], root, "scraper_daily")
     return readers.read_hub_table(spark, root, "scraper_daily")
 
 
@@ -117,12 +114,13 @@ def s7(spark, sf):
 
 @query(
     "s7_write_hub_document",
-    SITE_SUMMARY + "SELECT hub_date AS hub_partition_date, site_id, status, unique_ads FROM summary WHERE hub_date > DATE '2001-11-30'",
+    SITE_SUMMARY + """SELECT hub_date AS hub_partition_date, coalesce(nullif(site_id, ''), nullif(folder, '')) AS site_id, status, unique_ads FROM summary
+    WHERE coalesce(nullif(site_id, ''), nullif(folder, '')) IS NOT NULL""",
 )
 def s7_hub(spark, sf):
     root = scratch_dir(spark, "hub-documents")
-    last_month = F.col("hub_date") > F.lit("2001-11-30").cast("date")
-    documents = writers.hub_documents(summary(spark, sf).filter(last_month), h9(spark, sf).filter(last_month))
+    rows = saved(summary(spark, sf, documents=True).withColumn("doc", F.to_json("doc")), "summaries").withColumn("doc", F.parse_json("doc"))
+    documents = writers.hub_documents(rows, h.hub_rollup(rows))
     writers.write_documents(documents.select(writers.hub_document_key(F.col("hub_date")).alias("key"), "body"), root)
     back = f.site_docs(readers.read_hub_document(spark, root))
     return back.select("hub_partition_date", "site_id", V.text("site", "$.status").alias("status"), V.whole("site", "$.unique_ads").alias("unique_ads"))
@@ -180,14 +178,13 @@ def s12(spark, sf):
 
 # --- table upkeep ---------------------------------------------------------------------------------------
 
-@query("w1_ensure_schema", DOCS + f"SELECT site_id, count(*) AS n, 0::BIGINT AS with_proxy FROM sd WHERE hub_partition_date > {WINDOW} GROUP BY 1")
+@query("w1_ensure_schema", SITES + "SELECT * REPLACE (NULL::BOOLEAN AS uses_proxy) FROM site_daily")
 def w1(spark, sf):
     """A table stored before a column was added still reads with that column, as null."""
     root = scratch_dir(spark, "old-tables")
-    old = recent_tables(spark, sf)["site_daily"].drop("uses_proxy")
+    old = stored_tables(spark, sf)["site_daily"].drop("uses_proxy")
     old.repartition("hub_partition_date").write.partitionBy("hub_partition_date").parquet(f"{root}/site_daily")
-    stored = writers.ensure_schema(spark, root)["site_daily"]
-    return stored.groupBy("site_id").agg(F.count(F.lit(1)).alias("n"), F.count("uses_proxy").alias("with_proxy"))
+    return writers.ensure_schema(spark, root)["site_daily"]
 
 
 ALIGNED = ", ".join(
@@ -220,9 +217,9 @@ def w3(spark, sf):
 
 @query("w4_replace_partition", F4 + " SELECT hub_partition_date, site_id, scraper, CASE WHEN hub_partition_date = DATE '2001-07-20' THEN 1 ELSE unique_ads END AS unique_ads FROM t WHERE hub_partition_date <> DATE '2001-07-21'")
 def w4(spark, sf):
-    """Thirty days stored, one replaced by other rows, one by an empty batch."""
+    """All days stored, one replaced by other rows, one by an empty batch."""
     root = scratch_dir(spark, "replaced")
-    rows = recent_tables(spark, sf)["scraper_daily"]
+    rows = stored_tables(spark, sf)["scraper_daily"]
     writers.write_hub_table(rows, root, "scraper_daily")
     writers.replace_partition(rows.withColumn("unique_ads", F.lit(1)), root, "scraper_daily", "2001-07-20")
     writers.replace_partition(rows.filter("false"), root, "scraper_daily", "2001-07-21")
@@ -232,9 +229,11 @@ def w4(spark, sf):
 PUSHED = SITES + f""", {hub_catalog.SUBCATEGORY[len(hub_catalog.DOCS):].lstrip(', ')}, {hub_catalog.ALERTS[len(hub_catalog.DOCS):].lstrip(', ')},
 hours0 AS (SELECT hub_partition_date, site_id, scraper, list_filter([{hub_catalog.HOUR_SHAPES}], lambda s: len(s) > 0)[1] AS pairs FROM sc),
 hours AS (SELECT DISTINCT hub_partition_date, site_id, scraper, p.h FROM (SELECT * EXCLUDE (pairs), unnest(pairs) AS p FROM hours0)),
-counts AS (SELECT 'hub_daily' AS tbl, hub_partition_date FROM hub_daily UNION ALL SELECT 'site_daily', hub_partition_date FROM site_daily UNION ALL SELECT 'scraper_daily', hub_partition_date FROM sc
-  UNION ALL SELECT 'alerts', hub_partition_date FROM alerts UNION ALL SELECT 'scraper_hourly_daily', hub_partition_date FROM hours
-  UNION ALL SELECT 'scraper_subcategory_daily', hub_partition_date FROM told UNION ALL SELECT 'scraper_subcategory_daily', hub_partition_date FROM sheets)
+counts AS (SELECT 'hub_daily' AS tbl, hub_partition_date FROM (SELECT DISTINCT hub_partition_date FROM hub_daily)
+  UNION ALL SELECT 'site_daily', hub_partition_date FROM (SELECT DISTINCT hub_partition_date, site_id FROM site_daily)
+  UNION ALL SELECT 'scraper_daily', hub_partition_date FROM (SELECT DISTINCT hub_partition_date, site_id, scraper FROM sc)
+  UNION ALL SELECT 'alerts', hub_partition_date FROM (SELECT DISTINCT hub_partition_date, alert_id FROM alerts) UNION ALL SELECT 'scraper_hourly_daily', hub_partition_date FROM hours
+  UNION ALL SELECT 'scraper_subcategory_daily', hub_partition_date FROM (SELECT hub_partition_date, site_id, scraper, subcategory, level_3 FROM told UNION SELECT hub_partition_date, site_id, scraper, subcategory, level_3 FROM sheets))
 """
 
 
@@ -252,7 +251,9 @@ def stored_counts(spark, root):
 @query("w5_push_partition", PUSHED + "SELECT hub_partition_date, tbl, count(*) AS n FROM counts WHERE hub_partition_date = DATE '2001-07-20' GROUP BY 1, 2")
 def w5(spark, sf):
     root = scratch_dir(spark, "pushed")
-    tables = recent_tables(spark, sf)
+    tables = stored_tables(spark, sf)
+    # rows that repeat a key, as two entries of one scraper do, are stored once
+    tables["scraper_subcategory_daily"] = tables["scraper_subcategory_daily"].unionByName(tables["scraper_subcategory_daily"])
     writers.push_partition(tables, root, "2001-07-20")
     writers.push_partition(tables, root, "1990-01-01")
     return stored_counts(spark, root)
@@ -263,4 +264,3 @@ def w6(spark, sf):
     root = scratch_dir(spark, "backfilled")
     hub_chain.backfill_documents(hub_docs(spark, sf), registry(spark, sf), root, 30, hub_catalog.FOLDER_DEFAULTS)
     return stored_counts(spark, root)
-

@@ -28,9 +28,13 @@ def phone_tokens(value: Column | str) -> Column:
         return F.when(is_missing_cell(cell), F.lit("")).otherwise(only_digits(cell))
 
     def cell_tokens(cell: Column) -> Column:
-        inner = F.concat(F.lit("["), F.substring(cell, 2, 1 << 30), F.lit(""))
+        inner = F.concat(F.lit("["), F.substr(cell, F.lit(2)))
         as_list = F.concat(F.regexp_replace(inner, r"[\]}]$", ""), F.lit("]"))
-        parsed = F.from_json(as_list, "array<string>", {"allowSingleQuotes": "true"})
+        # words of a list written by a program, where they stand for themselves and not in quotes
+        as_json = F.regexp_replace(as_list, r"(?<=[\[,(])\s*(?:None|True|False|nan)\s*(?=[\],)])", "null")
+        read = lambda c: F.from_json(c, "array<string>", {"allowSingleQuotes": "true"})
+        nested = lambda c: F.coalesce(F.when(c.rlike(r"^\s*\["), read(c)), F.array(c))
+        parsed = F.flatten(F.transform(read(as_json), nested))
         listed = cell.rlike(r"(?s)^(\[.*\]|\{.*\})$")
         return F.filter(
             F.when(listed & parsed.isNotNull(), F.transform(parsed, scalar)).otherwise(F.array(scalar(cell))),

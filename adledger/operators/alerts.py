@@ -75,11 +75,11 @@ def alert_gate(
 def failure_breakdown(failures: DataFrame, k: int = 20) -> DataFrame:
     """Failed checks by number of failures, with the first six scrapers and how many more."""
     per_scraper = failures.groupBy("check", "scraper").agg(F.count(F.lit(1)).alias("n"))
-    names = F.array_sort(F.collect_list("scraper"))
-    ranked = per_scraper.groupBy("check").agg(F.sum("n").alias("failures"), names.alias("_names"))
-    more = F.when(F.size("_names") > 6, F.concat(F.lit(" (+"), (F.size("_names") - 6).cast("string"), F.lit(" more)")))
-    sample = F.concat(F.array_join(F.slice("_names", 1, 6), ", "), F.coalesce(more, F.lit("")))
-    return ranked.select("check", "failures", sample.alias("scrapers")).orderBy(F.desc("failures"), "check").limit(k)
+    counts = per_scraper.groupBy("check").agg(F.sum("n").alias("failures"), F.count(F.lit(1)).alias("_scrapers"))
+    shown = first_rows(per_scraper, ["check"], ["scraper"], 6).groupBy("check").agg(F.array_sort(F.collect_list("scraper")).alias("_names"))
+    more = F.when(F.col("_scrapers") > 6, F.concat(F.lit(" (+"), (F.col("_scrapers") - 6).cast("string"), F.lit(" more)")))
+    sample = F.concat(F.array_join("_names", ", "), F.coalesce(more, F.lit("")))
+    return counts.join(shown, "check").select("check", "failures", sample.alias("scrapers")).orderBy(F.desc("failures"), "check").limit(k)
 
 
 def alert_digest(alerts: DataFrame, k: int = 8) -> DataFrame:

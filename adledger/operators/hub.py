@@ -18,7 +18,7 @@ from adledger.schemas import table_columns, table_types
 def typed(doc: Column, path: str, kind: str) -> Column:
     """a field by the type of its table column; null when it does not fit."""
     if kind in ("INT", "BIGINT"):
-        return V.whole(doc, path).cast(kind)
+        return V.whole(doc, path).try_cast(kind)
     if kind == "DOUBLE":
         return V.real(doc, path)
     if kind == "DATE":
@@ -31,15 +31,38 @@ def uses_proxy(site: Column, report: Column, registry: Column) -> Column:
     return F.coalesce(V.get(site, "$.uses_proxy", "boolean"), V.get(report, "$.uses_proxy", "boolean"), registry)
 
 
-def site_docs(hub_docs: DataFrame) -> DataFrame:
-    """Sites of hub documents ``(doc VARIANT)``; those without id and folder drop out."""
-    date = F.to_date(F.substring(V.text("doc", "$.run_date"), 1, 10))
-    sites = hub_docs.select(date.alias("hub_partition_date"), F.explode(V.items("doc", "$.sites")).alias("site"))
+def hub_date(doc: Column | str) -> Column:
+    """The date a hub document is for; null when it tells none that is a date."""
+    return F.substring(V.text(doc, "$.run_date"), 1, 10).try_cast("date")
+
+
+def _place(site: Column, told: Column) -> Column:
+    """Where an entry stands: by the time its document was made, then by its places in it, as text in order."""
+    return F.concat_ws("/", F.coalesce(told, F.lit("")), _number(site)).alias("seq")
+
+
+def _number(place: Column) -> Column:
+    return F.lpad(place.cast("string"), 9, "0")
+
+
+def _carried(df: DataFrame) -> list[str]:
+    return ["seq"] if "seq" in df.columns else []
+
+
+def site_docs(hub_docs: DataFrame, sequence: bool = False) -> DataFrame:
+    """Sites of hub documents ``(doc VARIANT)``; those without id and folder, or of a document without a date, drop out.
+
+    With ``sequence`` each row says where it stands, and so do the rows made of it.
+    """
+    sites = hub_docs.select(
+        hub_date("doc").alias("hub_partition_date"), V.text("doc", "$.generated_at").alias("_told"),
+        F.posexplode(V.items("doc", "$.sites")).alias("_site", "site"),
+    ).filter(F.col("hub_partition_date").isNotNull())
     folder = F.nullif(V.text("site", "$.folder"), F.lit(""))
     site_id = F.coalesce(F.nullif(V.text("site", "$.site_id"), F.lit("")), folder)
     return sites.select(
         "hub_partition_date", site_id.alias("site_id"), folder.alias("folder"), "site",
-        V.get("site", "$.report", "variant").alias("report"),
+        V.get("site", "$.report", "variant").alias("report"), *([_place(F.col("_site"), F.col("_told"))] if sequence else []),
     ).filter(F.col("site_id").isNotNull())
 
 
@@ -52,19 +75,19 @@ def site_docs_of_summary(summary: DataFrame) -> DataFrame:
     )
 
 
-def hub_daily(hub_docs: DataFrame, site_rows: DataFrame) -> DataFrame:
-    """one row per hub date; request figures come from the flat site rows."""
+def hub_daily(hub_docs: DataFrame, site_rows: DataFrame, sequence: bool = False) -> DataFrame:
+    """one row per hub document; request figures come from the flat site rows."""
     types = table_types("hub_daily")
     doc = F.col("doc")
     requests = ["total_requests", "total_requests_failed", "avg_error_rate_pct", "avg_requests_per_min"]
     plain = [
         typed(doc, f"$.{c}", k).alias(c) for c, k in types.items() if c not in ("hub_partition_date", *requests)
     ]
-    date = F.to_date(F.substring(V.text("doc", "$.run_date"), 1, 10)).alias("hub_partition_date")
-    rows = hub_docs.select(date, *plain)
+    seq = [_place(F.lit(0), V.text(doc, "$.generated_at"))] if sequence else []
+    rows = hub_docs.select(hub_date(doc).alias("hub_partition_date"), *plain, *seq).filter(F.col("hub_partition_date").isNotNull())
     totals = hub_request_totals(site_rows)
     joined = rows.join(totals, "hub_partition_date", "left")
-    return joined.select(*[F.col(c).cast(k).alias(c) for c, k in types.items()])
+    return joined.select(*[F.col(c).try_cast(k).alias(c) for c, k in types.items()], *_carried(joined))
 
 
 def site_daily(docs: DataFrame, registry: DataFrame, folder_defaults: dict[str, str] | None = None) -> DataFrame:
@@ -103,15 +126,16 @@ def site_daily(docs: DataFrame, registry: DataFrame, folder_defaults: dict[str,
         "uses_proxy": uses_proxy(site, report, F.col("reg.uses_proxy")),
     }
     return found.select(
-        *[(special[c].cast(k) if c in special else typed(site, f"$.{c}", k)).alias(c) for c, k in types.items()]
+        *[(special[c].try_cast(k) if c in special else typed(site, f"$.{c}", k)).alias(c) for c, k in types.items()], *_carried(docs)
     )
 
 
 def scraper_entries(docs: DataFrame) -> DataFrame:
     """one row per scraper of each site's report, named by itself, its key or its place."""
-    rows = docs.select("hub_partition_date", "site_id", F.inline(scraper_results(F.col("report"))))
-    label = F.coalesce(F.nullif(V.text("result", "$.scraper"), F.lit("")), F.col("name"))
-    return rows.select("hub_partition_date", "site_id", label.alias("scraper"), "result")
+    rows = docs.select("hub_partition_date", "site_id", *_carried(docs), F.posexplode(scraper_results(F.col("report"))).alias("_n", "_s"))
+    label = F.coalesce(F.nullif(V.text("_s.result", "$.scraper"), F.lit("")), F.col("_s.name"))
+    seq = [F.concat_ws("/", "seq", _number(F.col("_n"))).alias("seq")] if _carried(docs) else []
+    return rows.select("hub_partition_date", "site_id", label.alias("scraper"), F.col("_s.result").alias("result"), *seq)
 
 
 def scraper_daily(entries: DataFrame) -> DataFrame:
@@ -123,21 +147,25 @@ def scraper_daily(entries: DataFrame) -> DataFrame:
         "files_optional": F.coalesce(V.get("result", "$.files_optional", "boolean"), F.lit(False)),
     }
     return entries.select(
-        *[(own[c] if c in own else typed(F.col("result"), f"$.{c}", k)).alias(c) for c, k in table_types("scraper_daily").items()]
+        *[(own[c] if c in own else typed(F.col("result"), f"$.{c}", k)).alias(c) for c, k in table_types("scraper_daily").items()],
+        *_carried(entries),
     )
 
 
 def scraper_hourly_daily(entries: DataFrame) -> DataFrame:
     """ads per hour of each scraper."""
-    counted = hour_counts_from_report(entries.select("hub_partition_date", "site_id", "scraper", "result"))
-    return counted.withColumn("ads_count", F.col("ads_count").cast("int"))
+    counted = hour_counts_from_report(entries.select("hub_partition_date", "site_id", "scraper", *_carried(entries), "result"))
+    return counted.withColumn("ads_count", F.col("ads_count").try_cast("int"))
 
 
 def _told_breakdown(result: Column) -> Column:
     """Breakdown rows a report tells itself."""
 
     def row(raw: Column) -> Column:
-        count = F.coalesce(*[V.text(raw, f"$.{k}") for k in ("ads_count", "listings_count", "count")])
+        keys = F.map_keys(V.members(raw, "$"))
+        has = lambda k: F.array_contains(keys, k)
+        # the first key there is decides, also when its value is null
+        count = F.when(has("ads_count"), V.text(raw, "$.ads_count")).when(has("listings_count"), V.text(raw, "$.listings_count")).otherwise(V.text(raw, "$.count"))
         n = V.non_negative_int(F.regexp_replace(count, r"^(-?\d+)\.\d+$", "$1"))
         return F.struct(
             F.trim(F.coalesce(V.text(raw, "$.subcategory"), F.lit(""))).alias("subcategory"),
@@ -190,10 +218,13 @@ def scraper_subcategory_daily(entries: DataFrame) -> DataFrame:
 
     The choice is made inside each scraper's row, so no second read and no anti join is needed.
     """
-    keys = ["hub_partition_date", "site_id", "scraper"]
+    keys = ["hub_partition_date", "site_id", "scraper", *_carried(entries)]
     both = entries.select(*keys, _told_breakdown(F.col("result")).alias("_told"), _sheet_breakdown(F.col("result")).alias("_sheets"))
     has_told = F.coalesce(F.size("_told") > 0, F.lit(False))
-    told = both.filter(has_told).select(*keys, F.inline("_told"))
+    told = both.filter(has_told).select(*keys, F.posexplode("_told").alias("_row", "_t")).select(*keys, "_row", "_t.*")
+    if _carried(entries):
+        told = told.withColumn("seq", F.concat_ws("/", "seq", _number(F.col("_row"))))
+    told = told.drop("_row")
     grouped = (
         both.filter(~has_told)
         .select(*keys, F.inline("_sheets"))
@@ -203,12 +234,12 @@ def scraper_subcategory_daily(entries: DataFrame) -> DataFrame:
     )
     types = table_types("scraper_subcategory_daily")
     rows = told.unionByName(grouped)
-    return rows.select(*[F.col(c).cast(k).alias(c) for c, k in types.items()])
+    return rows.select(*[F.col(c).try_cast(k).alias(c) for c, k in types.items()], *_carried(rows))
 
 
 def alerts_flat(docs: DataFrame) -> DataFrame:
     """one row per alert of each site's report; its id is made of date, site, scraper and place."""
-    raised = docs.select("hub_partition_date", "site_id", F.posexplode(V.items("report", "$.alerts")).alias("i", "alert"))
+    raised = docs.select("hub_partition_date", "site_id", *_carried(docs), F.posexplode(V.items("report", "$.alerts")).alias("i", "alert"))
     scraper = F.coalesce(V.text("alert", "$.scraper"), F.lit(""))
     alert_id = F.concat_ws(":", F.col("hub_partition_date").cast("string"), "site_id", scraper, F.col("i").cast("string"))
     return raised.select(
@@ -219,21 +250,24 @@ def alerts_flat(docs: DataFrame) -> DataFrame:
         V.text("alert", "$.detail").alias("detail"),
         V.text("alert", "$.file").alias("file_key"),
         alert_id.alias("alert_id"),
-        F.coalesce(V.get("alert", "$.solved", "boolean"), F.lit(False)).alias("solved"),
+        F.coalesce(V.get("alert", "$.solved", "boolean"), F.lit(False)).alias("solved"), *_carried(docs),
     )
 
 
 def flatten_hub(hub_docs: DataFrame, registry: DataFrame, folder_defaults: dict[str, str] | None = None) -> dict[str, DataFrame]:
-    """F1-F7 over any number of hub documents at once."""
-    docs = site_docs(hub_docs)
+    """F1-F7 over any number of hub documents at once.
+
+    The tables carry ``seq``, by which the writers keep the last row of each primary key.
+    """
+    docs = site_docs(hub_docs, sequence=True)
     entries = scraper_entries(docs)
     sites = site_daily(docs, registry, folder_defaults)
     tables = {
-        "hub_daily": hub_daily(hub_docs, sites),
+        "hub_daily": hub_daily(hub_docs, sites, sequence=True),
         "site_daily": sites,
         "scraper_daily": scraper_daily(entries),
         "scraper_hourly_daily": scraper_hourly_daily(entries),
         "scraper_subcategory_daily": scraper_subcategory_daily(entries),
         "alerts": alerts_flat(docs),
     }
-    return {name: df.select(*table_columns(name)) for name, df in tables.items()}
+    return {name: df.select(*table_columns(name), "seq") for name, df in tables.items()}

@@ -142,6 +142,7 @@ def match_checks(matches: DataFrame, kinds: tuple[str, ...] = ("columns", "range
     """
     rows, name, template = F.col("row_count"), F.col("sheet"), F.col("is_template")
     found, filled = name.isNotNull(), F.col("row_count") > 0
+    told_as = F.when(template, name).otherwise(F.col("expected_name"))
 
     def entry(label: Column, passed: Column, detail: Column) -> Column:
         return F.struct(name.alias("sheet"), label.alias("check_name"), passed.alias("passed"), detail.alias("detail"))
@@ -150,6 +151,7 @@ def match_checks(matches: DataFrame, kinds: tuple[str, ...] = ("columns", "range
         "; ",
         F.when(F.size("missing_core") > 0, F.concat(F.lit("Missing core: "), F.array_join("missing_core", ", "))),
         F.when(F.size("missing_optional") > 0, F.concat(F.lit("optional absent: "), F.array_join("missing_optional", ", "))),
+        F.when(F.size("missing_core") > 0, F.concat(F.lit("actual headers: "), F.array_join(F.slice("columns", 1, 12), ", "), F.when(F.size("columns") > 12, "…").otherwise(""))),
     )
     bounds = F.concat(
         rows.cast("string"), F.lit(" rows (expected "), F.col("row_min").cast("string"), F.lit("-"),
@@ -159,14 +161,14 @@ def match_checks(matches: DataFrame, kinds: tuple[str, ...] = ("columns", "range
         "columns": F.when(
             found,
             entry(
-                F.when(filled, _label("columns_in_", name)).otherwise(_label("rows_in_", name)),
+                F.when(filled, _label("columns_in_", told_as)).otherwise(_label("rows_in_", told_as)),
                 F.when(filled, F.size("missing_core") == 0).otherwise(F.lit(True)),
                 F.when(filled, missing).otherwise(F.lit("0 rows, skipped")),
             ),
         ),
         "range": F.when(
             found & (~template | filled),
-            entry(_label("rows_in_", name), rows.between(F.col("row_min"), F.col("row_max")), bounds),
+            entry(_label("rows_in_", told_as), rows.between(F.col("row_min"), F.col("row_max")), bounds),
         ),
         "exists": F.when(
             ~found,

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from adledger import rules
 from adledger.functions import variants as V
 from adledger.functions.moments import relative_age
-from adledger.functions.text import as_col, file_name, no_texts
+from adledger.functions.text import as_col, file_name, is_valid_image_url, no_texts
 from adledger.operators.ordering import keep_rows
 from adledger.operators.pages import PROPS
 
@@ -248,14 +248,6 @@ def collect_image_keys(images: DataFrame, url_prefix: str = "") -> DataFrame:
     )
 
 
-def is_valid_image_url(url: Column | str) -> Column:
-    """P16 as an expression: a web address whose host is not known to refuse downloads."""
-    blocked = F.lit(False)
-    for host in rules.BLOCKED_IMAGE_HOSTS:
-        blocked = blocked | F.lower(as_col(url)).contains(host)
-    return F.coalesce(as_col(url).rlike("^https?://") & ~blocked, F.lit(False))
-
-
 def filter_image_urls(df: DataFrame, column: str = "url") -> DataFrame:
     """P16."""
     return df.filter(is_valid_image_url(column))

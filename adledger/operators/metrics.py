@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from adledger import rules
 from adledger.functions import variants as V
 from adledger.functions.text import let, pct_or_null
-from adledger.operators.ordering import keep_rows
+from adledger.operators.ordering import first_rows, keep_rows
 
 ITEM = "array<struct<name:string,errors:bigint,detail:string>>"
 LISTED = 12
@@ -174,10 +174,9 @@ def failed_scrapers(results: DataFrame, checks: DataFrame) -> DataFrame:
 
     ``results`` has ``scraper, all_passed, files_found, files_optional, requests_failed, failed_items_summary``.
     """
-    names = checks.filter(~F.col("passed")).groupBy("scraper", "check_name").agg(F.count(F.lit(1)).alias("n"))
-    listed = names.groupBy("scraper").agg(
-        F.array_join(F.slice(F.array_sort(F.collect_list("check_name")), 1, 5), ", ").alias("_names")
-    )
+    names = checks.filter(~F.col("passed")).select("scraper", "check_name").distinct()
+    first = first_rows(names, ["scraper"], ["check_name"], 5)
+    listed = first.groupBy("scraper").agg(F.array_join(F.array_sort(F.collect_list("check_name")), ", ").alias("_names"))
     joined = results.filter(~F.coalesce("all_passed", F.lit(False))).join(listed, "scraper", "left")
     no_files = (F.coalesce("files_found", F.lit(0)) == 0) & ~F.coalesce("files_optional", F.lit(False))
     reason = F.concat_ws(

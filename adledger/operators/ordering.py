@@ -16,25 +16,6 @@ def keep_rows(df: DataFrame, test: Column) -> DataFrame:
     return df.select("*", F.explode(F.when(test, F.array(F.lit(True)))).alias("_keep")).drop("_keep")
 
 
-def mark_first(df: DataFrame, keys: list[str], order: list[str], flag: str, salts: int = 64) -> DataFrame:
-    """Add ``flag``: true on the first row of each key in ``order``, false on all others.
-
-    Rows of a key are first split over ``salts`` parts. Each part names its own first row, and only those
-    compete in a second window; the rest stay in their parts. No task ever sorts a whole hot key.
-    """
-    part = F.pmod(F.xxhash64(*order), F.lit(salts))
-    local = W.partitionBy(*keys, "_part").orderBy(*order)
-    final = W.partitionBy(*keys, "_round").orderBy(*order)
-    return (
-        df.withColumn("_part", part)
-        .withColumn("_local", F.row_number().over(local))
-        .withColumn("_round", F.when(F.col("_local") == 1, F.lit(-1)).otherwise(F.col("_part")))
-        .withColumn("_final", F.row_number().over(final))
-        .withColumn(flag, (F.col("_round") == -1) & (F.col("_final") == 1))
-        .drop("_part", "_local", "_round", "_final")
-    )
-
-
 def first_rows(df: DataFrame, keys: list[str], order: list, limit: int = 1) -> DataFrame:
     """The first ``limit`` rows of each key.
 

@@ -62,7 +62,7 @@ def summary_document(summary: DataFrame, scraped: Column) -> DataFrame:
 def write_grouped(listings: DataFrame, path: str) -> None:
     """Listings by day, category and group, one folder each.
 
-    Rows are rebalanced by folder before the write: small folders share a task, a large one is split over
+    Only the folders of the batch are replaced. Rows are rebalanced by folder before the write: small folders share a task, a large one is split over
     several, and no task holds files open for folders it barely feeds.
     """
     folders = ["year", "month", "day", "category", "child"]
@@ -74,6 +74,7 @@ def write_grouped(listings: DataFrame, path: str) -> None:
         .drop("save_date")
         .hint("rebalance", *folders)
         .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*folders)
         .parquet(path)
     )

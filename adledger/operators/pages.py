@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from adledger.functions import variants as V
-from adledger.functions.text import as_col
+from adledger.functions.text import as_col, is_valid_image_url
 from adledger.operators.ordering import keep_rows
 
 # fixed values: patterns and paths of the embedded documents
@@ -89,7 +89,7 @@ def extract_categories(payloads: DataFrame, path: str) -> DataFrame:
         V.text("n", "$.slug").alias("slug"),
         F.coalesce(V.text("n", "$.name_ar"), V.text("n", "$.name")).alias("name_ar"),
         V.text("n", "$.name_en").alias("name_en"),
-        V.whole("n", "$.listings_count").cast("int").alias("listings_count"),
+        V.whole("n", "$.listings_count").try_cast("int").alias("listings_count"),
         V.text("n", "$.slug_url").alias("slug_url"),
         kind.alias("category_type"),
         F.coalesce(kind == DISTRICT_TYPE, F.lit(False)).alias("has_districts"),
@@ -146,7 +146,7 @@ def extract_business_cards(payloads: DataFrame) -> DataFrame:
     ]
     return cards.select(
         "page_id", "pos", *[V.text("n", f"$.{names.get(f, f)}").alias(f) for f in fields],
-        V.whole("n", "$.images_count").cast("int").alias("images_count"),
+        V.whole("n", "$.images_count").try_cast("int").alias("images_count"),
     )
 
 
@@ -268,8 +268,7 @@ def extract_business_profile(payloads: DataFrame, category_slug: Column) -> Data
         "category_slug",
         *[text(f"$.{f}").alias(f) for f in plain],
         text("$.category.name").alias("category_name"),
-        text("$.logo").alias("logo"),
-        text("$.cover_image").alias("cover_image"),
+        *[F.when(is_valid_image_url(text(f"$.{f}")), text(f"$.{f}")).otherwise("").alias(f) for f in ("logo", "cover_image")],
         F.coalesce(V.real("b", "$.rating.average"), F.lit(0.0)).alias("rating_average"),
         F.coalesce(V.whole("b", "$.rating.count"), F.lit(0).cast("bigint")).alias("rating_count"),
         F.coalesce(V.whole("b", "$.view_count"), F.lit(0).cast("bigint")).alias("view_count"),

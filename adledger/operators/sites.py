@@ -10,7 +10,7 @@ from adledger import rules
 from adledger.functions import variants as V
 from adledger.functions.text import pct_or_null
 from adledger.operators.metrics import result_list, with_report_requests
-from adledger.operators.ordering import keep_rows
+from adledger.operators.ordering import first_rows, keep_rows
 
 PHONE_COUNTS = ["unique_phones", "valid_phones", "invalid_phones", "outside_country_phones"]
 STORAGE_TOTALS = ["r2_file_count", "r2_size_bytes", *[f"r2_{c}_bytes" for c in rules.STORAGE_CATEGORIES]]
@@ -103,11 +103,13 @@ def latest_usable_report(asked: DataFrame, facts: DataFrame) -> DataFrame:
 
     The report of the day when usable; else, for sites that may fall back, the newest usable one within the
     lookback; else the day's empty one; else none. The search runs over narrow (site, date) rows: one ordered
-    pass per site carries the last usable date forward, so no report meets every asked day.
+    pass per site carries the last usable date forward, so no report meets every asked day. A site that is asked
+    for twice, as by two registry rows, gets its answer twice. ``facts`` has one row per site and date, and
+    whatever else it holds comes along; see ``summarized_reports``.
     """
     probes = asked.select(
         "site_id", F.col("hub_date").alias("day"), F.lit(0).alias("kind"), F.lit(None).cast("boolean").alias("is_empty")
-    )
+    ).distinct()
     points = facts.select("site_id", F.col("report_date").alias("day"), F.lit(1).alias("kind"), "is_empty")
     order = W.partitionBy("site_id").orderBy("day", "kind")
     usable = F.when(~F.col("is_empty"), F.col("day"))
@@ -126,7 +128,7 @@ def latest_usable_report(asked: DataFrame, facts: DataFrame) -> DataFrame:
     chosen = joined.withColumn(
         "report_date", F.when(use_older, F.col("_last")).when(F.col("_empty").isNotNull(), F.col("hub_date"))
     ).withColumn("report_fallback", use_older).drop("_last", "_empty")
-    bodies = facts.select("site_id", "report_date", "doc")
+    bodies = facts.drop("is_empty")
     return chosen.join(bodies, ["site_id", "report_date"], "left")
 
 
@@ -137,57 +139,79 @@ def display_label(name: Column, folder: Column, vehicle_folders: list[str]) -> C
     return F.when(F.trim(folder).isin(*vehicle_folders), marked).otherwise(label) if vehicle_folders else label
 
 
-def summarize_site(chosen: DataFrame, vehicle_folders: list[str] | None = None) -> DataFrame:
-    """H7: one row per site and hub date from the report chosen for it."""
+def with_told(df: DataFrame) -> DataFrame:
+    """Add ``told``: all that a summary takes from the report in ``doc``, typed; null where there is no report."""
     doc, results = F.col("doc"), F.col("_results")
-    passed_n = F.size(F.filter(results, lambda r: F.coalesce(V.get(r, "$.all_passed", "boolean"), F.lit(False))))
-    base = with_report_requests(chosen, "doc").withColumn("_results", result_list(doc))
-    none = doc.isNull()
-    reported = F.size(results)
-    total = F.when(reported > 0, reported).otherwise(F.coalesce(F.nullif("scrapers", F.lit(0)), F.lit(0)))
-    summary_only = (reported == 0) & (total > 0)
-    overall = V.get(doc, "$.overall_pass", "boolean")
-    passed = (
-        F.when(summary_only & ~F.coalesce(overall, F.lit(True)), 0)
-        .when(summary_only & (F.col("requests_total").isNotNull() | V.get(doc, "$.total_ads", "variant").isNotNull()), total)
-        .otherwise(passed_n)
+    base = with_report_requests(df, "doc").withColumn("_results", result_list(doc))
+
+    def count(field: str, report_field: str) -> Column:
+        return F.coalesce(V.whole(doc, f"$.{report_field}"), _sum_over(results, field)).alias(field)
+
+    alerts = F.coalesce(V.whole(doc, "$.alert_count"), F.size(V.items(doc, "$.alerts")).cast("bigint"), F.lit(0).cast("bigint"))
+    told = F.struct(
+        *[F.nullif(V.text(doc, f"$.{c}"), F.lit("")).alias(c) for c in ("display_name", "website", "country", "repo")],
+        V.text(doc, "$.run_date").alias("run_date"),
+        V.text(doc, "$.inspect_date").alias("inspect_date"),
+        F.size(results).alias("reported"),
+        F.size(F.filter(results, lambda r: F.coalesce(V.get(r, "$.all_passed", "boolean"), F.lit(False)))).alias("passed"),
+        V.get(doc, "$.overall_pass", "boolean").alias("overall_pass"),
+        V.get(doc, "$.total_ads", "variant").isNotNull().alias("has_total"),
+        alerts.alias("alert_count"),
+        unique_ads_of_report(doc, results).cast("bigint").alias("unique_ads"),
+        *[count(c, f"total_{c}") for c in PHONE_COUNTS],
+        count("r2_file_count", "total_r2_files"),
+        count("r2_size_bytes", "total_r2_size_bytes"),
+        count("r2_daily_size", "r2_daily_size"),
+        *[count(f"r2_{c}_bytes", f"total_r2_{c}_bytes") for c in rules.STORAGE_CATEGORIES],
+        *[count(f"r2_daily_{c}_bytes", f"total_r2_daily_{c}_bytes") for c in rules.STORAGE_CATEGORIES],
+        "requests_total", "requests_failed", "error_rate_pct", "requests_per_min",
     )
-    name = F.coalesce(F.nullif(V.text(doc, "$.display_name"), F.lit("")), F.nullif("display_name", F.lit("")), F.nullif("folder", F.lit("")))
+    return base.select(*df.columns, F.when(doc.isNotNull(), told).alias("told"))
 
-    def told(field: str, report_field: str) -> Column:
-        value = F.coalesce(V.whole(doc, f"$.{report_field}"), _sum_over(results, field))
-        return F.when(none, F.lit(0).cast("bigint")).otherwise(value).alias(field)
 
-    def own(field: str) -> Column:
-        return F.coalesce(F.nullif(V.text(doc, f"$.{field}"), F.lit("")), F.col(field)).alias(field)
+def summarized_reports(facts: DataFrame, documents: bool = False) -> DataFrame:
+    """One row per site and report date with ``is_empty`` and ``told``, and with ``doc`` only where it is asked for.
 
-    alerts = F.coalesce(V.whole(doc, "$.alert_count"), F.size(V.items(doc, "$.alerts")).cast("bigint"), F.lit(0).cast("bigint"))
-    rows = base.select(
+    Each report is read once here, however many days fall back on it, and what is shuffled after is narrow. Of two
+    reports of a site for one day a usable one counts first, then the one that tells more.
+    """
+    kept = ["site_id", "report_date", "is_empty", "told", *(["doc"] if documents else [])]
+    rows = with_told(facts).select(*kept)
+    return first_rows(rows, ["site_id", "report_date"], ["is_empty", F.desc("told")])
+
+
+def summarize_site(chosen: DataFrame, vehicle_folders: list[str] | None = None) -> DataFrame:
+    """H7: one row per asked site and hub date from the report chosen for it."""
+    rows = chosen if "told" in chosen.columns else with_told(chosen)
+    t = F.col("told")
+    none, zero = t.isNull(), F.lit(0).cast("bigint")
+    total = F.when(t["reported"] > 0, t["reported"]).otherwise(F.coalesce(F.nullif("scrapers", F.lit(0)), F.lit(0)))
+    summary_only = (t["reported"] == 0) & (total > 0)
+    passed = (
+        F.when(summary_only & ~F.coalesce(t["overall_pass"], F.lit(True)), 0)
+        .when(summary_only & (t["requests_total"].isNotNull() | t["has_total"]), total)
+        .otherwise(t["passed"])
+    )
+    name = F.coalesce(t["display_name"], F.nullif("display_name", F.lit("")), F.nullif("folder", F.lit("")))
+    told = lambda c: F.when(none, zero).otherwise(t[c]).alias(c)
+    daily = ["r2_daily_size", *(f"r2_{c}_bytes" for c in rules.STORAGE_CATEGORIES), *(f"r2_daily_{c}_bytes" for c in rules.STORAGE_CATEGORIES)]
+    summed = rows.select(
         "hub_date", "site_id", "folder", "seq",
         display_label(name, F.col("folder"), vehicle_folders or []).alias("display_name"),
-        own("website"), own("country"), own("repo"),
+        *[F.coalesce(t[c], F.col(c)).alias(c) for c in ("website", "country", "repo")],
         "uses_proxy", "report_fallback",
-        F.coalesce(V.text(doc, "$.run_date"), F.coalesce("report_date", "hub_date").cast("string")).alias("run_date"),
-        V.text(doc, "$.inspect_date").alias("inspect_date"),
+        F.coalesce(t["run_date"], F.coalesce("report_date", "hub_date").cast("string")).alias("run_date"),
+        t["inspect_date"].alias("inspect_date"),
         F.when(none, 0).otherwise(total).cast("bigint").alias("scrapers_total"),
         F.when(none, 0).otherwise(passed).cast("bigint").alias("scrapers_passed"),
-        F.when(none, 0).otherwise(alerts).cast("bigint").alias("alert_count"),
-        F.when(none, 0).otherwise(unique_ads_of_report(doc, results)).cast("bigint").alias("unique_ads"),
-        *[told(c, f"total_{c}") for c in PHONE_COUNTS],
-        told("r2_file_count", "total_r2_files"),
-        told("r2_size_bytes", "total_r2_size_bytes"),
-        told("r2_daily_size", "r2_daily_size"),
-        *[told(f"r2_{c}_bytes", f"total_r2_{c}_bytes") for c in rules.STORAGE_CATEGORIES],
-        *[told(f"r2_daily_{c}_bytes", f"total_r2_daily_{c}_bytes") for c in rules.STORAGE_CATEGORIES],
-        "requests_total", "requests_failed", "error_rate_pct", "requests_per_min", "doc",
+        *[told(c) for c in ("alert_count", "unique_ads", *PHONE_COUNTS, "r2_file_count", "r2_size_bytes", *daily)],
+        *[t[c].alias(c) for c in ("requests_total", "requests_failed", "error_rate_pct", "requests_per_min")],
+        none.alias("_none"), *(["doc"] if "doc" in rows.columns else []),
     )
     whole = (F.col("scrapers_passed") == F.col("scrapers_total")) & (F.col("scrapers_total") > 0)
-    return rows.withColumn(
-        "status", F.when(doc.isNull(), "missing").when(whole, "ok").otherwise("failed")
-    ).withColumn(
-        "scrapers_failed",
-        F.when(doc.isNotNull(), F.greatest(F.col("scrapers_total") - F.col("scrapers_passed"), F.lit(0).cast("bigint"))),
-    )
+    return summed.withColumn("status", F.when(F.col("_none"), "missing").when(whole, "ok").otherwise("failed")).withColumn(
+        "scrapers_failed", F.when(~F.col("_none"), F.greatest(F.col("scrapers_total") - F.col("scrapers_passed"), zero))
+    ).drop("_none")
 
 
 def hub_rollup(sites: DataFrame) -> DataFrame:

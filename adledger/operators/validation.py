@@ -9,7 +9,7 @@ from adledger import rules
 from adledger.functions.ad_ids import ad_id_facts
 from adledger.functions.phones import longest_token, phone_facts, truthy_flag
 from adledger.functions.text import bare_header, one_of, pct, shorten
-from adledger.operators.ordering import first_rows, keep_rows, mark_first
+from adledger.operators.ordering import first_rows, keep_rows
 
 OK_PHONE = ["valid", "hidden", "missing"]
 
@@ -126,10 +126,17 @@ def check_rows(rows: DataFrame) -> DataFrame:
 
 
 def flag_duplicate_ids(checked: DataFrame) -> DataFrame:
-    """V9: second and later rows of a valid id within one file become duplicates."""
-    marked = mark_first(checked, ["file_key", "ad_id"], ["sheet_pos", "row_no"], "_first")
-    repeated = (F.col("ad_status") == "valid") & ~F.col("_first")
-    return marked.withColumn("ad_status", F.when(repeated, "duplicate").otherwise(F.col("ad_status"))).drop("_first")
+    """V9: second and later rows of a valid id within one file become duplicates.
+
+    The first place of each id is a minimum that is combined before the shuffle. Only ids that occur twice come
+    back to the rows, which meet them by file and id; rows without an id meet nothing.
+    """
+    place = F.struct("sheet_pos", "row_no")
+    per_id = checked.filter(F.col("ad_id").isNotNull()).groupBy(F.col("file_key").alias("_file"), F.col("ad_id").alias("_id"))
+    many = per_id.agg(F.min(place).alias("_first"), F.count(F.lit(1)).alias("_n")).filter("_n > 1").drop("_n")
+    marked = checked.join(many, (F.col("file_key") == F.col("_file")) & (F.col("ad_id") == F.col("_id")), "left")
+    repeated = F.coalesce((F.col("ad_status") == "valid") & (place > F.col("_first")), F.lit(False))
+    return marked.withColumn("ad_status", F.when(repeated, "duplicate").otherwise(F.col("ad_status"))).drop("_file", "_id", "_first")
 
 
 COUNTERS = [

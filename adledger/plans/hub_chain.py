@@ -5,17 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from adledger.functions import variants as V
 from adledger.operators import hub
 from adledger.operators.layout import backfill_window
-from adledger.operators.sites import asked_days, fallback_policy, latest_usable_report, report_facts, summarize_site
+from adledger.operators.sites import asked_days, fallback_policy, latest_usable_report, report_facts, summarize_site, summarized_reports
 from adledger.sources import writers
 
 
 def documents_of_window(hub_docs: DataFrame, days: int) -> DataFrame:
     """Documents of the last days there are, cut before anything is taken out of them."""
-    dated = hub_docs.withColumn("_date", F.to_date(F.substring(V.text("doc", "$.run_date"), 1, 10)))
-    wanted = backfill_window(dated.select(F.col("_date").alias("date")), days)
+    dated = hub_docs.withColumn("_date", hub.hub_date("doc"))
+    wanted = backfill_window(dated.select(F.col("_date").alias("date")).filter("date IS NOT NULL"), days)
     return dated.join(wanted.select(F.col("date").alias("_date")), "_date", "left_semi").drop("_date")
 
 
@@ -43,4 +42,4 @@ def summarize_days(
 ) -> DataFrame:
     """One summary row per site and hub date, from the report each site may use on that date."""
     asked = asked_days(fallback_policy(registry, folder_defaults), start, end)
-    return summarize_site(latest_usable_report(asked, report_facts(reports)), vehicle_folders)
+    return summarize_site(latest_usable_report(asked, summarized_reports(report_facts(reports), documents=True)), vehicle_folders)

@@ -23,13 +23,17 @@ def source_path() -> Column:
     return F.replace(F.col("_metadata.file_path"), F.lit("%20"), F.lit(" "))
 
 
+#: JSON files however the ending is written.
+JSON_FILES = "*.[jJ][sS][oO][nN]"
+
+
 def date_folder(path: Column) -> Column:
     """Save date from the year, month and day folders of a path, padded or not."""
     part = lambda n: F.regexp_extract(path, PARTITION, n)
     return F.concat_ws("-", part(2), F.lpad(part(3), 2, "0"), F.lpad(part(4), 2, "0")).try_cast("date")
 
 
-def whole_documents(spark: SparkSession, path: str, glob: str = "*.json") -> DataFrame:
+def whole_documents(spark: SparkSession, path: str, glob: str = JSON_FILES) -> DataFrame:
     """Every matching file under a path as one ``(key, body)`` row."""
     reader = spark.read.option("wholetext", True).option("recursiveFileLookup", True).option("pathGlobFilter", glob)
     return reader.text(path).select(source_path().alias("key"), F.col("value").alias("body"))
@@ -44,9 +48,9 @@ def read_listing_json(
     can split, and the category comes from a ``category=`` folder.
     """
     reader = spark.read.schema(schemas.INPUTS["listings"]).option("multiLine", not lines).option("recursiveFileLookup", True)
-    rows = reader.option("pathGlobFilter", "*.json").json(root)
+    rows = reader.option("pathGlobFilter", JSON_FILES).json(root)
     path = source_path()
-    category = F.regexp_extract(path, r"category=([^/]+)/" if lines else r"([^/]+)\.json$", 1)
+    category = F.regexp_extract(path, r"category=([^/]+)/" if lines else r"(?i)([^/]+)\.json$", 1)
     rows = rows.select(category.alias("category"), date_folder(path).alias("save_date"), "*")
     return rows.filter(F.col("save_date").isin([F.lit(d).cast("date") for d in dates])) if dates else rows
 
@@ -56,7 +60,7 @@ def read_brand_json(spark: SparkSession, root: str) -> DataFrame:
     details = f"array<struct<{', '.join(c.replace(' ', ':', 1) for c in schemas.INPUTS['listings'].split(', '))}>>"
     schema = f"brand STRING, types ARRAY<STRUCT<type:STRING,details:{details}>>"
     reader = spark.read.schema(schema).option("multiLine", True).option("recursiveFileLookup", True)
-    brands = reader.option("pathGlobFilter", "*.json").json(root).select("brand", F.explode("types").alias("t"))
+    brands = reader.option("pathGlobFilter", JSON_FILES).json(root).select("brand", F.explode("types").alias("t"))
     return brands.select("brand", F.col("t.type").alias("type"), F.explode("t.details").alias("d")).select("brand", "type", "d.*")
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from adledger import schemas
 from adledger.operators.layout import backfill_window
 from adledger.operators.ordering import first_rows
+from adledger.session import saved
 from adledger.sources.readers import path_exists, read_hub_table
 
 PARTITION_COLUMN = "hub_partition_date"
@@ -20,7 +22,7 @@ def align(df: DataFrame, table: str) -> DataFrame:
     defaults = schemas.DEFAULTS.get(table, {})
     columns = []
     for name, kind in schemas.table_types(table).items():
-        value = F.col(name).cast(kind) if name in df.columns else F.lit(None).cast(kind)
+        value = F.col(name).try_cast(kind) if name in df.columns else F.lit(None).cast(kind)
         columns.append((F.coalesce(value, F.lit(defaults[name])) if name in defaults else value).alias(name))
     return df.select(*columns)
 
@@ -30,6 +32,12 @@ def dedupe_by_key(df: DataFrame, keys: list[str], sequence: str = "seq") -> Data
     return first_rows(df, keys, [F.desc(sequence)])
 
 
+def last_of_key(df: DataFrame, table: str) -> DataFrame:
+    """One row per primary key of a table: the last by ``seq`` where rows carry it, then by all their values."""
+    sequence = [F.desc("seq")] if "seq" in df.columns else []
+    return first_rows(df, schemas.PRIMARY_KEYS[table], [*sequence, *(F.desc(c) for c in schemas.table_columns(table) if c in df.columns)])
+
+
 def write_hub_table(df: DataFrame, root: str, table: str) -> None:
     """One folder per table and day; only the days in the batch are replaced.
 
@@ -53,13 +61,14 @@ def drop_partition(spark: SparkSession, root: str, table: str, date: str) -> Non
 
 
 def replace_partition(df: DataFrame, root: str, table: str, date: str) -> None:
-    """The batch takes the place of the stored day; an empty batch still empties it."""
-    batch = df.filter(F.col(PARTITION_COLUMN) == F.lit(date).cast("date"))
+    """The batch takes the place of the stored day, one row per key; an empty batch still empties it.
+
+    The batch is worked out once and kept in the shared folder while it is looked at and written.
+    """
+    batch = saved(align(last_of_key(df.filter(F.col(PARTITION_COLUMN) == F.lit(date).cast("date")), table), table), "batch")
     if batch.isEmpty():
         drop_partition(df.sparkSession, root, table, date)
         return
-    if "seq" in batch.columns:
-        batch = dedupe_by_key(batch, schemas.PRIMARY_KEYS[table])
     write_hub_table(batch, root, table)
 
 
@@ -87,13 +96,10 @@ def backfill(tables: dict[str, DataFrame], root: str, days: int = 0) -> None:
     Days without a hub row are left as stored. A day that lost its rows in one table is emptied there.
     """
     spark = tables["hub_daily"].sparkSession
-    wanted = backfill_window(tables["hub_daily"].select(F.col(PARTITION_COLUMN).alias("date")), days).select(
-        F.col("date").alias(PARTITION_COLUMN)
-    )
+    wanted = backfill_window(tables["hub_daily"].select(F.col(PARTITION_COLUMN).alias("date")), days)
+    wanted = saved(wanted.select(F.col("date").alias(PARTITION_COLUMN)), "days")
     for table in WRITE_ORDER:
-        rows = tables[table].join(wanted, PARTITION_COLUMN, "left_semi")
-        if "seq" in rows.columns:
-            rows = dedupe_by_key(rows, schemas.PRIMARY_KEYS[table])
+        rows = saved(align(last_of_key(tables[table].join(wanted, PARTITION_COLUMN, "left_semi"), table), table), "batch")
         if path_exists(spark, f"{root.rstrip('/')}/{table}"):
             stored = read_hub_table(spark, root, table).select(PARTITION_COLUMN).distinct()
             gone = stored.join(wanted, PARTITION_COLUMN, "left_semi").join(rows, PARTITION_COLUMN, "left_anti")
@@ -136,8 +142,9 @@ def hub_documents(site_rows: DataFrame, totals: DataFrame) -> DataFrame:
 def write_documents(docs: DataFrame, root: str) -> None:
     """Each ``(key, body)`` row as one file under ``root``.
 
-    Tasks write the files they hold, so nothing passes through the driver. A retried task writes the same
-    content to the same key again.
+    Tasks write the files they hold, so nothing passes through the driver. A file is written under a name of its
+    own and then renamed, so a task that is stopped or run twice never leaves half a document under a key.
+    ``root`` must be a folder that all executors share.
     """
 
     def write_part(rows: Iterator[Row]) -> None:
@@ -146,9 +153,12 @@ def write_documents(docs: DataFrame, root: str) -> None:
         target, base = fs.FileSystem.from_uri(root)
         for row in rows:
             path = f"{base}/{row['key']}"
-            target.create_dir(path.rsplit("/", 1)[0], recursive=True)
-            with target.open_output_stream(path) as out:
+            folder, name = path.rsplit("/", 1)
+            target.create_dir(folder, recursive=True)
+            own = f"{folder}/.{name}.{uuid.uuid4().hex}"
+            with target.open_output_stream(own) as out:
                 out.write(row["body"].encode("utf-8"))
+            target.move(own, path)
 
     docs.select("key", "body").foreachPartition(write_part)
 

@@ -136,3 +136,12 @@ def test_jsonld_skips_broken_blocks(spark):
     df = spark.createDataFrame([(1, "u", html)], "page_id int, url string, html string")
     read = lambda kind: pages.page_jsonld(df, kind).selectExpr("try_variant_get(jsonld, '$.n', 'int')").first()[0]
     assert (read(None), read("B"), read("C")) == (1, 2, None)
+
+
+def test_lists_with_program_words_and_nested_lists(spark):
+    from adledger.functions.phones import classify_phone, phone_tokens
+
+    cells = ["['96551234567', None, '12345']", "[['96551234567', '123'], '4']", "[None, True]", "['None of 12']"]
+    rows = spark.createDataFrame([(c,) for c in cells], "c string").select(phone_tokens("c").alias("t"), classify_phone("c").alias("s")).collect()
+    assert [r["t"] for r in rows] == [["96551234567", "12345"], ["96551234567", "123", "4"], [], ["12"]]
+    assert [r["s"] for r in rows] == ["valid", "valid", "missing", "too_short"]

@@ -41,13 +41,13 @@ def test_gate_edge(spark, pct, passes):
     assert got == {"s": passes, "none": False, "opt": True}
 
 
-def test_mark_first_with_a_hot_key(spark):
+def test_first_rows_with_a_hot_key(spark):
     """A third of all rows share one key; the result equals a plain scan in order."""
     rnd = random.Random(7)
     data = [("hot" if rnd.random() < 0.34 else f"k{rnd.randrange(500)}", rnd.randrange(4), i) for i in range(6000)]
     rnd.shuffle(data)
     df = spark.createDataFrame(data, "k string, pos int, n long")
-    got = {(r["k"], r["pos"], r["n"]) for r in ordering.mark_first(df, ["k"], ["pos", "n"], "first").filter("first").collect()}
+    got = {(r["k"], r["pos"], r["n"]) for r in ordering.first_rows(df, ["k"], ["pos", "n"]).collect()}
     want = {}
     for k, pos, n in sorted(data, key=lambda r: (r[1], r[2])):
         want.setdefault(k, (k, pos, n))
@@ -158,3 +158,15 @@ def test_image_roster_against_plain_python(spark):
             ext = "." + name.rsplit(".", 1)[1].lower() if "." in name else ""
             want.append((id_, kind, url, (ext if ext and len(ext) <= 5 else ".jpg")[1:]))
     assert got == sorted(want)
+
+
+def test_repeated_ids_with_a_hot_id_and_rows_without(spark):
+    rnd = random.Random(9)
+    data = [("f", rnd.randrange(3), i, None if rnd.random() < 0.4 else "hot" if rnd.random() < 0.5 else f"k{rnd.randrange(200)}") for i in range(4000)]
+    rows = spark.createDataFrame([(f, p, n, a, "missing" if a is None else "valid") for f, p, n, a in data], "file_key string, sheet_pos int, row_no long, ad_id string, ad_status string")
+    got = {r["row_no"]: r["ad_status"] for r in validation.flag_duplicate_ids(rows).collect()}
+    seen = set()
+    for f, p, n, a in sorted(data, key=lambda r: (r[1], r[2])):
+        assert got[n] == ("missing" if a is None else "duplicate" if a in seen else "valid")
+        seen.add(a)
+    assert len(got) == len(data)

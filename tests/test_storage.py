@@ -3,9 +3,13 @@
 import datetime
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from adledger import schemas
+from adledger.operators.output import write_grouped
+from adledger.plans import hub_chain
+from adledger.session import scratch_dir
 from adledger.sources import readers, writers
 from adledger.streaming.intake import LANDED, start_hour_intake
 
@@ -86,3 +90,59 @@ def test_hour_intake_redoes_whole_days(spark, tmp_path):
     land(2, "2024-01-01 03:50:00")
     stored = readers.read_hub_table(spark, root, "scraper_hourly_daily").select("hour", "ads_count", F.col("site_id")).collect()
     assert [(r["hour"], r["ads_count"], r["site_id"]) for r in stored] == [(3, 2, "site")]
+
+
+def test_keys_are_stored_once_with_or_without_a_sequence(spark, tmp_path):
+    root, table = str(tmp_path / "k"), "scraper_hourly_daily"
+    rows = hourly(spark, (DAY, "a", "s", 1, 5, 0), (DAY, "a", "s", 1, 3, 0), (DAY, "a", "s", 2, 1, 0)).drop("seq")
+    writers.replace_partition(rows, root, table, "2024-01-02")
+    assert sorted((r["hour"], r["ads_count"]) for r in readers.read_hub_table(spark, root, table).collect()) == [(1, 5), (2, 1)]
+
+
+def test_entries_of_one_key_reach_the_table_once(spark, tmp_path):
+    told = [{"subcategory": "Cars", "ads_count": 1}, {"subcategory": "Cars", "ads_count": 3_000_000_000}, {"subcategory": "Vans", "ads_count": None, "count": 9}]
+    report = {"scrapers": [{"scraper": "s", "subcategory_breakdown": told, "unique_ads": 3_000_000_000}]}
+    good = {"run_date": "2024-01-02", "generated_at": "x", "sites": [{"site_id": "a", "report": report}]}
+    bad = {"run_date": "n/a", "sites": [{"site_id": "a", "report": report}]}
+    docs = spark.createDataFrame([(json.dumps(good),), (json.dumps(bad),)], "body string").select(F.parse_json("body").alias("doc"))
+    registry = spark.createDataFrame([], f"seq int, {schemas.INPUTS['registry_site']}")
+    root = str(tmp_path / "chain")
+    hub_chain.backfill_documents(docs, registry, root, 0)
+    rows = readers.read_hub_table(spark, root, "scraper_subcategory_daily").collect()
+    assert sorted((r["subcategory"], r["ads_count"]) for r in rows) == [("Cars", None), ("Vans", 0)]
+    assert [r["unique_ads"] for r in readers.read_hub_table(spark, root, "scraper_daily").collect()] == [None]
+    assert [str(r["hub_partition_date"]) for r in readers.read_hub_table(spark, root, "hub_daily").collect()] == ["2024-01-02"]
+
+
+def test_grouped_days_do_not_erase_each_other(spark, tmp_path):
+    path = str(tmp_path / "grouped")
+    for day in ("2024-01-02", "2024-01-03"):
+        rows = spark.createDataFrame([("1", "cars", "suv", day)], "id string, category string, child string, save_date string")
+        write_grouped(rows, path)
+    assert spark.read.parquet(path).count() == 2
+
+
+def test_endings_in_capitals_count(spark, tmp_path):
+    folder = tmp_path / "c" / "year=2024" / "month=1" / "day=2" / "json-files"
+    folder.mkdir(parents=True)
+    for name in ("a.json", "b.JSON", "c.txt"):
+        (folder / name).write_text('{"total_listings": 1}')
+    assert readers.read_summary_json(spark, str(tmp_path / "c")).count() == 2
+
+
+def test_values_that_do_not_fit_become_null(spark):
+    rows = spark.createDataFrame([("n/a", "3000000000")], "hub_partition_date string, hour string")
+    got = writers.align(rows, "scraper_hourly_daily").first()
+    assert (got["hub_partition_date"], got["hour"]) == (None, None)
+
+
+def test_scratch_needs_a_shared_folder_outside_one_machine(monkeypatch):
+    class Conf:
+        def get(self, key, default=None):
+            return "spark://host:7077" if key == "spark.master" else default
+
+    class Session:
+        conf = Conf()
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch_dir(Session(), "x")
