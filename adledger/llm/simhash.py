@@ -118,3 +118,97 @@ def near_keepers(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     first = saved(rows.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("component_id").agg(F.min("row_id").alias("first")), "near-first")
     first = first.withColumnRenamed("first", "row_id").select("row_id", F.lit(True).alias("kept"))
     return rows.join(first, "row_id", "left").select("doc_id", "text_sha256", F.coalesce("kept", F.lit(False)).alias("kept"))
+
+
+# --- by the similarity of five-word shingles ------------------------------------------------------------
+
+#: Fingerprints of a text's set of words; a pair that is alike enough is within the radius in one of them, nearly always.
+WORD_PRINTS = 12
+#: 64-bit fingerprints of the set of shingles that tell how alike two texts are.
+SKETCH_PRINTS = 16
+
+
+def seeded_prints(hashes: np.ndarray, n: int) -> np.ndarray:
+    """``n`` independent fingerprints of a set of hashes: each bit is 1 if set in over half of the mixed hashes."""
+    counts = np.zeros((n, BITS), np.int32)
+    steps = np.arange(1, n + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    for at in range(0, len(hashes), 255):
+        z = hashes[at:at + 255, None] + steps
+        z = (z ^ (z >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        z = (z ^ (z >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+        bits = np.unpackbits((z ^ (z >> np.uint64(31))).astype("<u8").view(np.uint8), axis=1, bitorder="little")
+        counts += np.add.reduce(bits, axis=0, dtype=np.uint8).reshape(n, BITS)
+    return np.packbits(2 * counts > len(hashes), axis=1, bitorder="little").view("<u8").ravel().astype(np.uint64)
+
+
+def signature(body: bytes, shingle: int = 5) -> tuple[np.ndarray, np.ndarray]:
+    """Fingerprints of the set of words, and of the set of shingles (of fewer words: the whole sequence)."""
+    words, digest = body.lower().split(), xxhash.xxh64_intdigest
+    shingles = {b" ".join(s) for s in zip(*(words[k:] for k in range(min(shingle, max(len(words), 1)))), strict=False)}
+    hashed = lambda items: np.array([digest(x, SEED) for x in items], np.uint64)
+    return seeded_prints(hashed(set(words)), WORD_PRINTS), seeded_prints(hashed(shingles), SKETCH_PRINTS)
+
+
+def _signatures(batches: Iterator[pa.RecordBatch], shingle: int) -> Iterator[pa.RecordBatch]:
+    for batch in slices(batches):
+        texts = [b.as_py() for b in batch.column(1)]
+        pairs = [signature(t, shingle) for t in texts]
+        lists = [pa.array([p[k].view(np.int64) for p in pairs], pa.list_(pa.int64())) for k in (0, 1)]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([hashlib.sha256(t).hexdigest() for t in texts], pa.string()), *lists], names=["doc_id", "text_sha256", "words", "sketch"])
+
+
+def most_differing(least: float) -> int:
+    """Bits of two sketches that may differ for sets of one size whose Jaccard similarity is ``least``."""
+    return int(np.arccos(2 * least / (1 + least)) / np.pi * BITS * SKETCH_PRINTS)
+
+
+def similar_links(rows: DataFrame, least: float = 0.8, bucket: int = 64) -> DataFrame:
+    """Edges (a, b) between ``rows`` (row_id, words, sketch) that are alike in ``least`` of their shingles or more.
+
+    Candidates collide in a covering table of one of the word fingerprints and are within the radius there; their
+    sketches decide. In a bucket of more than ``bucket`` rows each row is compared with one chosen member, another one
+    in each of its buckets, and what found no partner there goes through the tables again among its like, until that
+    finds no more. So work grows with the rows and not with the square of a crowd.
+    """
+    masks, limit, todo, found, salt = covering_masks(2), most_differing(least), rows, None, 0
+    sketches = rows.select("row_id", "sketch")
+    while True:
+        total = todo.count() * WORD_PRINTS * len(masks)
+        tables = F.array(*(F.struct(F.lit(t).alias("t"), F.col("fp").bitwiseAND(F.lit(signed(m))).alias("key")) for t, m in enumerate(masks)))
+        prints = todo.select("row_id", F.posexplode("words").alias("k", "fp"))
+        spread = prints.select("row_id", "k", "fp", F.explode(tables).alias("x")).select("row_id", "fp", F.xxhash64("k", "x.t", "x.key").alias("b"))
+        mixed = F.col("row_id").bitwiseXOR(F.lit(salt))
+        sizes = saved(dealt(spread.groupBy("b").agg(F.count("*").alias("n"), F.min(mixed).alias("one")).filter("n > 1"), total), "word-buckets")
+        members = saved(dealt(spread.join(sizes, "b"), total), "word-members")
+        lists = members.filter(F.col("n") <= bucket).groupBy("b").agg(F.collect_list(F.struct("row_id", "fp")).alias("m"))
+        partners = lambda x: F.filter("m", lambda y: (y["row_id"] > x["row_id"]) & _within(x["fp"], y["fp"], 2))
+        pairs = F.flatten(F.transform("m", lambda x: F.transform(partners(x), lambda y: F.struct(x["row_id"].alias("a"), y["row_id"].alias("b")))))
+        cold = lists.select(F.explode(pairs).alias("p")).select("p.a", "p.b")
+        crowd = members.filter(F.col("n") > bucket).select(F.col("one").bitwiseXOR(F.lit(salt)).alias("one"), "row_id").filter("one <> row_id")
+        asked = saved(dealt(cold.union(crowd.select(F.least("one", "row_id"), F.greatest("one", "row_id"))).distinct(), total), "candidates")
+        both = asked.join(sketches.toDF("a", "sa"), "a").join(sketches.toDF("b", "sb"), "b")
+        differing = sum((F.bit_count(F.get("sa", k).bitwiseXOR(F.get("sb", k))) for k in range(SKETCH_PRINTS)), F.lit(0))
+        new = saved(dealt(both.filter(differing <= limit).select("a", "b"), total), "similar")
+        found = new if found is None else found.union(new)
+        linked = new.select("a").union(new.select("b")).distinct()
+        left = saved(dealt(crowd.select("row_id").distinct().join(linked, F.col("row_id") == F.col("a"), "left_anti"), total), "unlinked")
+        if left.isEmpty() or new.isEmpty():
+            return found
+        todo, salt = rows.join(left, "row_id", "left_semi"), (salt * 0x5851F42D4C957F2D + 0x14057B7EF767814F) % (1 << 62)
+
+
+def similar_keepers(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, least: float = 0.8) -> DataFrame:
+    """doc_id, text_sha256, kept: of the texts that links of similarity ``least`` connect, that with the least id stays.
+
+    Similarity is of the sets of ``shingle``-word shingles, as their sketches of 1,024 bits estimate it (within 0.02 or
+    so). Texts without words are alike. Cases are else as above.
+    """
+    run = partial(_signatures, shingle=shingle)
+    rows = bodies(docs, id_col, text_col).mapInArrow(run, "doc_id long, text_sha256 string, words array<long>, sketch array<long>")
+    rows = saved(rows.withColumn("row_id", F.monotonically_increasing_id()), "signatures")
+    total = rows.count()
+    roots = saved(dealt(components(similar_links(rows, least), total), total), "similar-roots")
+    placed = saved(dealt(rows.select("row_id", "doc_id").join(roots, F.col("row_id") == F.col("node")), total), "similar-rows")
+    stays = placed.groupBy("root").agg(F.min(F.struct("doc_id", "row_id")).alias("s")).select(F.col("s.row_id").alias("stays"))
+    gone = saved(dealt(placed.join(stays, F.col("row_id") == F.col("stays"), "left_anti").select("row_id", F.lit(False).alias("kept")), total), "similar-dropped")
+    return rows.select("row_id", "doc_id", "text_sha256").join(gone, "row_id", "left").select("doc_id", "text_sha256", F.coalesce("kept", F.lit(True)).alias("kept"))

@@ -122,3 +122,46 @@ def test_op8_against_brute_force(spark):
     roots = brute_roots(prints)
     got = {(r.doc_id, r.fingerprint, r.component_id) for r in QUERIES["op8_simhash_near_dedup"](spark, SF).collect()}
     assert got == {(i, f"{p:016x}", docs[r][0]) for (i, _), p, r in zip(docs, prints, roots, strict=True)}
+
+
+def changed(rnd, words, n):
+    out = list(words)
+    for i in rnd.sample(range(len(out)), n):
+        out[i] = f"new{rnd.randrange(10**6)}"
+    return " ".join(out)
+
+
+def jaccard(a, b):
+    sets = [{tuple(t.split()[i:i + 5]) for i in range(len(t.split()) - 4)} for t in (a, b)]
+    return len(sets[0] & sets[1]) / len(sets[0] | sets[1])
+
+
+def test_similar_texts_are_found_and_others_stay(docs_of):
+    rnd = random.Random(4)
+    texts = []
+    for g in range(40):
+        words = [f"w{rnd.randrange(4000)}" for _ in range(200)]
+        texts += [" ".join(words), changed(rnd, words, 3), changed(rnd, words, 40)]
+    kept = {r.doc_id: r.kept for r in simhash.similar_keepers(docs_of(list(enumerate(texts)))).collect()}
+    assert min(jaccard(texts[k], texts[k + 1]) for k in range(0, 120, 3)) > 0.8 > max(jaccard(texts[k], texts[k + 2]) for k in range(0, 120, 3))
+    assert all(kept[k] and kept[k + 2] for k in range(0, 120, 3))
+    assert sum(not kept[k + 1] for k in range(0, 120, 3)) >= 38
+
+
+def test_a_crowd_of_similar_texts(docs_of, spark):
+    rnd = random.Random(6)
+    words = [f"w{rnd.randrange(4000)}" for _ in range(300)]
+    texts = [changed(rnd, words, 2) for _ in range(120)] + [" ".join(f"v{rnd.randrange(4000)}" for _ in range(300)) for _ in range(30)]
+    rows = docs_of(list(enumerate(texts)))
+    signed_rows = spark.createDataFrame([(i, *([int(x) for x in s.view(np.int64)] for s in simhash.signature(t.encode()))) for i, t in enumerate(texts)], "row_id long, words array<long>, sketch array<long>")
+    for bucket in (64, 4):
+        roots = {r.node: r.root for r in components.components(simhash.similar_links(signed_rows, bucket=bucket)).collect()}
+        assert set(roots) == set(range(120)) and set(roots.values()) == {0}
+    assert sorted(r.doc_id for r in simhash.similar_keepers(rows).filter("kept").collect()) == [0, *range(120, 150)]
+
+
+def test_similar_keepers_of_odd_rows(docs_of):
+    rows = simhash.similar_keepers(docs_of(ODD)).collect()
+    kept = sorted((r.doc_id if r.doc_id is not None else -1) for r in rows if r.kept)
+    assert len(rows) == len(ODD) and kept == [-1, 2, 6, 8, 9]
+    assert simhash.similar_keepers(docs_of([(1, "x")]).filter("doc_id > 1")).count() == 0
