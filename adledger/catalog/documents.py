@@ -282,3 +282,15 @@ def m6(spark, sf):
 )
 def m6_totals(spark, sf):
     return m.run_error_summary(results_and_checks(spark, sf)[0])
+
+
+@query(
+    "m6_run_error_summary_http",
+    M6 + """SELECT count(*) AS scrapers_total, (SELECT count(*) FROM chk) AS alert_count, CAST(sum(requests_total) AS BIGINT) AS requests_total,
+      CASE WHEN count(requests_total) > 0 THEN CAST(sum(requests_failed) FILTER (requests_total IS NOT NULL) AS BIGINT) END AS requests_failed,
+      count(requests_total) AS scrapers_reporting FROM res""",
+)
+def m6_http(spark, sf):
+    results, checks = results_and_checks(spark, sf)
+    whole = m.run_error_summary(results, checks.filter("NOT passed"))
+    return whole.select("scrapers_total", "alert_count", "http.requests_total", "http.requests_failed", "http.scrapers_reporting")

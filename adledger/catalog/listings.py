@@ -181,6 +181,12 @@ def p13_limit(spark, sf):
     return p.assign_image_keys(image_lists(spark, sf), "data/store", limit=3)
 
 
+@query("p13_assign_image_keys_parent", assigned_sql(None).replace("|| category ||", "|| 'main-' || category || '/' || category ||"))
+def p13_parent(spark, sf):
+    rows = image_lists(spark, sf).withColumn("main", F.concat(F.lit("main-"), "category"))
+    return p.assign_image_keys(rows, "data/store", parent="main").drop("main")
+
+
 COLLECTED = f"SELECT id, image_index, {IMAGE_FOLDER} || id || '_' || image_index || '.jpg' AS image_key FROM @image_rows"
 
 

@@ -143,6 +143,16 @@ def x8_all(spark, sf):
     return x.extract_listing_cards(payloads(spark, sf), skip_ad_boxes=False)
 
 
+FULL = f"""SELECT page_id, CAST(pos AS INT) AS pos, {', '.join(f'{t(path)} AS {name}' for name, path in x.FULL_CARD.items())}, TRY_CAST({t('is_prem')} AS BOOLEAN) AS is_premium,
+  {whole('n', '$.views_count')} AS views_count, coalesce({whole('n', '$.reactions.total_count')}, 0) AS reactions, CAST({whole('n', '$.images_count')} AS INT) AS images_count,
+  array_to_string(coalesce(from_json(json_extract(n, '$.thumbs'), '["VARCHAR"]'), []), '|') AS all_images FROM n"""
+
+
+@query("x8_extract_full_cards", each(CAT, "listings") + FULL)
+def x8_full(spark, sf):
+    return x.extract_full_cards(payloads(spark, sf)).withColumn("all_images", F.array_join("all_images", "|"))
+
+
 BUSINESS_CARD = ["id", "title", "slug", "price", "image", "date_published", "cat_id", "phone", "contact", "status", "description", "user_type"]
 
 

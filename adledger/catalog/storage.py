@@ -38,6 +38,30 @@ def s1(spark, sf):
     return back.select("category", "id", "title", "price", "date_published", "views_no", "is_verified", "save_date")
 
 
+@query("s1_read_listing_arrays", f"SELECT category, id, title, views_no, CAST(substr(date_published, 1, 10) AS DATE) + 1 AS save_date FROM ({LISTED})")
+def s1_arrays(spark, sf):
+    """One array per category and day, as the scrapers write it."""
+    root = scratch_dir(spark, "listing-arrays")
+    listing = F.struct(F.col("event_id").cast("string").alias("id"), F.concat(F.lit("item "), F.col("user_id").cast("string")).alias("title"), F.col("user_id").alias("views_no"))
+    rows = source(spark, sf, "events").select("event_type", F.date_add(F.col("ts").cast("date"), 1).alias("day"), listing.alias("l"))
+    docs = rows.groupBy("event_type", "day").agg(F.to_json(F.collect_list("l")).alias("body"))
+    folder = F.concat(F.date_format("day", "'year='yyyy'/month='M'/day='d'/json-files/'"), F.col("event_type"), F.lit(".json"))
+    writers.write_documents(docs.select(folder.alias("key"), "body"), root)
+    return readers.read_listing_json(spark, root).select("category", "id", "title", "views_no", "save_date")
+
+
+@query("s1_read_brand_json", "SELECT concat(p_brand, '-', CAST(p_size AS VARCHAR)) AS brand, p_type AS type, CAST(p_partkey AS VARCHAR) AS id, p_name AS title FROM part")
+def s1_brands(spark, sf):
+    """One document per brand with its types and their listings."""
+    root = scratch_dir(spark, "brands")
+    brand = F.concat("p_brand", F.lit("-"), F.col("p_size").cast("string"))
+    rows = source(spark, sf, "part").select(brand.alias("brand"), F.col("p_type").alias("type"), F.struct(F.col("p_partkey").cast("string").alias("id"), F.col("p_name").alias("title")).alias("d"))
+    types = rows.groupBy("brand", "type").agg(F.collect_list("d").alias("details"))
+    docs = types.groupBy("brand").agg(F.collect_list(F.struct("type", "details")).alias("types"))
+    writers.write_documents(docs.select(F.concat(F.translate("brand", "# ", "--"), F.lit(".json")).alias("key"), F.to_json(F.struct("brand", "types")).alias("body")), root)
+    return readers.read_brand_json(spark, root).select("brand", "type", "id", "title")
+
+
 @query("s2_read_summary_json", "SELECT scraper, key AS summary_key, length(body) AS n_chars, md5(body) AS body_md5 FROM @summary_docs WHERE json_valid(body)")
 def s2(spark, sf):
     root = scratch_dir(spark, "summaries")
@@ -80,12 +104,24 @@ def stored_tables(spark, sf, days: int = 0):
     return hub_chain.tables_of_window(hub_docs(spark, sf), registry(spark, sf), days, hub_catalog.FOLDER_DEFAULTS)
 
 
-@query("s5_read_hub_table_absent")
+SITE_DAILY = [c.split(" ")[0] for c in """hub_partition_date, site_id, folder, display_name, website, country, repo, github_username, run_place, workflow_name,
+workflow_run_number, workflow_run_id, workflow_status, workflow_duration_sec, schedule, status, scrapers_total, scrapers_passed, alert_count, unique_ads,
+unique_phones, valid_phones, invalid_phones, outside_country_phones, r2_file_count, r2_size_bytes, r2_daily_size, r2_csv_bytes, r2_excel_bytes, r2_json_bytes, r2_parquet_bytes,
+r2_images_bytes, r2_other_bytes, r2_daily_csv_bytes, r2_daily_excel_bytes, r2_daily_json_bytes, r2_daily_parquet_bytes, r2_daily_images_bytes, r2_daily_other_bytes, requests_total,
+requests_failed, error_rate_pct, requests_per_min, scrapers_failed, run_date, inspect_date, report_fallback, uses_proxy""".replace("\n", " ").split(", ")]
+
+
+@query(
+    "s5_read_hub_table_absent",
+    f"""SELECT c AS column_name, CASE WHEN c = 'hub_partition_date' THEN (SELECT count(*) FROM @hub_docs) ELSE 0 END AS filled
+    FROM (SELECT unnest([{', '.join(f"'{c}'" for c in SITE_DAILY)}]) AS c)""",
+)
 def s5(spark, sf):
-    """An absent table reads as empty with every column; the count of days comes from the data."""
+    """An absent table joined to all days: it has every column, and nothing in them but the days."""
     absent = readers.read_hub_table(spark, scratch_dir(spark, "absent"), "site_daily")
     days = source(spark, sf, "hub_docs").select(F.col("day").cast("date").alias("hub_partition_date"))
-    return days.join(absent, "hub_partition_date", "left").groupBy("site_id").agg(F.count(F.lit(1)).alias("days"))
+    filled = days.join(absent, "hub_partition_date", "left").agg(*(F.count(c).alias(c) for c in absent.columns))
+    return filled.select(F.inline(F.array(*(F.struct(F.lit(c).alias("column_name"), F.col(c).alias("filled")) for c in absent.columns))))
 
 
 F4 = hub_catalog.DOCS + f", t AS (SELECT {hub_catalog.SCRAPER_COLS} FROM sc)"

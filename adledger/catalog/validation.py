@@ -244,6 +244,48 @@ def v13(spark, sf):
     return v.scraper_validation(v.check_rows(sheet_rows(spark, sf))).select("scraper", *SCRAPER_COLUMNS)
 
 
+LISTED = ROWS.replace("FROM @sheet_wide WHERE", "FROM @sheet_wide SEMI JOIN (SELECT file_key FROM @files_flat WHERE readable) USING (file_key) WHERE")
+COUNTS = [c for c in FILE_COLUMNS if c != "id_column"]
+
+
+def listed_files(spark, sf):
+    return source(spark, sf, "files_flat").select("scraper", "file_key", "readable")
+
+
+@query(
+    "v10_listed_files",
+    LISTED + f"""SELECT scraper, l.file_key, l.readable, {', '.join(f'coalesce(f.{c}, 0) AS {c}' for c in COUNTS)}, f.id_column,
+      CASE WHEN f.file_key IS NULL THEN '' ELSE {COLUMNS_FOUND} END AS columns_found FROM @files_flat l LEFT JOIN files f USING (scraper, file_key)""",
+)
+def v10_listed(spark, sf):
+    files = v.file_validation(v.check_rows(sheet_rows(spark, sf)), listed_files(spark, sf))
+    return files.select("scraper", "file_key", "readable", *FILE_COLUMNS, F.array_join("columns_found", ",").alias("columns_found"))
+
+
+@query(
+    "v12_scraper_samples",
+    ROWS + """, bad AS (SELECT scraper, file_key, 'phone' AS kind, sheet, sheet_pos, row_no, phone_column AS "column", substr(phone_value, 1, 80) AS value,
+        phone_status AS reason FROM flagged WHERE phone_status NOT IN ('valid', 'hidden', 'missing')
+      UNION ALL SELECT scraper, file_key, 'ad_id', sheet, sheet_pos, row_no, id_column,
+        CASE WHEN ad_status = 'missing' THEN '' ELSE substr(id_value, 1, 80) END, ad_status FROM flagged WHERE ad_status <> 'valid'),
+    ranked AS (SELECT *, row_number() OVER (PARTITION BY scraper, kind ORDER BY file_key, sheet_pos, row_no) AS rn FROM bad)
+    SELECT scraper, file_key, kind, sheet, row_no + 2 AS "row", "column", value, reason FROM ranked WHERE rn <= 25""",
+)
+def v12_merged(spark, sf):
+    return v.invalid_samples(v.flag_duplicate_ids(v.check_rows(sheet_rows(spark, sf))), merged=True)
+
+
+@query(
+    "v13_listed_files",
+    LISTED + f"""SELECT scraper, l.files_found, l.files_readable, {', '.join(f'coalesce(p.{c}, 0) AS {c}' for c in COUNTS)}, p.id_column,
+      {', '.join(f'coalesce(p.{c}, 0) AS {c}' for c in ('phones_valid_pct', 'phones_invalid_pct', 'ads_valid_pct', 'ads_invalid_pct'))}
+    FROM (SELECT scraper, count(*) AS files_found, count(*) FILTER (readable) AS files_readable FROM @files_flat GROUP BY 1) l LEFT JOIN pcts p USING (scraper)""",
+)
+def v13_listed(spark, sf):
+    merged = v.scraper_validation(v.check_rows(sheet_rows(spark, sf)), listed_files(spark, sf))
+    return merged.select("scraper", "files_readable", *SCRAPER_COLUMNS)
+
+
 def gated(spark, sf):
     merged = v.scraper_validation(v.check_rows(sheet_rows(spark, sf)))
     return v.validation_gate(merged, source(spark, sf, "scrapers_flat"), max_phone_pct=30.0)

@@ -91,6 +91,19 @@ def project_listing_detail(payloads: DataFrame, now: Column) -> DataFrame:
     )
 
 
+SHORT_DETAIL = [
+    "id", "date_published", "date_relative", "date_sort", "date_expired", "title", "description", "link", "images", "price", "address",
+    "full_address", "views_no", "longitude", "latitude", "user_name", "user_email", "user_ads", "user_image", "user_type", "membership",
+    "is_verified", "phone", "status",
+]
+
+
+def short_listing_detail(details: DataFrame, cards: DataFrame, base: str) -> DataFrame:
+    """P4, short form: fewer fields, the listing's address as ``link``, and the status its card told."""
+    with_link = details.withColumn("link", F.concat(F.lit(base.rstrip("/") + "/"), F.col("slug")))
+    return join_cards_details(cards, with_link, ["status"]).select("page_id", *SHORT_DETAIL)
+
+
 def join_cards_details(cards: DataFrame, details: DataFrame, carry: list[str], pin_default: str | None = None) -> DataFrame:
     """P5: details of each card by slug; cards without slug or detail drop out; ``carry`` columns come from the card."""
     side = cards.filter(F.coalesce("slug", F.lit("")) != "").select("slug", *carry)
@@ -223,17 +236,23 @@ def widen_attributes(df: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
-def image_key(base: Column, save_date: Column, category: Column, record: Column, url: Column, index: Column) -> Column:
+def image_key(base: Column, save_date: Column, category: Column, record: Column, url: Column, index: Column, parent: Column | None = None) -> Column:
+    """The key of an image; with ``parent`` its category's folder stands below that of the parent category."""
+    above = F.lit("") if parent is None else F.coalesce(F.concat(F.nullif(parent, F.lit("")), F.lit("/")), F.lit(""))
     name = F.when(record.isNotNull(), F.concat(record.cast("string"), F.lit("_"), index.cast("string"), F.lit(".jpg")))
     folder = F.date_format(save_date, "'/year='yyyy'/month='MM'/day='dd'/images/'")
-    return F.concat(base, folder, category, F.lit("/"), F.coalesce(name, file_name(url)))
+    return F.concat(base, folder, above, category, F.lit("/"), F.coalesce(name, file_name(url)))
+
 
+def assign_image_keys(df: DataFrame, base: str, limit: int | None = None, parent: str | None = None) -> DataFrame:
+    """A row per image with the key it is stored under; only the first ``limit`` images when given.
 
-def assign_image_keys(df: DataFrame, base: str, limit: int | None = None) -> DataFrame:
-    """A row per image with the key it is stored under; only the first ``limit`` images when given."""
+    ``parent`` names the column of the parent category, where keys go below its folder.
+    """
     images = F.slice("images", 1, limit) if limit else F.col("images")
-    rows = df.select("id", "category", "save_date", F.posexplode(images).alias("image_index", "url"))
-    key = image_key(F.lit(base), F.col("save_date"), F.col("category"), F.col("id"), F.col("url"), F.col("image_index"))
+    rows = df.select("id", "category", "save_date", *([parent] if parent else []), F.posexplode(images).alias("image_index", "url"))
+    above = F.col(parent) if parent else None
+    key = image_key(F.lit(base), F.col("save_date"), F.col("category"), F.col("id"), F.col("url"), F.col("image_index"), above)
     return rows.withColumn("image_key", key)
 
 

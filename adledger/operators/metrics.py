@@ -191,9 +191,22 @@ def failed_scrapers(results: DataFrame, checks: DataFrame) -> DataFrame:
     )
 
 
-def run_error_summary(results: DataFrame) -> DataFrame:
-    """M6, totals: scrapers passed and failed and the failed share in percent."""
+def run_error_summary(results: DataFrame, alerts: DataFrame | None = None) -> DataFrame:
+    """M6, totals: scrapers passed and failed and the failed share in percent.
+
+    With ``alerts`` also their number and the requests of all scrapers (M5) as ``http``. Both sides are one row.
+    """
     failed = ~F.coalesce("all_passed", F.lit(False))
+    totals = _run_totals(results, failed)
+    if alerts is None:
+        return totals
+    requests = site_request_rollup(results, []).withColumnRenamed("scrapers_with_metrics", "scrapers_reporting")
+    http = requests.select(F.lit(1).alias("_one"), F.struct(*requests.columns).alias("http"))
+    raised = alerts.agg(F.count(F.lit(1)).alias("alert_count")).withColumn("_one", F.lit(1))
+    return totals.withColumn("_one", F.lit(1)).join(raised, "_one").join(http, "_one").drop("_one")
+
+
+def _run_totals(results: DataFrame, failed: Column) -> DataFrame:
     return results.agg(
         F.count(F.lit(1)).alias("scrapers_total"),
         F.count_if(failed).alias("scrapers_failed"),

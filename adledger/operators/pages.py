@@ -27,6 +27,14 @@ CARD_FIELDS = {
 }
 
 
+FULL_CARD = {
+    "id": "id", "title": "title", "title_ar": "title", "phone": "phone", "contact": "contact", "slug": "slug", "description_ar": "desc_ar",
+    "description_en": "desc_en", "price": "price", "user_id": "user.user_id", "user_name": "user.name", "user_type": "user_type",
+    "category_ar": "cat_ar_name", "category_en": "cat_en_name", "status": "status", "date_published": "date_published", "image_url": "image",
+    "thumb_url": "thumb", "district_name_ar": "district_name_localize.ar", "district_name_en": "district_name_localize.en",
+}
+
+
 def embedded_payload(html: Column | str) -> Column:
     """X1 as an expression.
 
@@ -135,6 +143,19 @@ def extract_listing_cards(payloads: DataFrame, skip_ad_boxes: bool = True) -> Da
     )
 
 
+def extract_full_cards(payloads: DataFrame) -> DataFrame:
+    """X8, longer form: cards with both descriptions, both district names, premium flag, views, reactions and all images."""
+    cards = payloads.select("page_id", F.posexplode(V.items("payload", f"{PROPS}.listings")).alias("pos", "n"))
+    return cards.select(
+        "page_id", "pos", *[V.text("n", f"$.{path}").alias(name) for name, path in FULL_CARD.items()],
+        V.get("n", "$.is_prem", "boolean").alias("is_premium"),
+        V.whole("n", "$.views_count").alias("views_count"),
+        F.coalesce(V.whole("n", "$.reactions.total_count"), F.lit(0).cast("bigint")).alias("reactions"),
+        V.whole("n", "$.images_count").try_cast("int").alias("images_count"),
+        F.coalesce(V.get("n", "$.thumbs", "array<string>"), F.array().cast("array<string>")).alias("all_images"),
+    )
+
+
 def extract_business_cards(payloads: DataFrame) -> DataFrame:
     """Listing cards of a business page."""
     path = f"{PROPS}.businessListings.data.listings.normal_items"

@@ -200,10 +200,26 @@ def _ad_totals(df: DataFrame) -> DataFrame:
     )
 
 
-def file_validation(checked: DataFrame) -> DataFrame:
-    """Counts per file."""
+def _of_readable(checked: DataFrame, files: DataFrame | None) -> DataFrame:
+    if files is None:
+        return checked
+    return checked.join(files.filter("readable").select("scraper", "file_key").distinct(), ["scraper", "file_key"], "left_semi")
+
+
+def _with_zeros(df: DataFrame) -> DataFrame:
+    """Counts of files and scrapers that gave no rows become zero, and their column lists empty."""
+    counts = {c: 0 for c, kind in df.dtypes if kind in ("bigint", "int")}
+    return df.fillna(counts).withColumn("columns_found", F.coalesce("columns_found", F.array().cast("array<string>")))
+
+
+def file_validation(checked: DataFrame, files: DataFrame | None = None) -> DataFrame:
+    """Counts per file.
+
+    With the list of ``files`` (scraper, file_key, readable) every listed file has a row: one without data rows has
+    zeros, and one that is not readable has zeros whatever rows are known of it.
+    """
     kind = F.col("kind")
-    per_file = _file_values(checked).groupBy("scraper", "file_key").agg(
+    per_file = _file_values(_of_readable(checked, files)).groupBy("scraper", "file_key").agg(
         *[F.sum(c).alias(c) for c in COUNTERS],
         F.count_if(kind == "sheet").alias("sheets_scanned"),
         F.array_distinct(F.flatten(F.collect_set("head.phone_columns"))).alias("columns_found"),
@@ -212,7 +228,10 @@ def file_validation(checked: DataFrame) -> DataFrame:
         F.count_if(kind == "ad_id").alias("ads_unique_valid"),
         F.count_if(kind == "ad_id").alias("ads_valid"),
     )
-    return _ad_totals(per_file)
+    counted = _ad_totals(per_file)
+    if files is None:
+        return counted
+    return _with_zeros(files.select("scraper", "file_key", "readable").join(counted, ["scraper", "file_key"], "left"))
 
 
 def reason_histogram(checked: DataFrame) -> DataFrame:
@@ -227,8 +246,8 @@ def reason_histogram(checked: DataFrame) -> DataFrame:
     return checked.select("scraper", F.inline(kinds)).groupBy("scraper", "kind", "reason").agg(F.count(F.lit(1)).alias("n"))
 
 
-def invalid_samples(flagged: DataFrame, limit: int = rules.SAMPLE_LIMIT) -> DataFrame:
-    """The first invalid cells of each file, phones and ids apart."""
+def invalid_samples(flagged: DataFrame, limit: int = rules.SAMPLE_LIMIT, merged: bool = False) -> DataFrame:
+    """The first invalid cells of each file, phones and ids apart; ``merged``: of each scraper over its files in order."""
     bad_phone = F.col("phone_status").isNotNull() & ~F.col("phone_status").isin(*OK_PHONE)
     bad_id = F.col("ad_status").isin("missing", "malformed", "duplicate")
 
@@ -249,20 +268,22 @@ def invalid_samples(flagged: DataFrame, limit: int = rules.SAMPLE_LIMIT) -> Data
         lambda e: e.isNotNull(),
     )
     cells = flagged.select("scraper", "file_key", "sheet", "sheet_pos", "row_no", F.inline(found))
-    picked = first_rows(cells, ["file_key", "kind"], ["sheet_pos", "row_no"], limit)
+    group, order = (["scraper", "kind"], ["file_key", "sheet_pos", "row_no"]) if merged else (["file_key", "kind"], ["sheet_pos", "row_no"])
+    picked = first_rows(cells, group, order, limit)
     return picked.select(
         "scraper", "file_key", "kind", "sheet", (F.col("row_no") + 2).alias("row"), "column", "value", "reason"
     )
 
 
-def scraper_validation(checked: DataFrame) -> DataFrame:
+def scraper_validation(checked: DataFrame, files: DataFrame | None = None) -> DataFrame:
     """Files merged per scraper. Uniques are distinct over the scraper, repeats stay per file.
 
-    One scan and a chain of aggregations: per file and value, then per scraper and value, then per scraper.
+    One scan and a chain of aggregations: per file and value, then per scraper and value, then per scraper. With the
+    list of ``files`` the files found and readable are those listed, and a scraper whose files hold no data rows has zeros.
     """
     kind = F.col("kind")
     group = F.when(kind == "sheet", F.col("file_key")).otherwise(F.col("value"))
-    per_value = _file_values(checked).groupBy("scraper", "kind", group.alias("value")).agg(
+    per_value = _file_values(_of_readable(checked, files)).groupBy("scraper", "kind", group.alias("value")).agg(
         F.count(F.lit(1)).alias("n"),
         *[F.sum(c).alias(c) for c in COUNTERS],
         F.array_distinct(F.flatten(F.collect_set("head.phone_columns"))).alias("columns_found"),
@@ -278,8 +299,12 @@ def scraper_validation(checked: DataFrame) -> DataFrame:
         F.count_if(kind == "ad_id").alias("ads_unique_valid"),
         F.coalesce(F.sum(F.when(kind == "ad_id", F.col("n"))), F.lit(0)).alias("ads_valid"),
     )
+    counted = _ad_totals(merged)
+    if files is not None:
+        listed = files.groupBy("scraper").agg(F.count(F.lit(1)).alias("files_found"), F.count_if("readable").alias("files_readable"))
+        counted = _with_zeros(listed.join(counted.drop("files_found"), "scraper", "left"))
     return (
-        _ad_totals(merged)
+        counted
         .withColumn("phones_valid_pct", pct(F.col("phones_valid"), F.col("phones_seen")))
         .withColumn("phones_invalid_pct", pct(F.col("phones_invalid"), F.col("phones_seen")))
         .withColumn("ads_valid_pct", pct(F.col("ads_valid"), F.col("ads_seen")))

@@ -170,3 +170,15 @@ def test_repeated_ids_with_a_hot_id_and_rows_without(spark):
         assert got[n] == ("missing" if a is None else "duplicate" if a in seen else "valid")
         seen.add(a)
     assert len(got) == len(data)
+
+
+def test_files_without_data_rows_are_listed(spark):
+    data = [("s", "f", "Main", 0, 0, {"id": "12345", "phone": "51234567"}), ("s", "broken", "Main", 0, 0, {"id": "99999"})]
+    files = spark.createDataFrame([("s", "f", True), ("s", "info-only", True), ("s", "broken", False), ("t", "alone", True)], "scraper string, file_key string, readable boolean")
+    checked = validation.check_rows(spark.createDataFrame(data, ROWS))
+    got = {r["file_key"]: (r["readable"], r["rows_scanned"], r["phones_seen"]) for r in validation.file_validation(checked, files).collect()}
+    assert got == {"f": (True, 1, 1), "info-only": (True, 0, 0), "broken": (False, 0, 0), "alone": (True, 0, 0)}
+    merged = validation.scraper_validation(checked, files)
+    assert {r["scraper"]: (r["files_found"], r["files_readable"], r["ads_seen"]) for r in merged.collect()} == {"s": (3, 2, 1), "t": (1, 1, 0)}
+    scrapers = spark.createDataFrame([("t", False)], "scraper string, files_optional boolean")
+    assert validation.validation_gate(merged, scrapers).first()["fail_reasons"] == ["no_phone_or_id_columns"]
