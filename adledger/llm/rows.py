@@ -47,16 +47,18 @@ def keep_decided(docs: DataFrame, decided: DataFrame, id_col: str = "doc_id", te
     """The rows of ``docs`` that ``decided`` (doc_id, text_sha256, kept; a row per row of docs) keeps.
 
     All columns of ``docs`` come back and no others. Rows are told apart by id and text. Only the dropped keys
-    are joined, which are few and mostly small enough for Spark to broadcast; whole texts are moved at most once.
-    Of rows that repeat both id and text, as many stay as were kept.
+    are joined, by a merge join whatever their number, so the plan is the same at every size and whole texts are
+    moved once. Of rows that repeat both id and text, as many stay as were kept; keys of such rows are next to none.
     """
     per_row = decided.groupBy("doc_id", "text_sha256").agg(
         F.count("*").alias("_rows"), F.sum(F.col("kept").cast("long")).alias("_stay"),
     )
     keys = saved(per_row.filter("_stay < _rows").select(F.col("doc_id").alias("_k_id"), F.col("text_sha256").alias("_k_sha"), "_stay"), "decided")
     same = docs[id_col].cast("long").eqNullSafe(F.col("_k_id")) & (text_key(docs, text_col) == F.col("_k_sha"))
-    plain = docs.join(keys, same, "left_anti")
-    partly = docs.join(keys.filter("_stay > 0"), same, "inner")
+    plain = docs.join(keys.hint("merge"), same, "left_anti")
+    some = saved(keys.filter("_stay > 0"), "partly-kept")
+    same = docs[id_col].cast("long").eqNullSafe(some["_k_id"]) & (text_key(docs, text_col) == some["_k_sha"])
+    partly = docs.join(some, same, "inner")
     names = [F.col(f"`{c}`") for c in docs.columns]
     again = partly.dropDuplicates(["_k_id", "_k_sha"]).select(F.explode(F.sequence(F.lit(1).cast("long"), F.col("_stay"))).alias("_k_copy"), *names)
     return plain.unionByName(again.drop("_k_copy"))
