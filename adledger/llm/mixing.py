@@ -146,7 +146,7 @@ def drawn_blocks(spark, sources: list[dict], shards: int, seed: int) -> DataFram
     return spark.range(shards).repartition(min(shards, 200)).mapInArrow(partial(_shard_rows, sources=sources, shards=shards, seed=seed), "shard long, source_no int, block long, copy int")
 
 
-def laid_out(rows: DataFrame, sources: list[dict], seed: int, bin_rows: int = 50_000) -> DataFrame:
+def laid_out(rows: DataFrame, sources: list[dict], seed: int, bin_rows: int = 5_000) -> DataFrame:
     """``rows`` (row_id, source, size) with source_no and ``at``, the words before each in its source's hashed order.
 
     Rows are dealt to bins by hash, so many that a bin has about ``bin_rows`` rows of even the largest source. Sums of
@@ -167,7 +167,7 @@ def laid_out(rows: DataFrame, sources: list[dict], seed: int, bin_rows: int = 50
 
 def mix(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[float, ...] = WEIGHTS,
-    share: float = 1.0, most: float = MOST_TIMES, blocks: int = 256, most_words: int = 1 << 14, words_per_shard: int = 1 << 24, seed: int = 42,
+    share: float = 1.0, most: float = MOST_TIMES, blocks: int = 256, most_words: int = 1 << 14, words_per_shard: int = 1 << 20, seed: int = 42,
     most_sources: int = 100_000, row_col: str | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Two tables: one row per document (row_id, doc_id, source, size, source_size, target, taken), and the pieces of the mix.
