@@ -223,7 +223,8 @@ TOTAL_NAMES = {"r2_file_count": "total_r2_files"}
       {', '.join(f"CAST(sum({c}) AS BIGINT) AS {TOTAL_NAMES.get(c, f'total_{c}')}" for c in SUMMED)},
       nullif(CAST(sum(requests_total) AS BIGINT), 0) AS total_requests, nullif(CAST(sum(requests_failed) FILTER (requests_total <> 0) AS BIGINT), 0) AS total_requests_failed,
       CASE WHEN sum(requests_total) > 0 THEN round(coalesce(sum(requests_failed) FILTER (requests_total <> 0), 0) * 100.0::DOUBLE / sum(requests_total), 2) END AS avg_error_rate_pct,
-      round(CAST(sum(CAST(requests_per_min AS DECIMAL(28, 6))) AS DOUBLE) / nullif(count(requests_per_min), 0), 2) AS avg_requests_per_min FROM summary GROUP BY 1""",
+      ((2 * sum(CAST(round(requests_per_min * 1000000) AS BIGINT)) + count(requests_per_min) * 10000) // (2 * nullif(count(requests_per_min), 0) * 10000)) / 100.0::DOUBLE AS avg_requests_per_min
+    FROM summary GROUP BY 1""",
 )
 def h9(spark, sf):
     return h.hub_rollup(summary(spark, sf))

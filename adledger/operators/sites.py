@@ -232,8 +232,8 @@ def hub_rollup(sites: DataFrame) -> DataFrame:
         *[F.sum(c).alias(f"total_{c}") for c in [*STORAGE_TOTALS[2:], *STORAGE_DAILY[1:]]],
         F.nullif(F.sum("requests_total"), F.lit(0).cast("bigint")).alias("total_requests"),
         F.nullif(F.sum(F.when(told, F.coalesce("requests_failed", F.lit(0)))), F.lit(0).cast("bigint")).alias("total_requests_failed"),
-        # the sum is exact, so the mean does not depend on the order in which rows are added up
-        F.round(F.sum(F.col("requests_per_min").cast("decimal(28,6)")).cast("double") / F.nullif(F.count("requests_per_min"), F.lit(0)), 2).alias("avg_requests_per_min"),
+        # in decimals, so the mean does not depend on the order in which rows are added up
+        F.round(F.avg(F.col("requests_per_min").cast("decimal(28,6)")), 2).cast("double").alias("avg_requests_per_min"),
     )
     return totals.withColumn(
         "avg_error_rate_pct", pct_or_null(F.coalesce("total_requests_failed", F.lit(0)), F.col("total_requests"))
