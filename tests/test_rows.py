@@ -182,3 +182,15 @@ def test_files_without_data_rows_are_listed(spark):
     assert {r["scraper"]: (r["files_found"], r["files_readable"], r["ads_seen"]) for r in merged.collect()} == {"s": (3, 2, 1), "t": (1, 1, 0)}
     scrapers = spark.createDataFrame([("t", False)], "scraper string, files_optional boolean")
     assert validation.validation_gate(merged, scrapers).first()["fail_reasons"] == ["no_phone_or_id_columns"]
+
+
+def test_short_detail_has_a_link_and_the_status_of_its_card(spark):
+    from adledger.operators import listings
+
+    page = '{"props": {"pageProps": {"listing": {"user_adv_id": "7", "slug": "a-7", "title": "t", "images": ["x"], "user": {"listings_count": 3}}}}}'
+    payloads = spark.createDataFrame([(1, page)], "page_id long, body string").select("page_id", V.parse("body").alias("payload"))
+    details = listings.project_listing_detail(payloads, F.lit("2024-01-02 00:00:00").cast("timestamp"))
+    cards = spark.createDataFrame([("a-7", "pinned"), ("", "none")], "slug string, status string")
+    rows = listings.short_listing_detail(details, cards, "https://site/listing/").collect()
+    assert [(r["id"], r["link"], r["status"], r["user_ads"]) for r in rows] == [("7", "https://site/listing/a-7", "pinned", "3 ads")]
+    assert len(rows[0]) == 25
