@@ -12,13 +12,14 @@ An empty table gives no rows. Other columns of the table are not looked at.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import partial
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from adledger.llm.components import components
@@ -122,96 +123,120 @@ def near_keepers(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 # --- by the similarity of five-word shingles ------------------------------------------------------------
 
-#: Fingerprints of a text's set of words; a pair that is alike enough is within the radius in one of them, nearly always.
-WORD_PRINTS = 12
-#: 64-bit fingerprints of the set of shingles that tell how alike two texts are.
-SKETCH_PRINTS = 32
+#: Texts that are read to learn which shingles are frequent; only the work depends on it, and no result.
+ORDER_SAMPLE = 20_000
+#: Frequent shingles that are told apart, and the least number of sampled texts that makes one frequent.
+ORDER_MOST, ORDER_LEAST = 100_000, 3
 
 
-def seeded_prints(hashes: np.ndarray, n: int) -> np.ndarray:
-    """``n`` independent fingerprints of a set of hashes: each bit is 1 if set in over half of the mixed hashes."""
-    counts = np.zeros((n, BITS), np.int32)
-    steps = np.arange(1, n + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    for at in range(0, len(hashes), 255):
-        z = hashes[at:at + 255, None] + steps
-        z = (z ^ (z >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-        z = (z ^ (z >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-        bits = np.unpackbits((z ^ (z >> np.uint64(31))).astype("<u8").view(np.uint8), axis=1, bitorder="little")
-        counts += np.add.reduce(bits, axis=0, dtype=np.uint8).reshape(n, BITS)
-    return np.packbits(2 * counts > len(hashes), axis=1, bitorder="little").view("<u8").ravel().astype(np.uint64)
+def shingle_set(body: bytes, shingle: int = 5) -> np.ndarray:
+    """Sorted XXH64 values of the distinct shingles; of fewer words the whole sequence is one, and no words are one too."""
+    words, digest = body.lower().split(), xxhash.xxh64_intdigest
+    grams = zip(*(words[k:] for k in range(min(shingle, len(words)))), strict=False) if words else [()]
+    return np.unique(np.array([digest(b" ".join(g), SEED) for g in grams], np.uint64))
 
 
-def signature(body: bytes, shingle: int = 5) -> tuple[np.ndarray, np.ndarray]:
-    """Fingerprints of the set of words, and of the set of shingles (of fewer words: the whole sequence)."""
-    words, digest = body.lower().split(), xxhash.xxh64_intdigest
-    shingles = {b" ".join(s) for s in zip(*(words[k:] for k in range(min(shingle, max(len(words), 1)))), strict=False)}
-    hashed = lambda items: np.array([digest(x, SEED) for x in items], np.uint64)
-    return seeded_prints(hashed(set(words)), WORD_PRINTS), seeded_prints(hashed(shingles), SKETCH_PRINTS)
+def prefix_of(values: np.ndarray, least: float, frequent: tuple[np.ndarray, np.ndarray] | None = None) -> np.ndarray:
+    """So many of a set's first values, rare ones first, that any set alike in ``least`` shares one with its own such."""
+    counts = np.zeros(len(values), np.int64)
+    if frequent is not None and len(frequent[0]):
+        at = np.minimum(np.searchsorted(frequent[0], values), len(frequent[0]) - 1)
+        counts = np.where(frequent[0][at] == values, frequent[1][at], 0)
+    keep = len(values) - int(np.ceil(least * len(values) - 1e-9)) + 1
+    return values[np.lexsort((values, counts))][:keep]
+
+
+def signature(body: bytes, shingle: int = 5, least: float = 0.8, frequent: tuple[np.ndarray, np.ndarray] | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """The prefix of a text's set of shingles, in the order of all texts, and the set."""
+    values = shingle_set(body, shingle)
+    return prefix_of(values, least, frequent), values
 
 
-def _signatures(batches: Iterator[pa.RecordBatch], shingle: int) -> Iterator[pa.RecordBatch]:
+def _signatures(batches: Iterator[pa.RecordBatch], shingle: int, least: float, frequent: tuple[np.ndarray, np.ndarray]) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches):
         texts = [b.as_py() for b in batch.column(1)]
-        pairs = [signature(t, shingle) for t in texts]
-        lists = [pa.array([p[k].view(np.int64) for p in pairs], pa.list_(pa.int64())) for k in (0, 1)]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([hashlib.sha256(t).hexdigest() for t in texts], pa.string()), *lists], names=["doc_id", "text_sha256", "words", "sketch"])
+        pairs = [signature(t, shingle, least, frequent) for t in texts]
+        yield pa.RecordBatch.from_arrays([
+            batch.column(0), pa.array([hashlib.sha256(t).hexdigest() for t in texts], pa.string()), pa.array([p.view(np.int64) for p, _ in pairs], pa.list_(pa.int64())),
+            pa.array([len(v) for _, v in pairs], pa.int32()), pa.array([hashlib.sha256(v.tobytes()).hexdigest() for _, v in pairs], pa.string()),
+        ], names=["doc_id", "text_sha256", "prefix", "n", "set_sha256"])
+
+
+def _sets(batches: Iterator[pa.RecordBatch], shingle: int) -> Iterator[pa.RecordBatch]:
+    for batch in slices(batches):
+        sets = [shingle_set(b.as_py(), shingle).view(np.int64) for b in batch.column(1)]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.list_(pa.int64()))], names=["row_id", "shingles"])
 
 
-def most_differing(least: float) -> int:
-    """Bits of two sketches that may differ for sets of one size whose Jaccard similarity is ``least``."""
-    return int(np.arccos(2 * least / (1 + least)) / np.pi * BITS * SKETCH_PRINTS)
+def frequent_shingles(texts: DataFrame, shingle: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes, sorted, and counts of the shingles that are frequent among sampled texts (doc_id, body)."""
+    share = max(1, texts.count() // ORDER_SAMPLE)
+    sample = texts.filter(F.pmod(F.xxhash64("doc_id"), F.lit(share)) == 0).select(F.lit(0).cast("long"), "body")
+    grams = sample.mapInArrow(partial(_sets, shingle=shingle), "row_id long, shingles array<long>").select(F.explode("shingles").alias("h"))
+    rows = grams.groupBy("h").agg(F.count("*").alias("c")).filter(F.col("c") >= ORDER_LEAST).orderBy(F.desc("c"), "h").limit(ORDER_MOST).collect()
+    hashes, counts = np.array([r["h"] for r in rows], np.int64).view(np.uint64), np.array([r["c"] for r in rows], np.int64)
+    order = np.argsort(hashes)
+    return hashes[order], counts[order]
 
 
-#: Sketches err by about this much, so pairs that seem less alike than asked by as much are taken too.
-SKETCH_ERROR = 0.015
+def _may_be_alike(least: float) -> Column:
+    """What sizes and places allow of a pair that shares a shingle, if it is the first that both have."""
+    both = F.col("x.n") + F.col("y.n")
+    return F.least("x.rest", "y.rest") >= both * (least / (1 + least)) - 1e-6
 
 
-def similar_links(rows: DataFrame, least: float = 0.8, bucket: int = 16) -> DataFrame:
-    """Edges (a, b) between ``rows`` (row_id, words, sketch) that are alike in ``least`` of their shingles or more.
+def verified(asked: DataFrame, sets: DataFrame, least: float) -> DataFrame:
+    """The pairs (a, b) whose sets (row_id, shingles) have a Jaccard similarity of ``least`` or more."""
+    both = asked.join(sets.toDF("a", "sa"), "a").join(sets.toDF("b", "sb"), "b").withColumn("common", F.size(F.array_intersect("sa", "sb")))
+    return both.filter(F.col("common") >= least * (F.size("sa") + F.size("sb") - F.col("common")) - 1e-6).select("a", "b")
 
-    Candidates collide in a covering table of one of the word fingerprints and are within the radius there; their
-    sketches decide. In a bucket of more than ``bucket`` rows each row is compared with one chosen member, another one
-    in each of its buckets, and what found no partner there goes through the tables again among its like, until that
-    finds no more. So work grows with the rows and not with the square of a crowd.
+
+def decided(asked: DataFrame, rows: DataFrame, least: float, sets_of: Callable[[DataFrame], DataFrame] | None) -> DataFrame:
+    """The candidates (a, b) that are alike; sets are read of rows that are in one, and of no others."""
+    ids = saved(asked.select(F.col("a").alias("row_id")).union(asked.select("b")).distinct(), "candidate-rows")
+    sets = saved(sets_of(ids), "candidate-sets") if sets_of else rows.select("row_id", F.col("third").alias("shingles"))
+    return saved(verified(asked, sets, least), "similar")
+
+
+def similar_links(rows: DataFrame, least: float = 0.8, bucket: int = 16, sets_of: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """Edges (a, b) that connect just what all pairs of ``rows`` alike in ``least`` of their shingles or more connect.
+
+    Columns of ``rows``, by place: row_id, prefix, and the set of shingles, or its size where ``sets_of`` gives the sets
+    (row_id, shingles) of some row_ids. Sets this alike share a value of their prefixes, always, so the rows that share
+    one are the candidates; sizes and places rule out most, and the sets themselves decide.
     """
-    masks, limit, todo, found, salt = covering_masks(2), most_differing(least - SKETCH_ERROR), rows, None, 0
-    sketches = rows.select("row_id", "sketch")
-    while True:
-        total = todo.count() * WORD_PRINTS * len(masks)
-        tables = F.array(*(F.struct(F.lit(t).alias("t"), F.col("fp").bitwiseAND(F.lit(signed(m))).alias("key")) for t, m in enumerate(masks)))
-        prints = todo.select("row_id", F.posexplode("words").alias("k", "fp"))
-        spread = prints.select("row_id", "k", "fp", F.explode(tables).alias("x")).select("row_id", "fp", F.xxhash64("k", "x.t", "x.key").alias("b"))
-        mixed = F.col("row_id").bitwiseXOR(F.lit(salt))
-        sizes = saved(dealt(spread.groupBy("b").agg(F.count("*").alias("n"), F.min(mixed).alias("one")).filter("n > 1"), total), "word-buckets")
-        members = saved(dealt(spread.join(sizes, "b"), total), "word-members")
-        lists = members.filter(F.col("n") <= bucket).groupBy("b").agg(F.collect_list(F.struct("row_id", "fp")).alias("m"))
-        partners = lambda x: F.filter("m", lambda y: (y["row_id"] > x["row_id"]) & _within(x["fp"], y["fp"], 2))
-        pairs = F.flatten(F.transform("m", lambda x: F.transform(partners(x), lambda y: F.struct(x["row_id"].alias("a"), y["row_id"].alias("b")))))
-        cold = lists.select(F.explode(pairs).alias("p")).select("p.a", "p.b")
-        crowd = members.filter(F.col("n") > bucket).select(F.col("one").bitwiseXOR(F.lit(salt)).alias("one"), "row_id").filter("one <> row_id")
-        asked = saved(dealt(cold.union(crowd.select(F.least("one", "row_id"), F.greatest("one", "row_id"))).distinct(), total), "candidates")
-        both = asked.join(sketches.toDF("a", "sa"), "a").join(sketches.toDF("b", "sb"), "b")
-        differing = sum((F.bit_count(F.get("sa", k).bitwiseXOR(F.get("sb", k))) for k in range(SKETCH_PRINTS)), F.lit(0))
-        new = saved(dealt(both.filter(differing <= limit).select("a", "b"), total), "similar")
-        found = new if found is None else found.union(new)
-        linked = new.select("a").union(new.select("b")).distinct()
-        left = saved(dealt(crowd.select("row_id").distinct().join(linked, F.col("row_id") == F.col("a"), "left_anti"), total), "unlinked")
-        if left.isEmpty() or new.isEmpty():
-            return found
-        todo, salt = rows.join(left, "row_id", "left_semi"), (salt * 0x5851F42D4C957F2D + 0x14057B7EF767814F) % (1 << 62)
+    rows = rows.toDF("row_id", "prefix", "third")
+    size = F.col("third") if sets_of else F.size("third")
+    keys = rows.select("row_id", size.alias("n"), F.posexplode("prefix").alias("at", "h"))
+    spread = keys.select("h", "row_id", "n", (F.col("n") - F.col("at")).alias("rest"))
+    members = saved(spread.withColumn("members", F.count("*").over(W.partitionBy("h"))).filter("members > 1"), "prefix-members")
+    pairs = members.alias("x").join(members.alias("y"), (F.col("x.h") == F.col("y.h")) & (F.col("x.row_id") < F.col("y.row_id")) & _may_be_alike(least))
+    asked = saved(pairs.select(F.col("x.row_id").alias("a"), F.col("y.row_id").alias("b")).distinct(), "candidates")
+    return decided(asked, rows, least, sets_of)
 
 
 def similar_keepers(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, least: float = 0.8) -> DataFrame:
     """doc_id, text_sha256, kept: of the texts that links of similarity ``least`` connect, that with the least id stays.
 
-    Similarity is of the sets of ``shingle``-word shingles, as their sketches of 2,048 bits estimate it (within 0.015 or
-    so, in favour of the link). Texts without words are alike. Cases are else as above.
+    Similarity is of the sets of ``shingle``-word shingles, by their 64-bit hashes. Texts with equal sets are linked by the
+    hash of the set, and one of them meets the others. Texts without words are alike. Cases are else as above.
     """
-    run = partial(_signatures, shingle=shingle)
-    rows = bodies(docs, id_col, text_col).mapInArrow(run, "doc_id long, text_sha256 string, words array<long>, sketch array<long>")
+    texts = bodies(docs, id_col, text_col)
+    run = partial(_signatures, shingle=shingle, least=least, frequent=frequent_shingles(texts, shingle))
+    rows = texts.mapInArrow(run, "doc_id long, text_sha256 string, prefix array<long>, n int, set_sha256 string")
     rows = saved(rows.withColumn("row_id", F.monotonically_increasing_id()), "signatures")
     total = rows.count()
-    roots = saved(dealt(components(similar_links(rows, least), total), total), "similar-roots")
+    same = rows.groupBy("set_sha256").agg(F.min("row_id").alias("a"), F.count("*").alias("rows")).filter("rows > 1")
+    copies = saved(dealt(rows.join(same, "set_sha256").filter("row_id <> a").select("a", F.col("row_id").alias("b")), total), "equal-sets")
+    single = rows.join(copies, F.col("row_id") == F.col("b"), "left_anti").select("row_id", "prefix", "n")
+
+    def sets_of(ids: DataFrame) -> DataFrame:
+        wanted = rows.join(ids, "row_id").select("row_id", F.col("doc_id").alias("_w_id"), "text_sha256")
+        found = texts.withColumn("text_sha256", F.sha2("body", 256)).join(wanted, "text_sha256").filter(F.col("doc_id").eqNullSafe(F.col("_w_id")))
+        return found.select("row_id", "body").mapInArrow(partial(_sets, shingle=shingle), "row_id long, shingles array<long>").dropDuplicates(["row_id"])
+
+    links = similar_links(single, least, sets_of=sets_of).union(copies)
+    roots = saved(dealt(components(links, total), total), "similar-roots")
     placed = saved(dealt(rows.select("row_id", "doc_id").join(roots, F.col("row_id") == F.col("node")), total), "similar-rows")
     stays = placed.groupBy("root").agg(F.min(F.struct("doc_id", "row_id")).alias("s")).select(F.col("s.row_id").alias("stays"))
     gone = saved(dealt(placed.join(stays, F.col("row_id") == F.col("stays"), "left_anti").select("row_id", F.lit(False).alias("kept")), total), "similar-dropped")

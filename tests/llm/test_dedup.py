@@ -165,3 +165,40 @@ def test_similar_keepers_of_odd_rows(docs_of):
     kept = sorted((r.doc_id if r.doc_id is not None else -1) for r in rows if r.kept)
     assert len(rows) == len(ODD) and kept == [-1, 2, 6, 8, 9]
     assert simhash.similar_keepers(docs_of([(1, "x")]).filter("doc_id > 1")).count() == 0
+
+
+def kept_by_brute_force(texts, least=0.8):
+    roots, sets = list(range(len(texts))), [{tuple(t.split()[i:i + 5]) for i in range(len(t.split()) - 4)} for t in texts]
+
+    def find(x):
+        while roots[x] != x:
+            x = roots[x]
+        return x
+
+    for i in range(len(texts)):
+        for j in range(i):
+            if len(sets[i] & sets[j]) >= least * len(sets[i] | sets[j]):
+                roots[max(find(i), find(j))] = min(find(i), find(j))
+    return {i for i in range(len(texts)) if find(i) == i}
+
+
+def test_appended_replaced_and_scattered_edits_against_brute_force(docs_of):
+    rnd = random.Random(9)
+    words_of = lambda n: [f"w{rnd.randrange(3000)}" for _ in range(n)]
+    texts = []
+    for g in range(90):
+        words, part = words_of(200), words_of(8 + g % 45)
+        edits = [words + part, part[:22] + words[len(part[:22]):], changed(rnd, words, 1 + g % 7).split()]
+        texts += [" ".join(words), " ".join(edits[g % 3])]
+    alike = [jaccard(a, b) for a, b in zip(texts[::2], texts[1::2], strict=True)]
+    assert sum(x >= 0.8 for x in alike) > 50 and sum(0.8 <= x < 0.85 for x in alike) > 10 and sum(x < 0.8 for x in alike) > 10
+    assert {r.doc_id for r in simhash.similar_keepers(docs_of(list(enumerate(texts)))).filter("kept").collect()} == kept_by_brute_force(texts)
+
+
+def test_pairs_at_just_the_similarity_asked(docs_of):
+    words = [f"w{k}" for k in range(84)]
+    texts = [" ".join(words), " ".join(words + [f"x{k}" for k in range(20)]), " ".join(["y", *words, "z"]), "v " + " ".join(words + [f"x{k}" for k in range(20)])]
+    assert jaccard(texts[0], texts[1]) == 0.8
+    assert {r.doc_id for r in simhash.similar_keepers(docs_of(list(enumerate(texts[:2])))).filter("kept").collect()} == {0}
+    assert jaccard(texts[0], texts[3]) < 0.8
+    assert {r.doc_id for r in simhash.similar_keepers(docs_of([(0, texts[0]), (3, texts[3])])).filter("kept").collect()} == {0, 3}
