@@ -123,6 +123,8 @@ def near_keepers(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 # --- by the similarity of five-word shingles ------------------------------------------------------------
 
+#: Members of a crowd that meet in one task.
+BLOCK = 512
 #: Texts that are read to learn which shingles are frequent; only the work depends on it, and no result.
 ORDER_SAMPLE = 20_000
 #: Frequent shingles that are told apart, and the least number of sampled texts that makes one frequent.
@@ -204,15 +206,39 @@ def similar_links(rows: DataFrame, least: float = 0.8, bucket: int = 16, sets_of
     Columns of ``rows``, by place: row_id, prefix, and the set of shingles, or its size where ``sets_of`` gives the sets
     (row_id, shingles) of some row_ids. Sets this alike share a value of their prefixes, always, so the rows that share
     one are the candidates; sizes and places rule out most, and the sets themselves decide.
+
+    Values with more than ``bucket`` members go in two steps. First each member meets one chosen member, another one in
+    each of its crowds. Then all pairs that this left unconnected are compared, in blocks of ``BLOCK`` members against
+    blocks, so that no task holds a crowd, and none is left out: pairs in one component need no comparison.
     """
     rows = rows.toDF("row_id", "prefix", "third")
     size = F.col("third") if sets_of else F.size("third")
     keys = rows.select("row_id", size.alias("n"), F.posexplode("prefix").alias("at", "h"))
     spread = keys.select("h", "row_id", "n", (F.col("n") - F.col("at")).alias("rest"))
     members = saved(spread.withColumn("members", F.count("*").over(W.partitionBy("h"))).filter("members > 1"), "prefix-members")
-    pairs = members.alias("x").join(members.alias("y"), (F.col("x.h") == F.col("y.h")) & (F.col("x.row_id") < F.col("y.row_id")) & _may_be_alike(least))
-    asked = saved(pairs.select(F.col("x.row_id").alias("a"), F.col("y.row_id").alias("b")).distinct(), "candidates")
-    return decided(asked, rows, least, sets_of)
+    total = rows.count()
+    cold = members.filter(F.col("members") <= bucket)
+    pairs = cold.alias("x").join(cold.alias("y"), (F.col("x.h") == F.col("y.h")) & (F.col("x.row_id") < F.col("y.row_id")) & _may_be_alike(least))
+    crowd = members.filter(F.col("members") > bucket)
+    mixed = F.xxhash64("h", "row_id")
+    chosen = crowd.groupBy("h").agg(F.min_by(F.struct("row_id", "n", "rest"), mixed).alias("one")).select("h", "one.*")
+    stars = crowd.alias("x").join(chosen.alias("y"), (F.col("x.h") == F.col("y.h")) & (F.col("x.row_id") != F.col("y.row_id")) & _may_be_alike(least))
+    ends = [F.least("x.row_id", "y.row_id").alias("a"), F.greatest("x.row_id", "y.row_id").alias("b")]
+    asked = saved(pairs.select(*ends).union(stars.select(*ends)).distinct(), "candidates")
+    found = decided(asked, rows, least, sets_of)
+    if crowd.isEmpty():
+        return found
+    roots = saved(dealt(components(found, total), total), "crowd-roots")
+    crowd = crowd.join(roots, F.col("row_id") == F.col("node"), "left").select("h", "row_id", "n", "rest", F.coalesce("root", "row_id").alias("root"))
+    several = crowd.groupBy("h").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("members")).filter("lo < hi").select("h", "members")
+    placed = crowd.join(several, "h").withColumn("block", F.floor((F.row_number().over(W.partitionBy("h").orderBy("n", "row_id")) - 1) / BLOCK))
+    placed = saved(placed.withColumn("last", F.floor((F.col("members") - 1) / BLOCK)), "crowd-blocks")
+    left = placed.select("*", F.col("block").alias("p"), F.explode(F.sequence("block", "last")).alias("q"))
+    right = placed.select("*", F.explode(F.sequence(F.lit(0).cast("long"), "block")).alias("p"), F.col("block").alias("q"))
+    apart = (F.col("x.root") != F.col("y.root")) & ((F.col("x.p") < F.col("x.q")) | (F.col("x.row_id") < F.col("y.row_id")))
+    met = left.alias("x").join(right.alias("y"), (F.col("x.h") == F.col("y.h")) & (F.col("x.p") == F.col("y.p")) & (F.col("x.q") == F.col("y.q")) & apart & _may_be_alike(least))
+    rest = saved(met.select(*ends).distinct().join(asked, ["a", "b"], "left_anti"), "crowd-candidates")
+    return found.union(decided(rest, rows, least, sets_of))
 
 
 def similar_keepers(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, least: float = 0.8) -> DataFrame:

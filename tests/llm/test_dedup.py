@@ -202,3 +202,17 @@ def test_pairs_at_just_the_similarity_asked(docs_of):
     assert {r.doc_id for r in simhash.similar_keepers(docs_of(list(enumerate(texts[:2])))).filter("kept").collect()} == {0}
     assert jaccard(texts[0], texts[3]) < 0.8
     assert {r.doc_id for r in simhash.similar_keepers(docs_of([(0, texts[0]), (3, texts[3])])).filter("kept").collect()} == {0, 3}
+
+
+def test_a_crowd_that_holds_separate_pairs(docs_of, spark, monkeypatch):
+    rnd = random.Random(12)
+    vocabulary = [f"w{k}" for k in range(120)]
+    texts = [" ".join(rnd.sample(vocabulary, 120)) for _ in range(60)]
+    texts += [" ".join([*t.split(), t.split()[0]]) for t in texts[:20]]
+    assert {r.doc_id for r in simhash.similar_keepers(docs_of(list(enumerate(texts)))).filter("kept").collect()} == kept_by_brute_force(texts) == set(range(60))
+    frame = [" ".join(vocabulary + [f"v{rnd.randrange(10**6)}" for _ in range(40)]) for _ in range(50)]
+    frame += [f"{t} end" for t in frame[:15]]
+    rows = spark.createDataFrame([(i, *([int(x) for x in s.view(np.int64)] for s in simhash.signature(t.encode()))) for i, t in enumerate(frame)], "row_id long, words array<long>, sketch array<long>")
+    monkeypatch.setattr(simhash, "BLOCK", 8)
+    roots = {r.node: r.root for r in components.components(simhash.similar_links(rows, bucket=4)).collect()}
+    assert {i for i in range(65) if roots.get(i, i) == i} == kept_by_brute_force(frame) == set(range(50))
