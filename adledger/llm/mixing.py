@@ -1,11 +1,14 @@
 """Mixing sources to target weights by a multivariate-hypergeometric splitting tree.
 
-A source's documents, in a hashed order, are laid end to end and cut into blocks of equal numbers of words. Its target
-becomes an exact quota of blocks. A tree splits the quotas of all sources among the output shards: at each node the
-blocks of one half are a multivariate hypergeometric draw from the node's, seeded by the node, so any shard finds its own
-quotas alone on its way down from the root, together with how many blocks of each source stand before its own. Block
-numbers are permuted by a keyed bijection, once for each pass over the source; a shard owns a run of permuted places, so
-shards are disjoint and a block is drawn as often as there are passes. Within a shard, pieces are shuffled by a hash.
+A source's documents, in a hashed order that the seed decides, are laid end to end, once for each pass over the source.
+The first words of that line, as many as the target, are the source's part of the mix, so every document comes whole as
+often as there are passes and only the one document that crosses the end of the target is cut there. The line falls into
+blocks of about equal numbers of words; a document belongs to the block of its first word, and whole.
+
+A tree splits the blocks of all sources among the output shards: at each node the blocks of one half are a multivariate
+hypergeometric draw from the node's, seeded by the node, so any shard finds its own quotas alone on its way down from the
+root, together with how many blocks of each source stand before its own. Block numbers are permuted by a keyed bijection;
+a shard owns a run of permuted places, so shards are disjoint. Within a shard, documents are shuffled by a hash.
 
 Nothing that grows with the documents passes the driver: it sees the list of sources (one row each) and no more.
 
@@ -64,7 +67,7 @@ def block_words(size: int, blocks: int, most: int) -> int:
 
 
 def recipe(sizes: DataFrame, weights: tuple[float, ...], share: float, most: float, blocks: int, most_words: int, most_sources: int) -> list[dict]:
-    """A row per source, from one row per source: size, target, words of a block, blocks and quota of blocks."""
+    """A row per source, from one row per source: size, target, its whole number of words, words of a block, and blocks."""
     rows = sizes.limit(most_sources + 1).collect()
     if len(rows) > most_sources:
         raise ValueError(f"a mix may have up to {most_sources} sources")
@@ -73,8 +76,7 @@ def recipe(sizes: DataFrame, weights: tuple[float, ...], share: float, most: flo
     found = []
     for k, (r, t) in enumerate(zip(rows, wanted, strict=True)):
         words = block_words(r["source_size"], blocks, most_words)
-        n = -(-r["source_size"] // words)
-        found.append({"source_no": k, "source": r["source"], "source_size": r["source_size"], "target": t, "block_words": words, "blocks": n, "quota": min(round(t / words), int(most) * n)})
+        found.append({"source_no": k, "source": r["source"], "source_size": r["source_size"], "target": t, "words": round(t), "block_words": words, "blocks": -(-round(t) // words)})
     return found
 
 
@@ -129,21 +131,20 @@ def permuted(places: np.ndarray, n: int, key: str) -> np.ndarray:
 
 
 def _shard_rows(batches: Iterator[pa.RecordBatch], sources: list[dict], shards: int, seed: int) -> Iterator[pa.RecordBatch]:
-    quotas = np.array([s["quota"] for s in sources], np.int64)
+    quotas = np.array([s["blocks"] for s in sources], np.int64)
     for batch in batches:
         for shard in batch.column(0).to_pylist():
             have, before = shard_quotas(quotas, shards, shard, seed)
             for s, n, at in zip(sources, have.tolist(), before.tolist(), strict=True):
                 for lo in range(at, at + n, 1 << 16):
                     draws = np.arange(lo, min(lo + (1 << 16), at + n), dtype=np.int64)
-                    passes, places = np.divmod(draws, s["blocks"])
-                    blocks = np.concatenate([permuted(places[passes == p], s["blocks"], f"{seed}/{s['source_no']}/{p}") for p in np.unique(passes)])
-                    yield pa.RecordBatch.from_pydict({"shard": np.full(len(draws), shard), "source_no": np.full(len(draws), s["source_no"], np.int32), "block": blocks, "copy": passes.astype(np.int32)})
+                    blocks = permuted(draws, s["blocks"], f"{seed}/{s['source_no']}")
+                    yield pa.RecordBatch.from_pydict({"shard": np.full(len(draws), shard), "source_no": np.full(len(draws), s["source_no"], np.int32), "block": blocks})
 
 
 def drawn_blocks(spark, sources: list[dict], shards: int, seed: int) -> DataFrame:
-    """shard, source_no, block, copy: every drawn block, worked out per shard from the seed alone."""
-    return spark.range(shards).repartition(min(shards, 200)).mapInArrow(partial(_shard_rows, sources=sources, shards=shards, seed=seed), "shard long, source_no int, block long, copy int")
+    """shard, source_no, block: every block of the mix, worked out per shard from the seed alone."""
+    return spark.range(shards).repartition(min(shards, 200)).mapInArrow(partial(_shard_rows, sources=sources, shards=shards, seed=seed), "shard long, source_no int, block long")
 
 
 def laid_out(rows: DataFrame, sources: list[dict], seed: int, bin_rows: int = 5_000) -> DataFrame:
@@ -172,11 +173,11 @@ def mix(
 ) -> tuple[DataFrame, DataFrame]:
     """Two tables: one row per document (row_id, doc_id, source, size, source_size, target, taken), and the pieces of the mix.
 
-    A piece (shard, place, row_id, doc_id, first_word, n_words, copy) is a run of words of a document; a document that
-    crosses the edge of a drawn block gives the run inside it. ``place`` orders a shard after its local shuffle.
-    A source has about ``blocks`` blocks, more where they would be longer than ``most_words`` words, and its taken words
-    are within a block of its target. ``row_col`` names a column that tells rows apart, where the caller needs the pieces
-    by a number of its own.
+    A piece (shard, place, row_id, doc_id, size, first_word, n_words, copy) is a document in one pass: all of its words, or
+    its first words where it crosses the end of its source's target, which one document of a source does at most. So a
+    source's taken words are its target to the word. ``place`` orders a shard after its local shuffle. A source has about
+    ``blocks`` blocks a pass, more where they would be longer than ``most_words`` words. ``row_col`` names a column that
+    tells rows apart, where the caller needs the pieces by a number of its own.
     """
     spark = docs.sparkSession
     row = docs[row_col] if row_col else F.monotonically_increasing_id()
@@ -184,16 +185,15 @@ def mix(
     sources = recipe(rows.groupBy("source").agg(F.sum("size").alias("source_size")), weights, share, most, blocks, most_words, most_sources)
     if not sources:
         nothing = rows.select("*", F.col("size").alias("source_size"), F.col("size").cast("double").alias("target"), F.col("size").alias("taken"))
-        return nothing, rows.select(F.col("row_id").alias("shard"), F.col("row_id").alias("place"), "row_id", "doc_id", F.col("size").alias("first_word"), F.col("size").alias("n_words"), F.lit(0).alias("copy"))
+        return nothing, rows.select(F.col("row_id").alias("shard"), F.col("row_id").alias("place"), "row_id", "doc_id", "size", F.col("size").alias("first_word"), F.col("size").alias("n_words"), F.lit(0).alias("copy"))
     shards = max(1, -(-round(sum(s["target"] for s in sources)) // words_per_shard))
-    table = spark.createDataFrame([(s["source_no"], s["source_size"], s["target"], s["block_words"]) for s in sources], "source_no int, source_size long, target double, block_words long")
+    table = spark.createDataFrame([(s["source_no"], s["source_size"], s["target"], s["words"], s["block_words"]) for s in sources], "source_no int, source_size long, target double, words long, block_words long")
     placed = saved(laid_out(rows, sources, seed).join(F.broadcast(table), "source_no"), "laid-out")
-    first, last = F.floor(F.col("at") / F.col("block_words")), F.floor((F.col("at") + F.col("size") - 1) / F.col("block_words"))
-    touched = placed.filter("size > 0").select("*", F.explode(F.sequence(first, last)).alias("block"))
-    lo, hi = F.greatest("at", F.col("block") * F.col("block_words")), F.least(F.col("at") + F.col("size"), (F.col("block") + 1) * F.col("block_words"))
-    touched = touched.select("source_no", "block", "row_id", "doc_id", (lo - F.col("at")).alias("first_word"), (hi - lo).alias("n_words"))
+    passes = F.sequence(F.lit(0).cast("long"), F.floor((F.col("words") - F.col("at") - 1) / F.col("source_size")))
+    copies = placed.filter("size > 0 AND at < words").select("*", F.explode(passes).alias("copy")).withColumn("from", F.col("copy") * F.col("source_size") + F.col("at"))
+    copies = copies.select("source_no", F.floor(F.col("from") / F.col("block_words")).alias("block"), "row_id", "doc_id", "size", F.lit(0).cast("long").alias("first_word"), F.least("size", F.col("words") - F.col("from")).alias("n_words"), F.col("copy").cast("int").alias("copy"))
     drawn = saved(drawn_blocks(spark, sources, shards, seed), "drawn-blocks")
-    pieces = touched.join(drawn, ["source_no", "block"]).select("shard", F.xxhash64("doc_id", "first_word", "copy", F.lit(seed)).alias("place"), "row_id", "doc_id", "first_word", "n_words", "copy")
+    pieces = copies.join(drawn, ["source_no", "block"]).select("shard", F.xxhash64("doc_id", "first_word", "copy", F.lit(seed)).alias("place"), "row_id", "doc_id", "size", "first_word", "n_words", "copy")
     pieces = saved(pieces, "pieces")
     taken = pieces.groupBy("row_id").agg(F.sum("n_words").alias("taken"))
     whole = placed.join(taken, "row_id", "left").select("row_id", "doc_id", "source", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
@@ -203,20 +203,18 @@ def mix(
 def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", length_col: str | None = "n_chars", **options) -> DataFrame:
     """The mix as documents, in the order of its shards: a row per document and pass, with the columns of ``docs``.
 
-    A document taken whole keeps its text. One taken in part has the words of its runs, by single spaces, a line per run.
+    A document keeps its whole text. The one that crosses the end of its source's target has its first words, by single
+    spaces.
     """
     numbered = saved(docs.withColumn("_m_row", F.monotonically_increasing_id()), "mix-input")
     whole, pieces = mix(numbered, id_col, text_col, source_col, row_col="_m_row", **options)
-    first = F.min(F.struct("shard", "place")).alias("at")
-    runs = pieces.groupBy("row_id", "copy").agg(first, F.sort_array(F.collect_list(F.struct("first_word", "n_words"))).alias("runs"))
-    per_row = runs.groupBy("row_id").agg(F.collect_list(F.struct("at", "runs")).alias("_m_passes"))
-    text, body = whole_text(numbered, text_col), F.btrim(whole_text(numbered, text_col), F.lit(SPACE))
-    words = F.split(body, r"[\x20\x09-\x0D]+")
-    joined = numbered.join(per_row.withColumnRenamed("row_id", "_m_row"), "_m_row").withColumn("_m_words", words).withColumn("_m_text", text)
+    per_row = pieces.groupBy("row_id").agg(F.collect_list(F.struct("shard", "place", "size", "n_words")).alias("_m_passes"))
+    text = whole_text(numbered, text_col)
+    joined = numbered.join(per_row.withColumnRenamed("row_id", "_m_row"), "_m_row").withColumn("_m_text", text)
     each = joined.select("*", F.explode("_m_passes").alias("_m_pass"))
-    taken = F.aggregate(F.transform("_m_pass.runs", lambda r: r["n_words"]), F.lit(0).cast("long"), lambda a, x: a + x)
-    parts = F.array_join(F.transform("_m_pass.runs", lambda r: F.array_join(F.slice("_m_words", r["first_word"].cast("int") + 1, r["n_words"].cast("int")), " ")), "\n")
-    each = each.withColumn("_m_text", F.when(taken == F.size("_m_words"), F.col("_m_text")).otherwise(parts))
+    words = F.split(F.btrim("_m_text", F.lit(SPACE)), r"[\x20\x09-\x0D]+")
+    part = F.array_join(F.slice(words, 1, F.col("_m_pass.n_words").cast("int")), " ")
+    each = each.withColumn("_m_text", F.when(F.col("_m_pass.n_words") == F.col("_m_pass.size"), F.col("_m_text")).otherwise(part))
     new = {text_col: F.col("_m_text")} | ({length_col: F.length("_m_text").cast(docs.schema[length_col].dataType)} if length_col else {})
-    ordered = each.select(F.col("_m_pass.at.shard").alias("_m_shard"), F.col("_m_pass.at.place").alias("_m_place"), *(new.get(c, F.col(f"`{c}`")).alias(c) for c in docs.columns))
+    ordered = each.select(F.col("_m_pass.shard").alias("_m_shard"), F.col("_m_pass.place").alias("_m_place"), *(new.get(c, F.col(f"`{c}`")).alias(c) for c in docs.columns))
     return ordered.repartition("_m_shard").sortWithinPartitions("_m_shard", "_m_place").select(*(F.col(f"`{c}`") for c in docs.columns))

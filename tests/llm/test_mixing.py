@@ -102,3 +102,19 @@ def test_op9(spark):
     order = sorted(sizes)
     assert [target[s] for s in order] == mixing.targets([sizes[s] for s in order])
     assert all(abs(taken[s] - target[s]) <= max(2, sizes[s] / 128) for s in order)
+
+
+def test_documents_come_whole(docs_of):
+    rows = [(i, f"  t{i} " + "\n".join(f"t{i}x{k}" for k in range(5 + i * 37 % 300)), f"s{i % 23}") for i in range(230)]
+    texts, target = {i: t for i, t, _ in rows}, {}
+    out = mixing.mixed_documents(docs_of(rows), words_per_shard=1000).collect()
+    cut = [r for r in out if r.text != texts[r.doc_id]]
+    assert len(out) > 200 and len({r.source for r in cut}) == len(cut)
+    assert all(texts[r.doc_id].split()[:len(r.text.split())] == r.text.split() for r in cut)
+    whole, _ = mixed(docs_of(rows))
+    taken = Counter()
+    for r in out:
+        taken[r.source] += len(r.text.split())
+    assert all(abs(taken[r.source] - r.target) <= 1 for r in whole)
+    passes = Counter(r.doc_id for r in out)
+    assert all(passes[r.doc_id] in (int(r.target // r.source_size), int(r.target // r.source_size) + 1) for r in whole)
