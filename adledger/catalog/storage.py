@@ -8,7 +8,7 @@ from adledger import schemas
 from adledger.catalog import hub as hub_catalog
 from adledger.catalog.hub import DOCS, SITES, hub_docs
 from adledger.catalog.inputs import expected, registry, sheet_rows, source
-from adledger.catalog.inspection import HISTORY, history
+from adledger.catalog.inspection import ALL_DAYS, HISTORY, all_days, history
 from adledger.catalog.registry import query
 from adledger.catalog.sites import SUMMARY as SITE_SUMMARY
 from adledger.catalog.sites import summary
@@ -203,6 +203,14 @@ def s11(spark, sf):
     return readers.read_baseline(spark, path).withColumn("observed_dates", F.array_join("observed_dates", ","))
 
 
+@query("s11_baseline_all_days", ALL_DAYS + "SELECT scraper, size_min, size_max, size_last, array_to_string(dates, ',') AS observed_dates FROM base")
+def s11_all_days(spark, sf):
+    path = scratch_dir(spark, "baseline")
+    empty = readers.read_baseline(spark, path)
+    writers.write_baseline(b.merge_baseline(empty, b.build_baseline(all_days(spark, sf))), path)
+    return readers.read_baseline(spark, path).withColumn("observed_dates", F.array_join("observed_dates", ","))
+
+
 @query("s12_read_category_list", "SELECT DISTINCT p_type AS name_en, lower(p_type) AS slug FROM part")
 def s12(spark, sf):
     root = scratch_dir(spark, "categories")
@@ -300,3 +308,10 @@ def w6(spark, sf):
     root = scratch_dir(spark, "backfilled")
     hub_chain.backfill_documents(hub_docs(spark, sf), registry(spark, sf), root, 30, hub_catalog.FOLDER_DEFAULTS)
     return stored_counts(spark, root)
+
+
+@query("w6_backfill_all_days", PUSHED + "SELECT hub_partition_date, tbl, count(*) AS n FROM counts GROUP BY 1, 2")
+def w6_all_days(spark, sf):
+    root = scratch_dir(spark, "backfilled")
+    hub_chain.backfill_documents(hub_docs(spark, sf), registry(spark, sf), root, 0, hub_catalog.FOLDER_DEFAULTS)
+    return stored_counts(spark, root)
