@@ -20,6 +20,9 @@ from adledger.plans import hub_chain
 from adledger.session import saved, scratch_dir
 from adledger.sources import readers, writers
 
+#: Listings of one array file, about; a category and day of more has several files.
+ARRAY_ROWS = 20_000
+
 LISTED = """SELECT event_type AS category, CAST(event_id AS STRING) AS id, concat('item ', CAST(user_id AS STRING)) AS title, CAST(user_id * 10 AS STRING) AS price,
   substr(CAST(ts AS STRING), 1, 19) AS date_published, CAST(user_id AS BIGINT) AS views_no, user_id % 2 = 0 AS is_verified FROM events"""
 
@@ -40,12 +43,15 @@ def s1(spark, sf):
 
 @query("s1_read_listing_arrays", f"SELECT category, id, title, views_no, CAST(substr(date_published, 1, 10) AS DATE) + 1 AS save_date FROM ({LISTED})")
 def s1_arrays(spark, sf):
-    """One array per category and day, as the scrapers write it."""
+    """Arrays per category and day, as the scrapers write them, none of many more than ``ARRAY_ROWS`` listings."""
     root = scratch_dir(spark, "listing-arrays")
     listing = F.struct(F.col("event_id").cast("string").alias("id"), F.concat(F.lit("item "), F.col("user_id").cast("string")).alias("title"), F.col("user_id").alias("views_no"))
     rows = source(spark, sf, "events").select("event_type", F.date_add(F.col("ts").cast("date"), 1).alias("day"), listing.alias("l"))
-    docs = rows.groupBy("event_type", "day").agg(F.to_json(F.collect_list("l")).alias("body"))
-    folder = F.concat(F.date_format("day", "'year='yyyy'/month='M'/day='d'/json-files/'"), F.col("event_type"), F.lit(".json"))
+    sizes = rows.groupBy("event_type", "day").agg(F.ceil(F.count("*") / ARRAY_ROWS).alias("parts"))
+    same = F.col("r.event_type").eqNullSafe(F.col("s.event_type")) & F.col("r.day").eqNullSafe(F.col("s.day"))
+    parted = rows.alias("r").join(sizes.alias("s"), same).select("r.*", F.pmod(F.xxhash64("r.l.id"), "s.parts").alias("part"))
+    docs = parted.groupBy("event_type", "day", "part").agg(F.to_json(F.collect_list("l")).alias("body"))
+    folder = F.concat(F.date_format("day", "'year='yyyy'/month='M'/day='d'/json-files/'"), F.col("event_type"), F.lit(".part-"), F.col("part").cast("string"), F.lit(".json"))
     writers.write_documents(docs.select(folder.alias("key"), "body"), root)
     return readers.read_listing_json(spark, root).select("category", "id", "title", "views_no", "save_date")
 

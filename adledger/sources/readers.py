@@ -44,13 +44,13 @@ def read_listing_json(
 ) -> DataFrame:
     """Listings of the per-category JSON of the given days, all days when none is given.
 
-    A file is one JSON array named by its category. With ``lines`` it holds one listing per line, which Spark
+    A file is one JSON array named by its category, or ``<category>.part-<k>.json`` where it is one of several. With ``lines`` it holds one listing per line, which Spark
     can split, and the category comes from a ``category=`` folder.
     """
     reader = spark.read.schema(schemas.INPUTS["listings"]).option("multiLine", not lines).option("recursiveFileLookup", True)
     rows = reader.option("pathGlobFilter", JSON_FILES).json(root)
     path = source_path()
-    category = F.regexp_extract(path, r"category=([^/]+)/" if lines else r"(?i)([^/]+)\.json$", 1)
+    category = F.regexp_extract(path, r"category=([^/]+)/" if lines else r"(?i)([^/]+?)(?:\.part-\d+)?\.json$", 1)
     rows = rows.select(category.alias("category"), date_folder(path).alias("save_date"), "*")
     return rows.filter(F.col("save_date").isin([F.lit(d).cast("date") for d in dates])) if dates else rows
 

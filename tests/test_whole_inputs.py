@@ -4,6 +4,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from adledger.catalog import storage
 from tests.test_queries import SF, TABLES, rows_of
 
 
@@ -27,3 +28,17 @@ def matches_sql(spark, con, name):
 @pytest.mark.parametrize("name", ["s11_baseline_all_days", "w6_backfill_all_days"])
 def test_all_days(spark, con, name):
     matches_sql(spark, con, name)
+
+
+def test_listing_arrays_are_bounded(spark, con, monkeypatch):
+    monkeypatch.setattr(storage, "ARRAY_ROWS", 2)
+    sizes, write = [], storage.writers.write_documents
+
+    def watched(docs, root):
+        sizes.extend(r.n for r in docs.selectExpr("json_array_length(body) AS n").collect())
+        write(docs, root)
+
+    monkeypatch.setattr(storage.writers, "write_documents", watched)
+    matches_sql(spark, con, "s1_read_listing_arrays")
+    groups = con.execute("SELECT count(DISTINCT (event_type, CAST(ts AS DATE))) FROM events").fetchone()[0]
+    assert len(sizes) > groups and max(sizes) < 10
