@@ -299,6 +299,22 @@ def v14(spark, sf):
     return gated(spark, sf).select("scraper", "passed", F.array_join("fail_reasons", ",").alias("fail_reasons"))
 
 
+LISTED_GATE = LISTED[LISTED.index("gate AS (SELECT"):].replace("gate AS (", "listed_gate AS (", 1).replace("LEFT JOIN pcts p", "LEFT JOIN listed p")
+LISTED_PCTS = "listed AS (SELECT l.scraper, l.files_found, " + ", ".join(f"coalesce(p.{c}, 0) AS {c}" for c in ("phones_seen", "ads_seen", "phones_invalid_pct", "ads_invalid_pct")) + """
+    FROM (SELECT scraper, count(*) AS files_found FROM @files_flat GROUP BY 1) l LEFT JOIN pcts p USING (scraper))"""
+
+
+@query(
+    "v14_listed_files",
+    LISTED + f", {LISTED_PCTS}, {LISTED_GATE} SELECT scraper, len(reasons) = 0 AS passed, array_to_string(reasons, ',') AS fail_reasons FROM listed_gate",
+)
+def v14_listed(spark, sf):
+    """The gate over all listed files: a scraper whose files hold no data rows has files."""
+    merged = v.scraper_validation(v.check_rows(sheet_rows(spark, sf)), listed_files(spark, sf))
+    gate = v.validation_gate(merged, source(spark, sf, "scrapers_flat"), max_phone_pct=30.0)
+    return gate.select("scraper", "passed", F.array_join("fail_reasons", ",").alias("fail_reasons"))
+
+
 @query(
     "v15_validation_totals",
     ROWS + f""", t AS (SELECT count(*) AS scrapers_total, count(*) FILTER (len(reasons) = 0) AS scrapers_passed,

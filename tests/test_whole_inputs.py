@@ -42,3 +42,7 @@ def test_listing_arrays_are_bounded(spark, con, monkeypatch):
     matches_sql(spark, con, "s1_read_listing_arrays")
     groups = con.execute("SELECT count(DISTINCT (event_type, CAST(ts AS DATE))) FROM events").fetchone()[0]
     assert len(sizes) > groups and max(sizes) < 10
+
+
+def test_gate_of_listed_files(spark, con):
+    matches_sql(spark, con, "v14_listed_files")
