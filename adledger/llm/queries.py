@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adledger.llm import bpe, exact_dedup, licenses, mixing, quality_model, quality_rules, secrets, simhash, substring_dedup, warc
+from adledger.llm import bpe, exact_dedup, licenses, mixing, phrase_dedup, quality_model, quality_rules, secrets, simhash, substring_dedup, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -108,3 +108,10 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 """)
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_classes(documents(spark, sf_dir)).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
+@query("op13_phrase_dedup")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = phrase_dedup.remove_passages(documents(spark, sf_dir))
+    gone = F.aggregate("removed", F.lit(0).cast("long"), lambda a, s: a + s["end"] - s["start"])
+    return rows.select("doc_id", "n_words", gone.alias("n_removed"), F.sha2("kept", 256).alias("kept_sha256"))
