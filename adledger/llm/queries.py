@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adledger.llm import bpe, exact_dedup, licenses, mixing, phrase_dedup, quality_model, quality_rules, secrets, simhash, substring_dedup, warc
+from adledger.llm import bpe, exact_dedup, licenses, mixing, orchard, phrase_dedup, quality_model, quality_rules, secrets, simhash, substring_dedup, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -115,3 +115,37 @@ def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = phrase_dedup.remove_passages(documents(spark, sf_dir))
     gone = F.aggregate("removed", F.lit(0).cast("long"), lambda a, s: a + s["end"] - s["start"])
     return rows.select("doc_id", "n_words", gone.alias("n_removed"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def _op11_sql(dims: int = 64, scale: int = 64, k: int = 16, rounds: int = 3) -> str:
+    """Rounds of assignment and means over (vector, component, whole number) rows."""
+    steps = [f"""
+        WITH kept AS MATERIALIZED (
+            SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor({scale} * x::DOUBLE)::BIGINT) AS v FROM embeddings
+            WHERE len(embedding) = {dims} AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        c0 AS MATERIALIZED (
+            SELECT row_number() OVER (ORDER BY sha256('1:' || vec_id::VARCHAR)) - 1 AS cluster, v AS c FROM kept
+            ORDER BY sha256('1:' || vec_id::VARCHAR) LIMIT {k})"""]
+    for n in range(rounds + 1):
+        steps.append(f"""
+        d{n} AS (
+            SELECT r, vec_id, v, cluster, list_sum(list_transform(range(1, {dims + 1}), lambda i: (v[i] - c[i]) * (v[i] - c[i])))::BIGINT AS distance FROM kept, c{n}),
+        a{n} AS MATERIALIZED (
+            SELECT * FROM d{n} QUALIFY row_number() OVER (PARTITION BY r ORDER BY distance, cluster) = 1)""")
+        if n < rounds:
+            steps.append(f"""
+        m{n} AS (
+            SELECT cluster, i, floor(sum(v[i])::DOUBLE / count(*))::BIGINT AS x FROM a{n}, range(1, {dims + 1}) t(i) GROUP BY cluster, i),
+        c{n + 1} AS MATERIALIZED (
+            SELECT c{n}.cluster, coalesce(m.c, c{n}.c) AS c
+            FROM c{n} LEFT JOIN (SELECT cluster, list(x ORDER BY i) AS c FROM m{n} GROUP BY cluster) m USING (cluster))""")
+    return ",".join(steps) + f"""
+        SELECT vec_id, a{rounds}.cluster::INT AS cluster, distance, sum(distance) OVER (PARTITION BY a{rounds}.cluster)::BIGINT AS cluster_inertia,
+               sum(distance) OVER ()::BIGINT AS inertia, sha256(array_to_string(c, ',')) AS centroid_sha256
+        FROM a{rounds} JOIN c{rounds} USING (cluster)"""
+
+
+@query("op11_centroid_clustering", _op11_sql())
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, _ = orchard.clusters(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+    return rows.select("vec_id", "cluster", "distance", "cluster_inertia", "inertia", F.sha2("centroid", 256).alias("centroid_sha256"))
