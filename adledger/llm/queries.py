@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adledger.llm import bpe, exact_dedup, licenses, mixing, orchard, phrase_dedup, quality_model, quality_rules, secrets, simhash, substring_dedup, warc
+from adledger.llm import bpe, exact_dedup, licenses, mask_ranking, mixing, orchard, phrase_dedup, quality_model, quality_rules, secrets, simhash, substring_dedup, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -110,7 +110,36 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_classes(documents(spark, sf_dir)).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
-@query("op13_phrase_dedup")
+_LOWER = "translate(t, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_TERMS = r"regexp_extract_all(coalesce(text, ''), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+
+
+@query("op12_lexical_search", f"""
+    WITH w AS (SELECT row_number() OVER () AS d, doc_id, {_TERMS} AS ts FROM documents),
+         docs AS MATERIALIZED (SELECT d, doc_id, len(ts) AS n FROM w WHERE len(ts) > 0),
+         tfs AS MATERIALIZED (SELECT d, {_LOWER} AS term, count(*) AS tf FROM (SELECT d, unnest(ts) AS t FROM w) GROUP BY ALL),
+         nl AS (SELECT count(*) AS nn, sum(n)::BIGINT AS l FROM docs),
+         asked AS (SELECT DISTINCT r, item_id, {_LOWER} AS term FROM (SELECT row_number() OVER () AS r, item_id, unnest({_TERMS}) AS t FROM benchmark)),
+         weight AS (SELECT term, floor(1000 * ln((2 * any_value(nn) + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w FROM tfs, nl GROUP BY term),
+         scored AS (
+             SELECT r, item_id, d, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * nn) // l))))::BIGINT AS score
+             FROM asked JOIN weight USING (term) JOIN tfs USING (term) JOIN docs USING (d), nl GROUP BY ALL)
+    SELECT item_id, (row_number() OVER (PARTITION BY r ORDER BY score DESC, doc_id))::INT AS rank, doc_id, score
+    FROM scored WHERE score > 0 QUALIFY rank <= 10
+""")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mask_ranking.best_documents(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+@query("op13_phrase_dedup", r"""
+    WITH d AS MATERIALIZED (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+         windows AS (SELECT doc_id, i, array_to_string(w[i:i + 19], ' ') AS x FROM (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS i FROM d)),
+         later AS (SELECT doc_id, i FROM windows QUALIFY row_number() OVER (PARTITION BY x ORDER BY doc_id, i) > 1),
+         gone AS (SELECT DISTINCT doc_id, i + j AS i FROM later, range(20) t(j)),
+         words AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i FROM d),
+         kept AS (SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY i) AS text FROM words ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
+    SELECT doc_id, len(w) AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(coalesce(text, '')) AS kept_sha256 FROM d LEFT JOIN kept USING (doc_id)
+""")
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = phrase_dedup.remove_passages(documents(spark, sf_dir))
     gone = F.aggregate("removed", F.lit(0).cast("long"), lambda a, s: a + s["end"] - s["start"])
