@@ -39,26 +39,45 @@ def dealt(df: DataFrame, rows: int, per_task: int = 50_000) -> DataFrame:
     return df.coalesce(max(1, -(-rows // per_task)))
 
 
-def text_key(df: DataFrame, text_col: str) -> Column:
-    return F.sha2(whole_text(df, text_col).cast("binary"), 256)
+
+#: Buckets of a sieve, a power of two; each has 64 bits. So a sieve never has more rows than this, whatever the keys.
+SIEVE = 1 << 18
+
+
+def sieve(keys: DataFrame, key: str) -> DataFrame:
+    """A bitmap of the hashes of ``key``, as ``bucket`` and ``bits``: at most ``SIEVE`` rows, a few MB."""
+    h = keys.select(F.xxhash64(key).alias("h"))
+    bit = F.expr("shiftleft(1L, cast(shiftright(h, 18) & 63 AS int))")
+    return saved(h.groupBy(F.col("h").bitwiseAND(SIEVE - 1).alias("bucket")).agg(F.bit_or(bit).alias("bits")), "sieve")
+
+
+def sifted(df: DataFrame, key: str, bits: DataFrame) -> DataFrame:
+    """``df`` with ``may``: false if ``key`` is certainly none of the keys that ``bits`` was made of.
+
+    Rows that cannot match are told apart where they stand; the others go on to an exact join. With far more keys than
+    bits, all rows go on: the sieve has one size and saves less, but nothing depends on it.
+    """
+    hashed = df.withColumn("h_", F.xxhash64(key)).withColumn("bucket", F.col("h_").bitwiseAND(SIEVE - 1))
+    met = hashed.join(F.broadcast(bits), "bucket", "left")
+    return met.withColumn("may", F.expr("coalesce(getbit(bits, cast(shiftright(h_, 18) & 63 AS int)), 0) = 1")).drop("h_", "bucket", "bits")
 
 
 def keep_decided(docs: DataFrame, decided: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that ``decided`` (doc_id, text_sha256, kept; a row per row of docs) keeps.
 
-    All columns of ``docs`` come back and no others. Rows are told apart by id and text. Only the dropped keys
-    are joined, by a merge join whatever their number, so the plan is the same at every size and whole texts are
-    moved once. Of rows that repeat both id and text, as many stay as were kept; keys of such rows are next to none.
+    All columns of ``docs`` come back and no others, whatever their names. Rows are told apart by id and text. Rows whose
+    id a sieve of the dropped ids lets pass are joined exactly with the dropped keys; the others stay where they are. Of rows
+    that repeat both id and text, as many stay as were kept; keys of such rows are next to none.
     """
     per_row = decided.groupBy("doc_id", "text_sha256").agg(
-        F.count("*").alias("_rows"), F.sum(F.col("kept").cast("long")).alias("_stay"),
+        F.count("*").alias("rows"), F.sum(F.col("kept").cast("long")).alias("stay"),
     )
-    keys = saved(per_row.filter("_stay < _rows").select(F.col("doc_id").alias("_k_id"), F.col("text_sha256").alias("_k_sha"), "_stay"), "decided")
-    same = docs[id_col].cast("long").eqNullSafe(F.col("_k_id")) & (text_key(docs, text_col) == F.col("_k_sha"))
-    plain = docs.join(keys.hint("merge"), same, "left_anti")
-    some = saved(keys.filter("_stay > 0"), "partly-kept")
-    same = docs[id_col].cast("long").eqNullSafe(some["_k_id"]) & (text_key(docs, text_col) == some["_k_sha"])
-    partly = docs.join(some, same, "inner")
-    names = [F.col(f"`{c}`") for c in docs.columns]
-    again = partly.dropDuplicates(["_k_id", "_k_sha"]).select(F.explode(F.sequence(F.lit(1).cast("long"), F.col("_stay"))).alias("_k_copy"), *names)
-    return plain.unionByName(again.drop("_k_copy"))
+    keys = saved(per_row.filter("stay < rows").select(F.col("doc_id").alias("k_id"), F.col("text_sha256").alias("k_sha"), "stay"), "decided")
+    row = F.struct(*(docs[f"`{c}`"] for c in docs.columns)).alias("row")
+    rows = sifted(docs.select(row, docs[id_col].cast("long").alias("id"), whole_text(docs, text_col).alias("whole")), "id", sieve(keys, "k_id"))
+    asked = rows.filter("may").select("row", "id", F.sha2(F.col("whole").cast("binary"), 256).alias("sha"))
+    same = F.col("id").eqNullSafe(F.col("k_id")) & (F.col("sha") == F.col("k_sha"))
+    partly = asked.join(saved(keys.filter("stay > 0"), "partly-kept"), same).dropDuplicates(["k_id", "k_sha"])
+    again = partly.select(F.explode(F.sequence(F.lit(1).cast("long"), F.col("stay"))), "row")
+    kept = rows.filter("NOT may").select("row").union(asked.join(keys, same, "left_anti").select("row")).union(again.select("row"))
+    return kept.select("row.*")

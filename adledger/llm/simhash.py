@@ -19,11 +19,10 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from adledger.llm.components import components
-from adledger.llm.rows import bodies, dealt, slices
+from adledger.llm.rows import bodies, dealt, sieve, sifted, slices
 from adledger.session import saved
 
 BITS = 64
@@ -208,15 +207,16 @@ def similar_links(rows: DataFrame, least: float = 0.8, bucket: int = 16, sets_of
     one are the candidates; sizes and places rule out most, and the sets themselves decide.
 
     Values with more than ``bucket`` members go in two steps. First each member meets one chosen member, another one in
-    each of its crowds. Then all pairs that this left unconnected are compared, in blocks of ``BLOCK`` members against
-    blocks, so that no task holds a crowd, and none is left out: pairs in one component need no comparison.
+    each of its crowds. Then all pairs that this left unconnected are compared, in blocks of about ``BLOCK`` members
+    against blocks, so that no task holds a crowd, and none is left out: pairs in one component need no comparison.
     """
     rows = rows.toDF("row_id", "prefix", "third")
     size = F.col("third") if sets_of else F.size("third")
     keys = rows.select("row_id", size.alias("n"), F.posexplode("prefix").alias("at", "h"))
     spread = keys.select("h", "row_id", "n", (F.col("n") - F.col("at")).alias("rest"))
-    members = saved(spread.withColumn("members", F.count("*").over(W.partitionBy("h"))).filter("members > 1"), "prefix-members")
     total = rows.count()
+    shared = saved(spread.groupBy("h").agg(F.count("*").alias("members")).filter("members > 1"), "shared-values")
+    members = saved(sifted(spread, "h", sieve(shared, "h")).filter("may").drop("may").join(shared, "h"), "prefix-members")
     cold = members.filter(F.col("members") <= bucket)
     pairs = cold.alias("x").join(cold.alias("y"), (F.col("x.h") == F.col("y.h")) & (F.col("x.row_id") < F.col("y.row_id")) & _may_be_alike(least))
     crowd = members.filter(F.col("members") > bucket)
@@ -231,8 +231,8 @@ def similar_links(rows: DataFrame, least: float = 0.8, bucket: int = 16, sets_of
     roots = saved(dealt(components(found, total), total), "crowd-roots")
     crowd = crowd.join(roots, F.col("row_id") == F.col("node"), "left").select("h", "row_id", "n", "rest", F.coalesce("root", "row_id").alias("root"))
     several = crowd.groupBy("h").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("members")).filter("lo < hi").select("h", "members")
-    placed = crowd.join(several, "h").withColumn("block", F.floor((F.row_number().over(W.partitionBy("h").orderBy("n", "row_id")) - 1) / BLOCK))
-    placed = saved(placed.withColumn("last", F.floor((F.col("members") - 1) / BLOCK)), "crowd-blocks")
+    placed = crowd.join(several, "h").withColumn("last", F.floor((F.col("members") - 1) / BLOCK))
+    placed = saved(placed.withColumn("block", F.pmod(F.xxhash64("row_id"), F.col("last") + 1)), "crowd-blocks")
     left = placed.select("*", F.col("block").alias("p"), F.explode(F.sequence("block", "last")).alias("q"))
     right = placed.select("*", F.explode(F.sequence(F.lit(0).cast("long"), "block")).alias("p"), F.col("block").alias("q"))
     apart = (F.col("x.root") != F.col("y.root")) & ((F.col("x.p") < F.col("x.q")) | (F.col("x.row_id") < F.col("y.row_id")))
@@ -257,8 +257,9 @@ def similar_keepers(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     single = rows.join(copies, F.col("row_id") == F.col("b"), "left_anti").select("row_id", "prefix", "n")
 
     def sets_of(ids: DataFrame) -> DataFrame:
-        wanted = rows.join(ids, "row_id").select("row_id", F.col("doc_id").alias("_w_id"), "text_sha256")
-        found = texts.withColumn("text_sha256", F.sha2("body", 256)).join(wanted, "text_sha256").filter(F.col("doc_id").eqNullSafe(F.col("_w_id")))
+        wanted = saved(rows.join(ids, "row_id").select("row_id", F.col("doc_id").alias("w_id"), "text_sha256"), "wanted-texts")
+        may = sifted(texts, "doc_id", sieve(wanted, "w_id")).filter("may").withColumn("text_sha256", F.sha2("body", 256))
+        found = may.join(wanted, "text_sha256").filter(F.col("doc_id").eqNullSafe(F.col("w_id")))
         return found.select("row_id", "body").mapInArrow(partial(_sets, shingle=shingle), "row_id long, shingles array<long>").dropDuplicates(["row_id"])
 
     links = similar_links(single, least, sets_of=sets_of).union(copies)
