@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from adledger.session import saved
+from adledger.session import saved, scratch_dir
 
 #: Rows that a Python task turns into Python objects at once. Only memory depends on it.
 ROWS_AT_ONCE = 256
@@ -39,16 +39,39 @@ def dealt(df: DataFrame, rows: int, per_task: int = 50_000) -> DataFrame:
     return df.coalesce(max(1, -(-rows // per_task)))
 
 
+class Scratch:
+    """Written tables that an operator itself supersedes: each is removed when what was made of it has been written."""
+
+    def __init__(self) -> None:
+        self.held: list[tuple[DataFrame, str]] = []
+
+    def saved(self, df: DataFrame, label: str) -> DataFrame:
+        path = scratch_dir(df.sparkSession, label)
+        df.write.parquet(path)
+        table = df.sparkSession.read.schema(df.schema).parquet(path)
+        self.held.append((table, path))
+        return table
+
+    def remove(self, *tables: DataFrame) -> None:
+        """Removes the given tables, all that are held if none is given."""
+        gone = [(t, p) for t, p in self.held if not tables or any(t is x for x in tables)]
+        self.held = [h for h in self.held if not any(h[0] is t for t, _ in gone)]
+        for table, path in gone:
+            spark = table.sparkSession
+            target = spark._jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
 
 #: Buckets of a sieve, a power of two; each has 64 bits. So a sieve never has more rows than this, whatever the keys.
 SIEVE = 1 << 18
 
 
-def sieve(keys: DataFrame, key: str) -> DataFrame:
+def sieve(keys: DataFrame, key: str, scratch: Scratch | None = None) -> DataFrame:
     """A bitmap of the hashes of ``key``, as ``bucket`` and ``bits``: at most ``SIEVE`` rows, a few MB."""
     h = keys.select(F.xxhash64(key).alias("h"))
     bit = F.expr("shiftleft(1L, cast(shiftright(h, 18) & 63 AS int))")
-    return saved(h.groupBy(F.col("h").bitwiseAND(SIEVE - 1).alias("bucket")).agg(F.bit_or(bit).alias("bits")), "sieve")
+    bits = h.groupBy(F.col("h").bitwiseAND(SIEVE - 1).alias("bucket")).agg(F.bit_or(bit).alias("bits"))
+    return (scratch.saved if scratch else saved)(bits, "sieve")
 
 
 def sifted(df: DataFrame, key: str, bits: DataFrame) -> DataFrame:

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from adledger.llm.components import components
-from adledger.llm.rows import bodies, dealt, sieve, sifted, slices
+from adledger.llm.rows import Scratch, bodies, dealt, sieve, sifted, slices
 from adledger.session import saved
 
 BITS = 64
@@ -194,9 +194,12 @@ def verified(asked: DataFrame, sets: DataFrame, least: float) -> DataFrame:
 
 def decided(asked: DataFrame, rows: DataFrame, least: float, sets_of: Callable[[DataFrame], DataFrame] | None) -> DataFrame:
     """The candidates (a, b) that are alike; sets are read of rows that are in one, and of no others."""
-    ids = saved(asked.select(F.col("a").alias("row_id")).union(asked.select("b")).distinct(), "candidate-rows")
-    sets = saved(sets_of(ids), "candidate-sets") if sets_of else rows.select("row_id", F.col("third").alias("shingles"))
-    return saved(verified(asked, sets, least), "similar")
+    scratch = Scratch()
+    ids = scratch.saved(asked.select(F.col("a").alias("row_id")).union(asked.select("b")).distinct(), "candidate-rows")
+    sets = scratch.saved(sets_of(ids), "candidate-sets") if sets_of else rows.select("row_id", F.col("third").alias("shingles"))
+    alike = saved(verified(asked, sets, least), "similar")
+    scratch.remove()
+    return alike
 
 
 def similar_links(rows: DataFrame, least: float = 0.8, bucket: int = 16, sets_of: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
@@ -214,9 +217,11 @@ def similar_links(rows: DataFrame, least: float = 0.8, bucket: int = 16, sets_of
     size = F.col("third") if sets_of else F.size("third")
     keys = rows.select("row_id", size.alias("n"), F.posexplode("prefix").alias("at", "h"))
     spread = keys.select("h", "row_id", "n", (F.col("n") - F.col("at")).alias("rest"))
-    total = rows.count()
-    shared = saved(spread.groupBy("h").agg(F.count("*").alias("members")).filter("members > 1"), "shared-values")
-    members = saved(sifted(spread, "h", sieve(shared, "h")).filter("may").drop("may").join(shared, "h"), "prefix-members")
+    total, scratch = rows.count(), Scratch()
+    shared = scratch.saved(spread.groupBy("h").agg(F.count("*").alias("members")).filter("members > 1"), "shared-values")
+    bits = sieve(shared, "h", scratch)
+    members = scratch.saved(sifted(spread, "h", bits).filter("may").drop("may").join(shared, "h"), "prefix-members")
+    scratch.remove(shared, bits)
     cold = members.filter(F.col("members") <= bucket)
     pairs = cold.alias("x").join(cold.alias("y"), (F.col("x.h") == F.col("y.h")) & (F.col("x.row_id") < F.col("y.row_id")) & _may_be_alike(least))
     crowd = members.filter(F.col("members") > bucket)
@@ -224,20 +229,23 @@ def similar_links(rows: DataFrame, least: float = 0.8, bucket: int = 16, sets_of
     chosen = crowd.groupBy("h").agg(F.min_by(F.struct("row_id", "n", "rest"), mixed).alias("one")).select("h", "one.*")
     stars = crowd.alias("x").join(chosen.alias("y"), (F.col("x.h") == F.col("y.h")) & (F.col("x.row_id") != F.col("y.row_id")) & _may_be_alike(least))
     ends = [F.least("x.row_id", "y.row_id").alias("a"), F.greatest("x.row_id", "y.row_id").alias("b")]
-    asked = saved(pairs.select(*ends).union(stars.select(*ends)).distinct(), "candidates")
+    asked = scratch.saved(pairs.select(*ends).union(stars.select(*ends)).distinct(), "candidates")
     found = decided(asked, rows, least, sets_of)
     if crowd.isEmpty():
+        scratch.remove()
         return found
-    roots = saved(dealt(components(found, total), total), "crowd-roots")
+    roots = scratch.saved(dealt(components(found, total), total), "crowd-roots")
     crowd = crowd.join(roots, F.col("row_id") == F.col("node"), "left").select("h", "row_id", "n", "rest", F.coalesce("root", "row_id").alias("root"))
     several = crowd.groupBy("h").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("members")).filter("lo < hi").select("h", "members")
     placed = crowd.join(several, "h").withColumn("last", F.floor((F.col("members") - 1) / BLOCK))
-    placed = saved(placed.withColumn("block", F.pmod(F.xxhash64("row_id"), F.col("last") + 1)), "crowd-blocks")
+    placed = scratch.saved(placed.withColumn("block", F.pmod(F.xxhash64("row_id"), F.col("last") + 1)), "crowd-blocks")
+    scratch.remove(members, roots)
     left = placed.select("*", F.col("block").alias("p"), F.explode(F.sequence("block", "last")).alias("q"))
     right = placed.select("*", F.explode(F.sequence(F.lit(0).cast("long"), "block")).alias("p"), F.col("block").alias("q"))
     apart = (F.col("x.root") != F.col("y.root")) & ((F.col("x.p") < F.col("x.q")) | (F.col("x.row_id") < F.col("y.row_id")))
     met = left.alias("x").join(right.alias("y"), (F.col("x.h") == F.col("y.h")) & (F.col("x.p") == F.col("y.p")) & (F.col("x.q") == F.col("y.q")) & apart & _may_be_alike(least))
     rest = saved(met.select(*ends).distinct().join(asked, ["a", "b"], "left_anti"), "crowd-candidates")
+    scratch.remove()
     return found.union(decided(rest, rows, least, sets_of))
 
 
