@@ -41,6 +41,25 @@ def s1(spark, sf):
     return back.select("category", "id", "title", "price", "date_published", "views_no", "is_verified", "save_date")
 
 
+TWO_DAYS = ["2023-03-05", "2024-01-20"]
+SAVED_DAY = "(DATE '2023-01-01' + CAST(o_orderkey % 400 AS INT))"
+
+
+@query("s1_read_two_days", f"""SELECT 'orders' AS category, CAST(o_orderkey AS STRING) AS id, o_orderpriority AS title, {SAVED_DAY} AS save_date
+    FROM orders WHERE {SAVED_DAY} IN ({', '.join(f"DATE '{d}'" for d in TWO_DAYS)})""")
+def s1_two_days(spark, sf):
+    """400 days stored, under padded folders on every other day, and two of them read: no other folder is listed."""
+    root = scratch_dir(spark, "listing-days")
+    rows = source(spark, sf, "orders").select(
+        F.lit("orders").alias("category"), F.col("o_orderkey").cast("string").alias("id"), F.col("o_orderpriority").alias("title"),
+        F.date_add(F.lit("2023-01-01").cast("date"), (F.col("o_orderkey") % 400).cast("int")).alias("day0"),
+    )
+    folder = lambda part, form: F.when(F.dayofmonth("day0") % 2 == 0, F.date_format("day0", form * 2)).otherwise(part("day0").cast("string"))
+    dated = rows.select("category", "id", "title", F.year("day0").alias("year"), folder(F.month, "M").alias("month"), folder(F.dayofmonth, "d").alias("day"))
+    dated.repartition("year", "month", "day").write.partitionBy("category", "year", "month", "day").json(root)
+    return readers.read_listing_json(spark, root, TWO_DAYS, lines=True).select("category", "id", "title", "save_date")
+
+
 @query("s1_read_listing_arrays", f"SELECT category, id, title, views_no, CAST(substr(date_published, 1, 10) AS DATE) + 1 AS save_date FROM ({LISTED})")
 def s1_arrays(spark, sf):
     """Arrays per category and day, as the scrapers write them, none of many more than ``ARRAY_ROWS`` listings."""
@@ -94,6 +113,28 @@ def s3(spark, sf):
     return back.select("prefix", "report_date", V.text("doc", "$.total_unique_ads").alias("ads"), V.text("doc", "$.run_date").alias("run_date"))
 
 
+ENDS = "(SELECT min({c}) FROM {t}), (SELECT max({c}) FROM {t})"
+
+
+def ends_of(rows, column):
+    """The first and the last day there is."""
+    return [str(d) for d in rows.agg(F.min(column), F.max(column)).first()]
+
+
+@query(
+    "s3_read_reports_of_days",
+    f"""SELECT site_id AS prefix, report_date, body ->> '$.total_unique_ads' AS ads FROM @reports
+    WHERE json_valid(body) AND report_date IN ({ENDS.format(c='report_date', t='@reports')})""",
+)
+def s3_days(spark, sf):
+    """All reports stored, those of the first and last day read from their own folders."""
+    root = scratch_dir(spark, "reports")
+    rows = source(spark, sf, "reports")
+    writers.write_documents(rows.select(writers.report_key(F.concat(F.lit("data/"), F.col("site_id")), F.col("report_date")).alias("key"), "body"), root)
+    back = readers.read_reports(spark, root, ends_of(rows, "report_date"))
+    return back.select("prefix", "report_date", V.text("doc", "$.total_unique_ads").alias("ads"))
+
+
 WINDOW = "(SELECT max(hub_partition_date) FROM hd) - 30"
 
 
@@ -105,6 +146,19 @@ def s4(spark, sf):
     return readers.read_hub_document(spark, root).select("hub_date", V.text("doc", "$.total_unique_ads").alias("ads"))
 
 
+@query(
+    "s4_read_hub_days",
+    DOCS + f"SELECT hub_partition_date AS hub_date, body ->> '$.total_unique_ads' AS ads FROM hd WHERE hub_partition_date IN ({ENDS.format(c='hub_partition_date', t='hd')})",
+)
+def s4_days(spark, sf):
+    """All merged documents stored, two days read from their own folders."""
+    root = scratch_dir(spark, "hub")
+    days = source(spark, sf, "hub_docs").withColumn("date", F.col("day").cast("date"))
+    writers.write_documents(days.select(writers.hub_document_key(F.col("date")).alias("key"), "body"), root)
+    back = readers.read_hub_document(spark, root, ends_of(days, "date"))
+    return back.select("hub_date", V.text("doc", "$.total_unique_ads").alias("ads"))
+
+
 def stored_tables(spark, sf, days: int = 0):
     """The six tables of all days, or of the last ``days`` there are."""
     return hub_chain.tables_of_window(hub_docs(spark, sf), registry(spark, sf), days, hub_catalog.FOLDER_DEFAULTS)

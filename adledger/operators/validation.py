@@ -10,6 +10,7 @@ from adledger.functions.ad_ids import ad_id_facts
 from adledger.functions.phones import longest_token, phone_facts, truthy_flag
 from adledger.functions.text import bare_header, one_of, pct, shorten
 from adledger.operators.ordering import first_rows, keep_rows
+from adledger.session import saved
 
 OK_PHONE = ["valid", "hidden", "missing"]
 
@@ -128,9 +129,11 @@ def check_rows(rows: DataFrame) -> DataFrame:
 def flag_duplicate_ids(checked: DataFrame) -> DataFrame:
     """V9: second and later rows of a valid id within one file become duplicates.
 
-    The first place of each id is a minimum that is combined before the shuffle. Only ids that occur twice come
-    back to the rows, which meet them by file and id; rows without an id meet nothing.
+    The checked rows are written once, without their cells: both sides of the join below read them from there, so no cell
+    is parsed again. The first place of each id is a minimum that is combined before the shuffle. Only ids that occur
+    twice come back to the rows, which meet them by file and id; rows without an id meet nothing.
     """
+    checked = saved(checked, "checked-rows")
     place = F.struct("sheet_pos", "row_no")
     per_id = checked.filter(F.col("ad_id").isNotNull()).groupBy(F.col("file_key").alias("_file"), F.col("ad_id").alias("_id"))
     many = per_id.agg(F.min(place).alias("_first"), F.count(F.lit(1)).alias("_n")).filter("_n > 1").drop("_n")

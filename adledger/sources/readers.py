@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from adledger import schemas
 from adledger.functions import variants as V
-from adledger.operators.layout import PARTITION
+from adledger.operators.layout import PARTITION, partition_prefixes
 
 DAY_FOLDER = r"/(\d{4}-\d{2}-\d{2})/[^/]*$"
 
@@ -33,26 +33,58 @@ def date_folder(path: Column) -> Column:
     return F.concat_ws("-", part(2), F.lpad(part(3), 2, "0"), F.lpad(part(4), 2, "0")).try_cast("date")
 
 
-def whole_documents(spark: SparkSession, path: str, glob: str = JSON_FILES) -> DataFrame:
-    """Every matching file under a path as one ``(key, body)`` row."""
+def folders_there_are(spark: SparkSession, patterns: list[str]) -> list[str]:
+    """The folders that match any of the patterns. Only the folders on the way to a match are listed."""
+    found: set[str] = set()
+    for pattern in patterns:
+        target = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+        statuses = target.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(target)
+        found.update(s.getPath().toString() for s in statuses or [])
+    return sorted(found)
+
+
+def day_folders(spark: SparkSession, root: str, dates: list[str], bases: tuple[str, ...]) -> list[str]:
+    """The padded and unpadded folders (L2) of the asked days that exist below ``root``, in any of ``bases``.
+
+    A base is the folder that holds the year folders, a pattern such as ``*``, or empty for ``root`` itself. A year of
+    other days is never listed.
+    """
+    asked = spark.createDataFrame([("/".join(x for x in (root.rstrip("/"), base) if x), str(d)) for base in bases for d in dates], "base string, date string")
+    return folders_there_are(spark, [r["prefix"] for r in partition_prefixes(asked).select("prefix").collect()])
+
+
+def dated_folders(spark: SparkSession, root: str, dates: list[str], bases: tuple[str, ...]) -> list[str]:
+    """Folders named by one of the dates, in any of ``bases`` below ``root``."""
+    return folders_there_are(spark, ["/".join(x for x in (root.rstrip("/"), base, str(d)) if x) for base in bases for d in dates])
+
+
+def whole_documents(spark: SparkSession, paths: str | list[str], glob: str = JSON_FILES) -> DataFrame:
+    """Every matching file under the paths as one ``(key, body)`` row; no paths give no rows."""
+    if not paths:
+        return spark.createDataFrame([], "key string, body string")
     reader = spark.read.option("wholetext", True).option("recursiveFileLookup", True).option("pathGlobFilter", glob)
-    return reader.text(path).select(source_path().alias("key"), F.col("value").alias("body"))
+    return reader.text(paths).select(source_path().alias("key"), F.col("value").alias("body"))
 
 
 def read_listing_json(
-    spark: SparkSession, root: str, dates: list[str] | None = None, lines: bool = False
+    spark: SparkSession, root: str, dates: list[str] | None = None, lines: bool = False, bases: tuple[str, ...] = ("", "*")
 ) -> DataFrame:
     """Listings of the per-category JSON of the given days, all days when none is given.
 
-    A file is one JSON array named by its category, or ``<category>.part-<k>.json`` where it is one of several. With ``lines`` it holds one listing per line, which Spark
-    can split, and the category comes from a ``category=`` folder.
+    A file is one JSON array named by its category, or ``<category>.part-<k>.json`` where it is one of several. With
+    ``lines`` it holds one listing per line, which Spark can split, and the category comes from a ``category=`` folder.
+    Of asked days only their own folders are listed and read, those under ``bases`` (see ``day_folders``); days
+    without a folder are passed over.
     """
-    reader = spark.read.schema(schemas.INPUTS["listings"]).option("multiLine", not lines).option("recursiveFileLookup", True)
-    rows = reader.option("pathGlobFilter", JSON_FILES).json(root)
+    schema = schemas.INPUTS["listings"]
+    paths = day_folders(spark, root, dates, bases) if dates else [root]
+    if not paths:
+        return spark.createDataFrame([], f"category STRING, save_date DATE, {schema}")
+    reader = spark.read.schema(schema).option("multiLine", not lines).option("recursiveFileLookup", True)
+    rows = reader.option("pathGlobFilter", JSON_FILES).json(paths)
     path = source_path()
     category = F.regexp_extract(path, r"category=([^/]+)/" if lines else r"(?i)([^/]+?)(?:\.part-\d+)?\.json$", 1)
-    rows = rows.select(category.alias("category"), date_folder(path).alias("save_date"), "*")
-    return rows.filter(F.col("save_date").isin([F.lit(d).cast("date") for d in dates])) if dates else rows
+    return rows.select(category.alias("category"), date_folder(path).alias("save_date"), "*")
 
 
 def read_brand_json(spark: SparkSession, root: str) -> DataFrame:
@@ -64,13 +96,15 @@ def read_brand_json(spark: SparkSession, root: str) -> DataFrame:
     return brands.select("brand", F.col("t.type").alias("type"), F.explode("t.details").alias("d")).select("brand", "type", "d.*")
 
 
-def read_summary_json(spark: SparkSession, root: str, for_metrics: bool = False) -> DataFrame:
-    """Candidate summaries ``(key, prefix_form, body)``; text that is no JSON is dropped.
+def read_summary_json(
+    spark: SparkSession, root: str, for_metrics: bool = False, dates: list[str] | None = None, bases: tuple[str, ...] = ("", "*", "*/*")
+) -> DataFrame:
+    """Candidate summaries ``(key, prefix_form, body)``; text that is no JSON is dropped. Days prune folders as in S1.
 
     ``json-files/`` folders always count. For request metrics a file in the date folder itself also counts when
     its name speaks of a summary; those come after the others.
     """
-    docs = whole_documents(spark, root)
+    docs = whole_documents(spark, day_folders(spark, root, dates, bases) if dates else root)
     name = F.lower(F.regexp_extract("key", r"([^/]*)$", 1))
     in_folder = F.col("key").contains("/json-files/")
     at_root = F.col("key").rlike(r"/day=\d{1,2}/[^/]*$") & name.contains("summary")
@@ -80,9 +114,14 @@ def read_summary_json(spark: SparkSession, root: str, for_metrics: bool = False)
     )
 
 
-def read_reports(spark: SparkSession, root: str) -> DataFrame:
-    """S3: one report per site and day ``(prefix, report_date, doc)``."""
-    docs = whole_documents(spark, root, "report.json")
+def read_reports(spark: SparkSession, root: str, dates: list[str] | None = None, sites: tuple[str, ...] = ("*", "*/*")) -> DataFrame:
+    """S3: one report per site and day ``(prefix, report_date, doc)`` of the given dates, all when none is given.
+
+    Of asked dates only their folders are listed and read: ``<site>/monitor/<date>`` for the ``sites`` below ``root``,
+    which may be patterns.
+    """
+    bases = tuple(f"{site}/monitor" for site in sites)
+    docs = whole_documents(spark, dated_folders(spark, root, dates, bases) if dates else root, "report.json")
     return docs.select(
         F.regexp_extract("key", r"([^/]+)/monitor/[^/]+/[^/]*$", 1).alias("prefix"),
         F.regexp_extract("key", DAY_FOLDER, 1).try_cast("date").alias("report_date"),
@@ -91,12 +130,11 @@ def read_reports(spark: SparkSession, root: str) -> DataFrame:
 
 
 def read_hub_document(spark: SparkSession, root: str, dates: list[str] | None = None) -> DataFrame:
-    """Merged documents ``(hub_date, doc)`` of the given dates, all when none is given."""
-    docs = whole_documents(spark, root, "all-sites.json")
-    rows = docs.select(
+    """Merged documents ``(hub_date, doc)`` of the given dates, whose folders alone are read; all when none is given."""
+    docs = whole_documents(spark, dated_folders(spark, root, dates, ("", "*")) if dates else root, "all-sites.json")
+    return docs.select(
         F.regexp_extract("key", DAY_FOLDER, 1).try_cast("date").alias("hub_date"), V.parse("body").alias("doc")
     ).filter(F.col("doc").isNotNull())
-    return rows.filter(F.col("hub_date").isin([F.lit(d).cast("date") for d in dates])) if dates else rows
 
 
 def read_hub_table(spark: SparkSession, root: str, table: str, date: str | None = None) -> DataFrame:

@@ -146,3 +146,31 @@ def test_scratch_needs_a_shared_folder_outside_one_machine(monkeypatch):
 
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         scratch_dir(Session(), "x")
+
+
+def test_only_folders_of_asked_days_are_read(spark, tmp_path):
+    for base in ("cars", "vans/used"):
+        for day in ("month=01/day=02", "month=1/day=3", "month=1/day=4", "month=12/day=30"):
+            folder = tmp_path / base / "year=2024" / day / "json-files"
+            folder.mkdir(parents=True)
+            (folder / "suv.json").write_text(json.dumps([{"id": day}]))
+    got = readers.read_listing_json(spark, str(tmp_path), ["2024-01-02", "2024-01-04", "2031-01-01"], bases=("*", "*/*"))
+    assert len(got.inputFiles()) == 4 and all("day=02" in f or "day=4" in f for f in got.inputFiles())
+    assert sorted((str(r.save_date), r.id) for r in got.collect()) == [("2024-01-02", "month=01/day=02")] * 2 + [("2024-01-04", "month=1/day=4")] * 2
+    assert len(readers.read_listing_json(spark, str(tmp_path), ["2024-01-03"]).inputFiles()) == 1
+    none = readers.read_listing_json(spark, str(tmp_path), ["2031-01-01"])
+    assert none.count() == 0 and none.columns == got.columns
+    assert len(readers.read_summary_json(spark, str(tmp_path), dates=["2024-12-30"]).inputFiles()) == 2
+
+
+def test_only_reports_and_documents_of_asked_days_are_read(spark, tmp_path):
+    for day in ("2024-01-02", "2024-01-03", "2024-02-01"):
+        for folder, name in ((tmp_path / "data" / "site" / "monitor" / day, "report.json"), (tmp_path / "hub" / day, "all-sites.json")):
+            folder.mkdir(parents=True)
+            (folder / name).write_text(json.dumps({"run_date": day}))
+    reports = readers.read_reports(spark, str(tmp_path), ["2024-01-03", "2024-01-09"])
+    assert len(reports.inputFiles()) == 1 and [(r.prefix, str(r.report_date)) for r in reports.collect()] == [("site", "2024-01-03")]
+    assert readers.read_reports(spark, str(tmp_path), ["2024-02-01"], sites=("data/site",)).count() == 1
+    documents = readers.read_hub_document(spark, str(tmp_path), ["2024-02-01"])
+    assert len(documents.inputFiles()) == 1 and [str(r.hub_date) for r in documents.collect()] == ["2024-02-01"]
+    assert readers.read_reports(spark, str(tmp_path), ["2031-01-01"]).count() == 0 == readers.read_hub_document(spark, str(tmp_path), ["2031-01-01"]).count()
