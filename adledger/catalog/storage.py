@@ -8,7 +8,7 @@ from adledger import schemas
 from adledger.catalog import hub as hub_catalog
 from adledger.catalog.hub import DOCS, SITES, hub_docs
 from adledger.catalog.inputs import expected, registry, sheet_rows, source
-from adledger.catalog.inspection import ALL_DAYS, HISTORY, all_days, history
+from adledger.catalog.inspection import ALL_DAYS, HISTORY, all_days, history, today
 from adledger.catalog.registry import query
 from adledger.catalog.sites import SUMMARY as SITE_SUMMARY
 from adledger.catalog.sites import summary
@@ -271,6 +271,23 @@ def s11_all_days(spark, sf):
     return readers.read_baseline(spark, path).withColumn("observed_dates", F.array_join("observed_dates", ","))
 
 
+@query("s11_baseline_two_runs", ALL_DAYS + "SELECT scraper, size_min, size_max, size_last, array_to_string(dates, ',') AS observed_dates FROM base")
+def s11_two_runs(spark, sf):
+    """One run over the first half of the days and one over the second, each making a version of the store from the last."""
+    path = scratch_dir(spark, "baseline")
+    for days in (history(spark, sf), today(spark, sf).withColumnRenamed("day", "date")):
+        writers.update_baseline(spark, path, b.build_baseline(days), b.merge_baseline)
+    return readers.read_baseline(spark, path).withColumn("observed_dates", F.array_join("observed_dates", ","))
+
+
+@query("s11_sheet_baseline_two_runs", ALL_DAYS + "SELECT * FROM sbase")
+def s11_sheets_two_runs(spark, sf):
+    path = scratch_dir(spark, "sheet-baseline")
+    for days in (history(spark, sf), today(spark, sf).withColumnRenamed("day", "date")):
+        writers.update_baseline(spark, path, b.build_sheet_baseline(days), b.merge_sheet_baseline, "sheet_baseline")
+    return readers.read_baseline(spark, path, "sheet_baseline").withColumn("columns", F.array_join("columns", ","))
+
+
 @query("s12_read_category_list", "SELECT DISTINCT p_type AS name_en, lower(p_type) AS slug FROM part")
 def s12(spark, sf):
     root = scratch_dir(spark, "categories")

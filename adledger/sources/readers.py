@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from adledger import schemas
 from adledger.functions import variants as V
 from adledger.operators.layout import PARTITION, partition_prefixes
+from adledger.sources.versions import published, read_published, version_path, versions
 
 DAY_FOLDER = r"/(\d{4}-\d{2}-\d{2})/[^/]*$"
 
@@ -138,7 +139,12 @@ def read_hub_document(spark: SparkSession, root: str, dates: list[str] | None =
 
 
 def read_hub_table(spark: SparkSession, root: str, table: str, date: str | None = None) -> DataFrame:
-    """One daily table; an absent table is empty with its full schema. The date filter prunes folders."""
+    """One daily table; an absent table is empty with its full schema. The date filter prunes folders.
+
+    Where days were published in batches, only those that are switched on are seen.
+    """
+    if published(spark, root):
+        return read_published(spark, root, table, date)
     path, schema = f"{root.rstrip('/')}/{table}", schemas.table_schema(table)
     if not path_exists(spark, path):
         return spark.createDataFrame([], schema)
@@ -179,10 +185,14 @@ def read_expectations(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_baseline(spark: SparkSession, path: str, kind: str = "baseline") -> DataFrame:
-    """Stored statistics; an absent store is an empty start."""
+    """Stored statistics, the newest version of them; an absent store is an empty start.
+
+    A store written before versions were kept is read as it is.
+    """
     if not path_exists(spark, path):
         return spark.createDataFrame([], schemas.INPUTS[kind])
-    return spark.read.schema(schemas.INPUTS[kind]).parquet(path)
+    numbers = versions(spark, path)
+    return spark.read.schema(schemas.INPUTS[kind]).parquet(version_path(path, numbers[-1]) if numbers else path)
 
 
 def read_category_list(spark: SparkSession, path: str) -> DataFrame:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
@@ -12,7 +12,8 @@ from adledger import schemas
 from adledger.operators.layout import backfill_window
 from adledger.operators.ordering import first_rows
 from adledger.session import saved
-from adledger.sources.readers import path_exists, read_hub_table
+from adledger.sources.readers import path_exists, read_baseline, read_hub_table
+from adledger.sources.versions import commit, publish, published, versions
 
 PARTITION_COLUMN = "hub_partition_date"
 
@@ -41,8 +42,13 @@ def last_of_key(df: DataFrame, table: str) -> DataFrame:
 def write_hub_table(df: DataFrame, root: str, table: str) -> None:
     """One folder per table and day; only the days in the batch are replaced.
 
-    Rows are rebalanced by day first: a day is a few files, and a large day is split over several tasks.
+    Rows are rebalanced by day first: a day is a few files, and a large day is split over several tasks. Where days
+    are published in batches, these days are published too.
     """
+    if published(df.sparkSession, root):
+        rows = saved(align(df, table), "batch")
+        publish({table: rows}, root, rows.select(PARTITION_COLUMN).distinct())
+        return
     (
         align(df, table)
         .hint("rebalance", PARTITION_COLUMN)
@@ -66,10 +72,12 @@ def replace_partition(df: DataFrame, root: str, table: str, date: str) -> None:
     The batch is worked out once and kept in the shared folder while it is looked at and written.
     """
     batch = saved(align(last_of_key(df.filter(F.col(PARTITION_COLUMN) == F.lit(date).cast("date")), table), table), "batch")
-    if batch.isEmpty():
+    if published(df.sparkSession, root):
+        publish({table: batch}, root, df.sparkSession.createDataFrame([(date,)], "date string"))
+    elif batch.isEmpty():
         drop_partition(df.sparkSession, root, table, date)
-        return
-    write_hub_table(batch, root, table)
+    else:
+        write_hub_table(batch, root, table)
 
 
 def ensure_schema(spark: SparkSession, root: str) -> dict[str, DataFrame]:
@@ -77,36 +85,31 @@ def ensure_schema(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     return {table: read_hub_table(spark, root, table) for table in schemas.TABLES}
 
 
-# the hub table is written last: a day counts as complete once it is there
-WRITE_ORDER = [t for t in schemas.TABLES if t != "hub_daily"] + ["hub_daily"]
+def _as_stored(rows: DataFrame, table: str) -> DataFrame:
+    """Rows as they are stored: aligned, one per primary key."""
+    return align(last_of_key(rows, table), table)
 
 
 def push_partition(tables: dict[str, DataFrame], root: str, date: str) -> bool:
-    """Replace one day in all six tables; nothing is done when the hub table has no row for it."""
-    if tables["hub_daily"].filter(F.col(PARTITION_COLUMN) == F.lit(date).cast("date")).isEmpty():
+    """Replace one day in all six tables in one step; nothing is done when the hub table has no row for it.
+
+    Readers see the old day in every table until the list of days is switched, and the new one after.
+    """
+    spark, of_day = tables["hub_daily"].sparkSession, F.col(PARTITION_COLUMN) == F.lit(date).cast("date")
+    if tables["hub_daily"].filter(of_day).isEmpty():
         return False
-    for table in WRITE_ORDER:
-        replace_partition(tables[table], root, table, date)
+    publish({t: _as_stored(df.filter(of_day), t) for t, df in tables.items()}, root, spark.createDataFrame([(date,)], "date string"))
     return True
 
 
 def backfill(tables: dict[str, DataFrame], root: str, days: int = 0) -> None:
-    """Replace all days of the window in one job per table.
+    """Replace all days of the window in all tables, as one batch whose cost follows its rows.
 
     Days without a hub row are left as stored. A day that lost its rows in one table is emptied there.
     """
-    spark = tables["hub_daily"].sparkSession
     wanted = backfill_window(tables["hub_daily"].select(F.col(PARTITION_COLUMN).alias("date")), days)
     wanted = saved(wanted.select(F.col("date").alias(PARTITION_COLUMN)), "days")
-    for table in WRITE_ORDER:
-        rows = saved(align(last_of_key(tables[table].join(wanted, PARTITION_COLUMN, "left_semi"), table), table), "batch")
-        if path_exists(spark, f"{root.rstrip('/')}/{table}"):
-            stored = read_hub_table(spark, root, table).select(PARTITION_COLUMN).distinct()
-            gone = stored.join(wanted, PARTITION_COLUMN, "left_semi").join(rows, PARTITION_COLUMN, "left_anti")
-            # calendar days, not data rows
-            for row in gone.toLocalIterator():
-                drop_partition(spark, root, table, str(row[0]))
-        write_hub_table(rows, root, table)
+    publish({t: _as_stored(df.join(wanted, PARTITION_COLUMN, "left_semi"), t) for t, df in tables.items()}, root, wanted)
 
 
 def report_documents(scrapers: DataFrame, totals: DataFrame) -> DataFrame:
@@ -171,6 +174,17 @@ def hub_document_key(date: Column) -> Column:
     return F.concat(F.lit("hub/"), date.cast("string"), F.lit("/all-sites.json"))
 
 
-def write_baseline(df: DataFrame, path: str) -> None:
-    """S11."""
-    df.write.mode("overwrite").parquet(path)
+def write_baseline(df: DataFrame, path: str) -> int:
+    """A new version of the stored statistics, which may be made of the one before; its number."""
+    numbers = versions(df.sparkSession, path)
+    return commit(df, path, numbers[-1] if numbers else 0)
+
+
+def update_baseline(spark: SparkSession, path: str, observed: DataFrame, merge: Callable[[DataFrame, DataFrame], DataFrame], kind: str = "baseline") -> int:
+    """S11 with B4: the newest stored statistics merged with what was observed, as the next version.
+
+    The pointer is the version's number: a run that is stopped leaves the store as it was, and one that finds that
+    another run was first fails with ``NewerVersion`` and can be repeated.
+    """
+    numbers = versions(spark, path)
+    return commit(merge(read_baseline(spark, path, kind), observed), path, numbers[-1] if numbers else 0)

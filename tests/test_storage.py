@@ -7,10 +7,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from adledger import schemas
+from adledger.operators import trends
 from adledger.operators.output import write_grouped
 from adledger.plans import hub_chain
 from adledger.session import scratch_dir
-from adledger.sources import readers, writers
+from adledger.sources import readers, versions, writers
 from adledger.streaming.intake import LANDED, start_hour_intake
 
 DAY = datetime.date(2024, 1, 2)
@@ -174,3 +175,82 @@ def test_only_reports_and_documents_of_asked_days_are_read(spark, tmp_path):
     documents = readers.read_hub_document(spark, str(tmp_path), ["2024-02-01"])
     assert len(documents.inputFiles()) == 1 and [str(r.hub_date) for r in documents.collect()] == ["2024-02-01"]
     assert readers.read_reports(spark, str(tmp_path), ["2031-01-01"]).count() == 0 == readers.read_hub_document(spark, str(tmp_path), ["2031-01-01"]).count()
+
+
+def daily(spark, day, unique):
+    """All six tables of one day, with the number of ads in those that a reader compares."""
+    tables = {t: spark.createDataFrame([], schemas.table_schema(t)) for t in schemas.TABLES}
+    for t in ("hub_daily", "site_daily", "scraper_daily"):
+        row = spark.createDataFrame([(day, "a", "s", unique)], "hub_partition_date date, site_id string, scraper string, unique_ads bigint")
+        tables[t] = writers.align(row.withColumnRenamed("unique_ads", "total_unique_ads") if t == "hub_daily" else row, t)
+    return tables
+
+
+def seen(spark, root, day=None):
+    return sorted((str(r["hub_partition_date"]), r["unique_ads"]) for t in ("site_daily", "scraper_daily") for r in readers.read_hub_table(spark, root, t, day).collect())
+
+
+def test_a_push_that_stops_between_tables_leaves_the_old_day_whole(spark, tmp_path, monkeypatch):
+    root, other = str(tmp_path / "pub"), datetime.date(2024, 1, 3)
+    assert writers.push_partition(daily(spark, DAY, 1), root, "2024-01-02") and writers.push_partition(daily(spark, other, 5), root, "2024-01-03")
+    broken = daily(spark, DAY, 2)
+    broken["scraper_daily"] = broken["scraper_daily"].withColumn("unique_ads", F.raise_error(F.lit("lost")).cast("bigint"))
+    with pytest.raises(Exception, match="lost"):
+        writers.push_partition(broken, root, "2024-01-02")
+    assert seen(spark, root) == [("2024-01-02", 1)] * 2 + [("2024-01-03", 5)] * 2
+    monkeypatch.setattr(versions, "commit", lambda *_: (_ for _ in ()).throw(RuntimeError("stopped")))
+    with pytest.raises(RuntimeError, match="stopped"):
+        writers.push_partition(daily(spark, DAY, 3), root, "2024-01-02")
+    monkeypatch.undo()
+    assert seen(spark, root, "2024-01-02") == [("2024-01-02", 1)] * 2
+    held = readers.read_hub_table(spark, root, "site_daily", "2024-01-02")
+    writers.push_partition(daily(spark, DAY, 4), root, "2024-01-02")
+    assert seen(spark, root, "2024-01-02") == [("2024-01-02", 4)] * 2 and [r["unique_ads"] for r in held.collect()] == [1]
+    assert len(versions.vacuum(spark, root)) == 2 and seen(spark, root) == [("2024-01-02", 4)] * 2 + [("2024-01-03", 5)] * 2
+
+
+def test_days_in_folders_stay_when_others_are_published(spark, tmp_path):
+    root, other = str(tmp_path / "mixed"), datetime.date(2024, 1, 3)
+    for day, n in ((DAY, 1), (other, 2)):
+        for table, rows in daily(spark, day, n).items():
+            writers.write_hub_table(rows, root, table)
+    writers.push_partition(daily(spark, DAY, 7), root, "2024-01-02")
+    assert seen(spark, root) == [("2024-01-02", 7)] * 2 + [("2024-01-03", 2)] * 2
+    writers.replace_partition(daily(spark, other, 9)["site_daily"], root, "site_daily", "2024-01-03")
+    writers.replace_partition(daily(spark, DAY, 9)["scraper_daily"].filter("false"), root, "scraper_daily", "2024-01-02")
+    assert seen(spark, root) == [("2024-01-02", 7), ("2024-01-03", 2), ("2024-01-03", 9)]
+
+
+def test_of_two_writers_one_is_told_and_publication_tries_again(spark, tmp_path, monkeypatch):
+    root = str(tmp_path / "store")
+    rows = lambda n: spark.createDataFrame([(f"s{n}", float(n), float(n), float(n), ["2024-01-01"])], schemas.INPUTS["baseline"])
+    assert writers.write_baseline(rows(1), root) == 1
+    with pytest.raises(versions.NewerVersion):
+        versions.commit(rows(2), root, 0)
+    assert [r["scraper"] for r in readers.read_baseline(spark, root).collect()] == ["s1"]
+    for n in (2, 3, 4):
+        writers.update_baseline(spark, root, rows(n), trends.merge_baseline)
+    assert versions.versions(spark, root) == [3, 4]
+    assert sorted(r["scraper"] for r in readers.read_baseline(spark, root).collect()) == ["s1", "s2", "s3", "s4"]
+    published, first = str(tmp_path / "race"), []
+    plain = versions.live_days
+
+    def slow(spark_, root_):
+        out = plain(spark_, root_)
+        if not first:
+            first.append(True)
+            writers.push_partition(daily(spark, datetime.date(2024, 1, 5), 5), published, "2024-01-05")
+        return out
+
+    monkeypatch.setattr(versions, "live_days", slow)
+    writers.push_partition(daily(spark, DAY, 1), published, "2024-01-02")
+    assert seen(spark, published) == [("2024-01-02", 1)] * 2 + [("2024-01-05", 5)] * 2
+
+
+def test_a_run_that_stops_leaves_the_stored_statistics(spark, tmp_path):
+    root = str(tmp_path / "kept")
+    rows = spark.createDataFrame([("s", 1.0, 1.0, 1.0, ["2024-01-01"])], schemas.INPUTS["baseline"])
+    writers.write_baseline(rows, root)
+    with pytest.raises(Exception, match="lost"):
+        writers.update_baseline(spark, root, rows, lambda old, new: old.withColumn("size_min", F.raise_error(F.lit("lost")).cast("double")))
+    assert [r["size_min"] for r in readers.read_baseline(spark, root).collect()] == [1.0]
