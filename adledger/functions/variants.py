@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from adledger.functions.text import as_col
+from adledger.functions.text import as_col, let
 
 
 def parse(text: Column | str) -> Column:
@@ -31,6 +33,11 @@ def members(doc: Column | str, path: str) -> Column:
     return get(doc, path, "map<string,variant>")
 
 
+def fields(doc: Column | str, names: list[str]) -> Column:
+    """The named members of an object in one read, as a struct of VARIANT; null when it is no object."""
+    return get(doc, "$", "struct<" + ", ".join(f"`{n}`: variant" for n in dict.fromkeys(names)) + ">")
+
+
 def kind(doc: Column | str, path: str = "$") -> Column:
     return F.schema_of_variant(get(doc, path, "variant"))
 
@@ -73,6 +80,25 @@ def first_measure(docs: list[Column], keys: list[str]) -> Column:
     return F.coalesce(*found)
 
 
+def told_first(values: list[Column], read: Callable[[Column], Column]) -> Column:
+    """What ``read`` makes of the first of some VARIANT values that it makes anything of; ``read`` is planned once."""
+    return F.try_element_at(F.filter(F.transform(F.array(*values), read), lambda v: v.isNotNull()), F.lit(1))
+
+
+def number_kind(kind_: Column) -> Column:
+    return F.substring(kind_, 1, 3).isin("BIG", "DEC", "DOU", "FLO")
+
+
+def told_count(value: Column) -> Column:
+    """``count_value`` of a scalar that was read before."""
+    return F.when((get(value, "$", "double") >= 0) & number_kind(F.schema_of_variant(value)), get(value, "$", "bigint"))
+
+
+def told_measure(value: Column) -> Column:
+    """A JSON number that is not negative, of a scalar that was read before."""
+    return let(get(value, "$", "double"), lambda d: F.when((d >= 0) & number_kind(F.schema_of_variant(value)), d))
+
+
 def first_text(doc: Column, keys: list[str]) -> Column:
     """First key whose text is not blank, trimmed; null when none is."""
     return F.coalesce(*[F.nullif(F.trim(text(doc, f"$.{k}")), F.lit("")) for k in keys])

@@ -22,69 +22,77 @@ def metric_layers(doc: Column) -> list[Column]:
     return [nested, doc, stats]
 
 
-def _filled(doc: Column, path: str) -> Column:
+def _filled(value: Column, path: str = "$") -> Column:
     """The list at ``path`` when it has elements."""
-    found = V.items(doc, path)
-    return F.when(F.size(found) > 0, found)
-
-
-def _error_count(doc: Column, keys: list[str]) -> Column:
-    """First set counter: numbers are cut, digits in text count, anything else that is set counts as one."""
-    found = []
-    for key in keys:
-        path = f"$.{key}"
-        as_text = V.text(doc, path)
-        value = (
-            F.when(V.is_number(doc, path), F.nullif(V.number(doc, path).cast("bigint"), F.lit(0).cast("bigint")))
-            .when(V.is_text(doc, path) & (as_text != ""), F.coalesce(V.safe_int(as_text), F.lit(1).cast("bigint")))
-            .when((F.size(V.items(doc, path)) > 0) | (F.size(V.members(doc, path)) > 0) | (as_text == "true"), F.lit(1).cast("bigint"))
-        )
-        found.append(F.when(V.get(doc, path, "variant").isNotNull(), value))
-    return F.coalesce(*found)
+    return let(V.items(value, path), lambda found: F.when(F.size(found) > 0, found))
+
 
+def _error_count(value: Column) -> Column:
+    """A set counter: numbers are cut, digits in text count, anything else that is set counts as one."""
+    one = F.lit(1).cast("bigint")
+
+    def read(kind: Column, as_text: Column) -> Column:
+        return (
+            F.when(V.number_kind(kind), F.nullif(V.get(value, "$", "double").cast("bigint"), F.lit(0).cast("bigint")))
+            .when((kind == "STRING") & (as_text != ""), F.coalesce(V.safe_int(as_text), one))
+            .when((F.size(V.items(value, "$")) > 0) | (F.size(V.members(value, "$")) > 0) | (as_text == "true"), one)
+        )
 
-def _named(doc: Column, keys: list[str], default: str) -> Column:
-    return F.coalesce(*[F.nullif(V.text(doc, f"$.{k}"), F.lit("")) for k in keys], F.lit(default))
+    return let(F.schema_of_variant(value), lambda kind: let(V.text(value, "$"), lambda as_text: read(kind, as_text)))
 
 
-def _detail(doc: Column, keys: list[str]) -> Column:
-    return F.coalesce(*[F.nullif(V.text(doc, f"$.{k}"), F.lit("")) for k in keys])
+def _first_name(values: list[Column]) -> Column:
+    return V.told_first(values, lambda v: F.nullif(V.text(v, "$"), F.lit("")))
 
 
 def _item(name: Column, errors: Column, detail: Column) -> Column:
     return F.struct(name.alias("name"), errors.cast("bigint").alias("errors"), detail.cast("string").alias("detail"))
 
 
+def _told_item(raw: Column, names: list[str], default: str, counters: list[str], details: list[str], need_count: bool = False) -> Column:
+    """An item of an object, whose members are read once; null of anything else, and without a counter if one is needed."""
+
+    def of(m: Column) -> Column:
+        pick = lambda keys: [m[k] for k in keys]
+        errors = V.told_first(pick(counters), _error_count)
+        detail = _first_name(pick(details)) if details else F.lit(None)
+        made = _item(F.coalesce(_first_name(pick(names)), F.lit(default)), errors if need_count else F.coalesce(errors, F.lit(1).cast("bigint")), detail)
+        return F.when(m.isNotNull() & errors.isNotNull(), made) if need_count else F.when(m.isNotNull(), made)
+
+    return let(V.fields(raw, [*names, *counters, *details]), of)
+
+
+ITEM_LISTS = ["failed_items", "failed_scrapers", "errors"]
+
+
 def failed_items(doc: Column, layers: list[Column] | None = None) -> Column:
-    """M2: failed targets of four shapes, distinct, in document order."""
-    layers = layers or metric_layers(doc)
+    """M2: failed targets of four shapes, distinct, in document order.
+
+    ``layers`` are structs that have at least the members ``ITEM_LISTS``; those of the document by default.
+    """
     none = F.array().cast(ITEM)
+    layers = layers or [V.fields(layer, ITEM_LISTS) for layer in metric_layers(doc)]
 
     def target(raw: Column) -> Column:
-        errors = F.coalesce(_error_count(raw, ["errors", "error_count"]), F.lit(1))
-        return _item(_named(raw, ["name", "scraper", "slug", "category"], "unknown"), errors,
-                     _detail(raw, ["detail", "reason", "message"]))
+        return _told_item(raw, ["name", "scraper", "slug", "category"], "unknown", ["errors", "error_count"], ["detail", "reason", "message"])
 
     def error(raw: Column) -> Column:
-        told = _item(_named(raw, ["name", "scraper", "slug"], "error"),
-                     F.coalesce(_error_count(raw, ["count"]), F.lit(1)), _detail(raw, ["detail", "message", "reason"]))
-        text = _item(V.text(raw, "$"), F.lit(1), F.lit(None))
-        return F.when(V.is_text(raw), text).when(V.is_object(raw), told)
+        told = _told_item(raw, ["name", "scraper", "slug"], "error", ["count"], ["detail", "message", "reason"])
+        return F.coalesce(told, F.when(F.schema_of_variant(raw) == "STRING", _item(V.text(raw, "$"), F.lit(1), F.lit(None))))
 
     def category(raw: Column) -> Column:
-        errors = _error_count(raw, ["errors", "error_count"])
-        named = _named(raw, ["name_en", "name_ar", "name", "slug"], "subcategory")
-        return F.when(V.is_object(raw) & errors.isNotNull(), _item(named, errors, F.lit(None)))
-
-    parts = []
-    for layer in layers:
-        raw = F.coalesce(_filled(layer, "$.failed_items"), _filled(layer, "$.failed_scrapers"))
-        parts.append(F.coalesce(F.transform(F.filter(raw, lambda r: V.is_object(r)), target), none))
-        parts.append(F.coalesce(F.transform(V.items(layer, "$.errors"), error), none))
+        return _told_item(raw, ["name_en", "name_ar", "name", "slug"], "subcategory", ["errors", "error_count"], [], need_count=True)
+
+    def of_layer(layer: Column) -> Column:
+        raw = F.coalesce(_filled(layer["failed_items"]), _filled(layer["failed_scrapers"]))
+        targets = F.filter(F.transform(raw, target), lambda i: i.isNotNull())
+        return F.concat(F.coalesce(targets, none), F.coalesce(F.transform(V.items(layer["errors"], "$"), error), none))
+
+    lists = F.array(*(F.struct(*(layer[name].alias(name) for name in ITEM_LISTS)) for layer in layers))
     groups = F.coalesce(_filled(doc, "$.subcategories"), _filled(doc, "$.categories"))
-    parts.append(F.coalesce(F.transform(groups, category), none))
+    found = F.concat(F.flatten(F.transform(lists, of_layer)), F.coalesce(F.transform(groups, category), none))
     kept = F.filter(
-        F.flatten(F.array(*parts)),
+        found,
         lambda i: i.isNotNull() & (i["name"] != "") & ((i["errors"] > 0) | i["detail"].isNotNull()),
     )
     return F.array_distinct(kept)
@@ -105,17 +113,20 @@ def failed_items_text(items: Column) -> Column:
 def request_metrics(docs: DataFrame) -> DataFrame:
     """M1: request counters of each document ``(scraper, key, prefix_form, body)``; documents without any drop out."""
     parsed = keep_rows(docs.withColumn("_doc", V.parse("body")), V.is_object("_doc"))
-    nested, root, stats = metric_layers(F.col("_doc"))
-    layered = parsed.withColumn("_nested", nested).withColumn("_stats", stats)
-    layers = [F.col("_nested"), root, F.col("_stats")]
+    keys = [*rules.REQUEST_TOTAL_KEYS, *rules.REQUEST_FAILED_KEYS, *rules.DURATION_KEYS, *rules.RPM_KEYS, *rules.CACHE_KEYS, *ITEM_LISTS]
+    # each place that may hold counters is read once, all its members together
+    names = ["_nested", "_root", "_stats"]
+    layered = parsed.withColumns({n: V.fields(layer, keys) for n, layer in zip(names, metric_layers(F.col("_doc")), strict=True)})
+    layers = [F.col(n) for n in names]
+    first = lambda of, read: V.told_first([layer[k] for layer in layers for k in of], read)
     told = layered.select(
         *[c for c in docs.columns if c != "body"],
-        V.first_count(layers, rules.REQUEST_TOTAL_KEYS).alias("_total"),
-        V.first_count(layers, rules.REQUEST_FAILED_KEYS).alias("_failed"),
-        V.first_measure(layers, rules.DURATION_KEYS).alias("duration_sec"),
-        V.first_measure(layers, rules.RPM_KEYS).alias("_rpm"),
-        V.first_count(layers, rules.CACHE_KEYS).alias("cache_hits"),
-        failed_items(root, layers).alias("failed_items"),
+        first(rules.REQUEST_TOTAL_KEYS, V.told_count).alias("_total"),
+        first(rules.REQUEST_FAILED_KEYS, V.told_count).alias("_failed"),
+        first(rules.DURATION_KEYS, V.told_measure).alias("duration_sec"),
+        first(rules.RPM_KEYS, V.told_measure).alias("_rpm"),
+        first(rules.CACHE_KEYS, V.told_count).alias("cache_hits"),
+        failed_items(F.col("_doc"), layers).alias("failed_items"),
     )
     raw = keep_rows(told, F.col("_total").isNotNull() | F.col("_failed").isNotNull() | (F.size("failed_items") > 0))
     counted = F.aggregate("failed_items", F.lit(0).cast("bigint"), lambda a, i: a + i["errors"])
