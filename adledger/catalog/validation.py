@@ -286,40 +286,36 @@ def v13_listed(spark, sf):
     return merged.select("scraper", "files_readable", *SCRAPER_COLUMNS)
 
 
+LISTED_GATE = LISTED[LISTED.index("gate AS (SELECT"):].replace("gate AS (", "listed_gate AS (", 1).replace("LEFT JOIN pcts p", "LEFT JOIN listed p")
+LISTED_PCTS = "listed AS (SELECT l.scraper, l.files_found, " + ", ".join(f"coalesce(p.{c}, 0) AS {c}" for c in (*[t for t in v.TOTALS if t != "files_found"], "phones_unique_valid", "ads_unique_valid", "phones_invalid_pct", "ads_invalid_pct")) + """
+    FROM (SELECT scraper, count(*) AS files_found FROM @files_flat GROUP BY 1) l LEFT JOIN pcts p USING (scraper))"""
+GATE_ROWS = "SELECT scraper, len(reasons) = 0 AS passed, array_to_string(reasons, ',') AS fail_reasons FROM "
+
+
 def gated(spark, sf):
-    merged = v.scraper_validation(v.check_rows(sheet_rows(spark, sf)))
+    """The gate over all listed files: a scraper whose files hold no data rows has files."""
+    merged = v.scraper_validation(v.check_rows(sheet_rows(spark, sf)), listed_files(spark, sf))
     return v.validation_gate(merged, source(spark, sf, "scrapers_flat"), max_phone_pct=30.0)
 
 
-@query(
-    "v14_validation_gate",
-    ROWS + "SELECT scraper, len(reasons) = 0 AS passed, array_to_string(reasons, ',') AS fail_reasons FROM gate",
-)
+@query("v14_listed_files", LISTED + f", {LISTED_PCTS}, {LISTED_GATE} {GATE_ROWS} listed_gate")
+@query("v14_validation_gate", LISTED + f", {LISTED_PCTS}, {LISTED_GATE} {GATE_ROWS} listed_gate")
 def v14(spark, sf):
     return gated(spark, sf).select("scraper", "passed", F.array_join("fail_reasons", ",").alias("fail_reasons"))
 
 
-LISTED_GATE = LISTED[LISTED.index("gate AS (SELECT"):].replace("gate AS (", "listed_gate AS (", 1).replace("LEFT JOIN pcts p", "LEFT JOIN listed p")
-LISTED_PCTS = "listed AS (SELECT l.scraper, l.files_found, " + ", ".join(f"coalesce(p.{c}, 0) AS {c}" for c in ("phones_seen", "ads_seen", "phones_invalid_pct", "ads_invalid_pct")) + """
-    FROM (SELECT scraper, count(*) AS files_found FROM @files_flat GROUP BY 1) l LEFT JOIN pcts p USING (scraper))"""
-
-
-@query(
-    "v14_listed_files",
-    LISTED + f", {LISTED_PCTS}, {LISTED_GATE} SELECT scraper, len(reasons) = 0 AS passed, array_to_string(reasons, ',') AS fail_reasons FROM listed_gate",
-)
-def v14_listed(spark, sf):
-    """The gate over all listed files: a scraper whose files hold no data rows has files."""
-    merged = v.scraper_validation(v.check_rows(sheet_rows(spark, sf)), listed_files(spark, sf))
-    gate = v.validation_gate(merged, source(spark, sf, "scrapers_flat"), max_phone_pct=30.0)
+@query("v14_gate_of_rows", ROWS + f"{GATE_ROWS} gate")
+def v14_rows(spark, sf):
+    """The gate where no list of files is at hand: what has no data rows counts as not found."""
+    gate = v.validation_gate(v.scraper_validation(v.check_rows(sheet_rows(spark, sf))), source(spark, sf, "scrapers_flat"), max_phone_pct=30.0)
     return gate.select("scraper", "passed", F.array_join("fail_reasons", ",").alias("fail_reasons"))
 
 
 @query(
     "v15_validation_totals",
-    ROWS + f""", t AS (SELECT count(*) AS scrapers_total, count(*) FILTER (len(reasons) = 0) AS scrapers_passed,
+    LISTED + f""", {LISTED_PCTS}, {LISTED_GATE}, t AS (SELECT count(*) AS scrapers_total, count(*) FILTER (len(reasons) = 0) AS scrapers_passed,
       {', '.join(f'CAST(sum({c}) AS BIGINT) AS {c}' for c in v.TOTALS)},
-      CAST(sum(phones_unique_valid) AS BIGINT) AS phones_unique_valid_sum, CAST(sum(ads_unique_valid) AS BIGINT) AS ads_unique_valid_sum FROM gate)
+      CAST(sum(phones_unique_valid) AS BIGINT) AS phones_unique_valid_sum, CAST(sum(ads_unique_valid) AS BIGINT) AS ads_unique_valid_sum FROM listed_gate)
     SELECT *, round(phones_valid * 100.0::DOUBLE / phones_seen, 2) AS phones_valid_pct, round(phones_invalid * 100.0::DOUBLE / phones_seen, 2) AS phones_invalid_pct,
       round(ads_valid * 100.0::DOUBLE / ads_seen, 2) AS ads_valid_pct, round(ads_invalid * 100.0::DOUBLE / ads_seen, 2) AS ads_invalid_pct FROM t""",
 )

@@ -81,8 +81,12 @@ def first_measure(docs: list[Column], keys: list[str]) -> Column:
 
 
 def told_first(values: list[Column], read: Callable[[Column], Column]) -> Column:
-    """What ``read`` makes of the first of some VARIANT values that it makes anything of; ``read`` is planned once."""
-    return F.try_element_at(F.filter(F.transform(F.array(*values), read), lambda v: v.isNotNull()), F.lit(1))
+    """What ``read`` makes of the first of some VARIANT values that it makes anything of.
+
+    ``read`` is planned once, and run only for values that are there.
+    """
+    there = F.filter(F.array(*values), lambda v: v.isNotNull())
+    return F.try_element_at(F.filter(F.transform(there, read), lambda v: v.isNotNull()), F.lit(1))
 
 
 def number_kind(kind_: Column) -> Column:

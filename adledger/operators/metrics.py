@@ -54,10 +54,12 @@ def _told_item(raw: Column, names: list[str], default: str, counters: list[str],
 
     def of(m: Column) -> Column:
         pick = lambda keys: [m[k] for k in keys]
-        errors = V.told_first(pick(counters), _error_count)
+        name = F.coalesce(_first_name(pick(names)), F.lit(default))
         detail = _first_name(pick(details)) if details else F.lit(None)
-        made = _item(F.coalesce(_first_name(pick(names)), F.lit(default)), errors if need_count else F.coalesce(errors, F.lit(1).cast("bigint")), detail)
-        return F.when(m.isNotNull() & errors.isNotNull(), made) if need_count else F.when(m.isNotNull(), made)
+        errors = V.told_first(pick(counters), _error_count)
+        if need_count:
+            return let(errors, lambda n: F.when(n.isNotNull(), _item(name, n, detail)))
+        return F.when(m.isNotNull(), _item(name, F.coalesce(errors, F.lit(1).cast("bigint")), detail))
 
     return let(V.fields(raw, [*names, *counters, *details]), of)
 
@@ -88,9 +90,12 @@ def failed_items(doc: Column, layers: list[Column] | None = None) -> Column:
         targets = F.filter(F.transform(raw, target), lambda i: i.isNotNull())
         return F.concat(F.coalesce(targets, none), F.coalesce(F.transform(V.items(layer["errors"], "$"), error), none))
 
-    lists = F.array(*(F.struct(*(layer[name].alias(name) for name in ITEM_LISTS)) for layer in layers))
+    told = [F.when(F.coalesce(*(layer[n] for n in ITEM_LISTS)).isNotNull(), F.struct(*(layer[n].alias(n) for n in ITEM_LISTS))) for layer in layers]
+    lists = F.filter(F.array(*told), lambda layer: layer.isNotNull())
     groups = F.coalesce(_filled(doc, "$.subcategories"), _filled(doc, "$.categories"))
-    found = F.concat(F.flatten(F.transform(lists, of_layer)), F.coalesce(F.transform(groups, category), none))
+    # most categories count no errors, and of those nothing else is read
+    counted = F.filter(groups, lambda g: F.coalesce(*(V.get(g, f"$.{k}", "variant") for k in ("errors", "error_count"))).isNotNull())
+    found = F.concat(F.flatten(F.transform(lists, of_layer)), F.coalesce(F.transform(counted, category), none))
     kept = F.filter(
         found,
         lambda i: i.isNotNull() & (i["name"] != "") & ((i["errors"] > 0) | i["detail"].isNotNull()),
