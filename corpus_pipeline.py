@@ -30,9 +30,10 @@ def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays, that with the least id.
 
-    Texts are linked when they are alike in 0.8 or more of their five-word shingles.
+    Texts are linked when their SimHash fingerprints of three-word shingles differ in two bits or fewer; the bit distance
+    alone decides, as in op8.
     """
-    return keep_decided(docs, simhash.similar_keepers(docs))
+    return keep_decided(docs, simhash.near_keepers(docs, shingle=3, radius=2))
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
