@@ -112,8 +112,8 @@ def quality(spark, sf):
 
 
 def verdicts(spark, sf):
-    files = q.files_of(sheets(spark, sf))
-    return q.scraper_verdict(files, q.file_verdict(checks(spark, sf)), source(spark, sf, "scrapers_flat"))
+    told = q.schema_checks(sheets(spark, sf), expected(spark, sf), profiles(spark, sf), unchecked=True)
+    return q.scraper_verdict(q.file_verdict(told), source(spark, sf, "scrapers_flat"))
 
 
 def failures(spark, sf):

@@ -35,64 +35,75 @@ def is_template(name: Column) -> Column:
     return found
 
 
+def file_rows(sheets: DataFrame) -> DataFrame:
+    """One row per file with size, readability and ``sheets``, the sheets of its workbook in their order."""
+    sheet = F.struct("sheet_pos", "sheet", "row_count", "columns")
+    return sheets.groupBy("scraper", "file_key").agg(
+        F.max("size_bytes").alias("size_bytes"), F.bool_and("readable").alias("readable"), F.array_sort(F.collect_list(sheet)).alias("sheets")
+    )
+
+
+def expectations(expected: DataFrame, profiles: DataFrame) -> DataFrame:
+    """One row per scraper of the schema: ``configs``, its expected sheets under its profile, and the least file size."""
+    optional = F.coalesce("p.optional_columns", no_texts())
+    template = is_template(F.col("e.name"))
+    core = (F.size(F.coalesce("p.core_columns", no_texts())) > 0) & (template | (F.col("e.name") != "Info"))
+    config = F.struct(
+        F.col("e.name").alias("expected_name"),
+        template.alias("is_template"),
+        F.coalesce("p.data_sheet_aliases", no_texts()).alias("aliases"),
+        F.when(core, F.col("p.core_columns")).otherwise(F.coalesce("e.required_columns", no_texts())).alias("required_columns"),
+        F.when(template, optional).otherwise(F.concat(F.coalesce("e.optional_columns", no_texts()), optional)).alias("optional_columns"),
+        F.coalesce("e.row_min", F.lit(0)).cast("bigint").alias("row_min"),
+        F.coalesce("e.row_max", F.lit(999999)).cast("bigint").alias("row_max"),
+    )
+    skipped = F.coalesce("p.skip_info_sheet", F.lit(False)) & (F.col("e.name") == "Info")
+    joined = expected.alias("e").join(profiles.alias("p"), F.col("e.scraper") == F.col("p.scraper"), "left")
+    return joined.groupBy(F.col("e.scraper").alias("scraper")).agg(
+        F.collect_list(F.when(~skipped, config)).alias("configs"),
+        F.coalesce(F.max("p.min_file_size_kb"), F.max("e.min_file_size_kb"), F.lit(0.0)).alias("least_kb"),
+    )
+
+
+def expected_files(sheets: DataFrame, expected: DataFrame, profiles: DataFrame, how: str = "inner") -> DataFrame:
+    """The file rows with what is expected of them: all that the checks of a file look at, in one row."""
+    return file_rows(sheets).join(expectations(expected, profiles), "scraper", how)
+
+
+def _fits(config: Column, sheets: Column) -> Column:
+    """The sheets that one expected sheet stands for, of those of a file; empty when there is none."""
+    plain_data = lambda s: ~s["sheet"].isin("Info", "No Data")
+    alias_place = lambda s: F.array_position(config["aliases"], s["sheet"])
+
+    def of_template(s: Column) -> Column:
+        filled = (alias_place(s) > 0) | (plain_data(s) & (s["row_count"] > 0))
+        return F.when(F.size(config["aliases"]) > 0, filled).otherwise(plain_data(s))
+
+    def place(s: Column) -> Column:
+        return F.when(s["sheet"] == config["expected_name"], 0).when(alias_place(s) > 0, alias_place(s))
+
+    placed = F.transform(sheets, lambda s: F.struct(place(s).alias("place"), s.alias("found")))
+    named = F.slice(F.array_sort(F.filter(placed, lambda x: x["place"].isNotNull())), 1, 1)
+    return F.when(config["is_template"], F.filter(sheets, of_template)).otherwise(F.transform(named, lambda x: x["found"]))
+
+
+MATCH_COLUMNS = ["expected_name", "is_template", "required_columns", "optional_columns", "row_min", "row_max"]
+
+
+def _matched(files: DataFrame, carried: list[str]) -> DataFrame:
+    """A row per sheet that an expected sheet of ``config`` stands for; ``carried`` columns come along."""
+    each = files.select(*carried, "config", F.explode_outer(_fits(F.col("config"), F.col("sheets"))).alias("_fit"))
+    return each.select(*carried, *[F.col("config")[c].alias(c) for c in MATCH_COLUMNS], *[F.col("_fit")[c].alias(c) for c in ("sheet", "row_count", "columns")])
+
+
 def match_expected_sheets(sheets: DataFrame, expected: DataFrame, profiles: DataFrame) -> DataFrame:
     """Q6: the observed sheets each expected sheet stands for; a null sheet when there is none.
 
     A template stands for all data sheets of a file. An exact name stands for the sheet of that name, else for
-    the first alias present. All joins are equalities on scraper or file; which sheet fits is a residual test
-    inside a workbook.
+    the first alias present. Which sheet fits is decided inside the file's row.
     """
-    optional = F.coalesce("p.optional_columns", no_texts())
-    config = (
-        expected.drop("min_file_size_kb").alias("e")
-        .join(profiles.alias("p"), F.col("e.scraper") == F.col("p.scraper"), "left")
-        .filter(~(F.coalesce("p.skip_info_sheet", F.lit(False)) & (F.col("e.name") == "Info")))
-        .select(
-            F.col("e.scraper").alias("scraper"),
-            F.col("e.name").alias("expected_name"),
-            is_template(F.col("e.name")).alias("is_template"),
-            F.coalesce("p.data_sheet_aliases", no_texts()).alias("aliases"),
-            F.when(
-                (F.size(F.coalesce("p.core_columns", no_texts())) > 0) & (is_template(F.col("e.name")) | (F.col("e.name") != "Info")),
-                F.col("p.core_columns"),
-            ).otherwise(F.coalesce("e.required_columns", no_texts())).alias("required_columns"),
-            F.when(is_template(F.col("e.name")), optional)
-            .otherwise(F.concat(F.coalesce("e.optional_columns", no_texts()), optional)).alias("optional_columns"),
-            F.coalesce("e.row_min", F.lit(0)).cast("bigint").alias("row_min"),
-            F.coalesce("e.row_max", F.lit(999999)).cast("bigint").alias("row_max"),
-        )
-    )
-    wanted = files_of(sheets).filter("readable").select("scraper", "file_key").join(config, "scraper")
-    seen = sheets.select("file_key", "sheet", "sheet_pos", "row_count", "columns")
-    plain_data = ~F.col("sheet").isin("Info", "No Data")
-    alias_place = F.array_position("aliases", F.col("sheet"))
-    fits_template = F.when(
-        F.size("aliases") > 0, (alias_place > 0) | (plain_data & (F.col("row_count") > 0))
-    ).otherwise(plain_data)
-    place = F.when(F.col("is_template"), F.when(fits_template, 0)).otherwise(
-        F.when(F.col("sheet") == F.col("expected_name"), 0).when(alias_place > 0, alias_place)
-    )
-    paired = wanted.join(seen, "file_key", "left").withColumn("_place", place)
-    keys = ["scraper", "file_key", "expected_name"]
-    fixed = ["is_template", "required_columns", "optional_columns", "row_min", "row_max"]
-    fit = F.when(
-        F.col("_place").isNotNull(), F.struct("_place", "sheet_pos", "sheet", "row_count", "columns")
-    )
-    slot = F.when(F.col("is_template") & F.col("_place").isNotNull(), F.col("sheet_pos"))
-    best = paired.withColumn("_slot", slot).groupBy(*keys, "_slot").agg(
-        F.min(fit).alias("_fit"), *[F.any_value(c).alias(c) for c in fixed],
-    )
-    # a template's unfit sheets share the null slot; that row only matters when no sheet fits at all
-    by_slot = best.groupBy(*keys).agg(
-        F.filter(F.collect_list("_fit"), lambda f: f.isNotNull()).alias("_fits"),
-        *[F.any_value(c).alias(c) for c in fixed],
-    )
-    return by_slot.select(*keys, *fixed, F.explode_outer("_fits").alias("_fit")).select(
-        *keys, *fixed,
-        F.col("_fit.sheet").alias("sheet"),
-        F.col("_fit.row_count").alias("row_count"),
-        F.col("_fit.columns").alias("columns"),
-    )
+    files = expected_files(sheets, expected, profiles).filter("readable")
+    return _matched(files.withColumn("config", F.explode("configs")), ["scraper", "file_key"])
 
 
 def missing_columns(matches: DataFrame) -> DataFrame:
@@ -133,8 +144,13 @@ def _checks(df: DataFrame, name: Column, passed: Column, detail: Column, sheet:
     )
 
 
-def match_checks(matches: DataFrame, kinds: tuple[str, ...] = ("columns", "range", "exists")) -> DataFrame:
-    """Q7-Q9 in one pass over the matches, as many check rows per match as apply.
+def _entry(sheet: Column, label: Column, passed: Column, detail: Column) -> Column:
+    """One check of a file inside its row."""
+    return F.struct(sheet.alias("sheet"), label.alias("check_name"), passed.alias("passed"), detail.alias("detail"))
+
+
+def _match_entries(kinds: tuple[str, ...]) -> Column:
+    """Q7-Q9: the checks that apply to a match, as an array.
 
     ``columns`` (Q7): a sheet with rows passes when no core column is missing; a sheet without rows passes as
     skipped. ``range`` (Q8): rows within the expected range; empty sheets of a template are not checked, exact
@@ -145,7 +161,7 @@ def match_checks(matches: DataFrame, kinds: tuple[str, ...] = ("columns", "range
     told_as = F.when(template, name).otherwise(F.col("expected_name"))
 
     def entry(label: Column, passed: Column, detail: Column) -> Column:
-        return F.struct(name.alias("sheet"), label.alias("check_name"), passed.alias("passed"), detail.alias("detail"))
+        return _entry(name, label, passed, detail)
 
     missing = F.concat_ws(
         "; ",
@@ -181,9 +197,13 @@ def match_checks(matches: DataFrame, kinds: tuple[str, ...] = ("columns", "range
             ),
         ),
     }
+    return F.filter(F.array(*[entries[k] for k in kinds]), lambda e: e.isNotNull())
+
+
+def match_checks(matches: DataFrame, kinds: tuple[str, ...] = ("columns", "range", "exists")) -> DataFrame:
+    """Q7-Q9 in one pass over the matches, as many check rows per match as apply."""
     told = missing_columns(matches) if "columns" in kinds else matches
-    asked = F.filter(F.array(*[entries[k] for k in kinds]), lambda e: e.isNotNull())
-    return told.select("scraper", "file_key", F.inline(asked))
+    return told.select("scraper", "file_key", F.inline(_match_entries(kinds)))
 
 
 def check_sheet_columns(matches: DataFrame) -> DataFrame:
@@ -210,15 +230,18 @@ def _kb(size: Column) -> Column:
     return size / 1024
 
 
+def _size_terms(least: Column) -> tuple[Column, Column]:
+    """Whether ``size_bytes`` reaches the least size, and how that is told."""
+    kb = _kb(F.col("size_bytes"))
+    return kb >= least, F.concat(F.round(kb, 1).cast("string"), F.lit(" KB (min "), least.cast("string"), F.lit(" KB)"))
+
+
 def check_file_size(files: DataFrame, expected: DataFrame, profiles: DataFrame) -> DataFrame:
     """Q11: size of at least the profile's minimum, else the schema's, else 0."""
     schema = expected.groupBy("scraper").agg(F.max("min_file_size_kb").alias("_schema_kb"))
     own = profiles.select("scraper", F.col("min_file_size_kb").alias("_profile_kb"))
     joined = files.filter("readable").join(schema, "scraper").join(own, "scraper", "left")
-    least = F.coalesce("_profile_kb", "_schema_kb", F.lit(0.0))
-    kb = _kb(F.col("size_bytes"))
-    detail = F.concat(F.round(kb, 1).cast("string"), F.lit(" KB (min "), least.cast("string"), F.lit(" KB)"))
-    return _checks(joined, F.lit("file_size_ok"), kb >= least, detail, sheet=None)
+    return _checks(joined, F.lit("file_size_ok"), *_size_terms(F.coalesce("_profile_kb", "_schema_kb", F.lit(0.0))), sheet=None)
 
 
 def check_size_floor(files: DataFrame, floors: DataFrame) -> DataFrame:
@@ -229,15 +252,31 @@ def check_size_floor(files: DataFrame, floors: DataFrame) -> DataFrame:
     return _checks(joined, F.lit("observed_file_size_floor"), kb >= F.col("floor_kb"), detail, sheet=None)
 
 
-def schema_checks(sheets: DataFrame, expected: DataFrame, profiles: DataFrame) -> DataFrame:
-    """All schema checks of all files as one table."""
-    files = files_of(sheets).join(expected.select("scraper").distinct(), "scraper", "left_semi")
-    matches = match_expected_sheets(sheets, expected, profiles)
-    return (
-        check_file_readable(files)
-        .unionByName(match_checks(matches))
-        .unionByName(check_file_size(files, expected, profiles))
+def schema_checks(sheets: DataFrame, expected: DataFrame, profiles: DataFrame, unchecked: bool = False) -> DataFrame:
+    """All schema checks of all files as one table, from one read of the sheets.
+
+    A file's row is spread to one part for the file itself and one for each expected sheet, and each part tells its
+    checks. With ``unchecked``, a file of which nothing is expected has one row with a null check.
+    """
+    files = expected_files(sheets, expected, profiles, "left" if unchecked else "inner")
+    configs = F.col("configs")
+    own = F.lit(None).cast(files.schema["configs"].dataType.elementType)
+    # an unreadable file has only its own part
+    parts = F.concat(F.array(own), F.when(F.col("readable") & configs.isNotNull(), configs).otherwise(F.slice(configs, 1, 0)))
+    spread = files.withColumn("config", F.explode(F.coalesce(parts, F.array(own)))).withColumn("_own", F.col("config").isNull())
+    matched = missing_columns(_matched(spread, ["scraper", "file_key", "size_bytes", "readable", "least_kb", "_own"]))
+    none = F.lit(None).cast("string")
+    of_file = F.array(
+        _entry(none, F.lit("file_readable"), F.col("readable"), F.lit("")),
+        F.when(F.col("readable"), _entry(none, F.lit("file_size_ok"), *_size_terms(F.col("least_kb")))),
+    )
+    entries = F.when(~F.col("_own"), _match_entries(("columns", "range", "exists"))).when(
+        F.col("least_kb").isNotNull(), F.filter(of_file, lambda e: e.isNotNull())
     )
+    if not unchecked:
+        return matched.select("scraper", "file_key", F.inline(entries))
+    told = matched.select("scraper", "file_key", "least_kb", F.inline_outer(entries))
+    return told.filter(F.col("check_name").isNotNull() | F.col("least_kb").isNull()).drop("least_kb")
 
 
 def file_verdict(checks: DataFrame) -> DataFrame:
@@ -245,19 +284,22 @@ def file_verdict(checks: DataFrame) -> DataFrame:
     return checks.groupBy("scraper", "file_key").agg(
         F.bool_and("passed").alias("passed"),
         F.count_if("passed").alias("checks_passed"),
-        F.count(F.lit(1)).alias("checks_total"),
+        F.count("check_name").alias("checks_total"),
     )
 
 
-def scraper_verdict(files: DataFrame, verdicts: DataFrame, scrapers: DataFrame) -> DataFrame:
-    """Q14: a scraper passes when all its files pass. None found fails unless optional; unchecked files pass."""
-    found = files.groupBy("scraper").agg(F.count(F.lit(1)).alias("files_found"))
+def scraper_verdict(verdicts: DataFrame, scrapers: DataFrame) -> DataFrame:
+    """Q14: a scraper passes when all its files pass. None found fails unless optional; unchecked files pass.
+
+    ``verdicts`` has a row for every file found, an unchecked one with no checks and a null verdict.
+    """
     checked = verdicts.groupBy("scraper").agg(
+        F.count(F.lit(1)).alias("files_found"),
         F.bool_and("passed").alias("_passed"),
         F.sum("checks_passed").alias("checks_passed"),
         F.sum("checks_total").alias("checks_total"),
     )
-    joined = scrapers.select("scraper", "files_optional").join(found, "scraper", "left").join(checked, "scraper", "left")
+    joined = scrapers.select("scraper", "files_optional").join(checked, "scraper", "left")
     n = F.coalesce("files_found", F.lit(0))
     optional = F.coalesce("files_optional", F.lit(False))
     return joined.select(

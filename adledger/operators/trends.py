@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from adledger import rules
 from adledger.functions.text import shorten
-from adledger.operators.inspection import _checks, files_of
+from adledger.operators.inspection import _checks, _entry, file_rows, files_of
 
 KEEP_DATES = 30
 
@@ -83,18 +83,23 @@ def _watched(baseline: DataFrame, min_days: int) -> DataFrame:
     return baseline.filter(F.size("observed_dates") >= min_days)
 
 
-def check_size_trend(sheets: DataFrame, baseline: DataFrame, min_days: int = 3, min_pct: float = 50.0) -> DataFrame:
-    """Size of at least a share of the historic minimum, once enough days were seen."""
-    joined = files_of(sheets).join(_watched(baseline, min_days).select("scraper", "size_min"), "scraper").filter(
-        F.col("size_min").isNotNull()
-    )
+def _size_terms(min_pct: float) -> tuple[Column, Column, Column]:
+    """Name, outcome and detail of B5."""
     least = F.col("size_min") * (min_pct / 100.0)
     kb = F.col("size_bytes") / 1024
     detail = F.concat(
         F.round(kb, 1).cast("string"), F.lit(" KB vs "), F.round(least, 1).cast("string"),
         F.lit(f" KB ({min_pct:.0f}% of hist min "), F.col("size_min").cast("string"), F.lit(" KB)"),
     )
-    return _checks(joined, F.lit("trend_file_size"), kb >= least, detail, sheet=None)
+    return F.lit("trend_file_size"), kb >= least, detail
+
+
+def check_size_trend(sheets: DataFrame, baseline: DataFrame, min_days: int = 3, min_pct: float = 50.0) -> DataFrame:
+    """Size of at least a share of the historic minimum, once enough days were seen."""
+    joined = files_of(sheets).join(_watched(baseline, min_days).select("scraper", "size_min"), "scraper").filter(
+        F.col("size_min").isNotNull()
+    )
+    return _checks(joined, *_size_terms(min_pct), sheet=None)
 
 
 def skip_volatile(sheets: DataFrame, profiles: DataFrame) -> DataFrame:
@@ -109,34 +114,57 @@ def _row_trend(sheets: DataFrame, baseline: DataFrame, sheet_baseline: DataFrame
     return sheets.filter("readable").join(stats, ["scraper", "sheet"])
 
 
-def _row_checks(joined: DataFrame, prefix: str, word: str, limit: Column, passed: Column, pct: float, bound: str) -> DataFrame:
+def _row_terms(prefix: str, word: str, limit: Column, passed: Column, pct: float, bound: str) -> tuple[Column, Column, Column]:
     name = F.concat(F.lit(prefix), shorten(F.col("sheet"), rules.TREND_LABEL_LIMIT))
     detail = F.concat(
         F.col("row_count").cast("string"), F.lit(f" rows vs {word} "), limit.cast("string"),
         F.lit(f" ({pct:.0f}% of hist {bound[-3:]} "), F.col(bound).cast("string"), F.lit(")"),
     )
-    return _checks(joined, name, passed, detail)
+    return name, passed, detail
+
+
+def _low_terms(min_pct: float) -> tuple[Column, Column, Column]:
+    """Name, outcome and detail of B6."""
+    floor = F.greatest(F.lit(1).cast("bigint"), (F.col("rows_min") * (min_pct / 100.0)).cast("bigint"))
+    return _row_terms("trend_rows_low_", "floor", floor, F.col("row_count") >= floor, min_pct, "rows_min")
+
+
+def _high_terms(max_pct: float) -> tuple[Column, Column, Column]:
+    """Name, outcome and detail of B7."""
+    ceiling = (F.col("rows_max") * (max_pct / 100.0)).cast("bigint")
+    return _row_terms("trend_rows_high_", "ceiling", ceiling, F.col("row_count") <= ceiling, max_pct, "rows_max")
 
 
 def check_rows_low(sheets, baseline, sheet_baseline, min_days: int = 3, min_pct: float = 30.0) -> DataFrame:
     """Rows of at least a share of the historic minimum, never less than one."""
-    joined = _row_trend(sheets, baseline, sheet_baseline, min_days).filter("rows_min > 0")
-    floor = F.greatest(F.lit(1).cast("bigint"), (F.col("rows_min") * (min_pct / 100.0)).cast("bigint"))
-    return _row_checks(joined, "trend_rows_low_", "floor", floor, F.col("row_count") >= floor, min_pct, "rows_min")
+    return _checks(_row_trend(sheets, baseline, sheet_baseline, min_days).filter("rows_min > 0"), *_low_terms(min_pct))
 
 
 def check_rows_high(sheets, baseline, sheet_baseline, min_days: int = 3, max_pct: float = 300.0) -> DataFrame:
     """Rows of at most a multiple of the historic maximum."""
-    joined = _row_trend(sheets, baseline, sheet_baseline, min_days).filter("rows_max > 0")
-    ceiling = (F.col("rows_max") * (max_pct / 100.0)).cast("bigint")
-    return _row_checks(joined, "trend_rows_high_", "ceiling", ceiling, F.col("row_count") <= ceiling, max_pct, "rows_max")
+    return _checks(_row_trend(sheets, baseline, sheet_baseline, min_days).filter("rows_max > 0"), *_high_terms(max_pct))
 
 
-def trend_checks(sheets: DataFrame, baseline: DataFrame, sheet_baseline: DataFrame, profiles: DataFrame) -> DataFrame:
-    """Size and row trends as one check set."""
-    steady = skip_volatile(sheets, profiles)
-    return (
-        check_size_trend(sheets.filter("readable"), baseline)
-        .unionByName(check_rows_low(steady, baseline, sheet_baseline))
-        .unionByName(check_rows_high(steady, baseline, sheet_baseline))
+def trend_checks(
+    sheets: DataFrame, baseline: DataFrame, sheet_baseline: DataFrame, profiles: DataFrame,
+    min_days: int = 3, min_size_pct: float = 50.0, min_rows_pct: float = 30.0, max_rows_pct: float = 300.0,
+) -> DataFrame:
+    """Size and row trends as one check set, from one read of the sheets and of each baseline.
+
+    A file's row is spread to one part for its size and one for each sheet that may be compared (B8).
+    """
+    volatile = profiles.groupBy("scraper").agg(F.bool_or(F.coalesce("skip_sheet_trend_checks", F.lit(False))).alias("volatile"))
+    known = _watched(baseline, min_days).select("scraper", "size_min").join(volatile, "scraper", "left")
+    files = file_rows(sheets.filter("readable")).join(known, "scraper")
+    steady = F.filter("sheets", lambda s: (s["sheet"] != "Info") & ~F.coalesce("volatile", F.lit(False)))
+    own = F.lit(None).cast(files.schema["sheets"].dataType.elementType)
+    spread = files.select("scraper", "file_key", "size_bytes", "size_min", F.explode(F.concat(F.array(own), steady)).alias("_s"))
+    parts = spread.select("scraper", "file_key", "size_bytes", "size_min", F.col("_s").isNull().alias("_own"), "_s.sheet", "_s.row_count")
+    told = parts.join(sheet_baseline.select("scraper", "sheet", "rows_min", "rows_max"), ["scraper", "sheet"], "left")
+    none, name = F.lit(None).cast("string"), F.col("sheet")
+    entries = F.array(
+        F.when(F.col("_own") & F.col("size_min").isNotNull(), _entry(none, *_size_terms(min_size_pct))),
+        F.when(~F.col("_own") & (F.col("rows_min") > 0), _entry(name, *_low_terms(min_rows_pct))),
+        F.when(~F.col("_own") & (F.col("rows_max") > 0), _entry(name, *_high_terms(max_rows_pct))),
     )
+    return told.select("scraper", "file_key", F.inline(F.filter(entries, lambda e: e.isNotNull())))

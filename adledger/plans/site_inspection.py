@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from adledger.operators import alerts, inspection, trends
 
@@ -35,12 +36,13 @@ def inspect(
     one of them should write ``checks`` first and read it back.
     """
     files = inspection.files_of(sheets)
-    checks = (
-        inspection.schema_checks(sheets, expected, profiles)
+    told = (
+        inspection.schema_checks(sheets, expected, profiles, unchecked=True)
         .unionByName(inspection.check_size_floor(files.filter("readable"), floors))
         .unionByName(trends.trend_checks(sheets, baseline, sheet_baseline, profiles))
     )
+    checks = told.filter(F.col("check_name").isNotNull())
     per_file = inspection.file_verdict(checks)
-    per_scraper = inspection.scraper_verdict(files, per_file, scrapers)
+    per_scraper = inspection.scraper_verdict(inspection.file_verdict(told), scrapers)
     failures = alerts.flatten_failures(checks, inspection.quality_metrics(rows, day))
     return Inspection(checks, per_file, per_scraper, failures, alerts.collect_alerts(per_scraper, failures))
