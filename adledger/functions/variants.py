@@ -103,6 +103,27 @@ def told_measure(value: Column) -> Column:
     return let(get(value, "$", "double"), lambda d: F.when((d >= 0) & number_kind(F.schema_of_variant(value)), d))
 
 
+def told_whole(value: Column) -> Column:
+    """``whole`` of a scalar that was read before."""
+    return F.when(number_kind(F.schema_of_variant(value)), get(value, "$", "bigint")).otherwise(safe_int(text(value, "$")))
+
+
+def told_text(value: Column) -> Column:
+    """Text of a scalar that was read before, trimmed; null when it is blank."""
+    return F.nullif(F.trim(text(value, "$")), F.lit(""))
+
+
+def told_items(values: list[Column]) -> Column:
+    """The elements of all lists among some VARIANT values that were read before, in their order."""
+    none = F.array().cast("array<variant>")
+    return F.flatten(F.transform(F.array(*values), lambda v: F.coalesce(items(v, "$"), none)))
+
+
+def wholes(doc: Column | str, names: list[str]) -> Column:
+    """``whole`` of the named members of an object, in one read, as an array in the order of the names."""
+    return let(fields(doc, names), lambda f: F.transform(F.array(*[f[n] for n in names]), told_whole))
+
+
 def first_text(doc: Column, keys: list[str]) -> Column:
     """First key whose text is not blank, trimmed; null when none is."""
     return F.coalesce(*[F.nullif(F.trim(text(doc, f"$.{k}")), F.lit("")) for k in keys])

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from adledger import rules
 from adledger.functions import variants as V
 from adledger.functions.moments import parse_moment
-from adledger.functions.text import is_missing_cell
+from adledger.functions.text import is_missing_cell, let
 from adledger.operators.ordering import keep_rows
 from adledger.operators.validation import cell, data_sheets, first_header, role_headers
 
@@ -54,21 +54,24 @@ def summary_total(doc: Column) -> Column:
 
     In nested lists the first total of an item counts, and a number under ``listings`` is added on top.
     """
-    root = V.first_count([doc], rules.TOTAL_KEYS)
-
-    def item_total(item: Column) -> Column:
-        listings = V.number(item, "$.listings").cast("bigint")
-        total = V.first_count([item], rules.TOTAL_KEYS)
-        return F.when(
-            V.is_object(item) & (total.isNotNull() | listings.isNotNull()),
-            F.coalesce(total, F.lit(0)) + F.coalesce(listings, F.lit(0)),
+
+    def of_item(f: Column) -> Column:
+        total = V.told_first([f[k] for k in rules.TOTAL_KEYS], V.told_count)
+        number = F.when(V.number_kind(F.schema_of_variant(f["listings"])), V.get(f["listings"], "$", "double"))
+        listings = number.cast("bigint")
+        return F.when(total.isNotNull() | listings.isNotNull(), F.coalesce(total, F.lit(0)) + F.coalesce(listings, F.lit(0)))
+
+    def of_document(f: Column) -> Column:
+        root = V.told_first([f[k] for k in rules.TOTAL_KEYS], V.told_count)
+        listed = V.told_items([f[k] for k in rules.TOTAL_LISTS])
+        totals = F.transform(listed, lambda i: let(V.fields(i, [*rules.TOTAL_KEYS, "listings"]), of_item))
+        nested = let(
+            F.filter(totals, lambda t: t.isNotNull()),
+            lambda parts: F.when(F.size(parts) > 0, F.aggregate(parts, F.lit(0).cast("bigint"), lambda a, t: a + t)),
         )
+        return F.when(f.isNotNull(), F.coalesce(root, nested))
 
-    lists = F.flatten(F.array(*[F.coalesce(V.items(doc, f"$.{k}"), F.array().cast("array<variant>"))
-                                for k in rules.TOTAL_LISTS]))
-    parts = F.filter(F.transform(lists, item_total), lambda t: t.isNotNull())
-    nested = F.when(F.size(parts) > 0, F.aggregate(parts, F.lit(0).cast("bigint"), lambda a, t: a + t))
-    return F.when(V.is_object(doc), F.coalesce(root, nested))
+    return let(V.fields(doc, [*rules.TOTAL_KEYS, *rules.TOTAL_LISTS]), of_document)
 
 
 def subcategory_rows(doc: Column, strict: bool = False) -> Column:
@@ -76,39 +79,39 @@ def subcategory_rows(doc: Column, strict: bool = False) -> Column:
 
     A category whose children are plain names keeps its own row; ``strict`` drops it.
     """
-    empty = F.array().cast("array<variant>")
-    entry = "array<struct<subcategory:string,level_3:string,n:bigint>>"
-
-    def children_of(item: Column) -> Column:
-        filled = [F.when(F.size(V.items(item, f"$.{k}")) > 0, V.items(item, f"$.{k}")) for k in rules.BREAKDOWN_CHILDREN]
-        return F.coalesce(*filled, empty)
-
-    def count_of(item: Column) -> Column:
-        return V.first_count([item], rules.BREAKDOWN_COUNT_KEYS)
-
-    def category_rows(item: Column) -> Column:
-        name = V.first_text(item, rules.CATEGORY_NAME_KEYS)
-        children = children_of(item)
-        objects = F.filter(children, lambda c: V.is_object(c))
-
-        def child_row(child: Column) -> Column:
-            return F.struct(
-                F.coalesce(name, F.lit("(unknown)")).alias("subcategory"),
-                V.first_text(child, rules.CHILD_NAME_KEYS).alias("level_3"),
-                F.coalesce(count_of(child), F.lit(0)).cast("bigint").alias("n"),
-            )
+    none = F.array().cast("array<struct<subcategory:string,level_3:string,n:bigint>>")
+    filled = lambda v: let(V.items(v, "$"), lambda c: F.when(F.size(c) > 0, c))
+
+    def child_row(f: Column, name: Column) -> Column:
+        return F.struct(
+            F.coalesce(name, F.lit("(unknown)")).alias("subcategory"),
+            V.told_first([f[k] for k in rules.CHILD_NAME_KEYS], V.told_text).alias("level_3"),
+            F.coalesce(V.told_first([f[k] for k in rules.BREAKDOWN_COUNT_KEYS], V.told_count), F.lit(0)).cast("bigint").alias("n"),
+        )
 
-        nested = F.filter(F.transform(objects, child_row), lambda r: r["level_3"].isNotNull())
+    def rows_of(told: Column) -> Column:
+        read = F.transform(told["children"], lambda c: V.fields(c, [*rules.CHILD_NAME_KEYS, *rules.BREAKDOWN_COUNT_KEYS]))
+        objects = F.filter(read, lambda f: f.isNotNull())
+        nested = F.filter(F.transform(objects, lambda f: child_row(f, told["name"])), lambda r: r["level_3"].isNotNull())
         own = F.when(
-            name.isNotNull() & count_of(item).isNotNull(),
-            F.array(F.struct(name.alias("subcategory"), F.lit("").alias("level_3"), count_of(item).alias("n"))),
+            told["name"].isNotNull() & told["n"].isNotNull(),
+            F.array(F.struct(told["name"].alias("subcategory"), F.lit("").alias("level_3"), told["n"].alias("n"))),
+        )
+        no_children = F.size(told["children"]) == 0 if strict else F.size(objects) == 0
+        return F.when(no_children, F.coalesce(own, none)).otherwise(nested)
+
+    def category_rows(f: Column) -> Column:
+        children = V.told_first([f[k] for k in rules.BREAKDOWN_CHILDREN], filled)
+        told = F.struct(
+            V.told_first([f[k] for k in rules.CATEGORY_NAME_KEYS], V.told_text).alias("name"),
+            F.coalesce(children, F.array().cast("array<variant>")).alias("children"),
+            V.told_first([f[k] for k in rules.BREAKDOWN_COUNT_KEYS], V.told_count).alias("n"),
         )
-        no_children = F.size(children) == 0 if strict else F.size(objects) == 0
-        return F.when(no_children, F.coalesce(own, F.array().cast(entry))).otherwise(nested)
+        return F.when(f.isNotNull(), let(told, rows_of))
 
-    lists = F.flatten(F.array(*[F.coalesce(V.items(doc, f"$.{k}"), empty) for k in rules.BREAKDOWN_LISTS]))
-    objects = F.filter(lists, lambda i: V.is_object(i))
-    return F.flatten(F.transform(objects, category_rows))
+    listed = let(V.fields(doc, rules.BREAKDOWN_LISTS), lambda f: V.told_items([f[k] for k in rules.BREAKDOWN_LISTS]))
+    read = F.transform(listed, lambda i: V.fields(i, [*rules.CATEGORY_NAME_KEYS, *rules.BREAKDOWN_CHILDREN, *rules.BREAKDOWN_COUNT_KEYS]))
+    return F.flatten(F.transform(F.filter(read, lambda f: f.isNotNull()), category_rows))
 
 
 def subcategory_breakdown(docs: DataFrame, strict: bool = False) -> DataFrame:

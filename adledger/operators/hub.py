@@ -26,6 +26,20 @@ def typed(doc: Column, path: str, kind: str) -> Column:
     return V.text(doc, path).try_cast(kind)
 
 
+def with_typed(df: DataFrame, doc: str, types: dict[str, str]) -> tuple[DataFrame, dict[str, Column]]:
+    """F9 for many fields of one document, read once: ``df`` with what was read, and ``typed`` of each field."""
+    counts = [c for c, k in types.items() if k in ("INT", "BIGINT")]
+    others = [c for c in types if c not in counts]
+    read = {f"_{doc}_wholes": V.wholes(doc, counts)} if counts else {}
+    if others:
+        read[f"_{doc}_texts"] = V.get(doc, "$", "struct<" + ", ".join(f"`{c}`: string" for c in others) + ">")
+    columns = {c: F.col(f"_{doc}_wholes")[i].try_cast(types[c]) for i, c in enumerate(counts)}
+    for c in others:
+        told, kind = F.col(f"_{doc}_texts")[c], types[c]
+        columns[c] = F.substring(told, 1, 10).try_cast("date") if kind == "DATE" else told.try_cast("double" if kind == "DOUBLE" else kind)
+    return df.withColumns(read), columns
+
+
 def uses_proxy(site: Column, report: Column, registry: Column) -> Column:
     """F8: the first flag that is set, of site, report and registry."""
     return F.coalesce(V.get(site, "$.uses_proxy", "boolean"), V.get(report, "$.uses_proxy", "boolean"), registry)
@@ -80,9 +94,8 @@ def hub_daily(hub_docs: DataFrame, site_rows: DataFrame, sequence: bool = False)
     types = table_types("hub_daily")
     doc = F.col("doc")
     requests = ["total_requests", "total_requests_failed", "avg_error_rate_pct", "avg_requests_per_min"]
-    plain = [
-        typed(doc, f"$.{c}", k).alias(c) for c, k in types.items() if c not in ("hub_partition_date", *requests)
-    ]
+    hub_docs, told = with_typed(hub_docs, "doc", {c: k for c, k in types.items() if c not in ("hub_partition_date", *requests)})
+    plain = [c.alias(name) for name, c in told.items()]
     seq = [_place(F.lit(0), V.text(doc, "$.generated_at"))] if sequence else []
     rows = hub_docs.select(hub_date(doc).alias("hub_partition_date"), *plain, *seq).filter(F.col("hub_partition_date").isNotNull())
     totals = hub_request_totals(site_rows)
@@ -125,9 +138,8 @@ def site_daily(docs: DataFrame, registry: DataFrame, folder_defaults: dict[str,
         "report_fallback": F.coalesce(V.get(site, "$.report_fallback", "boolean"), F.lit(False)),
         "uses_proxy": uses_proxy(site, report, F.col("reg.uses_proxy")),
     }
-    return found.select(
-        *[(special[c].try_cast(k) if c in special else typed(site, f"$.{c}", k)).alias(c) for c, k in types.items()], *_carried(docs)
-    )
+    found, told = with_typed(found, "site", {c: k for c, k in types.items() if c not in special})
+    return found.select(*[(special[c].try_cast(k) if c in special else told[c]).alias(c) for c, k in types.items()], *_carried(docs))
 
 
 def scraper_entries(docs: DataFrame) -> DataFrame:

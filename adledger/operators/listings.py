@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from adledger import rules
 from adledger.functions import variants as V
 from adledger.functions.moments import relative_age
-from adledger.functions.text import as_col, file_name, is_valid_image_url, no_texts
+from adledger.functions.text import as_col, file_name, is_valid_image_url, let, no_texts
 from adledger.operators.ordering import keep_rows
 from adledger.operators.pages import PROPS
 
@@ -54,43 +54,54 @@ def project_listing_detail(payloads: DataFrame, now: Column) -> DataFrame:
 
     Attributes stay an array; :func:`attributes_to_maps` turns them into maps.
     """
-    found = payloads.select("page_id", V.get("payload", f"{PROPS}.listing", "variant").alias("l"))
-    doc = keep_rows(found, F.size(V.members("l", "$")) > 0)
-    t = lambda path: V.text("l", f"$.{path}")
-    flag = lambda path: V.get("l", f"$.{path}", "boolean")
-    images = F.coalesce(V.get("l", "$.images", "array<string>"), no_texts())
+    texts = lambda *names: ", ".join(f"{n}: string" for n in names)
+    attribute_kind = f"struct<attrData: struct<{texts('name_en', 'name_ar', 'type')}>, valData: variant>"
+    kind = (
+        f"struct<{texts('user_adv_id', 'slug', 'title', 'description', 'price', 'phone', *LISTING_DATES, 'lon', 'lat')}, "
+        f"images: array<string>, user_view_count: variant, is_private_message_enabled: boolean, is_hide_my_number: boolean, "
+        f"district: struct<{texts('name', 'full_path', 'full_path_en')}>, "
+        f"user: struct<{texts('first_name', 'email', 'listings_count', 'image', 'user_type', 'member_since')}, is_verified: boolean>, "
+        f"attrsAndVals: array<variant>>"
+    )
+    found = payloads.select("page_id", V.get("payload", f"{PROPS}.listing", "variant").alias("l")).withColumn("d", V.get("l", "$", kind))
+    doc = keep_rows(found, F.size(V.members("l", "$")) > 0).withColumn("i", F.coalesce("d.images", no_texts()))
+    d = F.col("d")
 
     def attribute(a: Column) -> Column:
-        kind = F.when(V.is_object(a, "$.valData"), "object").when(V.is_text(a, "$.valData"), "string").otherwise("other")
-        return F.struct(
-            V.text(a, "$.attrData.name_en").alias("name_en"), V.text(a, "$.attrData.name_ar").alias("name_ar"),
-            V.text(a, "$.attrData.type").alias("type"), kind.alias("val_kind"),
-            F.when(kind == "string", V.text(a, "$.valData")).alias("val"),
-            V.text(a, "$.valData.name_en").alias("val_en"), V.text(a, "$.valData.name_ar").alias("val_ar"),
-        )
+        def told(f: Column, nested: Column) -> Column:
+            is_text = V.get(f["valData"], "$", "array<variant>").isNull() & (F.schema_of_variant(f["valData"]) == "STRING")
+            val_kind = F.when(nested.isNotNull(), "object").when(is_text, "string").otherwise("other")
+            return F.struct(
+                *[f["attrData"][c].alias(c) for c in ("name_en", "name_ar", "type")], val_kind.alias("val_kind"),
+                F.when(val_kind == "string", V.text(f["valData"], "$")).alias("val"),
+                nested["name_en"].alias("val_en"), nested["name_ar"].alias("val_ar"),
+            )
+
+        value = lambda f: V.get(f["valData"], "$", "struct<name_en: string, name_ar: string>")
+        return let(V.get(a, "$", attribute_kind), lambda f: let(value(f), lambda nested: told(f, nested)))
 
     return doc.select(
         "page_id",
-        t("user_adv_id").alias("id"), t("slug").alias("slug"), t("title").alias("title"),
-        t("description").alias("description"), t("price").alias("price"), t("phone").alias("phone"),
-        t("date_published").alias("date_published"), relative_age(t("date_published"), now).alias("date_relative"),
-        t("date_created").alias("date_created"), t("date_expired").alias("date_expired"), t("date_sort").alias("date_sort"),
-        images.alias("images"), F.size(images).alias("images_count"),
-        t("district.name").alias("address"), t("district.full_path").alias("full_address"),
-        t("district.full_path_en").alias("full_address_en"),
-        V.whole("l", "$.user_view_count").alias("views_no"),
-        V.real("l", "$.lon").alias("longitude"), V.real("l", "$.lat").alias("latitude"),
-        t("user.first_name").alias("user_name"), t("user.email").alias("user_email"),
-        F.concat(F.coalesce(t("user.listings_count"), F.lit("None")), F.lit(" ads")).alias("user_ads"),
-        t("user.image").alias("user_image"), t("user.user_type").alias("user_type"),
-        F.element_at(F.split(F.coalesce(t("user.member_since"), F.lit("")), "T"), 1).alias("membership"),
-        flag("user.is_verified").alias("is_verified"),
-        flag("is_private_message_enabled").alias("is_private_message_enabled"),
-        flag("is_hide_my_number").alias("is_hide_my_number"),
-        F.transform(V.items("l", "$.attrsAndVals"), attribute).alias("attrs"),
+        d["user_adv_id"].alias("id"), *[d[c].alias(c) for c in ("slug", "title", "description", "price", "phone", "date_published")],
+        relative_age(d["date_published"], now).alias("date_relative"),
+        *[d[c].alias(c) for c in LISTING_DATES[1:]],
+        F.col("i").alias("images"), F.size("i").alias("images_count"),
+        d["district"]["name"].alias("address"), d["district"]["full_path"].alias("full_address"),
+        d["district"]["full_path_en"].alias("full_address_en"),
+        V.told_whole(d["user_view_count"]).alias("views_no"),
+        d["lon"].try_cast("double").alias("longitude"), d["lat"].try_cast("double").alias("latitude"),
+        d["user"]["first_name"].alias("user_name"), d["user"]["email"].alias("user_email"),
+        F.concat(F.coalesce(d["user"]["listings_count"], F.lit("None")), F.lit(" ads")).alias("user_ads"),
+        d["user"]["image"].alias("user_image"), d["user"]["user_type"].alias("user_type"),
+        F.element_at(F.split(F.coalesce(d["user"]["member_since"], F.lit("")), "T"), 1).alias("membership"),
+        d["user"]["is_verified"].alias("is_verified"),
+        d["is_private_message_enabled"].alias("is_private_message_enabled"),
+        d["is_hide_my_number"].alias("is_hide_my_number"),
+        F.transform(d["attrsAndVals"], attribute).alias("attrs"),
     )
 
 
+LISTING_DATES = ["date_published", "date_created", "date_expired", "date_sort"]
 SHORT_DETAIL = [
     "id", "date_published", "date_relative", "date_sort", "date_expired", "title", "description", "link", "images", "price", "address",
     "full_address", "views_no", "longitude", "latitude", "user_name", "user_email", "user_ads", "user_image", "user_type", "membership",

@@ -253,17 +253,16 @@ def result_list(doc: Column) -> Column:
 
 def report_request_metrics(doc: Column, results: Column) -> Column:
     """M7: request figures of a report: root, then its metrics block, then its error summary, then its scrapers."""
-
-    def block(path: str) -> Column:
-        return F.struct(
-            V.whole(doc, f"{path}.requests_total").alias("total"),
-            V.whole(doc, f"{path}.requests_failed").alias("failed"),
-            V.real(doc, f"{path}.error_rate_pct").alias("err"),
-            V.real(doc, f"{path}.requests_per_min").alias("rpm"),
+    block = "requests_total: variant, requests_failed: variant, error_rate_pct: string, requests_per_min: string"
+    names = ["requests_total", "requests_failed", "error_rate_pct", "requests_per_min"]
+    report = f"struct<{block}, request_metrics: struct<{block}>, error_summary: struct<http: struct<{block}>>>"
+
+    def figures(b: Column) -> Column:
+        told = F.struct(
+            V.told_whole(b["requests_total"]).alias("total"), V.told_whole(b["requests_failed"]).alias("failed"),
+            b["error_rate_pct"].try_cast("double").alias("err"), b["requests_per_min"].try_cast("double").alias("rpm"),
         )
-
-    def usable(path: str) -> Column:
-        return F.when(V.whole(doc, f"{path}.requests_total").isNotNull(), block(path))
+        return F.when(b.isNotNull(), told)
 
     zero = F.lit(0).cast("bigint")
     start = F.struct(
@@ -271,16 +270,16 @@ def report_request_metrics(doc: Column, results: Column) -> Column:
     )
 
     def add(sums: Column, r: Column) -> Column:
-        rate = V.real(r, "$.requests_per_min")
         return F.struct(
             (sums["n"] + 1).alias("n"),
-            (sums["total"] + V.whole(r, "$.requests_total")).alias("total"),
-            (sums["failed"] + F.coalesce(V.whole(r, "$.requests_failed"), zero)).alias("failed"),
-            (sums["rated"] + F.when(rate.isNotNull(), 1).otherwise(0)).cast("bigint").alias("rated"),
-            (sums["rpm"] + F.coalesce(rate, F.lit(0.0))).alias("rpm"),
+            (sums["total"] + r["total"]).alias("total"),
+            (sums["failed"] + F.coalesce(r["failed"], zero)).alias("failed"),
+            (sums["rated"] + F.when(r["rpm"].isNotNull(), 1).otherwise(0)).cast("bigint").alias("rated"),
+            (sums["rpm"] + F.coalesce(r["rpm"], F.lit(0.0))).alias("rpm"),
         )
 
-    counted = F.aggregate(F.filter(results, lambda r: V.whole(r, "$.requests_total").isNotNull()), start, add)
+    told = F.transform(F.transform(results, lambda r: V.get(r, "$", f"struct<{block}>")), figures)
+    counted = F.aggregate(F.filter(told, lambda r: r["total"].isNotNull()), start, add)
     over_scrapers = let(
         counted,
         lambda c: F.when(
@@ -291,13 +290,18 @@ def report_request_metrics(doc: Column, results: Column) -> Column:
             ),
         ),
     )
-    # a lower block that only lacks its total still gives way to the next one; the last one read stays
-    last = F.coalesce(
-        F.when(V.is_object(doc, "$.error_summary.http"), block("$.error_summary.http")),
-        F.when(V.is_object(doc, "$.request_metrics"), block("$.request_metrics")),
-        block("$"),
-    )
-    return F.coalesce(usable("$"), usable("$.request_metrics"), usable("$.error_summary.http"), over_scrapers, last)
+
+    def first_usable(f: Column) -> Column:
+        blocks = F.array(F.struct(*[f[n].alias(n) for n in names]), f["request_metrics"], f["error_summary"]["http"])
+        # a lower block that only lacks its total still gives way to the next one; the last one read stays
+        return let(
+            F.transform(blocks, figures),
+            lambda b: F.coalesce(
+                F.try_element_at(F.filter(b, lambda x: x["total"].isNotNull()), F.lit(1)), over_scrapers, b[2], b[1], b[0]
+            ),
+        )
+
+    return let(V.get(doc, "$", report), first_usable)
 
 
 def with_report_requests(reports: DataFrame, doc: str) -> DataFrame:

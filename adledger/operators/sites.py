@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from adledger import rules
 from adledger.functions import variants as V
-from adledger.functions.text import pct_or_null
+from adledger.functions.text import let, pct_or_null
 from adledger.operators.metrics import result_list, with_report_requests
 from adledger.operators.ordering import first_rows, keep_rows
 
@@ -60,29 +60,36 @@ def fallback_policy(sites: DataFrame, folder_defaults: dict[str, str] | None = N
     )
 
 
-def _sum_over(results: Column, field: str) -> Column:
+def _sums_over(items: Column, names: list[str]) -> Column:
+    """Sums of the named members over some objects, each read once, as an array in the order of the names."""
     zero = F.lit(0).cast("bigint")
-    return F.aggregate(results, zero, lambda a, r: a + F.coalesce(V.whole(r, f"$.{field}"), zero))
+
+    def add(sums: Column, item: Column) -> Column:
+        return F.zip_with(sums, V.wholes(item, names), lambda a, n: a + F.coalesce(n, zero))
+
+    return F.aggregate(items, F.array(*[zero] * len(names)), add)
 
 
 def unique_ads_of_report(doc: Column, results: Column) -> Column:
     """H5: unique ads of a report from the first place that tells."""
     categories = V.items(doc, "$.categories")
     return F.coalesce(
-        V.whole(doc, "$.total_unique_ads"),
-        V.whole(doc, "$.total_ads"),
-        F.when(categories.isNotNull(), _sum_over(categories, "total_ads")),
-        _sum_over(results, "unique_ads"),
+        let(V.wholes(doc, ["total_unique_ads", "total_ads"]), lambda w: F.coalesce(w[0], w[1])),
+        F.when(categories.isNotNull(), _sums_over(categories, ["total_ads"])[0]),
+        _sums_over(results, ["unique_ads"])[0],
     )
 
 
 def report_is_empty(doc: Column, results: Column) -> Column:
     """H4: true when a report tells of no ads, phones, files or bytes of the day."""
-    phones = F.coalesce(V.whole(doc, "$.total_unique_phones"), _sum_over(results, "unique_phones"))
-    daily = F.coalesce(V.whole(doc, "$.r2_daily_size"), _sum_over(results, "r2_daily_size"))
-    any_files = F.exists(results, lambda r: (V.whole(r, "$.files_found") > 0) | (V.whole(r, "$.unique_ads") > 0))
-    filled = (unique_ads_of_report(doc, results) != 0) | (phones != 0) | any_files | (daily != 0)
-    return doc.isNull() | ~F.coalesce(filled, F.lit(False))
+
+    def filled(told: Column, sums: Column) -> Column:
+        return (F.coalesce(told[0], sums[0]) != 0) | (F.coalesce(told[1], sums[1]) != 0)
+
+    told, sums = V.wholes(doc, ["total_unique_phones", "r2_daily_size"]), _sums_over(results, ["unique_phones", "r2_daily_size"])
+    any_files = F.exists(results, lambda r: let(V.wholes(r, ["files_found", "unique_ads"]), lambda w: (w[0] > 0) | (w[1] > 0)))
+    some = (unique_ads_of_report(doc, results) != 0) | let(told, lambda t: let(sums, lambda s: filled(t, s))) | any_files
+    return doc.isNull() | ~F.coalesce(some, F.lit(False))
 
 
 def report_facts(reports: DataFrame) -> DataFrame:
@@ -142,28 +149,28 @@ def display_label(name: Column, folder: Column, vehicle_folders: list[str]) -> C
 def with_told(df: DataFrame) -> DataFrame:
     """Add ``told``: all that a summary takes from the report in ``doc``, typed; null where there is no report."""
     doc, results = F.col("doc"), F.col("_results")
-    base = with_report_requests(df, "doc").withColumn("_results", result_list(doc))
-
-    def count(field: str, report_field: str) -> Column:
-        return F.coalesce(V.whole(doc, f"$.{report_field}"), _sum_over(results, field)).alias(field)
-
-    alerts = F.coalesce(V.whole(doc, "$.alert_count"), F.size(V.items(doc, "$.alerts")).cast("bigint"), F.lit(0).cast("bigint"))
+    by_report = {c: f"total_{c}" for c in PHONE_COUNTS} | {"r2_file_count": "total_r2_files", "r2_size_bytes": "total_r2_size_bytes"}
+    by_report |= {"r2_daily_size": "r2_daily_size"} | {f"r2_{c}_bytes": f"total_r2_{c}_bytes" for c in rules.STORAGE_CATEGORIES}
+    by_report |= {f"r2_daily_{c}_bytes": f"total_r2_daily_{c}_bytes" for c in rules.STORAGE_CATEGORIES}
+    texts = ("display_name", "website", "country", "repo")
+    plain = ", ".join(f"{c}: string" for c in (*texts, "run_date", "inspect_date"))
+    kind = f"struct<{plain}, overall_pass: boolean, total_ads: variant, alerts: array<variant>, alert_count: variant>"
+    base = with_report_requests(df, "doc").withColumn("_results", result_list(doc)).withColumns({
+        "_doc": V.get(doc, "$", kind),
+        "_counts": F.zip_with(V.wholes(doc, list(by_report.values())), _sums_over(results, list(by_report)), lambda r, n: F.coalesce(r, n)),
+    })
+    d = F.col("_doc")
     told = F.struct(
-        *[F.nullif(V.text(doc, f"$.{c}"), F.lit("")).alias(c) for c in ("display_name", "website", "country", "repo")],
-        V.text(doc, "$.run_date").alias("run_date"),
-        V.text(doc, "$.inspect_date").alias("inspect_date"),
+        *[F.nullif(d[c], F.lit("")).alias(c) for c in texts],
+        d["run_date"].alias("run_date"),
+        d["inspect_date"].alias("inspect_date"),
         F.size(results).alias("reported"),
         F.size(F.filter(results, lambda r: F.coalesce(V.get(r, "$.all_passed", "boolean"), F.lit(False)))).alias("passed"),
-        V.get(doc, "$.overall_pass", "boolean").alias("overall_pass"),
-        V.get(doc, "$.total_ads", "variant").isNotNull().alias("has_total"),
-        alerts.alias("alert_count"),
+        d["overall_pass"].alias("overall_pass"),
+        d["total_ads"].isNotNull().alias("has_total"),
+        F.coalesce(V.told_whole(d["alert_count"]), F.size(d["alerts"]).cast("bigint"), F.lit(0).cast("bigint")).alias("alert_count"),
         unique_ads_of_report(doc, results).cast("bigint").alias("unique_ads"),
-        *[count(c, f"total_{c}") for c in PHONE_COUNTS],
-        count("r2_file_count", "total_r2_files"),
-        count("r2_size_bytes", "total_r2_size_bytes"),
-        count("r2_daily_size", "r2_daily_size"),
-        *[count(f"r2_{c}_bytes", f"total_r2_{c}_bytes") for c in rules.STORAGE_CATEGORIES],
-        *[count(f"r2_daily_{c}_bytes", f"total_r2_daily_{c}_bytes") for c in rules.STORAGE_CATEGORIES],
+        *[F.col("_counts")[i].alias(c) for i, c in enumerate(by_report)],
         "requests_total", "requests_failed", "error_rate_pct", "requests_per_min",
     )
     return base.select(*df.columns, F.when(doc.isNotNull(), told).alias("told"))
