@@ -8,8 +8,10 @@ from adledger.catalog.inputs import sheet_rows, sheets, source
 from adledger.catalog.registry import query
 from adledger.functions import phones
 from adledger.functions.ad_ids import ad_id_facts, normalize_ad_id
-from adledger.operators import ads
+from adledger.operators import ads, windows
 from adledger.operators import validation as v
+from adledger.session import scratch_dir
+from adledger.streaming.intake import LANDED, hour_counts, start_hour_counts
 
 EMPTY = "({c} IS NULL OR trim({c}) = '' OR lower(trim({c})) IN ('nan', 'none', 'null'))"
 
@@ -374,3 +376,61 @@ def a2(spark, sf):
 )
 def a7(spark, sf):
     return ads.hour_histogram(sheet_rows(spark, sf))
+
+
+# --- kept up to date: sets by day, counts by batch ------------------------------------------------------
+
+def windows_sql(values: str) -> str:
+    """All windows of 7 days over ``values`` (scraper, kind, day, value), each counted from its rows."""
+    return f"""WITH v AS (SELECT scraper, kind, CAST(day AS DATE) AS day, value FROM ({values}) WHERE value IS NOT NULL),
+    ends AS (SELECT CAST(unnest(generate_series((SELECT min(day) FROM v), (SELECT max(day) FROM v), INTERVAL 1 DAY)) AS DATE) AS day_to)
+    SELECT scraper, kind, CAST(day_to AS VARCHAR) AS day_to, count(DISTINCT value) AS distinct_count
+    FROM v JOIN ends ON day BETWEEN day_to - 6 AND day_to GROUP BY ALL"""
+
+
+def window_query(spark, values):
+    root = scratch_dir(spark, "day-sets")
+    windows.write_day_sets(windows.day_sets(values), root)
+    return windows.window_counts(windows.read_day_sets(spark, root)).withColumn("day_to", F.col("day_to").cast("string"))
+
+
+@query("a1_unique_ads_windows", windows_sql(f"SELECT scraper, 'ad_id' AS kind, day, {RAW_ID} AS value {DATA} AND id_col IS NOT NULL"))
+def a1_windows(spark, sf):
+    return window_query(spark, windows.ad_id_values(sheet_rows(spark, sf)))
+
+
+PHONE_VALUES = f"""WITH c AS (SELECT scraper, day, phone_val AS cell {DATA} AND phone_col IS NOT NULL
+      UNION ALL SELECT scraper, day, phone2_val {DATA} AND phone2_col IS NOT NULL),
+    d AS (SELECT *, {digits_sql('cell')} AS digits FROM c), n AS (SELECT *, {normal_sql('digits')} AS normal FROM d),
+    s AS (SELECT *, {status_sql('digits', 'normal', 'false')} AS status FROM n),
+    i AS (SELECT scraper, day, status, {identity_sql('cell', 'normal', 'status')} AS value FROM s WHERE status <> 'missing')
+    SELECT scraper, 'phone' AS kind, day, value FROM i UNION ALL
+    SELECT scraper, CASE status WHEN 'valid' THEN 'valid' WHEN 'wrong_country_code' THEN 'outside' ELSE 'invalid' END, day, value FROM i"""
+
+
+@query("v6_phone_windows", windows_sql(PHONE_VALUES))
+def v6_windows(spark, sf):
+    return window_query(spark, windows.phone_values(sheet_rows(spark, sf)))
+
+
+LATE_FROM = "2024-01-21"
+
+
+@query(
+    "a7_hours_by_batch",
+    f"""WITH c AS (SELECT scraper, CAST(day AS DATE) AS day, CAST(hour(TRY_CAST(date_val AS TIMESTAMP)) AS INT) AS hour,
+      CASE WHEN day >= '{LATE_FROM}' THEN 2 WHEN row_no % 5 = 0 THEN 3 ELSE 1 END AS batch {DATA}
+      AND date_col IS NOT NULL AND TRY_CAST(date_val AS TIMESTAMP) IS NOT NULL),
+    l AS (SELECT *, batch = 3 AND coalesce(day < (SELECT max(day) FROM c WHERE batch < 3) - 7, false) AS late FROM c)
+    SELECT scraper, CAST(day AS VARCHAR) AS day, hour, count(*) FILTER (NOT late) AS ads_count, count(*) FILTER (late) AS late_count FROM l GROUP BY ALL""",
+)
+def a7_batches(spark, sf):
+    """The rows land in three parts, the last of them late; each run of the stream counts its own part."""
+    landing, store, checkpoint = (scratch_dir(spark, n) for n in ("landing", "hour-counts", "intake"))
+    rows = sheet_rows(spark, sf).withColumns({"site_id": F.lit("site"), "hub_partition_date": F.col("day").cast("date")})
+    landed = spark.createDataFrame([], LANDED).schema
+    late = (F.col("day") < LATE_FROM) & (F.col("row_no") % 5 == 0)
+    for part in ((F.col("day") < LATE_FROM) & ~late, F.col("day") >= LATE_FROM, late):
+        rows.filter(part).to(landed).write.mode("append").parquet(landing)
+        start_hour_counts(spark, landing, store, checkpoint).awaitTermination()
+    return hour_counts(spark, store).select("scraper", F.col("hub_partition_date").cast("string").alias("day"), "hour", "ads_count", "late_count")

@@ -13,7 +13,8 @@ from adledger.operators.ordering import keep_rows
 from adledger.operators.validation import cell, data_sheets, first_header, role_headers
 
 
-def _ids(rows: DataFrame) -> DataFrame:
+def id_values(rows: DataFrame, *carried: str) -> DataFrame:
+    """Id text of each row, null where there is none, and whether its sheet has an id column."""
     headers = F.map_keys("cells")
     header = first_header(role_headers(headers, rules.ID_COLUMNS))
     value = F.trim(cell(F.col("_h")))
@@ -21,20 +22,20 @@ def _ids(rows: DataFrame) -> DataFrame:
     return (
         data_sheets(rows)
         .withColumn("_h", header)
-        .select("scraper", F.col("_h").isNotNull().alias("has_id"), F.when(~empty, value).alias("ad_id"))
+        .select("scraper", *carried, F.col("_h").isNotNull().alias("has_id"), F.when(~empty, value).alias("ad_id"))
     )
 
 
 def unique_ads(rows: DataFrame) -> DataFrame:
     """A1: distinct id texts per scraper over its files and sheets; null when no sheet has an id column."""
-    return _ids(rows).groupBy("scraper").agg(
+    return id_values(rows).groupBy("scraper").agg(
         F.count_distinct("ad_id").alias("_n"), F.bool_or("has_id").alias("has_id")
     ).select("scraper", F.when(F.col("has_id"), F.col("_n")).alias("unique_ads"))
 
 
 def count_ads(rows: DataFrame, scrapers: DataFrame) -> DataFrame:
     """A2: ids when any sheet has an id column, else rows, else 0, for every scraper."""
-    counted = _ids(rows).groupBy("scraper").agg(
+    counted = id_values(rows).groupBy("scraper").agg(
         F.count_distinct("ad_id").alias("ids"),
         F.bool_or("has_id").alias("has_id"),
         F.count(F.lit(1)).alias("total_rows"),

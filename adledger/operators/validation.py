@@ -364,22 +364,29 @@ def validation_totals(gated: DataFrame) -> DataFrame:
     )
 
 
-def phone_sets(rows: DataFrame) -> DataFrame:
-    """V6: distinct phones per scraper: all, valid, of another country, invalid.
+def phone_identities(rows: DataFrame, *carried: str) -> DataFrame:
+    """``scraper, status, identity`` of every phone cell that tells one.
 
     Every phone column counts. A phone is known by its normal form, else by its longest digit run.
-    One pre-aggregation per phone replaces four distinct counts.
     """
     headers = phone_headers(F.map_keys("cells"))
-    cells = data_sheets(rows).select("scraper", F.explode(F.transform(headers, lambda h: F.try_element_at("cells", h))).alias("value"))
+    cells = data_sheets(rows).select("scraper", *carried, F.explode(F.transform(headers, lambda h: F.try_element_at("cells", h))).alias("value"))
     facts = cells.withColumn("_f", phone_facts(F.col("value")))
     runs = F.regexp_extract_all("value", F.lit(r"\d+"), F.lit(0))
     named = facts.select(
-        "scraper",
+        "scraper", *carried,
         F.col("_f.status").alias("status"),
         F.coalesce("_f.phone", F.nullif(longest_token(runs), F.lit(""))).alias("identity"),
     )
-    known = keep_rows(named, (F.col("status") != "missing") & F.col("identity").isNotNull())
+    return keep_rows(named, (F.col("status") != "missing") & F.col("identity").isNotNull())
+
+
+def phone_sets(rows: DataFrame) -> DataFrame:
+    """V6: distinct phones per scraper: all, valid, of another country, invalid.
+
+    One pre-aggregation per phone replaces four distinct counts.
+    """
+    known = phone_identities(rows)
     valid, outside = F.col("status") == "valid", F.col("status") == "wrong_country_code"
     per_phone = known.groupBy("scraper", "identity").agg(
         F.max(valid).alias("valid"), F.max(outside).alias("outside"), F.max(~valid & ~outside).alias("invalid")

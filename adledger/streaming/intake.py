@@ -34,3 +34,38 @@ def start_hour_intake(spark: SparkSession, landing: str, root: str, checkpoint:
 
     arriving = spark.readStream.schema(LANDED).parquet(landing)
     return arriving.writeStream.foreachBatch(publish).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+# --- by increments: counts of each batch beside each other -----------------------------------------------
+
+COUNTS = "site_id STRING, hub_partition_date DATE, scraper STRING, hour INT, ads_count BIGINT, late BOOLEAN, batch BIGINT"
+
+
+def start_hour_counts(spark: SparkSession, landing: str, store: str, checkpoint: str, late_after: int = 7) -> StreamingQuery:
+    """Count the rows of new files, and only of those, then stop when nothing new is left.
+
+    Each batch stores its own counts under its number, so one that runs again after a failure replaces what it wrote.
+    The newest day that earlier batches counted, less ``late_after`` days, is the watermark: rows of days before it are
+    late. They are counted too, but apart from the others, since those days are closed.
+    """
+
+    def count(batch: DataFrame, number: int) -> None:
+        session = batch.sparkSession
+        before = session.read.schema(COUNTS).parquet(store).filter(F.col("batch") < number) if number else session.createDataFrame([], COUNTS)
+        newest = before.agg(F.max("hub_partition_date").alias("day")).first()["day"]
+        late = F.col("hub_partition_date") < F.date_sub(F.lit(newest).cast("date"), late_after)
+        counted = hours_of(batch).withColumn("late", F.coalesce(late, F.lit(False)))
+        counted.coalesce(1).write.mode("overwrite").parquet(f"{store.rstrip('/')}/batch={number}")
+
+    arriving = spark.readStream.schema(LANDED).parquet(landing)
+    return arriving.writeStream.foreachBatch(count).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def hour_counts(spark: SparkSession, store: str) -> DataFrame:
+    """The hour table of all batches: ``ads_count``, and ``late_count`` of rows that came after their day was closed."""
+    late, keys = F.col("late"), ["site_id", "hub_partition_date", "scraper", "hour"]
+    none = F.lit(0).cast("bigint")
+    return spark.read.schema(COUNTS).parquet(store).groupBy(*keys).agg(
+        F.sum(F.when(~late, F.col("ads_count")).otherwise(none)).alias("ads_count"),
+        F.sum(F.when(late, F.col("ads_count")).otherwise(none)).alias("late_count"),
+    )
