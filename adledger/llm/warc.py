@@ -5,15 +5,20 @@ transfer framing; the others are revisits without a payload. A block above ``seg
 segment 1, and continuation records name its id and their segment number, the last one the total length. Chunks end
 inside any text that could be read as a record's version line, so no block contains one.
 
-Reading: Spark's own reader splits the files at version lines. Headers are parsed, continuation records grouped by the id
-of their origin and put in the order of their segment numbers. A record is whole if its segments are numbered from 1
+Reading: archives of versions 1.0 and 1.1, by whatever writer. Spark's own reader cuts the files where a version line may
+stand, and the pieces of a file, in order, are framed by Content-Length: a block that holds version lines is put together
+again. A stated length that ends nowhere near a record's end is damage; the record is given up and its later pieces are
+framed anew. Continuation records are grouped by the id of their origin and put in the order of their segment numbers. A record is whole if its segments are numbered from 1
 without a gap, each has its stated length, and together they have the total length. Then the chunked framing is decoded,
 the digest verified, and revisits get the size of their payload from the response they name.
 
 Defined cases: a null page is an empty payload, and empty payloads equal each other. Null ids and addresses are left out
 of the headers and read back as null; a null id is never the least. Rows that repeat an id and payload are all responses
 if that id is the least, and all come back. An empty table gives an archive without records. Other columns are not
-looked at. On reading, a damaged record, or one whose block holds a version line, comes back with ``complete`` false.
+looked at. On reading, a damaged record comes back with ``complete`` false, and so does one whose header states
+more than ``MOST_BYTES``, which no cell can hold. Records of other writers have no page id. Digests other than SHA-1 are
+not verified. Compressed files are read whole by one task each. In a plain file that Spark splits, a record that holds a
+version line and crosses a split's border comes back in pieces, not complete.
 """
 
 from __future__ import annotations
@@ -34,6 +39,11 @@ from adledger.session import saved, scratch_dir
 #: Fixed values of the format.
 VERSION = "WARC/1.1\r\n"
 GAP = "\r\n\r\n"
+#: Where the reader cuts: the start of the version lines of both versions, and what may follow it.
+CUT, MINORS = b"WARC/1.", (b"0\r\n", b"1\r\n")
+LENGTH = re.compile(rb"(?im)^content-length:[ \t]*(\d+)[ \t\r]*$")
+#: No record above this is put together; a cell of a table holds less than 2**31 bytes.
+MOST_BYTES = 1 << 30
 HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nTransfer-Encoding: chunked\r\n\r\n"
 BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 
@@ -129,6 +139,50 @@ def write_archive(
     files.option("maxRecordsPerFile", records_per_file).text(path)
 
 
+def _settled(held: list[bytes], ended: bool) -> tuple[list[tuple[bytes, bytes, bool]], list[bytes]]:
+    """(head, block, fits) of the records that the pieces decide, and the pieces that wait for more of their file."""
+    gap, out, at = GAP.encode(), [], 0
+    while at < len(held):
+        head, _, block = held[at].partition(gap)
+        found = LENGTH.search(head) if held[at].startswith(MINORS) else None
+        length, size, k = int(found[1]) if found else -1, len(block), at + 1
+        fits = bool(found) and length <= MOST_BYTES
+        while fits and size < length and k < len(held):
+            size, k = size + len(CUT) + len(held[k]), k + 1
+        if fits and size < length and not ended:
+            break
+        if fits and length <= size <= length + len(gap):
+            block = CUT.join([block, *held[at + 1:k]])
+            fits = gap.startswith(block[length:])
+        else:
+            fits = False
+        out.append((head, block[:length] if fits else block, fits))
+        at = k if fits else at + 1
+    return out, held[at:]
+
+
+def _framed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pieces (part of a file, raw) in their order in it to records (head, block, fits)."""
+
+    def batch_of(records: list[tuple[bytes, bytes, bool]]) -> pa.RecordBatch:
+        heads = pa.array([h.decode("utf-8", "replace") for h, _, _ in records], pa.string())
+        blocks, fits = pa.array([b for _, b, _ in records], pa.binary()), pa.array([f for _, _, f in records], pa.bool_())
+        return pa.RecordBatch.from_arrays([heads, blocks, fits], names=["head", "block", "fits"])
+
+    part, held = None, []
+    for batch in slices(batches):
+        records = []
+        for name, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            if name != part:
+                records += _settled(held, True)[0]
+                part, held = name, []
+            if held or raw:
+                held.append(raw)
+        done, held = _settled(held, False)
+        yield batch_of(records + done)
+    yield batch_of(_settled(held, True)[0])
+
+
 def _decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches):
         rows = batch.to_pylist()
@@ -147,19 +201,16 @@ def read_archive(spark: SparkSession, path: str) -> DataFrame:
     Records in one segment are decoded where they are read. Only segmented ones are grouped, by their origin's id; a
     group is one record, and no larger than that.
     """
-    pieces = spark.read.option("lineSep", VERSION).text(path).filter("value <> ''").select(F.col("value").cast("binary").alias("raw"), F.substring_index("value", GAP, 1).alias("head"))
+    pieces = spark.read.option("lineSep", CUT.decode()).text(path).select(F.concat_ws(" ", "_metadata.file_path", F.col("_metadata.file_block_start").cast("string")).alias("part"), F.col("value").cast("binary").alias("raw"))
+    records = pieces.mapInArrow(_framed, "head string, block binary, fits boolean")
     field = lambda name: F.nullif(F.regexp_extract(F.col("head"), rf"(?im)^{name}:[ \t]*(.*?)[ \t\r]*$", 1), F.lit(""))
-    start = F.octet_length("head") + len(GAP) + 1
-    length = field("Content-Length").try_cast("long")
-    # A record ends with its block and two line ends; the last bytes of a file may lack them.
-    block = F.substr(F.col("raw"), start, length.cast("int"))
-    parsed = pieces.select(
+    digest = field("WARC-Payload-Digest")
+    parsed = records.select(
         field("WARC-Record-ID").alias("record_id"), F.lower(field("WARC-Type")).alias("record_type"), field("Page-Id").try_cast("long").alias("page_id"),
-        field("WARC-Target-URI").alias("url"), field("Refers-To-Page-Id").try_cast("long").alias("refers_to"),
-        F.regexp_replace(field("WARC-Payload-Digest"), "^sha1:", "").alias("digest"),
+        F.regexp_replace(field("WARC-Target-URI"), "^<(.*)>$", "$1").alias("url"), field("Refers-To-Page-Id").try_cast("long").alias("refers_to"),
+        F.when(digest.rlike("(?i)^sha1:"), F.substr(digest, F.lit(6))).alias("digest"),
         F.coalesce(field("WARC-Segment-Origin-ID"), field("WARC-Record-ID")).alias("origin"), field("WARC-Segment-Number").try_cast("int").alias("segment"),
-        field("WARC-Segment-Total-Length").try_cast("long").alias("total"), block.alias("block"),
-        ((F.octet_length(block) == length) & (F.octet_length("raw") - start + 1 - length <= len(GAP))).alias("fits"),
+        field("WARC-Segment-Total-Length").try_cast("long").alias("total"), "block", "fits",
     )
     fits = F.coalesce("fits", F.lit(False))
     plain = parsed.filter("segment IS NULL AND record_type <> 'continuation'").withColumn("fits", fits)

@@ -1,6 +1,7 @@
 """Archives against brute force: framing, segments, revisits, damage, and the round trip of odd pages."""
 
 import base64
+import gzip
 import hashlib
 
 import pytest
@@ -88,3 +89,51 @@ def test_damaged_segments_are_told(spark):
     back = {r.record_id: (r.complete, r.payload) for r in warc.read_archive(spark, path).collect()}
     assert {k for k, v in back.items() if v[0]} == {"<ok>", "<plain>", "<info>"}
     assert back["<ok>"][1] == back["<plain>"][1] == b"abc" and len(back) == 9
+
+
+BODIES = {
+    "<plain>": b"<p>no version line</p>", "<line>": b"a\r\n\r\nWARC/1.1\r\nWARC-Type: response\r\nContent-Length: 5\r\n\r\nabcde\r\n\r\n", "<ends>": b"x WARC/1.",
+    "<cuts>": b"WARC/1.WARC/1.0\r\nWARC/1.1\r\n" * 400, "<empty>": b"", "<bytes>": bytes(range(256)) * 40,
+}
+
+
+def foreign(version, name, block, kind="response", **more):
+    head = {"WARC-Type": kind, "WARC-Record-ID": name, "Content-Type": "application/http; msgtype=response", "Content-Length": len(block), **more}
+    return f"WARC/{version}\r\n".encode() + "".join(f"{k}: {v}\r\n" for k, v in head.items()).encode() + b"\r\n" + block + b"\r\n\r\n"
+
+
+def test_archives_of_other_writers(spark, tmp_path):
+    message = lambda body: b"HTTP/1.1 200 OK\r\nContent-Type: text/html\r\n\r\n" + body
+    for version in ("1.0", "1.1"):
+        info = foreign(version, f"<info>{version}", b"software: other\r\n", kind="warcinfo")
+        records = [foreign(version, n + version, message(b), **{"WARC-Target-URI": f"<http://{n[1:-1]}/>", "WARC-Payload-Digest": "sha256:abc"}) for n, b in BODIES.items()]
+        with open(tmp_path / f"members-{version}.warc.gz", "wb") as f:
+            f.writelines(gzip.compress(r) for r in [info, *records])
+    (tmp_path / "plain.warc").write_bytes(b"".join(foreign("1.0", n + "plain", message(b)) for n, b in BODIES.items()))
+    back = {r.record_id: r for r in warc.read_archive(spark, str(tmp_path)).collect()}
+    assert len(back) == 3 * len(BODIES) + 2 and all(r.complete for r in back.values())
+    for n, body in BODIES.items():
+        assert {back[n + v].payload for v in ("1.0", "1.1", "plain")} == {body}
+    assert back["<plain>1.0"].url == "http://plain/" and back["<plain>plain"].url is None
+    assert back["<plain>1.0"].payload_digest == base64.b32encode(hashlib.sha1(BODIES["<plain>"]).digest()).decode()
+
+
+def test_wrong_lengths_lose_only_their_own_record():
+    good = [foreign("1.0", f"<{k}>", b"block %d" % k) for k in range(6)]
+    for wrong in (b"0", b"6", b"8", b"40", b"99999999", b"9" * 30, b"x"):
+        records = list(good)
+        records[2] = records[2].replace(b"Content-Length: 7", b"Content-Length: " + wrong)
+        pieces = b"".join(records).split(warc.CUT)[1:]
+        whole, left = warc._settled(pieces, True)
+        assert not left and [b for _, b, f in whole if f] == [b"block %d" % k for k in (0, 1, 3, 4, 5)], wrong
+
+
+@pytest.mark.parametrize("step", [1, 2, 3, 1000])
+def test_framing_does_not_depend_on_batches(step):
+    data = b"".join(foreign("1.1", n, b) for n, b in BODIES.items())
+    pieces, held, got_blocks = data.split(warc.CUT)[1:], [], []
+    for at in range(0, len(pieces), step):
+        done, held = warc._settled(held + pieces[at:at + step], False)
+        got_blocks += done
+    got_blocks += warc._settled(held, True)[0]
+    assert [b for _, b, f in got_blocks if f] == list(BODIES.values())
