@@ -94,6 +94,8 @@ class Automaton:
     pattern: list[list[tuple[re.Pattern, int]]] = field(default_factory=lambda: [[]])
     free: list[list[int]] = field(default_factory=lambda: [[]])
     runs: list[list[bytes]] = field(default_factory=list)
+    #: The state before the first mandatory word.
+    begin: int = -1
 
     def _state(self) -> int:
         self.literal.append({})
@@ -108,11 +110,12 @@ class Automaton:
         for k, part in enumerate(MARKUP.split(template)):
             if k % 2 == 0:
                 for w in words_of(part.encode()):
+                    if not open_:
+                        run.append(w)
+                        a.begin = at if a.begin < 0 else a.begin
                     new = a._state()
                     a.literal[at][w] = new
                     at = new
-                    if not open_:
-                        run.append(w)
                 continue
             if run:
                 a.runs.append(run)
@@ -174,15 +177,13 @@ class Automaton:
         return end
 
     def reach(self) -> int:
-        """Most words before the first mandatory run."""
-        first, depth, todo = self.runs[0][0], {0: 0}, [0]
-        while todo:
-            s = todo.pop()
-            for t, step in [*((t, 0) for t in self.free[s]), *((t, 1) for w, t in self.literal[s].items() if w != first), *((t, 1) for _, t in self.pattern[s])]:
-                if depth.get(t, -1) < depth[s] + step <= 64:
-                    depth[t] = depth[s] + step
-                    todo.append(t)
-        return max(d for s, d in depth.items() if first in self.literal[s])
+        """Most words before the first mandatory run. Every step leads to a state of a higher number, so one pass is enough."""
+        depth = {0: 0}
+        for s in range(self.begin):
+            if s in depth:
+                for t, step in [*((t, 0) for t in self.free[s]), *((t, 1) for t in self.literal[s].values()), *((t, 1) for _, t in self.pattern[s])]:
+                    depth[t] = max(depth.get(t, 0), depth[s] + step)
+        return depth[self.begin]
 
 
 def _places(joined: bytes, phrase: bytes) -> list[int]:

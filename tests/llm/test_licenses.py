@@ -71,3 +71,11 @@ def test_op7_against_brute_force(spark):
         n, k, first, last, base = brute(texts[r.doc_id])
         assert (r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels) == (n, k, first, last, ",".join(base))
         assert set(base) <= set(r.labels.split(",")) or not base
+
+
+def test_heads_of_any_length():
+    words = " ".join(f"w{k}" for k in range(300))
+    for head, most in ((words, 300), ("permission is here", 3), ("<<var;match=.+;words=0-90>>", 90), ("a <<beginOptional>>b permission<<endOptional>> c", 4)):
+        a = li.Automaton.compiled(f"<<beginOptional>>{head}<<endOptional>> permission granted")
+        assert a.runs == [[b"permission", b"granted"]] and a.reach() == most
+    assert li.Automaton.compiled("permission granted").reach() == 0
