@@ -47,6 +47,11 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     return f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+def task_count(spark: SparkSession) -> int:
+    """Tasks that rows are dealt to where their work far outweighs their bytes: as many as after any shuffle."""
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def saved(df: DataFrame, label: str) -> DataFrame:
     """The rows of ``df`` written once as Parquet in the shared folder, and read from there.
 

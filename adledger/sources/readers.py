@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from adledger import schemas
 from adledger.functions import variants as V
 from adledger.operators.layout import PARTITION, partition_prefixes
+from adledger.session import task_count
 from adledger.sources.versions import published, read_published, version_path, versions
 
 DAY_FOLDER = r"/(\d{4}-\d{2}-\d{2})/[^/]*$"
@@ -60,11 +61,17 @@ def dated_folders(spark: SparkSession, root: str, dates: list[str], bases: tuple
 
 
 def whole_documents(spark: SparkSession, paths: str | list[str], glob: str = JSON_FILES) -> DataFrame:
-    """Every matching file under the paths as one ``(key, body)`` row; no paths give no rows."""
+    """Every matching file under the paths as one ``(key, body)`` row; no paths give no rows.
+
+    Files are read as bytes, which needs no settings of its own for each file as whole texts do. Spark counts a file as
+    4 MB when it packs files into tasks, so small documents would make a task, and later an output file, of every 32;
+    they are put together to no more tasks than a shuffle has, without one.
+    """
     if not paths:
         return spark.createDataFrame([], "key string, body string")
-    reader = spark.read.option("wholetext", True).option("recursiveFileLookup", True).option("pathGlobFilter", glob)
-    return reader.text(paths).select(source_path().alias("key"), F.col("value").alias("body"))
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", glob)
+    rows = reader.load(paths).select(source_path().alias("key"), F.col("content").cast("string").alias("body"))
+    return rows.coalesce(task_count(spark))
 
 
 def read_listing_json(

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from adledger import schemas
 from adledger.operators.layout import backfill_window
 from adledger.operators.ordering import first_rows
-from adledger.session import saved
+from adledger.session import saved, task_count
 from adledger.sources.readers import path_exists, read_baseline, read_hub_table
 from adledger.sources.versions import commit, publish, published, versions
 
@@ -145,25 +145,29 @@ def hub_documents(site_rows: DataFrame, totals: DataFrame) -> DataFrame:
 def write_documents(docs: DataFrame, root: str) -> None:
     """Each ``(key, body)`` row as one file under ``root``.
 
-    Tasks write the files they hold, so nothing passes through the driver. A file is written under a name of its
-    own and then renamed, so a task that is stopped or run twice never leaves half a document under a key.
-    ``root`` must be a folder that all executors share.
+    Tasks write the files they hold, so nothing passes through the driver. A file costs far more than its bytes, so
+    documents are dealt out by key first, however few tasks they come from; those of one key meet in one task. A file
+    is written under a name of its own and then renamed, so a task that is stopped or run twice never leaves half a
+    document under a key. ``root`` must be a folder that all executors share.
     """
 
     def write_part(rows: Iterator[Row]) -> None:
         from pyarrow import fs
 
         target, base = fs.FileSystem.from_uri(root)
+        made = set()
         for row in rows:
             path = f"{base}/{row['key']}"
             folder, name = path.rsplit("/", 1)
-            target.create_dir(folder, recursive=True)
+            if folder not in made:
+                target.create_dir(folder, recursive=True)
+                made.add(folder)
             own = f"{folder}/.{name}.{uuid.uuid4().hex}"
             with target.open_output_stream(own) as out:
                 out.write(row["body"].encode("utf-8"))
             target.move(own, path)
 
-    docs.select("key", "body").foreachPartition(write_part)
+    docs.select("key", "body").repartition(task_count(docs.sparkSession), "key").foreachPartition(write_part)
 
 
 def report_key(prefix: Column, date: Column) -> Column:

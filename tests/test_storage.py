@@ -254,3 +254,23 @@ def test_a_run_that_stops_leaves_the_stored_statistics(spark, tmp_path):
     with pytest.raises(Exception, match="lost"):
         writers.update_baseline(spark, root, rows, lambda old, new: old.withColumn("size_min", F.raise_error(F.lit("lost")).cast("double")))
     assert [r["size_min"] for r in readers.read_baseline(spark, root).collect()] == [1.0]
+
+
+def test_many_small_documents_are_spread_to_write_and_packed_to_read(spark, tmp_path, monkeypatch):
+    bodies = {f"s/json-files/{i:03d}.json": json.dumps({"total_listings": i, "title": "سيارة"}) for i in range(300)}
+    docs = spark.createDataFrame([*bodies.items()], "key string, body string").coalesce(1)
+    dealt, write = [], type(docs).foreachPartition
+    monkeypatch.setattr(type(docs), "foreachPartition", lambda self, f: (dealt.append(self.rdd.getNumPartitions()), write(self, f)))
+    root = scratch_dir(spark, "small")
+    writers.write_documents(docs, root)
+    assert dealt == [4]
+    back = readers.read_summary_json(spark, root)
+    assert back.rdd.getNumPartitions() <= 4
+    assert {r["key"].split(root.rstrip("/") + "/")[1]: r["body"] for r in back.collect()} == bodies
+
+
+def test_of_documents_with_one_key_the_last_of_a_task_stays(spark):
+    docs = spark.createDataFrame([("a/report.json", '{"n": %d}' % n) for n in range(9)], "key string, body string").coalesce(1)
+    root = scratch_dir(spark, "again")
+    writers.write_documents(docs, root)
+    assert [r["body"] for r in readers.whole_documents(spark, root).collect()] == ['{"n": 8}']
