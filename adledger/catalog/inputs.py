@@ -11,6 +11,8 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from adledger.session import task_count
+
 TABLES = [
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings",
     "pages", "benchmark", "labels", "conversations",
@@ -443,8 +445,12 @@ def _resolve(sql: str, table) -> str:
     return re.sub(r"@(\w+)", name_of, sql)
 
 
-def _with_inputs(sql: str, table) -> str:
-    ctes = [f"{name} AS ({_resolve(INPUTS[name], table).strip()})" for name in _needed(sql)]
+#: Inputs that make far more of a row than is stored: a whole page, or dozens of cells.
+WIDE = ["directory_pages"]
+
+
+def _with_inputs(sql: str, table, wide_table=None) -> str:
+    ctes = [f"{name} AS ({_resolve(INPUTS[name], wide_table if wide_table and name in WIDE else table).strip()})" for name in _needed(sql)]
     body = _resolve(sql, table).strip()
     if not ctes:
         return body
@@ -459,10 +465,16 @@ def oracle(sql: str) -> str:
 
 
 def source(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A given table, or an input derived from the given tables."""
+    """A given table, or an input derived from the given tables.
+
+    What wide inputs are made of is a few row groups, often one, and a task reads at least one. So its rows are dealt out
+    evenly while they are small, before pages and cells are made of them.
+    """
     if name in TABLES:
         return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    return spark.sql(_with_inputs(f"SELECT * FROM @{name}", lambda t: f"parquet.`{sf_dir}/{t}.parquet`"))
+    stored = lambda t: f"parquet.`{sf_dir}/{t}.parquet`"
+    dealt = lambda t: f"(SELECT /*+ REPARTITION({task_count(spark)}) */ * FROM {stored(t)})"
+    return spark.sql(_with_inputs(f"SELECT * FROM @{name}", stored, dealt))
 
 
 # --- inputs with nested columns, built from the flat ones ---------------------------------------------

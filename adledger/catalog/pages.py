@@ -11,6 +11,7 @@ from adledger.functions import variants as V
 from adledger.operators import listings as p
 from adledger.operators import pages as x
 from adledger.operators.ordering import keep_rows
+from adledger.session import saved
 
 SCRIPT = '(?s)<script[^>]*id="__NEXT_DATA__"[^>]*>(.*?)</script>'
 LD = '(?s)<script[^>]*type="application/ld\\+json"[^>]*>(.*?)</script>'
@@ -359,9 +360,10 @@ EXT = """lower(regexp_extract(regexp_replace(url, '^[a-zA-Z]+://[^/?#]*|[?#].*$'
 )
 def p15(spark, sf):
     """The number in a file name is a hash only Spark makes; the check sees the name without it."""
-    with_media = p.split_media(profiles(spark, sf)).select("id", F.split("media_urls", " [|] ").alias("media_urls"))
+    found = saved(profiles(spark, sf).select("id", "logo", "cover_image", "tabs", "media"), "profiles")  # pages are parsed once
+    with_media = p.split_media(found).select("id", F.split("media_urls", " [|] ").alias("media_urls"))
     media = with_media.withColumn("media_urls", F.filter("media_urls", lambda u: u != ""))
-    roster = p.business_image_roster(profiles(spark, sf).select("id", "logo", "cover_image").join(media, "id"))
+    roster = p.business_image_roster(found.select("id", "logo", "cover_image").join(media, "id"))
     return roster.select("id", "kind", "url", F.regexp_replace("file_name", r"_image_\d+", "_image_N").alias("name_shape"))
 
 

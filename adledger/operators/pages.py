@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from adledger.functions import variants as V
-from adledger.functions.text import as_col, is_valid_image_url
+from adledger.functions.text import as_col, is_valid_image_url, let
 from adledger.operators.ordering import keep_rows
 
 # fixed values: patterns and paths of the embedded documents
@@ -289,7 +289,7 @@ def extract_business_profile(payloads: DataFrame, category_slug: Column) -> Data
         "category_slug",
         *[text(f"$.{f}").alias(f) for f in plain],
         text("$.category.name").alias("category_name"),
-        *[F.when(is_valid_image_url(text(f"$.{f}")), text(f"$.{f}")).otherwise("").alias(f) for f in ("logo", "cover_image")],
+        *[let(text(f"$.{f}"), lambda u: F.when(is_valid_image_url(u), u).otherwise("")).alias(f) for f in ("logo", "cover_image")],
         F.coalesce(V.real("b", "$.rating.average"), F.lit(0.0)).alias("rating_average"),
         F.coalesce(V.whole("b", "$.rating.count"), F.lit(0).cast("bigint")).alias("rating_count"),
         F.coalesce(V.whole("b", "$.view_count"), F.lit(0).cast("bigint")).alias("view_count"),
