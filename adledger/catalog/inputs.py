@@ -446,7 +446,7 @@ def _resolve(sql: str, table) -> str:
 
 
 #: Inputs that make far more of a row than is stored: a whole page, or dozens of cells.
-WIDE = ["directory_pages", "attribute_cells"]
+WIDE = ["directory_pages", "attribute_cells", "category_pages", "detail_pages"]
 
 
 def _with_inputs(sql: str, table, wide_table=None) -> str:
