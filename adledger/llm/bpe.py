@@ -19,6 +19,7 @@ ids are encoded like all others; an empty table gives no rows. Other columns of
 from __future__ import annotations
 
 import json
+import pickle
 from collections.abc import Iterator
 from functools import cached_property, partial
 
@@ -212,6 +213,15 @@ def _loaded(contents) -> Vocabulary:
     return LOADED[contents.value]
 
 
+def _refusal(batches: Iterator[pa.RecordBatch], contents) -> Iterator[pa.RecordBatch]:
+    """The error of a vocabulary that the method does not fit; no row if it does."""
+    for _ in batches:
+        try:
+            Vocabulary(contents.value)
+        except Exception as e:
+            yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(e)], pa.binary())], names=["error"])
+
+
 def _little(ids: np.ndarray | list[int]) -> bytes:
     return np.asarray(ids, "<u4").tobytes()
 
@@ -253,13 +263,14 @@ def _join_leaves(table: pa.Table, contents) -> pa.Table:
 def encode(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text", leaf_chars: int = 1 << 15) -> DataFrame:
     """``doc_id``, ``n_tokens`` and ``ids`` (unsigned 32-bit little-endian) of every row.
 
-    ``vocabulary`` is the path of the vocabulary's JSON file on the driver; its contents (a few MB) go to the tasks.
+    ``vocabulary`` is the path of the vocabulary's JSON file on the driver; its contents (a few MB) go to the tasks. It is
+    checked in a task too: taken apart, it needs about 100 MB, and the driver would keep most of that after each call.
     """
     spark = docs.sparkSession
     with open(vocabulary, "rb") as f:
-        contents = f.read()
-    Vocabulary(contents)
-    sent = spark.sparkContext.broadcast(contents)
+        sent = spark.sparkContext.broadcast(f.read())
+    for r in spark.range(0, 1, numPartitions=1).mapInArrow(partial(_refusal, contents=sent), "error binary").collect():
+        raise pickle.loads(r["error"])
     rows = docs.select(docs[id_col].cast("long").alias("doc_id"), whole_text(docs, text_col).alias("text"))
     out = "doc_id long, n_tokens long, ids binary"
     short = rows.filter(F.length("text") <= leaf_chars).mapInArrow(partial(_encode_short, contents=sent), out)

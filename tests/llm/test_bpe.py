@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -49,6 +50,22 @@ def test_vocabularies_that_the_method_does_not_fit_are_refused():
         bpe.Vocabulary(f.read())
 
 
+def test_a_vocabulary_is_refused_before_anything_is_encoded(docs_of):
+    with pytest.raises((ValueError, KeyError)):
+        bpe.encode(docs_of([(1, "a")]), tokenizer_path("word_bpe_49k.json"))
+
+
+def test_the_driver_does_not_take_the_vocabulary_apart(docs_of):
+    docs = docs_of([(1, "a")])
+    tracemalloc.start()
+    try:
+        bpe.encode(docs, tokenizer_path())
+        _, most = tracemalloc.get_traced_memory()
+    finally:
+        tracemalloc.stop()
+    assert most < 8 << 20, most  # its file has 1.5 MB
+
+
 def check(rows, texts, library):
     for r in rows:
         ids = library.encode(texts[r.doc_id] or "", add_special_tokens=False).ids
