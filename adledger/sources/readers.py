@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from fnmatch import translate
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,6 +30,9 @@ def source_path() -> Column:
 #: JSON files however the ending is written.
 JSON_FILES = "*.[jJ][sS][oO][nN]"
 
+#: Ending of files that hold the documents of their folder as lines.
+LINES_ENDING = ".documents.jsonl.gz"
+
 
 def date_folder(path: Column) -> Column:
     """Save date from the year, month and day folders of a path, padded or not."""
@@ -60,9 +65,11 @@ def dated_folders(spark: SparkSession, root: str, dates: list[str], bases: tuple
     return folders_there_are(spark, ["/".join(x for x in (root.rstrip("/"), base, str(d)) if x) for base in bases for d in dates])
 
 
-def whole_documents(spark: SparkSession, paths: str | list[str], glob: str = JSON_FILES) -> DataFrame:
+def whole_documents(spark: SparkSession, paths: str | list[str], glob: str = JSON_FILES, lines: bool = False) -> DataFrame:
     """Every matching file under the paths as one ``(key, body)`` row; no paths give no rows.
 
+    With ``lines`` documents that were written as lines count as well, each as if it were a file of its name.
+
     Files are read as bytes, which needs no settings of its own for each file as whole texts do. Spark counts a file as
     4 MB when it packs files into tasks, so small documents would make a task, and later an output file, of every 32;
     they are put together to no more tasks than a shuffle has, without one.
@@ -71,7 +78,16 @@ def whole_documents(spark: SparkSession, paths: str | list[str], glob: str = JSO
         return spark.createDataFrame([], "key string, body string")
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", glob)
     rows = reader.load(paths).select(source_path().alias("key"), F.col("content").cast("string").alias("body"))
-    return rows.coalesce(task_count(spark))
+    files = rows.coalesce(task_count(spark))
+    return files.unionByName(_documents_of_lines(spark, paths, glob)) if lines else files
+
+
+def _documents_of_lines(spark: SparkSession, paths: str | list[str], glob: str) -> DataFrame:
+    """Documents written as lines whose names match. As of files, names that begin with a dot or an underscore do not count."""
+    reader = spark.read.schema("name string, body string").option("mode", "FAILFAST").option("recursiveFileLookup", True)
+    rows = reader.option("pathGlobFilter", f"*{LINES_ENDING}").json(paths)
+    named = F.col("name").rlike(translate(glob)) & ~F.col("name").rlike("^[._]")
+    return rows.filter(named).select(F.concat(F.regexp_extract(source_path(), "^(.*/)", 1), "name").alias("key"), "body")
 
 
 def read_listing_json(
@@ -105,14 +121,15 @@ def read_brand_json(spark: SparkSession, root: str) -> DataFrame:
 
 
 def read_summary_json(
-    spark: SparkSession, root: str, for_metrics: bool = False, dates: list[str] | None = None, bases: tuple[str, ...] = ("", "*", "*/*")
+    spark: SparkSession, root: str, for_metrics: bool = False, dates: list[str] | None = None, bases: tuple[str, ...] = ("", "*", "*/*"), lines: bool = False
 ) -> DataFrame:
     """Candidate summaries ``(key, prefix_form, body)``; text that is no JSON is dropped. Days prune folders as in S1.
 
     ``json-files/`` folders always count. For request metrics a file in the date folder itself also counts when
-    its name speaks of a summary; those come after the others.
+    its name speaks of a summary; those come after the others. With ``lines`` also documents that were written as lines
+    count, by the same rules.
     """
-    docs = whole_documents(spark, day_folders(spark, root, dates, bases) if dates else root)
+    docs = whole_documents(spark, day_folders(spark, root, dates, bases) if dates else root, lines=lines)
     name = F.lower(F.regexp_extract("key", r"([^/]*)$", 1))
     in_folder = F.col("key").contains("/json-files/")
     at_root = F.col("key").rlike(r"/day=\d{1,2}/[^/]*$") & name.contains("summary")

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Callable, Iterator
+from itertools import groupby
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
@@ -12,7 +14,7 @@ from adledger import schemas
 from adledger.operators.layout import backfill_window
 from adledger.operators.ordering import first_rows
 from adledger.session import saved, task_count
-from adledger.sources.readers import path_exists, read_baseline, read_hub_table
+from adledger.sources.readers import LINES_ENDING, path_exists, read_baseline, read_hub_table
 from adledger.sources.versions import commit, publish, published, versions
 
 PARTITION_COLUMN = "hub_partition_date"
@@ -142,14 +144,16 @@ def hub_documents(site_rows: DataFrame, totals: DataFrame) -> DataFrame:
     return head.join(sites, "hub_date", "left").select("hub_date", whole.alias("body"))
 
 
-def write_documents(docs: DataFrame, root: str) -> None:
-    """Each ``(key, body)`` row as one file under ``root``.
+def write_documents(docs: DataFrame, root: str, lines: bool = False) -> None:
+    """Each ``(key, body)`` row as one file under ``root``, or with ``lines`` as one line of a file in the key's folder.
 
     Tasks write the files they hold, so nothing passes through the driver. A file costs far more than its bytes, so
     documents are dealt out by key first, however few tasks they come from; those of one key meet in one task. A file
     is written under a name of its own and then renamed, so a task that is stopped or run twice never leaves half a
     document under a key. ``root`` must be a folder that all executors share.
     """
+    if lines:
+        return _write_lines(docs, root)
 
     def write_part(rows: Iterator[Row]) -> None:
         from pyarrow import fs
@@ -170,6 +174,39 @@ def write_documents(docs: DataFrame, root: str) -> None:
     docs.select("key", "body").repartition(task_count(docs.sparkSession), "key").foreachPartition(write_part)
 
 
+def _write_lines(docs: DataFrame, root: str) -> None:
+    """The documents of each folder as lines ``{"name", "body"}`` of few compressed files in it.
+
+    However short, a file of its own takes a block of the disk and a place in the driver's list, which is too much for
+    millions of small documents. Keys are dealt out by range, so a folder comes to as many tasks as its documents are
+    worth, and a task writes one file per folder. Files are named by the task's number, so a task run twice replaces its
+    own; for the same reason ``root`` must be new. Of documents with one key the last stays.
+    """
+    if path_exists(docs.sparkSession, root):
+        raise ValueError(f"{root} is there already: documents are written as lines only once")
+
+    def write_part(rows: Iterator[Row]) -> None:
+        from pyarrow import fs
+        from pyspark import TaskContext
+
+        target, base = fs.FileSystem.from_uri(root)
+        task = TaskContext.get().partitionId()
+        for n, (folder, held) in enumerate(groupby(rows, lambda row: row["folder"])):
+            place, part = f"{base}/{folder}" if folder else base, f"part-{task:05d}-{n}"
+            target.create_dir(place, recursive=True)
+            own = f"{place}/.{part}.{uuid.uuid4().hex}"
+            with target.open_output_stream(own, compression="gzip") as out:
+                for name, same in groupby(held, lambda row: row["name"]):
+                    *_, last = same
+                    out.write(json.dumps({"name": name, "body": last["body"]}, ensure_ascii=False).encode("utf-8") + b"\n")
+            target.move(own, f"{place}/{part}{LINES_ENDING}")
+
+    place = [F.regexp_extract("key", r"(?s)^(.*)/", 1).alias("folder"), F.substring_index("key", "/", -1).alias("name")]
+    placed = docs.select(*place, "body", F.monotonically_increasing_id().alias("seq"))
+    dealt = placed.repartitionByRange(task_count(docs.sparkSession), "folder", "name").sortWithinPartitions("folder", "name", "seq")
+    dealt.select("folder", "name", "body").foreachPartition(write_part)
+
+
 def report_key(prefix: Column, date: Column) -> Column:
     return F.concat(prefix, F.lit("/monitor/"), date.cast("string"), F.lit("/report.json"))
 

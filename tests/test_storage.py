@@ -3,10 +3,12 @@
 import datetime
 import json
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
 from adledger import schemas
+from adledger.catalog import registry, storage
 from adledger.operators import trends
 from adledger.operators.output import write_grouped
 from adledger.plans import hub_chain
@@ -274,3 +276,50 @@ def test_of_documents_with_one_key_the_last_of_a_task_stays(spark):
     root = scratch_dir(spark, "again")
     writers.write_documents(docs, root)
     assert [r["body"] for r in readers.whole_documents(spark, root).collect()] == ['{"n": 8}']
+
+
+def read_back(spark, root, **how):
+    return sorted((r["key"].split(root.rstrip("/") + "/")[1], r["prefix_form"], r["body"]) for r in readers.read_summary_json(spark, root, for_metrics=True, **how).collect())
+
+
+def test_documents_as_lines_are_read_as_if_each_were_a_file(spark, tmp_path):
+    day, text = "a b/1/year=2024/month=01/day=02", json.dumps({"n": "سيارة \u2028 \r\n \x00 \"x\""}, ensure_ascii=False)
+    docs = [(f"{day}/json-files/{i:03d}.{'JSON' if i % 2 else 'json'}", json.dumps({"i": i}) + "\n") for i in range(300)]
+    docs += [(f"{day}/{name}", text) for name in ("json-files/t.json", "json-files/deep/t.json", "Summary.json", "other.json", "json-files/z.json")]
+    docs += [(f"{day}/json-files/{name}", text) for name in (".hidden.json", "_kept.json", "a.txt", "a.json.gz", "a.documents.jsonl.gz")]
+    docs += [(f"{day}/json-files/bad.json", "{"), (f"{day}/json-files/empty.json", ""), ("top.json", text), ("b/year=2024/month=1/day=3/json-files/x.json", "[1]")]
+    rows = spark.createDataFrame(docs, "key string, body string").repartition(3)
+    files, lines = str(tmp_path / "files"), str(tmp_path / "lines")
+    writers.write_documents(rows, files)
+    writers.write_documents(rows, lines, lines=True)
+    stored = [p for p in (tmp_path / "lines").rglob("*") if p.is_file()]
+    assert len(stored) <= 4 + 5 and all(p.name.endswith(".documents.jsonl.gz") for p in stored)
+    (tmp_path / "files" / day / "json-files" / "a.documents.jsonl.gz").unlink()  # no lines, only named so
+    want = read_back(spark, files)
+    assert len(want) == 305 and read_back(spark, lines, lines=True) == want and read_back(spark, lines) == []
+    assert read_back(spark, files, lines=True) == want
+    asked = {"dates": ["2024-01-03"], "bases": ("*", "*/*")}
+    assert read_back(spark, lines, lines=True, **asked) == read_back(spark, files, **asked) == [("b/year=2024/month=1/day=3/json-files/x.json", 0, "[1]")]
+
+
+def test_of_lines_with_one_key_the_last_stays_and_a_root_is_written_once(spark, tmp_path):
+    docs = spark.createDataFrame([(key, '{"n": %d}' % n) for n in range(9) for key in ("json-files/a.json", "json-files//b.json")], "key string, body string")
+    root = str(tmp_path / "again")
+    writers.write_documents(docs, root, lines=True)
+    assert sorted(r["body"] for r in readers.whole_documents(spark, root, lines=True).collect()) == ['{"n": 8}'] * 2
+    with pytest.raises(ValueError, match="only once"):
+        writers.write_documents(docs, root, lines=True)
+
+
+def test_summaries_take_few_files_however_many_there_are(spark, tmp_path, monkeypatch):
+    day = datetime.datetime(2024, 1, 2)
+    rows = [(n, n % 3 + 1, "O", 1.0, day, "2-HIGH") for n in range(400)]
+    orders = spark.createDataFrame(rows + rows[:50], "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, o_orderdate timestamp, o_orderpriority string")
+    orders.write.parquet(str(tmp_path / "in" / "orders.parquet"))
+    monkeypatch.setattr(storage, "scratch_dir", lambda _, label: str(tmp_path / label))
+    got = storage.s2(spark, str(tmp_path / "in")).collect()
+    assert len([p for p in (tmp_path / "summaries").rglob("*") if p.is_file()]) <= 4 + 3
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW orders AS SELECT DISTINCT * FROM '{tmp_path}/in/orders.parquet/*.parquet'")
+    want = con.execute(registry.ORACLES["s2_read_summary_json"]).fetchall()
+    assert len(want) > 300 and sorted(map(tuple, got)) == sorted(want)
