@@ -198,6 +198,8 @@ def _write_lines(docs: DataFrame, root: str) -> None:
             with target.open_output_stream(own, compression="gzip") as out:
                 for name, same in groupby(held, lambda row: row["name"]):
                     *_, last = same
+                    if last["body"] is None:
+                        raise ValueError(f"no text to write under {folder}/{name}")
                     out.write(json.dumps({"name": name, "body": last["body"]}, ensure_ascii=False).encode("utf-8") + b"\n")
             target.move(own, f"{place}/{part}{LINES_ENDING}")
 

@@ -311,6 +311,13 @@ def test_of_lines_with_one_key_the_last_stays_and_a_root_is_written_once(spark,
         writers.write_documents(docs, root, lines=True)
 
 
+@pytest.mark.parametrize("lines", [False, True])
+def test_documents_without_text_end_the_write(spark, tmp_path, lines):
+    docs = spark.createDataFrame([("json-files/a.json", "{}"), ("json-files/b.json", None)], "key string, body string")
+    with pytest.raises(Exception, match="no text to write under json-files/b.json" if lines else "NoneType"):
+        writers.write_documents(docs, str(tmp_path / "none"), lines=lines)
+
+
 def test_summaries_take_few_files_however_many_there_are(spark, tmp_path, monkeypatch):
     day = datetime.datetime(2024, 1, 2)
     rows = [(n, n % 3 + 1, "O", 1.0, day, "2-HIGH") for n in range(400)]
